@@ -1,0 +1,236 @@
+"""Bank-like inputs derived from the driver's Parquet tables.
+
+The derivations make dirty raw sources (as the CSVs would be) and a clean star
+out of ``lineitem``, ``orders``, ``customer``, ``part``, ``nation``, ``region``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lumbung import fixed_values as v
+from lumbung.functions import mapping as m
+from lumbung.functions.calendar import calendar, calendar_rows
+from lumbung.functions.parsing import AMOUNT
+from lumbung.plans.load import load_batch, load_full
+from lumbung.sources.staging import new_folder
+from lumbung.sources.synthetic import GENDER_SPELLINGS, SEGMENT_SPELLINGS, write_source
+
+# The calendar ends before the last shipping day on purpose.
+CALENDAR_DAYS = ("1995-01-01", "2001-08-31")
+# "Loaded" rows of the incremental inputs end here.
+LOADED_UNTIL = "1999-12-31"
+UNLISTED_CITY = "Cirebon"
+
+# Rows are distinct over all lineitem columns: together they are the source order.
+LINE_ORDER = [
+    "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+    "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
+]
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _cycle(at: Column, values: list[str]) -> Column:
+    return F.element_at(F.array(*[F.lit(x) for x in values]), (at + 1).cast("int"))
+
+
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with their order."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    return table(spark, sf_dir, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+
+
+def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dirty transactions, with ``src_seq`` (a struct in source order) and the line's ship day."""
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    rows = lines(spark, sf_dir).join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    line = F.col("l_orderkey")
+    dirt = (line + F.col("l_linenumber")) % 50
+    cities = v.MASTER_CITIES + list(v.CITY_ALIASES) + [UNLISTED_CITY]
+    channel = (
+        F.when(F.col("o_orderpriority") == "1-URGENT", "ATM")
+        .when(F.col("o_orderpriority") == "2-HIGH", "bifast")
+        .when(F.col("o_orderpriority") == "3-MEDIUM", " qris ")
+        .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", "ATM_LINK")
+        .otherwise("livin")
+    )
+    return rows.select(
+        F.concat(F.lit("TRX-"), line.cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")).alias("trx_id"),
+        F.when(dirt == 1, "31-13-2026").when(dirt != 0, F.date_format("l_shipdate", "dd-MM-yyyy")).alias("tgl_transaksi"),
+        F.when(line % 200 != 0, F.concat(F.lit("N-"), F.col("o_custkey").cast("string"))).alias("nasabah_code"),
+        F.when(line % 200 != 1, channel).alias("channel"),
+        F.when(line % 200 != 2, F.concat(F.lit("MCH-"), F.col("l_partkey").cast("string"))).alias("merchant_code"),
+        F.when(line % 200 != 3, _cycle(F.col("c_nationkey") % 20, cities)).alias("kota"),
+        F.concat(
+            F.when(F.col("l_partkey") % 33 == 0, "-").otherwise(""),
+            F.translate(F.format_number("l_extendedprice", 2), ",.", ".,"),
+        ).alias("nominal"),
+        F.when(line % 20 == 0, "").otherwise(((line % 3) * 2500).cast("string")).alias("biaya_admin"),
+        F.struct(*LINE_ORDER).alias("src_seq"),
+        F.col("l_shipdate").cast("date").alias("ship_day"),
+        line.alias("order_no"),
+    )
+
+
+def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("c_custkey")
+    born = F.date_add(F.lit("1960-01-01").cast("date"), ((key * 37) % 16000).cast("int"))
+    return table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("N-"), key.cast("string")).alias("nasabah_code"),
+        F.col("c_name").alias("nama_lengkap"),
+        _cycle(key % 8, GENDER_SPELLINGS).alias("jenis_kelamin"),
+        F.when(key % 20 == 0, "").when(key % 20 == 1, "31/02/1999").otherwise(F.date_format(born, "dd/MM/yyyy")).alias("tanggal_lahir"),
+        _cycle(key % 6, SEGMENT_SPELLINGS).alias("segmen_nasabah"),
+        key.alias("src_seq"),
+    )
+
+
+def raw_merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("p_partkey")
+    return table(spark, sf_dir, "part").select(
+        F.concat(F.lit("MCH-"), key.cast("string")).alias("merchant_code"),
+        F.concat(F.col("p_name"), F.lit(" "), key.cast("string")).alias("nama_merchant"),
+        F.when(key % 8 != 0, F.col("p_type")).alias("kategori"),
+        key.alias("src_seq"),
+    )
+
+
+def calendar_days(spark: SparkSession) -> DataFrame:
+    return calendar(spark, *CALENDAR_DAYS)
+
+
+# -- clean star ---------------------------------------------------------------
+def clean_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    return lines(spark, sf_dir).join(customer, F.col("o_custkey") == F.col("c_custkey")).select(
+        F.col("l_shipdate").cast("date").alias("waktu_id"),
+        F.col("o_custkey").alias("nasabah_id"),
+        F.col("o_orderpriority").alias("channel_id"),
+        F.col("c_nationkey").alias("wilayah_id"),
+        F.col("l_partkey").alias("merchant_id"),
+        F.col("l_extendedprice").cast(AMOUNT).alias("nominal_transaksi"),
+        (F.col("l_extendedprice") * F.col("l_tax")).cast(AMOUNT).alias("biaya_admin"),
+    )
+
+
+def clean_dimensions(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    days = table(spark, sf_dir, "lineitem").select(F.col("l_shipdate").cast("date").alias("d")).distinct()
+    return {
+        "dim_waktu": calendar_rows(days, F.col("d")).withColumn("waktu_id", F.col("tanggal")),
+        "dim_nasabah": table(spark, sf_dir, "customer").select(
+            F.col("c_custkey").alias("nasabah_id"),
+            F.col("c_name").alias("nama_lengkap"),
+            m.gender(_cycle(F.col("c_custkey") % 8, GENDER_SPELLINGS)).alias("jenis_kelamin"),
+            F.col("c_mktsegment").alias("segmen_nasabah"),
+        ),
+        "dim_channel": table(spark, sf_dir, "orders").select(
+            F.col("o_orderpriority").alias("channel_id"),
+            F.col("o_orderpriority").alias("nama_channel"),
+            F.lit(v.CHANNEL_KIND).alias("jenis_channel"),
+        ).distinct(),
+        "dim_wilayah": nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
+            F.col("n_nationkey").alias("wilayah_id"),
+            F.col("n_name").alias("kota"),
+            F.concat(F.col("r_name"), F.lit(" "), (F.col("n_nationkey") % 2).cast("string")).alias("provinsi"),
+            F.col("r_name").alias("region"),
+        ),
+        "dim_merchant": table(spark, sf_dir, "part").select(
+            F.col("p_partkey").alias("merchant_id"),
+            F.concat(F.col("p_name"), F.lit(" "), F.col("p_partkey").cast("string")).alias("nama_merchant"),
+            F.col("p_type").alias("kategori"),
+        ),
+    }
+
+
+# -- source folders and warehouses made from them -----------------------------
+def write_folder(
+    spark: SparkSession, folder: str, transactions: DataFrame, customers: DataFrame | None,
+    merchants: DataFrame | None, days: DataFrame | None,
+) -> None:
+    """Source CSVs in source order."""
+    columns = ["trx_id", "tgl_transaksi", "nasabah_code", "channel", "merchant_code", "kota", "nominal", "biaya_admin"]
+    write_source(transactions.orderBy("src_seq").select(*columns), f"{folder}/{v.TRANSACTION_FILE}")
+    if customers is not None:
+        write_source(customers.orderBy("src_seq").drop("src_seq"), f"{folder}/{v.CUSTOMER_FILE}")
+    if merchants is not None:
+        write_source(merchants.orderBy("src_seq").drop("src_seq"), f"{folder}/{v.MERCHANT_FILE}")
+    if days is not None:
+        write_source(days.orderBy("waktu_id"), f"{folder}/{v.CALENDAR_FILE}")
+
+
+_made: dict[tuple, str] = {}
+
+
+def _once(spark: SparkSession, sf_dir: str, name: str, make) -> str:
+    """The folder ``make`` filled for this session and data, filled at the first call."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _made:
+        path = new_folder(spark, name)
+        make(path)
+        _made[key] = path
+    return _made[key]
+
+
+def source_folder(spark: SparkSession, sf_dir: str) -> str:
+    """All raw sources as CSVs."""
+    return _once(spark, sf_dir, "sources", lambda path: write_folder(
+        spark, path, raw_transactions(spark, sf_dir), raw_customers(spark, sf_dir),
+        raw_merchants(spark, sf_dir), calendar_days(spark),
+    ))
+
+
+def loaded_warehouse(spark: SparkSession, sf_dir: str) -> str:
+    """A warehouse after a full load of ``source_folder``."""
+    folder = source_folder(spark, sf_dir)
+    return _once(spark, sf_dir, "warehouse", lambda path: load_full(spark, folder, path))
+
+
+def _every_third(df: DataFrame) -> DataFrame:
+    return df.filter(F.col("src_seq") % 3 != 0)
+
+
+def two_day_folders(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """A first folder (older rows, two of three members) and a later one (a quarter of the orders, all members)."""
+    rows = raw_transactions(spark, sf_dir)
+    first = _once(spark, sf_dir, "day-one", lambda path: write_folder(
+        spark, path, rows.filter(F.col("ship_day") <= F.lit(LOADED_UNTIL).cast("date")),
+        _every_third(raw_customers(spark, sf_dir)), _every_third(raw_merchants(spark, sf_dir)), calendar_days(spark),
+    ))
+    second = _once(spark, sf_dir, "day-two", lambda path: write_folder(
+        spark, path, rows.filter(F.col("order_no") % 4 == 0),
+        raw_customers(spark, sf_dir), raw_merchants(spark, sf_dir), None,
+    ))
+    return first, second
+
+
+def incremental_warehouse(spark: SparkSession, sf_dir: str) -> str:
+    """A full load of the first folder and then a batch load of the second."""
+    first, second = two_day_folders(spark, sf_dir)
+
+    def load(path: str) -> None:
+        load_full(spark, first, path)
+        load_batch(spark, second, path, "day-two")
+
+    return _once(spark, sf_dir, "warehouse-2", load)
+
+
+def yearly_landing(spark: SparkSession, sf_dir: str) -> str:
+    """A landing folder with one batch per shipping year."""
+    rows = raw_transactions(spark, sf_dir)
+
+    def land(path: str) -> None:
+        years = [r[0] for r in rows.select(F.year("ship_day").alias("y")).distinct().orderBy("y").collect()]
+        for nth, year in enumerate(years):
+            first = nth == 0
+            write_folder(
+                spark, f"{path}/batch_{year}", rows.filter(F.year("ship_day") == year),
+                raw_customers(spark, sf_dir) if first else None, raw_merchants(spark, sf_dir) if first else None,
+                calendar_days(spark) if first else None,
+            )
+
+    return _once(spark, sf_dir, "landing", land)
