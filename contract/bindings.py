@@ -113,7 +113,7 @@ def clean_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_nationkey").alias("wilayah_id"),
         F.col("l_partkey").alias("merchant_id"),
         F.col("l_extendedprice").cast(AMOUNT).alias("nominal_transaksi"),
-        (F.col("l_extendedprice") * F.col("l_tax")).cast(AMOUNT).alias("biaya_admin"),
+        (F.col("l_extendedprice").cast(AMOUNT) * F.col("l_tax").cast("decimal(4,2)")).cast(AMOUNT).alias("biaya_admin"),
     )
 
 

@@ -17,7 +17,8 @@ def strip(c: Column) -> Column:
 
 def blank_to_null(c: Column) -> Column:
     """Null for the tokens that stand for "no value" in a CSV."""
-    return F.when(~c.isin(NULL_TOKENS), c)
+    longest = max(map(len, NULL_TOKENS))
+    return F.when((F.octet_length(c) > longest) | ~c.isin(NULL_TOKENS), c)
 
 
 def blanks_to_null(df: DataFrame, *keep: str) -> DataFrame:
@@ -51,6 +52,6 @@ def date_key(d: Column) -> Column:
     return (F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)).cast("bigint")
 
 
-def key_month(key: Column) -> Column:
-    """YYYYMMDD -> YYYYMM, the partition column of stored facts."""
-    return F.floor(key / 100).cast("int")
+def key_year(key: Column) -> Column:
+    """YYYYMMDD -> YYYY."""
+    return F.floor(key / 10000).cast("int")

@@ -83,44 +83,35 @@ def merchant_members(raw: DataFrame, order_by: list | None = None) -> DataFrame:
     return keep_first(typed, ["merchant_code"], order_by or ["src_seq"])
 
 
-def members_in_transactions(raw: DataFrame, seq: str = "src_seq") -> DataFrame:
-    """Channels and cities named by the raw transactions, in one pass over them: (kind, member, seq)."""
-    named = raw.select(
+def members_in_transactions(typed: DataFrame, seq: str = "src_seq") -> DataFrame:
+    """Channels and cities the raw transactions name, in one pass over them: (kind, member, seq)."""
+    named = typed.select(
         F.explode(F.array(
-            F.struct(F.lit("channel").alias("kind"), m.channel_member(F.col("channel")).alias("member")),
-            F.struct(F.lit("kota").alias("kind"), m.city_member(F.col("kota")).alias("member")),
+            F.struct(F.lit("channel").alias("kind"), F.col("channel_member").alias("member")),
+            F.struct(F.lit("kota").alias("kind"), F.col("city_member").alias("member")),
         )).alias("x"),
         F.col(seq),
     ).select("x.kind", "x.member", seq)
     return first_seen(named.filter("member IS NOT NULL"), ["kind", "member"], seq)
 
 
-def channel_members(seen: DataFrame, seq: str = "src_seq") -> DataFrame:
+def channel_members(seen: DataFrame) -> DataFrame:
     return seen.filter("kind = 'channel'").select(
-        F.col("member").alias("nama_channel"), F.lit(v.CHANNEL_KIND).alias("jenis_channel"), seq
+        F.col("member").alias("nama_channel"), F.lit(v.CHANNEL_KIND).alias("jenis_channel"), "src_seq"
     )
 
 
 def master_cities(spark: SparkSession) -> DataFrame:
-    """The 16 known cities with their place in the master list."""
-    return spark.createDataFrame(
-        [(i, c) for i, c in enumerate(v.MASTER_CITIES, 1)], "master_order int, kota string"
-    )
-
+    """The 16 known cities, with sequences that come before any source row."""
+    listed = F.array(*[F.lit(c) for c in v.MASTER_CITIES])
+    cities = spark.range(1).select(F.posexplode(listed).alias("pos", "kota"))
+    return cities.select("kota", (F.col("pos") - len(v.MASTER_CITIES)).cast("bigint").alias("src_seq"))
 
-def area_order(seq: str = "src_seq") -> list:
-    return [F.col("master_order").asc_nulls_last(), F.col(seq)]
 
-
-def area_members(seen: DataFrame, seq: str = "src_seq") -> DataFrame:
-    """Master cities first, then the other cities seen (``area_order``), with province and island."""
-    named = seen.filter("kind = 'kota'").select(F.col("member").alias("kota"), seq)
-    return enrich_city(
-        master_cities(seen.sparkSession)
-        .unionByName(named, allowMissingColumns=True)
-        .groupBy("kota")
-        .agg(F.min("master_order").alias("master_order"), F.min(seq).alias(seq))
-    )
+def area_members(seen: DataFrame) -> DataFrame:
+    """Master cities first, then the other cities in the order seen, with province and island."""
+    named = seen.filter("kind = 'kota'").select(F.col("member").alias("kota"), "src_seq")
+    return enrich_city(first_seen(master_cities(seen.sparkSession).unionByName(named), ["kota"]))
 
 
 def enrich_city(df: DataFrame) -> DataFrame:
@@ -133,7 +124,8 @@ def with_unknown(dim: Dimension, df: DataFrame) -> DataFrame:
 
 
 def unknown_member(spark: SparkSession, dim: Dimension) -> DataFrame:
-    return spark.createDataFrame([dim.unknown], dim.schema)
+    values = zip(dim.schema.split(", "), dim.unknown)
+    return spark.range(0, 1, 1, 1).select(*[F.lit(x).cast(c.split()[1]).alias(c.split()[0]) for c, x in values])
 
 
 def new_members(members: DataFrame, existing: DataFrame, key: str) -> DataFrame:

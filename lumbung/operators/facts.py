@@ -29,7 +29,9 @@ def typed_transactions(raw: DataFrame, *keep: str) -> DataFrame:
         F.coalesce("nasabah_code", F.lit(v.UNKNOWN_CUSTOMER_CODE)).alias("nasabah_code"),
         F.coalesce("merchant_code", F.lit(v.UNKNOWN_MERCHANT_CODE)).alias("merchant_code"),
         m.channel_of_fact(F.col("channel")).alias("nama_channel"),
+        m.channel_member(F.col("channel")).alias("channel_member"),
         m.city_of_fact(F.col("kota")).alias("kota"),
+        m.city_member(F.col("kota")).alias("city_member"),
         p.parse_amount(F.col("nominal")).alias("nominal_transaksi"),
         p.parse_fee(F.col("biaya_admin")).alias("biaya_admin"),
         *keep,

@@ -7,37 +7,56 @@ from pyspark.sql import functions as F
 
 from lumbung.sources.staging import stage
 
+# Both src_seq and monotonically_increasing_id keep a row number in the low 33
+# bits and the number of the block or partition above it.
 ROW_BITS = 33
 
 
-def number_rows(
-    df: DataFrame, order_by: list, id_col: str, start: int | Column = 0, only: str | None = None
+def number_rows(df: DataFrame, order_by: list, id_col: str, start: int | Column = 0) -> DataFrame:
+    """Number the rows ``start + 1, start + 2, ...`` in ``order_by`` order, which must be total.
+
+    Rows are range-partitioned and sorted once. Their place (partition, row) is
+    written with them to a staged table, so that the counting pass and the
+    numbering pass agree.
+    """
+    placed = df.orderBy(*order_by).withColumn("_place", F.monotonically_increasing_id())
+    row = F.col("_place").bitwiseAND(F.lit((1 << ROW_BITS) - 1)) + 1
+    placed = stage(
+        placed.withColumns({"_part": F.shiftrightunsigned("_place", ROW_BITS), "_row": row}).drop("_place"), "numbering"
+    )
+    return _number(placed, df.columns, id_col, start)
+
+
+def number_source_rows(
+    df: DataFrame, id_col: str, start: int | Column = 0, seq: str = "src_seq", only: str | None = None
 ) -> DataFrame:
-    """Number the rows ``start + 1, start + 2, ...`` in ``order_by`` order.
+    """Number rows in the order of their source sequence.
 
-    The order must be total. Rows are range-partitioned and sorted once; their
-    place (partition, row) is written with them to a staged table, so that the
-    counting pass and the numbering pass agree. Only one count per partition is
-    accumulated on the way to the ids.
+    The high bits of the sequence name the file block a row came from. Blocks
+    are in order and each fits a task, so rows are numbered block by block after
+    one hash shuffle; no sampling pass looks for range bounds.
 
-    With ``only`` (a boolean column) the rows where it is true are numbered and
-    sorted first, and the others get a null id.
+    With ``only`` (a boolean column) the rows where it holds are numbered and
+    the others get a null id.
     """
-    order = ([F.col(only).desc()] if only else []) + list(order_by)
-    placed = stage(df.orderBy(*order).withColumn("_place", F.monotonically_increasing_id()), "numbering")
-    part = F.shiftrightunsigned("_place", ROW_BITS).alias("_part")
-    row = F.col("_place").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
-    counted = placed.filter(only) if only else placed
-    sizes = counted.groupBy(part).agg(F.count("*").alias("_rows"))
+    block = F.shiftright(seq, ROW_BITS)
+    groups = ["_part"] + ([only] if only else [])
+    in_block = Window.partitionBy(*groups).orderBy(seq)
+    placed = df.withColumn("_part", block).withColumn("_row", F.row_number().over(in_block).cast("bigint"))
+    return _number(stage(placed, "numbering"), df.columns, id_col, start, only)
+
+
+def _number(placed: DataFrame, columns: list[str], id_col: str, start: int | Column, only: str | None = None) -> DataFrame:
+    sizes = (placed.filter(only) if only else placed).groupBy("_part").agg(F.count("*").alias("_rows"))
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per partition of the sort above: bounded by its partition count.
+    # One row per partition of the sort, or per file block: both are known
+    # before any row is read, and there are about a million rows behind each.
     offsets = sizes.select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
-    begin = start if isinstance(start, Column) else F.lit(start)
-    number = F.col("_before") + row + F.lit(1) + begin
+    number = F.col("_before") + F.col("_row") + (start if isinstance(start, Column) else F.lit(start))
     if only:
         number = F.when(F.col(only), number)
-    numbered = placed.withColumn("_part", part).join(F.broadcast(offsets), "_part", "left")
-    return numbered.select(number.cast("bigint").alias(id_col), *[F.col(c) for c in df.columns])
+    numbered = placed.join(F.broadcast(offsets), "_part", "left")
+    return numbered.select(number.cast("bigint").alias(id_col), *columns)
 
 
 def max_or_zero(df: DataFrame, column: str) -> DataFrame:

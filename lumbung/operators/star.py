@@ -39,9 +39,9 @@ def _joined(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def wide_view(fact: DataFrame, dims: dict[str, DataFrame], *keep: str) -> DataFrame:
+def wide_view(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """The 14-column reporting view, one row per fact."""
-    return _joined(fact, dims).withColumnRenamed("kategori", "kategori_merchant").select(*VIEW_COLUMNS, *keep)
+    return _joined(fact, dims).withColumnRenamed("kategori", "kategori_merchant").select(*VIEW_COLUMNS)
 
 
 def _level(name: str) -> Column:

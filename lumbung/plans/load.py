@@ -3,20 +3,22 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumbung import fixed_values as v
-from lumbung.functions.parsing import key_month
+from lumbung.functions.parsing import key_year
 from lumbung.operators import dimensions as d
 from lumbung.operators import facts as f
+from lumbung.operators.cube import cuboid
 from lumbung.operators.dedupe import keep_first
-from lumbung.operators.keys import number_rows
-from lumbung.operators.star import wide_view
-from lumbung.sources import csv_source
-from lumbung.sources.staging import job
-from lumbung.sources.warehouse import BASE_BATCH, FACT, REJECTS, VIEW, Warehouse
+from lumbung.operators.keys import number_source_rows
+from lumbung.operators.star import cube_rows, wide_view
+from lumbung.sources import csv_source, files
+from lumbung.sources.staging import job, stage
+from lumbung.sources.warehouse import BASE_BATCH, CELL_COLUMNS, CELLS, FACT, REJECTS, VIEW, Warehouse, together
 
 FULL_BATCH = "full"
 
@@ -68,12 +70,12 @@ def _load(wh: Warehouse, sources: Sources, batch: str, incremental: bool) -> dic
     record["max_ids_after"] = dict(record["max_ids"])
     # What this batch may see: the Unknown members and the batches started before it.
     earlier = [BASE_BATCH] + [r["batch_id"] for r in wh.loads() if r["sequence"] < record["sequence"]]
+    wh.drop(CELLS, batch)
     with job(wh.spark):
-        _load_dimensions(wh, sources, record, earlier)
-        dims = wh.dimensions([*earlier, batch])
-        _load_facts(wh, sources, record, dims, incremental)
-    # Members never change and facts keep their ids, so the view rows of earlier batches stay valid.
-    wh.write(VIEW, batch, wide_view(wh.read(FACT, [batch]), dims, "bulan_id"))
+        # The text is parsed once; members and facts are both made from the typed rows.
+        typed = stage(f.typed_transactions(sources.transactions, "src_seq"), "typed")
+        _load_dimensions(wh, sources, typed, record, earlier)
+        _load_facts(wh, typed, record, wh.dimensions([*earlier, batch]), incremental)
     record["status"] = "done"
     wh.save_load(record)
     return record
@@ -100,36 +102,37 @@ def _start(wh: Warehouse, batch: str) -> dict:
     return record
 
 
-def _load_dimensions(wh: Warehouse, sources: Sources, record: dict, earlier: list[str]) -> None:
+def _load_dimensions(wh: Warehouse, sources: Sources, typed: DataFrame, record: dict, earlier: list[str]) -> None:
     batch = record["batch_id"]
-    seen = d.members_in_transactions(sources.transactions)
-    in_source_order = [F.col("src_seq")]
-    members = [
-        (d.CHANNEL, d.channel_members(seen), in_source_order),
-        (d.AREA, d.area_members(seen), d.area_order()),
-    ]
+    seen = stage(d.members_in_transactions(typed), "seen")
+    members = [(d.CHANNEL, d.channel_members(seen)), (d.AREA, d.area_members(seen))]
     if sources.customers is not None:
-        members.append((d.CUSTOMER, d.customer_members(sources.customers), in_source_order))
+        members.append((d.CUSTOMER, d.customer_members(sources.customers)))
     if sources.merchants is not None:
-        members.append((d.MERCHANT, d.merchant_members(sources.merchants), in_source_order))
-    if sources.calendar is not None:
-        days = d.calendar_members(sources.calendar)
-        fresh = d.new_members(days, wh.read(d.CALENDAR.table, earlier), d.CALENDAR.key)
-        wh.write(d.CALENDAR.table, batch, fresh.select(*d.CALENDAR.columns))
-    for dim, rows, order in members:
+        members.append((d.MERCHANT, d.merchant_members(sources.merchants)))
+
+    def load_members(dim: d.Dimension, rows: DataFrame) -> None:
         fresh = d.new_members(rows, wh.read(dim.table, earlier), dim.key)
         start = record["max_ids"].get(dim.table, 0)
-        wh.write(dim.table, batch, number_rows(fresh, order, dim.id_col, start).select(*dim.columns))
+        wh.write(dim.table, batch, number_source_rows(fresh, dim.id_col, start).select(*dim.columns))
         record["max_ids_after"][dim.table] = start + wh.read(dim.table, [batch]).count()
 
+    def load_calendar() -> None:
+        days = d.calendar_members(sources.calendar)
+        fresh = d.new_members(days, wh.read(d.CALENDAR.table, earlier), d.CALENDAR.key)
+        wh.write(d.CALENDAR.table, batch, fresh.select(*d.CALENDAR.columns))
+
+    steps = [partial(load_members, *m) for m in members]
+    together(*steps, *([load_calendar] if sources.calendar is not None else []))
+
 
-def judged_transactions(raw: DataFrame, dims: dict[str, DataFrame], mark: int | None) -> DataFrame:
+def judged_transactions(typed: DataFrame, dims: dict[str, DataFrame], mark: int | None) -> DataFrame:
     """De-duplicated transactions with surrogate ids and ``reason`` (null = loadable).
 
     The reason is the first of: negative amount, unreadable date, day not in the
     calendar, day not after the mark.
     """
-    first = keep_first(f.typed_transactions(raw, "src_seq"), ["trx_id"], ["src_seq"])
+    first = keep_first(typed.drop("channel_member", "city_member"), ["trx_id"], ["src_seq"])
     days = dims["dim_waktu"].select("waktu_id", F.lit(True).alias("_known_day"))
     keyed = f.look_up_keys(
         first.join(days, "waktu_id", "left"),
@@ -149,14 +152,20 @@ def judged_transactions(raw: DataFrame, dims: dict[str, DataFrame], mark: int |
     )
 
 
-def _load_facts(wh: Warehouse, sources: Sources, record: dict, dims: dict[str, DataFrame], incremental: bool) -> None:
+def _load_facts(wh: Warehouse, typed: DataFrame, record: dict, dims: dict[str, DataFrame], incremental: bool) -> None:
     batch = record["batch_id"]
     start = record["max_ids"].get(FACT, 0)
-    judged = judged_transactions(sources.transactions, dims, record["mark"] if incremental else None)
-    numbered = number_rows(judged, [F.col("src_seq")], "fact_id", start, only="_accepted")
-    month = key_month(F.col("waktu_id")).alias("bulan_id")
-    wh.write(FACT, batch, numbered.filter("_accepted").select(*f.FACT_COLUMNS, month))
-    wh.write(REJECTS, batch, numbered.filter("NOT _accepted").select("trx_id", "tgl_transaksi", "waktu_id", "reason"))
+    judged = judged_transactions(typed, dims, record["mark"] if incremental else None)
+    numbered = number_source_rows(judged, "fact_id", start, only="_accepted")
+    facts = numbered.filter("_accepted").select(*f.FACT_COLUMNS)
+    rejects = numbered.filter("NOT _accepted").select("trx_id", "tgl_transaksi", "waktu_id", "reason")
+    # Members never change and facts keep their ids, so the view rows of earlier
+    # batches stay valid: only this batch's are added.
+    together(
+        lambda: wh.write(FACT, batch, facts.withColumn("tahun", key_year(F.col("waktu_id")))),
+        lambda: wh.write(VIEW, batch, wide_view(facts, dims)),
+        lambda: wh.write(REJECTS, batch, rejects),
+    )
     rows, newest = wh.read(FACT, [batch]).agg(F.count("*"), F.max("waktu_id")).first()
     record["rows_loaded"] = rows
     record["mark_after"] = max(record["mark"], newest or 0)
@@ -166,3 +175,17 @@ def _load_facts(wh: Warehouse, sources: Sources, record: dict, dims: dict[str, D
 def rebuild_view(wh: Warehouse) -> DataFrame:
     """The whole view from the current tables."""
     return wide_view(wh.facts(), wh.dimensions())
+
+
+# -- the cube -----------------------------------------------------------------
+def refresh_cube(wh: Warehouse) -> DataFrame:
+    """The cube's cells, brought up to date: only batches whose cells are missing are read again."""
+    have = files.child_names(wh.spark, wh.path(CELLS))
+    missing = [r["batch_id"] for r in wh.loads() if r["status"] == "done" and f"batch_id={r['batch_id']}" not in have]
+    together(*[partial(_write_cells, wh, batch) for batch in missing])
+    return wh.cells()
+
+
+def _write_cells(wh: Warehouse, batch: str) -> None:
+    rows = cube_rows(wh.read(FACT, [batch]), wh.dimensions())
+    wh.write(CELLS, batch, cuboid(rows).select(*CELL_COLUMNS))

@@ -12,16 +12,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lumbung.functions.parsing import blanks_to_null
+from lumbung.operators.keys import ROW_BITS
 from lumbung.sources import files
 
-# monotonically_increasing_id keeps the row's place within its partition in the
-# low 33 bits; the number of the file block goes above it.
-ROW_BITS = 33
 
 
 def sniff(spark: SparkSession, path: str) -> tuple[str, list[str]]:
     """Separator and header names, from the first line. ``;`` wins ties."""
-    header = spark.read.text(path).limit(1).first()[0]
+    header = files.first_line(spark, path).lstrip("\ufeff")
     separator = ";" if header.count(";") >= header.count(",") else ","
     return separator, header.split(separator)
 
@@ -35,7 +33,7 @@ def read_source(spark: SparkSession, folder: str, name: str, trim_header: bool =
     # An empty part file has no header line; the first part with rows names the columns.
     first = next((file for file, _, size in parts if size), parts[0][0])
     separator, names = sniff(spark, first)
-    names = [n.strip().strip('"') if trim_header else n.strip("\r﻿") for n in names]
+    names = [n.strip('"').strip() if trim_header else n.strip('"') for n in names]
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     raw = (
         spark.read.schema(schema)

@@ -30,6 +30,16 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
 
+def first_line(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    io = spark.sparkContext._jvm.java.io
+    reader = io.BufferedReader(io.InputStreamReader(fs.open(p), "UTF-8"))
+    try:
+        return reader.readLine() or ""
+    finally:
+        reader.close()
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     fs, p = _fs(spark, path)
     if not fs.exists(p):

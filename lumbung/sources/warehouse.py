@@ -13,6 +13,9 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +25,8 @@ from lumbung.operators.facts import FACT_SCHEMA
 from lumbung.sources import files
 
 FACT, VIEW, REJECTS = "fact_transaksi", "mvw_dashboard_transaksi", "rejects"
+# The facts summed up to the levels most queries use (operators.cube.cuboid).
+CELLS = "cube_cells"
 # What was there before any batch: the Unknown members.
 BASE_BATCH = "unknown"
 
@@ -34,9 +39,21 @@ SCHEMAS = {
     **{d.table: d.schema for d in DIMENSIONS},
     FACT: FACT_SCHEMA,
     VIEW: VIEW_SCHEMA,
+    CELLS: "tahun int, quarter string, bulan string, hari string, tanggal date, segmen_nasabah string, "
+           "jenis_kelamin string, jenis_channel string, nama_channel string, region string, provinsi string, "
+           "kota string, kategori string, nama_lengkap string, nama_merchant string, "
+           "nominal_transaksi decimal(28,2), biaya_admin decimal(28,2), n_trx bigint",
     REJECTS: "trx_id string, tgl_transaksi string, waktu_id bigint, reason string",
 }
-BY_MONTH = {FACT, VIEW}
+CELL_COLUMNS = [part.split()[0] for part in SCHEMAS[CELLS].split(", ")]
+BY_YEAR = {FACT, VIEW, CELLS}
+
+
+def together(*steps: Callable[[], None]) -> None:
+    """Run independent writes as concurrent Spark jobs; the first failure is raised."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        for done in [pool.submit(step) for step in steps]:
+            done.result()
 
 
 class Warehouse:
@@ -52,9 +69,10 @@ class Warehouse:
     def fresh(cls, spark: SparkSession, root: str) -> "Warehouse":
         """A new, empty version that nobody reads until ``publish``."""
         wh = cls(spark, root, f"v-{uuid.uuid4().hex[:12]}")
-        for dim in DIMENSIONS:
-            if dim.unknown:
-                wh.write(dim.table, BASE_BATCH, unknown_member(spark, dim).coalesce(1))
+        together(*[
+            partial(wh.write, dim.table, BASE_BATCH, unknown_member(spark, dim))
+            for dim in DIMENSIONS if dim.unknown
+        ])
         return wh
 
     def publish(self) -> None:
@@ -73,7 +91,7 @@ class Warehouse:
 
     def read(self, table: str, batches: list[str] | None = None) -> DataFrame:
         """A table, of all batches or of those named. The schema is given, so no footer is read to plan."""
-        schema = SCHEMAS[table] + ", batch_id string" + (", bulan_id int" if table in BY_MONTH else "")
+        schema = SCHEMAS[table] + ", batch_id string" + (", tahun int" if table == FACT else "")
         if not files.exists(self.spark, self.path(table)):
             return self.spark.createDataFrame([], schema)
         df = self.spark.read.schema(schema).parquet(self.path(table))
@@ -86,22 +104,32 @@ class Warehouse:
         return {d.table: self.dimension(d, batches) for d in DIMENSIONS}
 
     def facts(self) -> DataFrame:
-        return self.read(FACT).drop("batch_id")
+        return self.read(FACT).drop("batch_id", "tahun")
 
     def view(self) -> DataFrame:
         return self.read(VIEW).drop("batch_id")
 
+    def cells(self) -> DataFrame:
+        """The pre-aggregated cells; batches may hold parts of the same cell, which queries add up."""
+        return self.read(CELLS).drop("batch_id")
+
     def write(self, table: str, batch: str, df: DataFrame) -> None:
         """Replace what ``batch`` holds in ``table``.
 
-        Tables kept by month are rebalanced first: small months share a task, a
-        month too big for one task is split over several, and each file holds
-        one month.
+        Large tables are kept by year and sorted by day: a filter on years skips
+        folders, one on days skips row groups. Rebalancing beforehand makes
+        small years share a task and splits a year too big for one.
         """
-        writer = df.hint("rebalance", "bulan_id").write if table in BY_MONTH else df.write
-        if table in BY_MONTH:
-            writer = writer.partitionBy("bulan_id")
-        writer.mode("overwrite").parquet(f"{self.path(table)}/batch_id={batch}")
+        path = f"{self.path(table)}/batch_id={batch}"
+        if table in BY_YEAR:
+            day = "waktu_id" if table == FACT else "tanggal"
+            spread = df.hint("rebalance", "tahun").sortWithinPartitions("tahun", day)
+            spread.write.partitionBy("tahun").mode("overwrite").parquet(path)
+        else:
+            df.write.mode("overwrite").parquet(path)
+
+    def drop(self, table: str, batch: str) -> None:
+        files.delete(self.spark, f"{self.path(table)}/batch_id={batch}")
 
     # -- loads ------------------------------------------------------------------
     def _load_path(self, batch: str) -> str:
