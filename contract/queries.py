@@ -47,6 +47,11 @@ def bank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cube_rows(wh.facts(), wh.dimensions())
 
 
+def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cube's stored cells for the loaded warehouse."""
+    return load.refresh_cube(warehouse(spark, sf_dir))
+
+
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cube rows of the clean star."""
     return cube_rows(b.clean_fact(spark, sf_dir), b.clean_dimensions(spark, sf_dir))
@@ -499,52 +504,52 @@ def p15_include_unknown(spark, sf_dir):
 # -- named queries ------------------------------------------------------------
 @register
 def q0_filter_options(spark, sf_dir):
-    return q.filter_options(bank(spark, sf_dir))
+    return q.filter_options(cells(spark, sf_dir))
 
 
 @register
 def q1_kpi(spark, sf_dir):
-    return q.kpi(bank(spark, sf_dir))
+    return q.kpi(cells(spark, sf_dir))
 
 
 @register
 def q1_kpi_mom(spark, sf_dir):
-    return q.kpi(bank(spark, sf_dir), {"tahun": [1998], "bulan": ["January"], "channel": ["ATM", "LIVIN"]})
+    return q.kpi(cells(spark, sf_dir), {"tahun": [1998], "bulan": ["January"], "channel": ["ATM", "LIVIN"]})
 
 
 @register
 def q1_kpi_mom_quarter(spark, sf_dir):
-    return q.kpi(bank(spark, sf_dir), {"tahun": [1998], "bulan": ["April"], "quarter": ["Q2"]})
+    return q.kpi(cells(spark, sf_dir), {"tahun": [1998], "bulan": ["April"], "quarter": ["Q2"]})
 
 
 @register
 def q1_kpi_empty(spark, sf_dir):
-    return q.kpi(bank(spark, sf_dir), {"tahun": [1900]})
+    return q.kpi(cells(spark, sf_dir), {"tahun": [1900]})
 
 
 @register
 def q2_monthly_trend(spark, sf_dir):
-    return q.monthly_trend(bank(spark, sf_dir))
+    return q.monthly_trend(cells(spark, sf_dir))
 
 
 @register
 def q2_daily_drilldown(spark, sf_dir):
-    return q.monthly_trend(bank(spark, sf_dir), {"tahun": [1998], "bulan": ["April"]})
+    return q.monthly_trend(cells(spark, sf_dir), {"tahun": [1998], "bulan": ["April"]})
 
 
 @register
 def q3_channel(spark, sf_dir):
-    return q.channel_distribution(bank(spark, sf_dir))
+    return q.channel_distribution(cells(spark, sf_dir))
 
 
 @register
 def q4_segment(spark, sf_dir):
-    return q.customer_segment(bank(spark, sf_dir))
+    return q.customer_segment(cells(spark, sf_dir))
 
 
 @register
 def q5_category(spark, sf_dir):
-    return q.merchant_category(bank(spark, sf_dir))
+    return q.merchant_category(cells(spark, sf_dir))
 
 
 @register
@@ -554,32 +559,32 @@ def q6_top_merchants(spark, sf_dir):
 
 @register
 def q7_geographic(spark, sf_dir):
-    return q.geographic(bank(spark, sf_dir))
+    return q.geographic(cells(spark, sf_dir))
 
 
 @register
 def q8_city_ranking(spark, sf_dir):
-    return q.city_ranking(bank(spark, sf_dir))
+    return q.city_ranking(cells(spark, sf_dir))
 
 
 @register
 def q9_gender(spark, sf_dir):
-    return q.gender_distribution(bank(spark, sf_dir), {"segmen": ["Reguler", "Prioritas", "Private"]})
+    return q.gender_distribution(cells(spark, sf_dir), {"segmen": ["Reguler", "Prioritas", "Private"]})
 
 
 @register
 def q10_channel_by_region(spark, sf_dir):
-    return q.channel_by_region(bank(spark, sf_dir))
+    return q.channel_by_region(cells(spark, sf_dir))
 
 
 @register
 def q11_daily(spark, sf_dir):
-    return q.daily_transaction(bank(spark, sf_dir))
+    return q.daily_transaction(cells(spark, sf_dir))
 
 
 @register
 def q12_heatmap(spark, sf_dir):
-    return q.heatmap(bank(spark, sf_dir), {"tahun": [1997, 1998]})
+    return q.heatmap(cells(spark, sf_dir), {"tahun": [1997, 1998]})
 
 
 @register
@@ -673,33 +678,33 @@ def w3_merchant_rank(spark, sf_dir):
 
 @register
 def w4_share(spark, sf_dir):
-    return pr.share_of_total(q.merchant_category(bank(spark, sf_dir)), c.VOLUME)
+    return pr.share_of_total(q.merchant_category(cells(spark, sf_dir)), c.VOLUME)
 
 
 @register
 def w5_city_channel_share(spark, sf_dir):
-    return pr.share_within(q.city_by_channel(bank(spark, sf_dir)), "kota", c.COUNT)
+    return pr.share_within(q.city_by_channel(cells(spark, sf_dir)), "kota", c.COUNT)
 
 
 @register
 def w6_ratio_to_max(spark, sf_dir):
-    return pr.ratio_to_max(q.heatmap(bank(spark, sf_dir)), c.COUNT)
+    return pr.ratio_to_max(q.heatmap(cells(spark, sf_dir)), c.COUNT)
 
 
 @register
 def w6_map_radius(spark, sf_dir):
-    return pr.map_radius(q.geographic(bank(spark, sf_dir)), c.VOLUME)
+    return pr.map_radius(q.geographic(cells(spark, sf_dir)), c.VOLUME)
 
 
 @register
 def w8_peak_day(spark, sf_dir):
-    days = q.daily_transaction(bank(spark, sf_dir))
+    days = q.daily_transaction(cells(spark, sf_dir))
     return pr.peak_flag(days, c.COUNT, cal.weekday_index(F.col("hari")))
 
 
 @register
 def w9_mom_series(spark, sf_dir):
-    rows = bank(spark, sf_dir)
+    rows = cells(spark, sf_dir)
     months = c.by_level(rows.filter(flt.build_filter({})), ["tahun", "bulan"], [c.VOLUME, c.FEE, c.COUNT, c.AVERAGE])
     out = pr.month_over_month(months, [c.VOLUME, c.FEE, c.COUNT, c.AVERAGE])
     return out.select(F.col("tahun").cast("bigint").alias("tahun"), "bulan", *[x for x in out.columns if x.endswith("_pct")])

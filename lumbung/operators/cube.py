@@ -42,21 +42,23 @@ def total(column: str, when: Column | None = None) -> Column:
     return F.sum(F.col(column) if when is None else F.when(when, F.col(column)))
 
 
-def measure(df: DataFrame, name: str) -> Column:
-    if name == VOLUME:
-        return total("nominal_transaksi").cast("double").alias(name)
-    if name == FEE:
-        return total("biaya_admin").cast("double").alias(name)
-    if name == COUNT:
-        return n_facts(df).alias(name)
-    if name == AVERAGE:
-        return F.try_divide(total("nominal_transaksi").cast("double"), n_facts(df)).alias(name)
-    raise ValueError(f"unknown measure {name}")
+_MEASURES = {
+    VOLUME: "CAST(SUM(nominal_transaksi) AS DOUBLE)",
+    FEE: "CAST(SUM(biaya_admin) AS DOUBLE)",
+    COUNT: "{n}",
+    AVERAGE: "TRY_DIVIDE(CAST(SUM(nominal_transaksi) AS DOUBLE), {n})",
+}
+
+
+def measures_of(df: DataFrame, names: list[str]) -> list[Column]:
+    """The named measures as aggregates over rows or cells."""
+    n = "COALESCE(SUM(n_trx), 0)" if "n_trx" in df.columns else "COUNT(*)"
+    return [F.expr(f"{_MEASURES[name].format(n=n)} AS {name}") for name in names]
 
 
 def by_level(df: DataFrame, levels: list[str], measures: list[str]) -> DataFrame:
     """Roll-up to any levels. Members are grouped by leaf, so the same leaf under two parents is one row."""
-    return df.groupBy(*levels).agg(*[measure(df, name) for name in measures])
+    return df.groupBy(*levels).agg(*measures_of(df, measures))
 
 
 def drill_down(df: DataFrame, level: str, measures: list[str]) -> DataFrame:
@@ -71,7 +73,7 @@ def drill_down(df: DataFrame, level: str, measures: list[str]) -> DataFrame:
 def hierarchy_totals(df: DataFrame, hierarchy: str, measures: list[str]) -> DataFrame:
     """Every level's subtotals of a hierarchy; ``depth`` counts the levels that are set (0 = grand total)."""
     levels = HIERARCHIES[hierarchy]
-    rolled = df.rollup(*levels).agg(F.grouping_id().alias("_gid"), *[measure(df, name) for name in measures])
+    rolled = df.rollup(*levels).agg(F.grouping_id().alias("_gid"), *measures_of(df, measures))
     depth = F.lit(len(levels)) - F.bit_count(F.col("_gid"))
     return rolled.select(*levels, depth.cast("int").alias("depth"), *measures)
 
@@ -79,7 +81,7 @@ def hierarchy_totals(df: DataFrame, hierarchy: str, measures: list[str]) -> Data
 def cross_totals(df: DataFrame, levels: list[str], measures: list[str]) -> DataFrame:
     """Totals for all combinations of the levels (CUBE); ``gid`` tells which are rolled up."""
     return df.cube(*levels).agg(
-        F.grouping_id().cast("bigint").alias("gid"), *[measure(df, name) for name in measures]
+        F.grouping_id().cast("bigint").alias("gid"), *measures_of(df, measures)
     )
 
 

@@ -16,7 +16,7 @@ from lumbung.operators.cube import cuboid
 from lumbung.operators.dedupe import keep_first
 from lumbung.operators.keys import number_source_rows
 from lumbung.operators.star import cube_rows, wide_view
-from lumbung.sources import csv_source, files
+from lumbung.sources import csv_source
 from lumbung.sources.staging import job, stage
 from lumbung.sources.warehouse import BASE_BATCH, CELL_COLUMNS, CELLS, FACT, REJECTS, VIEW, Warehouse, together
 
@@ -67,7 +67,7 @@ def load_batch(spark: SparkSession, folder: str, root: str, batch_id: str) -> di
 
 def _load(wh: Warehouse, sources: Sources, batch: str, incremental: bool) -> dict:
     record = _start(wh, batch)
-    record["max_ids_after"] = dict(record["max_ids"])
+    record.update(max_ids_after=dict(record["max_ids"]), has_cells=False)
     # What this batch may see: the Unknown members and the batches started before it.
     earlier = [BASE_BATCH] + [r["batch_id"] for r in wh.loads() if r["sequence"] < record["sequence"]]
     wh.drop(CELLS, batch)
@@ -179,13 +179,20 @@ def rebuild_view(wh: Warehouse) -> DataFrame:
 
 # -- the cube -----------------------------------------------------------------
 def refresh_cube(wh: Warehouse) -> DataFrame:
-    """The cube's cells, brought up to date: only batches whose cells are missing are read again."""
-    have = files.child_names(wh.spark, wh.path(CELLS))
-    missing = [r["batch_id"] for r in wh.loads() if r["status"] == "done" and f"batch_id={r['batch_id']}" not in have]
-    together(*[partial(_write_cells, wh, batch) for batch in missing])
+    """The cube's cells, brought up to date: only batches that have none yet are read."""
+    missing = [r for r in wh.loads() if r["status"] == "done" and not r.get("has_cells")]
+    together(*[partial(_write_cells, wh, record) for record in missing])
     return wh.cells()
 
 
-def _write_cells(wh: Warehouse, batch: str) -> None:
-    rows = cube_rows(wh.read(FACT, [batch]), wh.dimensions())
-    wh.write(CELLS, batch, cuboid(rows).select(*CELL_COLUMNS))
+def forget_cube(wh: Warehouse) -> None:
+    """Drop all cells; the next refresh makes them anew."""
+    for record in wh.loads():
+        wh.drop(CELLS, record["batch_id"])
+        wh.save_load({**record, "has_cells": False})
+
+
+def _write_cells(wh: Warehouse, record: dict) -> None:
+    rows = cube_rows(wh.facts([record["batch_id"]]), wh.dimensions())
+    wh.write(CELLS, record["batch_id"], cuboid(rows).select(*CELL_COLUMNS))
+    wh.save_load({**record, "has_cells": True})

@@ -18,6 +18,8 @@ TUNING = {
     "spark.sql.autoBroadcastJoinThreshold": "32m",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.showConsoleProgress": "false",
+    # Recording the Python call site of every expression doubles the time to build a query.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

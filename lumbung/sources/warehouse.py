@@ -51,7 +51,7 @@ BY_YEAR = {FACT, VIEW, CELLS}
 
 def together(*steps: Callable[[], None]) -> None:
     """Run independent writes as concurrent Spark jobs; the first failure is raised."""
-    with ThreadPoolExecutor(len(steps)) as pool:
+    with ThreadPoolExecutor(max(1, len(steps))) as pool:
         for done in [pool.submit(step) for step in steps]:
             done.result()
 
@@ -103,8 +103,8 @@ class Warehouse:
     def dimensions(self, batches: list[str] | None = None) -> dict[str, DataFrame]:
         return {d.table: self.dimension(d, batches) for d in DIMENSIONS}
 
-    def facts(self) -> DataFrame:
-        return self.read(FACT).drop("batch_id", "tahun")
+    def facts(self, batches: list[str] | None = None) -> DataFrame:
+        return self.read(FACT, batches).drop("batch_id", "tahun")
 
     def view(self) -> DataFrame:
         return self.read(VIEW).drop("batch_id")
