@@ -184,7 +184,7 @@ NO_TREND = ", ".join(f"CAST(NULL AS DOUBLE) AS trend_{k}" for k in KPI_NAMES)
 
 def _trend(now: str, before: str) -> str:
     change = ", ".join(
-        f"CASE WHEN b.{k} <> 0 THEN round((CAST(a.{k} AS DOUBLE) - b.{k}) / b.{k} * 100, 2) END AS trend_{k}" for k in KPI_NAMES
+        f"CASE WHEN b.{k} <> 0 THEN round_even((CAST(a.{k} AS DOUBLE) - b.{k}) / b.{k} * 100, 2) END AS trend_{k}" for k in KPI_NAMES
     )
     return f"""WITH {BANK}, a AS (SELECT {KPI} FROM bank WHERE {now}), b AS (SELECT {KPI} FROM bank WHERE {before})
     SELECT a.*, {change} FROM a, b"""
@@ -192,8 +192,8 @@ def _trend(now: str, before: str) -> str:
 
 def _per_layer(layer: str, source: str) -> str:
     """Growth rates by SQL's own regression functions."""
-    return f"""SELECT {layer}, count(*) AS points, round(regr_slope(y, x / 1000), 4) AS growth_rate_ms_per_1k,
-      round(regr_intercept(y, x / 1000), 4) AS intercept_ms, round(regr_r2(y, x / 1000), 4) AS r2 FROM {source} GROUP BY {layer}"""
+    return f"""SELECT {layer}, count(*) AS points, round_even(regr_slope(y, x / 1000), 4) AS growth_rate_ms_per_1k,
+      round_even(regr_intercept(y, x / 1000), 4) AS intercept_ms, round_even(regr_r2(y, x / 1000), 4) AS r2 FROM {source} GROUP BY {layer}"""
 
 
 # -- the incremental pair of folders ------------------------------------------
@@ -263,14 +263,14 @@ rows AS (SELECT (['S', 'M', 'L', 'XL'])[l_linenumber % 4 + 1] AS scale, l_linest
     year(l_shipdate) AS y, l_quantity, l_extendedprice FROM lineitem),
 sizes AS (SELECT scale, count(*) AS n_rows FROM rows GROUP BY scale),
 etl AS (SELECT scale, y, count(*) AS n, sum(l_quantity) / 1000 AS sec FROM rows GROUP BY scale, y),
-cube AS (SELECT scale, round(median(l_extendedprice), 3) / 1000 AS sec FROM rows GROUP BY scale),
-query AS (SELECT scale, query, complexity, round(median(l_extendedprice), 3) AS ms FROM rows GROUP BY ALL),
+cube AS (SELECT scale, round_even(median(l_extendedprice), 3) / 1000 AS sec FROM rows GROUP BY scale),
+query AS (SELECT scale, query, complexity, round_even(median(l_extendedprice), 3) AS ms FROM rows GROUP BY ALL),
 class AS (SELECT complexity, scale, avg(ms) AS avg_ms FROM query GROUP BY ALL),
 points AS (
   SELECT 'ETL Pipeline' AS layer, CAST(n AS DOUBLE) AS x, sec * 1000 AS y FROM etl
   UNION ALL SELECT 'Cube Construction', n_rows, sec * 1000 FROM cube JOIN sizes USING (scale)
   UNION ALL SELECT 'OLAP Query (' || complexity || ')', n_rows, avg_ms FROM class JOIN sizes USING (scale)),
-rates AS (SELECT layer, round(regr_slope(y, x / 1000), 4) AS growth_rate_ms_per_1k, round(regr_r2(y, x / 1000), 4) AS r2
+rates AS (SELECT layer, round_even(regr_slope(y, x / 1000), 4) AS growth_rate_ms_per_1k, round_even(regr_r2(y, x / 1000), 4) AS r2
   FROM points GROUP BY layer)"""
 MOM = ["total_volume_transaksi", "total_biaya_admin", "jumlah_transaksi", "rata_rata_nominal"]
 
@@ -352,7 +352,7 @@ ORACLE: dict[str, str] = {
         count(*) FILTER (nominal_transaksi < 0) AS negative_nominal_removed,
         count(*) FILTER (waktu_id IS NULL) AS invalid_date_removed FROM firsts),
       r AS (SELECT *, duplicate_removed + negative_nominal_removed + invalid_date_removed AS total_records_removed FROM i)
-      SELECT *, round(CAST(total_input_rows - total_records_removed AS DOUBLE) / total_input_rows * 100, 2) AS data_quality_rate_pct,
+      SELECT *, round_even(CAST(total_input_rows - total_records_removed AS DOUBLE) / total_input_rows * 100, 2) AS data_quality_rate_pct,
         (SELECT count(*) FROM fact WHERE nasabah_id = 0) AS unknown_nasabah, (SELECT count(*) FROM fact WHERE merchant_id = 0) AS unknown_merchant,
         (SELECT count(*) FROM fact WHERE channel_id = 0) AS unknown_channel, (SELECT count(*) FROM fact WHERE wilayah_id = 0) AS unknown_wilayah,
         (SELECT count(*) FROM fact) AS fact_rows_in_db FROM r""",
@@ -450,19 +450,19 @@ ORACLE: dict[str, str] = {
     "w9_mom_series": f"""WITH {BANK}, t AS (SELECT tahun, bulan, tahun * 12 + {MONTH_NO} AS m, {VOLUME}, {FEE}, {COUNT},
           CAST(sum(nominal_transaksi) AS DOUBLE) / count(*) AS rata_rata_nominal FROM bank WHERE {KNOWN} GROUP BY tahun, bulan)
         SELECT a.tahun, a.bulan, """ + ", ".join(
-        f"CASE WHEN b.{k} <> 0 THEN round((CAST(a.{k} AS DOUBLE) - b.{k}) / b.{k} * 100, 2) END AS {k}_mom_pct" for k in MOM
+        f"CASE WHEN b.{k} <> 0 THEN round_even((CAST(a.{k} AS DOUBLE) - b.{k}) / b.{k} * 100, 2) END AS {k}_mom_pct" for k in MOM
     ) + " FROM t a LEFT JOIN t b ON b.m = a.m - 1",
     "o7_sorted_table": f"WITH {BANK}, t AS ({TOP} 25) SELECT * FROM t ORDER BY nama_merchant DESC",
     "a18_growth_rate": "WITH p AS (SELECT l_returnflag, l_quantity AS x, l_extendedprice AS y FROM lineitem) " + _per_layer("l_returnflag", "p"),
-    "a20_run_stats": f"""SELECT tahun, count(*) AS runs, round(median(l_extendedprice), 3) AS median_ms, round(min(l_extendedprice), 3) AS min_ms,
-        round(max(l_extendedprice), 3) AS max_ms FROM ({YEARS}) GROUP BY tahun""",
-    "a20_run_stats_overall": """SELECT count(*) AS runs, round(median(l_extendedprice), 3) AS median_ms, round(min(l_extendedprice), 3) AS min_ms,
-        round(max(l_extendedprice), 3) AS max_ms FROM lineitem""",
-    "a21_nearest_rank_quartiles": f"""WITH {QUARTILES} SELECT tahun, n AS runs, round(max(x) FILTER (rn = n // 4 + 1), 3) AS p25_ms,
-        round(max(x) FILTER (rn = 3 * n // 4 + 1), 3) AS p75_ms FROM years GROUP BY tahun, n""",
+    "a20_run_stats": f"""SELECT tahun, count(*) AS runs, round_even(median(l_extendedprice), 3) AS median_ms, round_even(min(l_extendedprice), 3) AS min_ms,
+        round_even(max(l_extendedprice), 3) AS max_ms FROM ({YEARS}) GROUP BY tahun""",
+    "a20_run_stats_overall": """SELECT count(*) AS runs, round_even(median(l_extendedprice), 3) AS median_ms, round_even(min(l_extendedprice), 3) AS min_ms,
+        round_even(max(l_extendedprice), 3) AS max_ms FROM lineitem""",
+    "a21_nearest_rank_quartiles": f"""WITH {QUARTILES} SELECT tahun, n AS runs, round_even(max(x) FILTER (rn = n // 4 + 1), 3) AS p25_ms,
+        round_even(max(x) FILTER (rn = 3 * n // 4 + 1), 3) AS p75_ms FROM years GROUP BY tahun, n""",
     "a22_throughput": f"""SELECT tahun, count(*) AS rows_loaded, sum(l_quantity) AS etl_time_sec,
-        round(count(*) / sum(l_quantity), 1) AS throughput_rps FROM ({YEARS}) GROUP BY tahun""",
-    "a19_class_average": f"""WITH {METRICS} SELECT complexity, scale, n_rows, round(avg_ms, 3) AS avg_median_ms
+        round_even(count(*) / sum(l_quantity), 1) AS throughput_rps FROM ({YEARS}) GROUP BY tahun""",
+    "a19_class_average": f"""WITH {METRICS} SELECT complexity, scale, n_rows, round_even(avg_ms, 3) AS avg_median_ms
         FROM class JOIN sizes USING (scale)""",
     "w7_bottleneck_rank": "WITH p AS (SELECT p_brand AS layer, l_quantity AS x, l_extendedprice AS y FROM lineitem JOIN part ON l_partkey = p_partkey), g AS ("
     + _per_layer("layer", "p")
@@ -470,8 +470,8 @@ ORACLE: dict[str, str] = {
         row_number() OVER (ORDER BY growth_rate_ms_per_1k DESC, layer) = 1 AS is_bottleneck FROM g""",
     "e4_scalability_report": f"""WITH {METRICS} SELECT row_number() OVER (ORDER BY growth_rate_ms_per_1k DESC, layer) AS rank, layer,
         growth_rate_ms_per_1k, r2, row_number() OVER (ORDER BY growth_rate_ms_per_1k DESC, layer) = 1 AS is_bottleneck FROM rates""",
-    "e4_query_summary": f"""WITH {METRICS} SELECT scale, n_rows, complexity, round(avg_ms, 3) AS avg_median_ms, growth_rate_ms_per_1k, r2, layer
+    "e4_query_summary": f"""WITH {METRICS} SELECT scale, n_rows, complexity, round_even(avg_ms, 3) AS avg_median_ms, growth_rate_ms_per_1k, r2, layer
         FROM class JOIN sizes USING (scale) JOIN rates ON layer = 'OLAP Query (' || complexity || ')'""",
-    "s14_metrics_append": f"""WITH {METRICS} SELECT scale, n AS rows_total, sec AS etl_time_sec, round(n / sec, 1) AS throughput_rps, layer,
+    "s14_metrics_append": f"""WITH {METRICS} SELECT scale, n AS rows_total, sec AS etl_time_sec, round_even(n / sec, 1) AS throughput_rps, layer,
         growth_rate_ms_per_1k, r2 FROM etl JOIN rates ON layer = 'ETL Pipeline'""",
 }

@@ -780,7 +780,7 @@ def _metric_frames(spark, sf_dir):
 def a19_class_average(spark, sf_dir):
     _, _, query = _metric_frames(spark, sf_dir)
     out = st.class_average(query, "complexity", "scale", "median_ms", "n_rows")
-    return out.withColumn("avg_median_ms", F.round("avg_median_ms", 3))
+    return out.withColumn("avg_median_ms", F.bround("avg_median_ms", 3))
 
 
 @register

@@ -61,7 +61,7 @@ def sorted_by(df: DataFrame, column: str, descending: bool = False) -> DataFrame
 
 def percent_change(now: Column, before: Column) -> Column:
     """Change in percent, two decimals; null when there is nothing to compare with."""
-    return F.when(before != 0, F.round((now - before) / before * 100, 2))
+    return F.when(before != 0, F.bround((now - before) / before * 100, 2))
 
 
 def month_over_month(months: DataFrame, values: list[str]) -> DataFrame:

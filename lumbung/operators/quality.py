@@ -34,7 +34,7 @@ def input_quality(raw: DataFrame, order_by: list) -> DataFrame:
     kept = F.col("total_input_rows") - F.col("total_records_removed")
     return counts.withColumn("total_records_removed", removed).withColumn(
         "data_quality_rate_pct",
-        F.round(F.try_divide(kept.cast("double"), F.col("total_input_rows").cast("double")) * 100, 2),
+        F.bround(F.try_divide(kept.cast("double"), F.col("total_input_rows").cast("double")) * 100, 2),
     )
 
 

@@ -1,4 +1,4 @@
-"""Growth rates, exact order statistics and throughput."""
+"""Growth rates, exact order statistics and throughput. Figures are rounded half to even."""
 
 from __future__ import annotations
 
@@ -28,9 +28,9 @@ def growth_rate(df: DataFrame, by: list[str], x: str, y: str) -> DataFrame:
     return fit.select(
         *by,
         "points",
-        F.when(enough, F.round(F.coalesce("_slope", F.lit(0.0)), 4)).otherwise(0.0).alias("growth_rate_ms_per_1k"),
-        F.when(enough, F.round("_intercept", 4)).alias("intercept_ms"),
-        F.when(~enough, 0.0).when(flat, 1.0).otherwise(F.round("_r2", 4)).alias("r2"),
+        F.when(enough, F.bround(F.coalesce("_slope", F.lit(0.0)), 4)).otherwise(0.0).alias("growth_rate_ms_per_1k"),
+        F.when(enough, F.bround("_intercept", 4)).alias("intercept_ms"),
+        F.when(~enough, 0.0).when(flat, 1.0).otherwise(F.bround("_r2", 4)).alias("r2"),
     )
 
 
@@ -85,9 +85,9 @@ def run_statistics(df: DataFrame, by: list[str], value: str, places: int = 3) ->
     return found.select(
         *by,
         F.col("n").alias("runs"),
-        F.round((F.col("_lower") + F.col("_upper")) / 2, places).alias("median_ms"),
-        F.round("_min", places).alias("min_ms"),
-        F.round("_max", places).alias("max_ms"),
+        F.bround((F.col("_lower") + F.col("_upper")) / 2, places).alias("median_ms"),
+        F.bround("_min", places).alias("min_ms"),
+        F.bround("_max", places).alias("max_ms"),
     )
 
 
@@ -97,7 +97,7 @@ def nearest_rank_quartiles(df: DataFrame, by: list[str], value: str, places: int
     found = order_statistics(df, by, value, {"p25": F.floor(n / 4) + 1, "p75": F.floor(n * 3 / 4) + 1})
     return found.select(
         *by, F.col("n").alias("runs"),
-        F.round("p25", places).alias("p25_ms"), F.round("p75", places).alias("p75_ms"),
+        F.bround("p25", places).alias("p25_ms"), F.bround("p75", places).alias("p75_ms"),
     )
 
 
@@ -110,7 +110,7 @@ def class_average(medians: DataFrame, complexity: str, scale: str, median: str,
 
 def throughput(rows: Column, seconds: Column) -> Column:
     """Rows per second, one decimal; 0 when no time passed."""
-    return F.round(F.coalesce(F.try_divide(rows.cast("double"), seconds.cast("double")), F.lit(0.0)), 1)
+    return F.bround(F.coalesce(F.try_divide(rows.cast("double"), seconds.cast("double")), F.lit(0.0)), 1)
 
 
 def rank_by_growth(layers: DataFrame) -> DataFrame:

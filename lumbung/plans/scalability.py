@@ -42,7 +42,7 @@ def query_summary(query: DataFrame) -> DataFrame:
     averages = class_average(query, "complexity", "scale", "median_ms", "n_rows")
     rated = _with_rate(averages, ["complexity"], "n_rows", "avg_median_ms")
     return rated.select(
-        "scale", "n_rows", "complexity", F.round("avg_median_ms", 3).alias("avg_median_ms"), *RATE,
+        "scale", "n_rows", "complexity", F.bround("avg_median_ms", 3).alias("avg_median_ms"), *RATE,
         F.concat(F.lit("OLAP Query ("), F.col("complexity"), F.lit(")")).alias("layer"),
     ).orderBy("complexity", scale_index(F.col("scale")))
 
