@@ -99,22 +99,23 @@ def weekday_grid(df: DataFrame) -> DataFrame:
     return months.select("bulan", F.explode(F.array(*cells)).alias("c")).select("bulan", "c.*")
 
 
+def collapse(df: DataFrame, level: str) -> DataFrame:
+    """Tell a fine level's Unknown members from the others, and nothing else."""
+    return df.withColumn(level, F.when(F.col(level) == UNKNOWN, UNKNOWN).otherwise(OTHERS))
+
+
 def cuboid(df: DataFrame, finest: tuple[str, ...] = ()) -> DataFrame:
     """Facts summed up to day x segment x gender x channel x city x category.
 
     ``finest`` adds the levels ``nama_lengkap`` or ``nama_merchant``; left out,
-    they only tell Unknown members from the others. Answers every query that
-    names no level left out, from far fewer rows.
+    they are collapsed. Answers every query that names no level left out, from
+    far fewer rows.
     """
-    fine = [
-        F.col(level) if level in finest
-        else F.when(F.col(level) == UNKNOWN, UNKNOWN).otherwise(OTHERS).alias(level)
-        for level in ("nama_lengkap", "nama_merchant")
-    ]
-    coarse = [level for level in LEVELS if level not in ("nama_lengkap", "nama_merchant")]
-    rows = df.select(*coarse, *fine, *[c for c in df.columns if c not in LEVELS])
-    return rows.groupBy(*coarse, "nama_lengkap", "nama_merchant").agg(
+    for level in ("nama_lengkap", "nama_merchant"):
+        if level not in finest:
+            df = collapse(df, level)
+    return df.groupBy(*LEVELS).agg(
         total("nominal_transaksi").alias("nominal_transaksi"),
         total("biaya_admin").alias("biaya_admin"),
-        n_facts(rows).alias("n_trx"),
+        n_facts(df).alias("n_trx"),
     )

@@ -129,5 +129,6 @@ def unknown_member(spark: SparkSession, dim: Dimension) -> DataFrame:
 
 
 def new_members(members: DataFrame, existing: DataFrame, key: str) -> DataFrame:
-    """Members whose natural key the dimension does not hold yet."""
-    return members.join(existing.select(key), key, "left_anti")
+    """Members whose natural key the dimension does not hold yet; a missing key counts as a key."""
+    known = existing.select(F.col(key).alias("_known"))
+    return members.join(known, F.col(key).eqNullSafe(F.col("_known")), "left_anti")

@@ -51,9 +51,5 @@ def fact_quality(fact: DataFrame) -> DataFrame:
 
 def quality_report(raw: DataFrame, order_by: list, fact: DataFrame) -> DataFrame:
     """Input counts and fact counts side by side, one row."""
-    one = F.lit(1).alias("_one")
-    return (
-        input_quality(raw, order_by).select("*", one)
-        .join(fact_quality(fact).select("*", one), "_one")
-        .drop("_one")
-    )
+    in_facts = fact_quality(fact).select(F.struct("*")).scalar()
+    return input_quality(raw, order_by).withColumn("_facts", in_facts).select("*", "_facts.*").drop("_facts")

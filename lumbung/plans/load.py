@@ -12,7 +12,7 @@ from lumbung import fixed_values as v
 from lumbung.functions.parsing import key_year
 from lumbung.operators import dimensions as d
 from lumbung.operators import facts as f
-from lumbung.operators.cube import cuboid
+from lumbung.operators.cube import collapse, cuboid
 from lumbung.operators.dedupe import keep_first
 from lumbung.operators.keys import number_source_rows
 from lumbung.operators.star import cube_rows, wide_view
@@ -193,6 +193,10 @@ def forget_cube(wh: Warehouse) -> None:
 
 
 def _write_cells(wh: Warehouse, record: dict) -> None:
-    rows = cube_rows(wh.facts([record["batch_id"]]), wh.dimensions())
+    dims = wh.dimensions()
+    # Names are collapsed before the joins: the two large dimensions travel as ids and short codes.
+    dims["dim_nasabah"] = collapse(dims["dim_nasabah"], "nama_lengkap")
+    dims["dim_merchant"] = collapse(dims["dim_merchant"], "nama_merchant")
+    rows = cube_rows(wh.facts([record["batch_id"]]), dims)
     wh.write(CELLS, record["batch_id"], cuboid(rows).select(*CELL_COLUMNS))
     wh.save_load({**record, "has_cells": True})

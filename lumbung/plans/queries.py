@@ -56,26 +56,20 @@ def filter_options(rows: DataFrame) -> DataFrame:
     )
     # grouping_id has a 0 bit for the one level that is set, counted from the left.
     width, everything = len(levels), (1 << len(levels)) - 1
-    kind, value, months = None, None, cal.month_index(F.col("bulan"))
+    entries = F.when(F.col("_gid") == everything, F.array(
+        _option("min_date", cal.day_label(F.col("_first"))), _option("max_date", cal.day_label(F.col("_last")))
+    ))
     for at, (name, level) in enumerate(OPTION_LEVELS.items()):
         only = F.col("_gid") == F.lit(everything - (1 << (width - 1 - at)))
-        kind = F.when(only, name) if kind is None else kind.when(only, name)
-        text = F.col(level).cast("string")
-        value = F.when(only, text) if value is None else value.when(only, text)
-    members = found.filter(F.col("_gid") != everything).select(
-        kind.alias("filter"), value.alias("nilai"),
-        F.when(F.col("bulan").isNotNull(), F.lpad(months.cast("string"), 2, "0")).otherwise(value).alias("_order"),
-    ).filter((F.col("filter") != "bulan") | F.col("nilai").isin(MONTHS))
-    listed = members.withColumn(
-        "urutan", F.row_number().over(Window.partitionBy("filter").orderBy("_order")).cast("bigint")
-    ).select("filter", "urutan", "nilai")
-    bounds = found.filter(F.col("_gid") == everything).select(
-        F.explode(F.array(
-            F.struct(F.lit("min_date").alias("filter"), cal.day_label(F.col("_first")).alias("nilai")),
-            F.struct(F.lit("max_date").alias("filter"), cal.day_label(F.col("_last")).alias("nilai")),
-        )).alias("b")
-    ).select("b.filter", F.lit(1).cast("bigint").alias("urutan"), "b.nilai")
-    return listed.unionByName(bounds)
+        order = F.lpad(cal.month_index(F.col(level)).cast("string"), 2, "0") if level == "bulan" else None
+        entries = entries.when(only, F.array(_option(name, F.col(level).cast("string"), order)))
+    options = found.select(F.inline(entries)).filter((F.col("filter") != "bulan") | F.col("nilai").isin(MONTHS))
+    place = F.row_number().over(Window.partitionBy("filter").orderBy("_order")).cast("bigint")
+    return options.select("filter", place.alias("urutan"), "nilai")
+
+
+def _option(name: str, value: Column, order: Column | None = None) -> Column:
+    return F.struct(F.lit(name).alias("filter"), value.alias("nilai"), (value if order is None else order).alias("_order"))
 
 
 # -- headline figures ---------------------------------------------------------

@@ -2,58 +2,71 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumbung.functions.calendar import scale_index
 from lumbung.operators.statistics import class_average, growth_rate, rank_by_growth
 
 RATE = ["growth_rate_ms_per_1k", "r2"]
+ETL, CUBE = "ETL Pipeline", "Cube Construction"
 
 
-def _with_rate(rows: DataFrame, by: list[str], x: str, y_ms: str) -> DataFrame:
-    """Each row next to the growth rate of its group; the rates are a handful of rows."""
-    return rows.join(growth_rate(rows, by, x, y_ms).select(*by, *RATE), by)
+def _etl_points(etl: DataFrame) -> DataFrame:
+    return etl.select(F.col("rows_total_in_db").alias("x"), (F.col("etl_time_sec") * 1000).alias("y"))
+
+
+def _cube_points(cube: DataFrame) -> DataFrame:
+    return cube.select(F.col("n_rows").alias("x"), (F.col("median_build_sec") * 1000).alias("y"))
+
+
+def _class_averages(query: DataFrame) -> DataFrame:
+    return class_average(query, "complexity", "scale", "median_ms", "n_rows")
+
+
+def _class_layer() -> Column:
+    return F.concat(F.lit("OLAP Query ("), F.col("complexity"), F.lit(")"))
+
+
+def _with_rate(rows: DataFrame, points: DataFrame) -> DataFrame:
+    """All rows next to the one growth rate of the layer."""
+    rate = growth_rate(points, [], "x", "y").select(F.struct(*RATE)).scalar()
+    return rows.withColumn("_rate", rate).select("*", "_rate.*").drop("_rate")
 
 
 def etl_summary(etl: DataFrame) -> DataFrame:
     rows = etl.select(
-        "scale",
-        F.col("rows_total_in_db").alias("rows_total"),
-        "etl_time_sec",
-        "throughput_rps",
-        (F.col("etl_time_sec") * 1000).alias("_ms"),
-        F.lit("ETL Pipeline").alias("layer"),
+        "scale", F.col("rows_total_in_db").alias("rows_total"), "etl_time_sec", "throughput_rps", F.lit(ETL).alias("layer")
     )
-    rated = _with_rate(rows, ["layer"], "rows_total", "_ms").drop("_ms")
-    return rated.orderBy(scale_index(F.col("scale")), "rows_total")
+    return _with_rate(rows, _etl_points(etl)).orderBy(scale_index(F.col("scale")), "rows_total")
 
 
 def cube_summary(cube: DataFrame) -> DataFrame:
     rows = cube.select(
-        "scale", "n_rows", "median_build_sec", "min_build_sec", "max_build_sec", "median_memory_mb",
-        (F.col("median_build_sec") * 1000).alias("_ms"),
-        F.lit("Cube Construction").alias("layer"),
+        "scale", "n_rows", "median_build_sec", "min_build_sec", "max_build_sec", "median_memory_mb", F.lit(CUBE).alias("layer")
     )
-    return _with_rate(rows, ["layer"], "n_rows", "_ms").drop("_ms").orderBy(scale_index(F.col("scale")))
+    return _with_rate(rows, _cube_points(cube)).orderBy(scale_index(F.col("scale")))
 
 
 def query_summary(query: DataFrame) -> DataFrame:
-    averages = class_average(query, "complexity", "scale", "median_ms", "n_rows")
-    rated = _with_rate(averages, ["complexity"], "n_rows", "avg_median_ms")
-    return rated.select(
-        "scale", "n_rows", "complexity", F.bround("avg_median_ms", 3).alias("avg_median_ms"), *RATE,
-        F.concat(F.lit("OLAP Query ("), F.col("complexity"), F.lit(")")).alias("layer"),
+    averages = _class_averages(query)
+    rates = growth_rate(averages, ["complexity"], "n_rows", "avg_median_ms").select("complexity", *RATE)
+    return averages.join(rates, "complexity").select(
+        "scale", "n_rows", "complexity", F.bround("avg_median_ms", 3).alias("avg_median_ms"), *RATE, _class_layer().alias("layer")
     ).orderBy("complexity", scale_index(F.col("scale")))
 
 
 def bottlenecks(etl: DataFrame, cube: DataFrame, query: DataFrame) -> DataFrame:
     """Layers by growth rate, the fastest growing first and flagged."""
-    layers = None
-    for summary in (etl_summary(etl), cube_summary(cube), query_summary(query)):
-        rates = summary.groupBy("layer").agg(*[F.first(c).alias(c) for c in RATE])
-        layers = rates if layers is None else layers.unionByName(rates)
-    return rank_by_growth(layers).select("rank", "layer", *RATE, "is_bottleneck").orderBy("rank")
+    points = (
+        _etl_points(etl).withColumn("layer", F.lit(ETL))
+        .unionByName(_cube_points(cube).withColumn("layer", F.lit(CUBE)))
+        .unionByName(_class_averages(query).select(
+            F.col("n_rows").alias("x"), F.col("avg_median_ms").alias("y"), _class_layer().alias("layer")
+        ))
+    )
+    ranked = rank_by_growth(growth_rate(points, ["layer"], "x", "y"))
+    return ranked.select("rank", "layer", *RATE, "is_bottleneck").orderBy("rank")
 
 
 def memory_growth(cube: DataFrame) -> DataFrame:
