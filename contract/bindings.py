@@ -21,6 +21,8 @@ from lumbung.sources.synthetic import GENDER_SPELLINGS, SEGMENT_SPELLINGS, write
 CALENDAR_DAYS = ("1995-01-01", "2001-08-31")
 # "Loaded" rows of the incremental inputs end here.
 LOADED_UNTIL = "1999-12-31"
+# Members of these kinds are new on the second day of the incremental inputs.
+NEW_SEGMENT, NEW_TYPE = "MACHINERY", "PROMO"
 UNLISTED_CITY = "Cirebon"
 
 # Rows are distinct over all lineitem columns: together they are the source order.
@@ -72,7 +74,6 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(line % 20 == 0, "").otherwise(((line % 3) * 2500).cast("string")).alias("biaya_admin"),
         F.struct(*LINE_ORDER).alias("src_seq"),
         F.col("l_shipdate").cast("date").alias("ship_day"),
-        line.alias("order_no"),
     )
 
 
@@ -86,6 +87,7 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(key % 20 == 0, "").when(key % 20 == 1, "31/02/1999").otherwise(F.date_format(born, "dd/MM/yyyy")).alias("tanggal_lahir"),
         _cycle(key % 6, SEGMENT_SPELLINGS).alias("segmen_nasabah"),
         key.alias("src_seq"),
+        (F.col("c_mktsegment") == NEW_SEGMENT).alias("is_new"),
     )
 
 
@@ -96,6 +98,7 @@ def raw_merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.col("p_name"), F.lit(" "), key.cast("string")).alias("nama_merchant"),
         F.when(key % 8 != 0, F.col("p_type")).alias("kategori"),
         key.alias("src_seq"),
+        (F.col("p_type") == NEW_TYPE).alias("is_new"),
     )
 
 
@@ -156,9 +159,9 @@ def write_folder(
     columns = ["trx_id", "tgl_transaksi", "nasabah_code", "channel", "merchant_code", "kota", "nominal", "biaya_admin"]
     write_source(transactions.orderBy("src_seq").select(*columns), f"{folder}/{v.TRANSACTION_FILE}")
     if customers is not None:
-        write_source(customers.orderBy("src_seq").drop("src_seq"), f"{folder}/{v.CUSTOMER_FILE}")
+        write_source(customers.orderBy("src_seq").drop("src_seq", "is_new"), f"{folder}/{v.CUSTOMER_FILE}")
     if merchants is not None:
-        write_source(merchants.orderBy("src_seq").drop("src_seq"), f"{folder}/{v.MERCHANT_FILE}")
+        write_source(merchants.orderBy("src_seq").drop("src_seq", "is_new"), f"{folder}/{v.MERCHANT_FILE}")
     if days is not None:
         write_source(days.orderBy("waktu_id"), f"{folder}/{v.CALENDAR_FILE}")
 
@@ -190,21 +193,14 @@ def loaded_warehouse(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "warehouse", lambda path: load_full(spark, folder, path))
 
 
-def _every_third(df: DataFrame) -> DataFrame:
-    return df.filter(F.col("src_seq") % 3 != 0)
-
-
 def two_day_folders(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    """A first folder (older rows, two of three members) and a later one (a quarter of the orders, all members)."""
-    rows = raw_transactions(spark, sf_dir)
+    """A first folder with the older rows and the known members, and a later one with all rows and all members."""
+    rows, customers, merchants = (f(spark, sf_dir) for f in (raw_transactions, raw_customers, raw_merchants))
     first = _once(spark, sf_dir, "day-one", lambda path: write_folder(
         spark, path, rows.filter(F.col("ship_day") <= F.lit(LOADED_UNTIL).cast("date")),
-        _every_third(raw_customers(spark, sf_dir)), _every_third(raw_merchants(spark, sf_dir)), calendar_days(spark),
-    ))
-    second = _once(spark, sf_dir, "day-two", lambda path: write_folder(
-        spark, path, rows.filter(F.col("order_no") % 4 == 0),
-        raw_customers(spark, sf_dir), raw_merchants(spark, sf_dir), None,
+        customers.filter("NOT is_new"), merchants.filter("NOT is_new"), calendar_days(spark),
     ))
+    second = _once(spark, sf_dir, "day-two", lambda path: write_folder(spark, path, rows, customers, merchants, None))
     return first, second
 
 

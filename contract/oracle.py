@@ -37,7 +37,7 @@ raw AS (
     CASE WHEN l_partkey % 33 = 0 THEN '-' ELSE '' END
       || translate(format('{{:,.2f}}', l_extendedprice), ',.', '.,') AS nominal,
     CASE WHEN l_orderkey % 20 = 0 THEN NULL ELSE CAST(l_orderkey % 3 * 2500 AS VARCHAR) END AS biaya_admin,
-    CAST(l_shipdate AS DATE) AS ship_day, l_orderkey AS order_no
+    CAST(l_shipdate AS DATE) AS ship_day
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey)"""
 
 MEMBER_CITY = "CASE trim(kota) WHEN 'BDG' THEN 'Bandung' WHEN 'Jkt Sel' THEN 'Jakarta Selatan' WHEN 'SBY' THEN 'Surabaya' ELSE trim(kota) END"
@@ -56,7 +56,7 @@ def _typed(name: str, source: str, where: str = "") -> str:
     SELECT seq, trx_id, tgl_transaksi, CAST(strftime({DATE}, '%Y%m%d') AS BIGINT) AS waktu_id,
       coalesce(nasabah_code, 'UNKNOWN') AS nasabah_code, coalesce(merchant_code, 'MCH-UNKNOWN') AS merchant_code,
       {FACT_CHANNEL} AS nama_channel, coalesce({MEMBER_CITY}, 'Unknown') AS kota, {AMOUNT} AS nominal_transaksi,
-      coalesce(TRY_CAST(biaya_admin AS DECIMAL(18,2)), 0) AS biaya_admin, ship_day, order_no,
+      coalesce(TRY_CAST(biaya_admin AS DECIMAL(18,2)), 0) AS biaya_admin, ship_day,
       row_number() OVER (PARTITION BY trx_id ORDER BY seq) AS nth
     FROM {source} {where}) WHERE nth = 1)"""
 
@@ -67,14 +67,14 @@ clean AS (SELECT * FROM firsts WHERE nominal_transaksi >= 0 AND waktu_id IS NOT
 
 RAW_CUSTOMER = """
 raw_customer AS (
-  SELECT c_custkey, 'N-' || c_custkey AS nasabah_code, c_name AS nama_lengkap,
+  SELECT c_custkey, c_mktsegment = 'MACHINERY' AS is_new, 'N-' || c_custkey AS nasabah_code, c_name AS nama_lengkap,
     (['L', 'P', 'M', 'Laki-laki', 'Female', 'Pria', 'Wanita', ''])[c_custkey % 8 + 1] AS jk,
     CASE c_custkey % 20 WHEN 0 THEN '' WHEN 1 THEN '31/02/1999'
       ELSE strftime(DATE '1960-01-01' + CAST(c_custkey * 37 % 16000 AS INTEGER), '%d/%m/%Y') END AS born,
     (['Reguler', 'Prioritas', 'RETAIL', 'prio', 'Private', ''])[c_custkey % 6 + 1] AS segmen
   FROM customer),
 std_customer AS (
-  SELECT c_custkey, nasabah_code, nama_lengkap,
+  SELECT c_custkey, is_new, nasabah_code, nama_lengkap,
     CASE WHEN jk IN ('L', 'M', 'Laki-laki') THEN 'L' WHEN jk IN ('P', 'Female') THEN 'P' ELSE 'U' END AS jenis_kelamin,
     strftime(TRY_STRPTIME(born, '%d/%m/%Y'), '%Y-%m-%d') AS tanggal_lahir,
     CASE segmen WHEN 'RETAIL' THEN 'Reguler' WHEN 'prio' THEN 'Prioritas' WHEN '' THEN 'Reguler' ELSE segmen END AS segmen_nasabah
@@ -82,7 +82,7 @@ std_customer AS (
 
 STD_MERCHANT = """
 std_merchant AS (
-  SELECT p_partkey, 'MCH-' || p_partkey AS merchant_code, p_name || ' ' || p_partkey AS nama_merchant,
+  SELECT p_partkey, p_type = 'PROMO' AS is_new, 'MCH-' || p_partkey AS merchant_code, p_name || ' ' || p_partkey AS nama_merchant,
     CASE WHEN p_partkey % 8 = 0 THEN 'Unknown' ELSE p_type END AS kategori FROM part)"""
 
 CALENDAR = """
@@ -93,11 +93,11 @@ calendar AS (
 
 DIM_CUSTOMER = RAW_CUSTOMER + """,
 dim_nasabah AS (
-  SELECT row_number() OVER (ORDER BY c_custkey) AS nasabah_id, * EXCLUDE c_custkey FROM std_customer
+  SELECT row_number() OVER (ORDER BY c_custkey) AS nasabah_id, * EXCLUDE (c_custkey, is_new) FROM std_customer
   UNION ALL SELECT 0, 'UNKNOWN', 'Unknown', 'U', NULL, 'Unknown')"""
 DIM_MERCHANT = STD_MERCHANT + """,
 dim_merchant AS (
-  SELECT row_number() OVER (ORDER BY p_partkey) AS merchant_id, * EXCLUDE p_partkey FROM std_merchant
+  SELECT row_number() OVER (ORDER BY p_partkey) AS merchant_id, * EXCLUDE (p_partkey, is_new) FROM std_merchant
   UNION ALL SELECT 0, 'MCH-UNKNOWN', 'Unknown Merchant', 'Unknown')"""
 
 
@@ -198,27 +198,27 @@ def _per_layer(layer: str, source: str) -> str:
 
 # -- the incremental pair of folders ------------------------------------------
 TWO_DAYS = RAW + "," + _typed("first_one", "raw", "WHERE ship_day <= DATE '1999-12-31'") + "," + _typed(
-    "first_two", "raw", "WHERE order_no % 4 = 0"
+    "first_two", "raw"
 ) + """,
 loaded AS (SELECT * FROM first_one WHERE nominal_transaksi >= 0 AND waktu_id IS NOT NULL),
 batch AS (SELECT * FROM first_two WHERE nominal_transaksi >= 0 AND waktu_id IS NOT NULL),
 mark AS (SELECT max(waktu_id) AS waktu_id, count(*) AS n FROM loaded)"""
 TWO_DIMS = ",".join([RAW_CUSTOMER, STD_MERCHANT, CALENDAR, """
 dim_nasabah AS (
-  SELECT row_number() OVER (ORDER BY c_custkey % 3 = 0, c_custkey) AS nasabah_id, * EXCLUDE c_custkey FROM std_customer
+  SELECT row_number() OVER (ORDER BY is_new, c_custkey) AS nasabah_id, * EXCLUDE (c_custkey, is_new) FROM std_customer
   UNION ALL SELECT 0, 'UNKNOWN', 'Unknown', 'U', NULL, 'Unknown'),
 dim_merchant AS (
-  SELECT row_number() OVER (ORDER BY p_partkey % 3 = 0, p_partkey) AS merchant_id, * EXCLUDE p_partkey FROM std_merchant
+  SELECT row_number() OVER (ORDER BY is_new, p_partkey) AS merchant_id, * EXCLUDE (p_partkey, is_new) FROM std_merchant
   UNION ALL SELECT 0, 'MCH-UNKNOWN', 'Unknown Merchant', 'Unknown'),
 raw_one AS (SELECT * FROM raw WHERE ship_day <= DATE '1999-12-31'),
-raw_two AS (SELECT seq + (SELECT max(seq) FROM raw) AS seq, * EXCLUDE seq FROM raw WHERE order_no % 4 = 0),
+raw_two AS (SELECT seq + (SELECT max(seq) FROM raw) AS seq, * EXCLUDE seq FROM raw),
 raw_both AS (SELECT * FROM raw_one UNION ALL SELECT * FROM raw_two)""", _dim_channel("raw_both"), _dim_area("raw_both")])
 # Each folder's facts only see the members there were at its load.
 TWO_FACTS = TWO_DAYS + "," + TWO_DIMS + f""",
 fact_one AS (
   SELECT row_number() OVER (ORDER BY seq) AS fact_id, waktu_id,
-    CASE WHEN nasabah_id <= (SELECT count(*) FROM std_customer WHERE c_custkey % 3 <> 0) THEN nasabah_id ELSE 0 END AS nasabah_id,
-    CASE WHEN merchant_id <= (SELECT count(*) FROM std_merchant WHERE p_partkey % 3 <> 0) THEN merchant_id ELSE 0 END AS merchant_id,
+    CASE WHEN nasabah_id <= (SELECT count(*) FROM std_customer WHERE NOT is_new) THEN nasabah_id ELSE 0 END AS nasabah_id,
+    CASE WHEN merchant_id <= (SELECT count(*) FROM std_merchant WHERE NOT is_new) THEN merchant_id ELSE 0 END AS merchant_id,
     channel_id, wilayah_id, nominal_transaksi, biaya_admin
   FROM (SELECT seq, waktu_id, {KEYS}, nominal_transaksi, biaya_admin FROM loaded {LOOKUPS}
         WHERE waktu_id IN (SELECT waktu_id FROM calendar))),
@@ -311,9 +311,9 @@ ORACLE: dict[str, str] = {
     "p8_p9_rejected_counts": f"""WITH {FIRST} SELECT CASE WHEN nominal_transaksi < 0 THEN 'negative_amount'
         WHEN waktu_id IS NULL THEN 'invalid_date' ELSE 'accepted' END AS reason, count(*) AS n FROM firsts GROUP BY 1""",
     "w1_surrogate_keys": "SELECT row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS order_id, o_orderkey FROM orders",
-    "w2_continue_keys": """SELECT row_number() OVER (ORDER BY c_custkey) + (SELECT count(*) FROM customer WHERE c_custkey % 3 <> 0) AS nasabah_id,
-        'N-' || c_custkey AS nasabah_code FROM customer WHERE c_custkey % 3 = 0""",
-    "j3_new_members_anti": "SELECT 'N-' || c_custkey AS nasabah_code, c_name AS nama_lengkap FROM customer WHERE c_custkey % 3 = 0",
+    "w2_continue_keys": """SELECT row_number() OVER (ORDER BY c_custkey) + (SELECT count(*) FROM customer WHERE c_mktsegment <> 'MACHINERY') AS nasabah_id,
+        'N-' || c_custkey AS nasabah_code FROM customer WHERE c_mktsegment = 'MACHINERY'""",
+    "j3_new_members_anti": "SELECT 'N-' || c_custkey AS nasabah_code, c_name AS nama_lengkap FROM customer WHERE c_mktsegment = 'MACHINERY'",
     "u1_unknown_member": f"WITH {DIM_MERCHANT} SELECT * FROM dim_merchant",
     "a24_ordered_distinct": f"WITH {RAW}, {_dim_channel('raw')} SELECT * FROM dim_channel",
     "u2_city_union": f"WITH {RAW}, {_dim_area('raw')} SELECT * FROM dim_wilayah",

@@ -143,13 +143,13 @@ def f13_money_format(spark, sf_dir):
 # -- standardisation ----------------------------------------------------------
 @register
 def p1_gender_map(spark, sf_dir):
-    raw = p.blanks_to_null(b.raw_customers(spark, sf_dir), "src_seq")
+    raw = p.blanks_to_null(b.raw_customers(spark, sf_dir), "src_seq", "is_new")
     return raw.select("nasabah_code", m.gender(F.col("jenis_kelamin")).alias("jenis_kelamin"))
 
 
 @register
 def p2_segment_map(spark, sf_dir):
-    raw = p.blanks_to_null(b.raw_customers(spark, sf_dir), "src_seq")
+    raw = p.blanks_to_null(b.raw_customers(spark, sf_dir), "src_seq", "is_new")
     return raw.select("nasabah_code", m.segment(F.col("segmen_nasabah")).alias("segmen_nasabah"))
 
 
@@ -189,8 +189,7 @@ def a17_dedupe_first(spark, sf_dir):
 
 @register
 def p8_p9_fact_cleanse(spark, sf_dir):
-    kept = f.cleanse(p.blanks_to_null(b.raw_transactions(spark, sf_dir), "src_seq"), ["src_seq"], "src_seq")
-    return kept.select(
+    return _cleansed(spark, sf_dir).select(
         "trx_id", "waktu_id", "nasabah_code", "merchant_code", "nama_channel", "kota", *money("nominal_transaksi", "biaya_admin")
     )
 
@@ -211,8 +210,8 @@ def w1_surrogate_keys(spark, sf_dir):
 
 
 def _split_customers(spark, sf_dir):
-    members = d.customer_members(p.blanks_to_null(b.raw_customers(spark, sf_dir), "src_seq"))
-    old = number_rows(members.filter("src_seq % 3 <> 0"), ["src_seq"], "nasabah_id")
+    members = d.customer_members(p.blanks_to_null(b.raw_customers(spark, sf_dir), "src_seq", "is_new"))
+    old = number_rows(members.filter("NOT is_new"), ["src_seq"], "nasabah_id")
     return members, d.with_unknown(d.CUSTOMER, old)
 
 
@@ -260,7 +259,7 @@ def j6_city_enrich(spark, sf_dir):
 
 # -- facts --------------------------------------------------------------------
 def _cleansed(spark, sf_dir):
-    return f.cleanse(p.blanks_to_null(b.raw_transactions(spark, sf_dir), "src_seq"), ["src_seq"], "src_seq", "ship_day", "order_no")
+    return f.cleanse(p.blanks_to_null(b.raw_transactions(spark, sf_dir), "src_seq", "ship_day"), ["src_seq"], "src_seq")
 
 
 @register
@@ -283,9 +282,9 @@ def j2_calendar_rejects(spark, sf_dir):
 
 
 def _loaded_and_batch(spark, sf_dir):
-    raw = p.blanks_to_null(b.raw_transactions(spark, sf_dir), "src_seq", "ship_day", "order_no")
+    raw = p.blanks_to_null(b.raw_transactions(spark, sf_dir), "src_seq", "ship_day")
     loaded = f.cleanse(raw.filter(F.col("ship_day") <= F.lit(b.LOADED_UNTIL).cast("date")), ["src_seq"], "src_seq")
-    batch = f.cleanse(raw.filter("order_no % 4 = 0"), ["src_seq"], "src_seq")
+    batch = f.cleanse(raw, ["src_seq"], "src_seq")
     return loaded, batch
 
 
