@@ -704,7 +704,7 @@ def w8_peak_day(spark, sf_dir):
 @register
 def w9_mom_series(spark, sf_dir):
     rows = cells(spark, sf_dir)
-    months = c.by_level(rows.filter(flt.build_filter({})), ["tahun", "bulan"], [c.VOLUME, c.FEE, c.COUNT, c.AVERAGE])
+    months = c.by_level(rows.filter(flt.build_filter({}, rows.columns)), ["tahun", "bulan"], [c.VOLUME, c.FEE, c.COUNT, c.AVERAGE])
     out = pr.month_over_month(months, [c.VOLUME, c.FEE, c.COUNT, c.AVERAGE])
     return out.select(F.col("tahun").cast("bigint").alias("tahun"), "bulan", *[x for x in out.columns if x.endswith("_pct")])
 

@@ -10,7 +10,7 @@ from lumbung.functions.parsing import date_key
 
 
 def _position(c: Column, members: list[str]) -> Column:
-    return F.array_position(F.array(*[F.lit(m) for m in members]), c).cast("int")
+    return F.array_position(F.lit(members), c).cast("int")
 
 
 def month_index(month_name: Column) -> Column:

@@ -10,11 +10,9 @@ from lumbung.functions.parsing import strip
 
 
 def _lookup(c: Column, table: dict) -> Column:
-    """Value for ``c`` in a small fixed table, null on a miss; a CASE inside codegen."""
-    chosen = None
-    for key, value in table.items():
-        chosen = F.when(c == key, value) if chosen is None else chosen.when(c == key, value)
-    return chosen
+    """Value for ``c`` in a small fixed table, null on a miss. ``c`` is evaluated once per row."""
+    pairs = [F.lit(x) for pair in table.items() for x in pair]
+    return F.create_map(*pairs)[c]
 
 
 def gender(c: Column) -> Column:

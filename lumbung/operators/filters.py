@@ -60,15 +60,28 @@ def date_range(params: Mapping) -> Column:
     return every(sides)
 
 
-def hide_unknown(params: Mapping) -> Column:
+def unknown_bits() -> Column:
+    """One bit per hierarchy (in the order of HIDDEN) in which a row has a hidden member."""
+    bits = [
+        F.when(reduce(lambda a, b: a | b, [F.col(level) == F.lit(value) for level, value in hidden]), 1 << at).otherwise(0)
+        for at, hidden in enumerate(HIDDEN.values())
+    ]
+    return reduce(lambda a, b: a + b, bits)
+
+
+def hide_unknown(params: Mapping, columns: list[str] | tuple = ()) -> Column:
     """Hide Unknown members, hierarchy by hierarchy.
 
     A hierarchy with a dice filter keeps its Unknown members: none of its
-    exclusions apply. A date range does not count as a filter of Waktu.
+    exclusions apply. A date range does not count as a filter of Waktu. Rows
+    that carry ``unknown_in`` (unknown_bits) are judged by that column alone.
     """
     if params.get("include_unknown"):
         return F.lit(True)
     diced = {hierarchy for name, (hierarchy, _) in DICE.items() if params.get(name)}
+    if "unknown_in" in columns:
+        mask = sum(1 << at for at, hierarchy in enumerate(HIDDEN) if hierarchy not in diced)
+        return F.col("unknown_in").bitwiseAND(F.lit(mask)) == 0
     return every([
         F.col(level) != F.lit(value)
         for hierarchy, hidden in HIDDEN.items() if hierarchy not in diced
@@ -76,5 +89,5 @@ def hide_unknown(params: Mapping) -> Column:
     ])
 
 
-def build_filter(params: Mapping) -> Column:
-    return dice(params) & date_range(params) & hide_unknown(params)
+def build_filter(params: Mapping, columns: list[str] | tuple = ()) -> Column:
+    return dice(params) & date_range(params) & hide_unknown(params, columns)

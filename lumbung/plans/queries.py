@@ -27,7 +27,12 @@ KPIS = [
 
 
 def _filtered(rows: DataFrame, params: Mapping | None) -> DataFrame:
-    return rows.filter(build_filter(params or {}))
+    return rows.filter(build_filter(params or {}, rows.columns))
+
+
+def _in_time_order(df: DataFrame, *order: Column | str) -> DataFrame:
+    """Sorted, in one partition: for results with at most one row per month or weekday of the calendar."""
+    return df.coalesce(1).sortWithinPartitions(*order)
 
 
 def _single_month(params: Mapping) -> tuple[int, str] | None:
@@ -90,10 +95,10 @@ def kpi(rows: DataFrame, params: Mapping | None = None) -> DataFrame:
     params = params or {}
     chosen = _single_month(params)
     if chosen is None:
-        now = rows.filter(build_filter(params)).agg(*_kpis(rows, None))
+        now = rows.filter(build_filter(params, rows.columns)).agg(*_kpis(rows, None))
         return now.select("*", *[F.lit(None).cast("double").alias(f"trend_{name}") for name in KPIS])
     year, month = cal.previous_month(*chosen)
-    this, last = build_filter(params), build_filter({**params, "tahun": [year], "bulan": [month]})
+    this, last = (build_filter(p, rows.columns) for p in (params, {**params, "tahun": [year], "bulan": [month]}))
     both = rows.filter(this | last).agg(*_kpis(rows, this), *_kpis(rows, last, "_prev_"))
     return both.select(*KPIS, *[
         pr.percent_change(F.col(name).cast("double"), F.col(f"_prev_{name}").cast("double")).alias(f"trend_{name}")
@@ -106,10 +111,10 @@ def monthly_trend(rows: DataFrame, params: Mapping | None = None) -> DataFrame:
     params = params or {}
     chosen = _filtered(rows, params)
     if _single_month(params):
-        days = by_level(chosen, ["tanggal"], [VOLUME, COUNT]).orderBy("tanggal")
+        days = _in_time_order(by_level(chosen, ["tanggal"], [VOLUME, COUNT]), "tanggal")
         return days.select(F.lit("day").alias("granularity"), cal.day_label(F.col("tanggal")).alias("label"), VOLUME, COUNT)
     months = by_level(chosen, ["tahun", "bulan"], [VOLUME, COUNT])
-    return months.orderBy("tahun", cal.month_index(F.col("bulan"))).select(
+    return _in_time_order(months, "tahun", cal.month_index(F.col("bulan"))).select(
         F.lit("month").alias("granularity"), cal.month_label(F.col("bulan"), F.col("tahun")).alias("label"), VOLUME, COUNT
     )
 
@@ -169,13 +174,13 @@ def channel_by_region(rows: DataFrame, params: Mapping | None = None, channels:
 
 def daily_transaction(rows: DataFrame, params: Mapping | None = None) -> DataFrame:
     days = by_level(_filtered(rows, params), ["hari"], [VOLUME, COUNT])
-    return days.orderBy(cal.weekday_index(F.col("hari")))
+    return _in_time_order(days, cal.weekday_index(F.col("hari")))
 
 
 def heatmap(rows: DataFrame, params: Mapping | None = None) -> DataFrame:
     """Counts per month and weekday, every present month with all seven days."""
     grid = weekday_grid(_filtered(rows, params)).filter(F.col("bulan").isin(MONTHS))
-    return grid.orderBy(cal.month_index(F.col("bulan")), cal.weekday_index(F.col("hari")))
+    return _in_time_order(grid, cal.month_index(F.col("bulan")), cal.weekday_index(F.col("hari")))
 
 
 # -- sample and benchmark queries, unfiltered ---------------------------------

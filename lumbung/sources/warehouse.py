@@ -41,7 +41,7 @@ SCHEMAS = {
     VIEW: VIEW_SCHEMA,
     CELLS: "tahun int, quarter string, bulan string, hari string, tanggal date, segmen_nasabah string, "
            "jenis_kelamin string, jenis_channel string, nama_channel string, region string, provinsi string, "
-           "kota string, kategori string, nama_lengkap string, nama_merchant string, "
+           "kota string, kategori string, nama_lengkap string, nama_merchant string, unknown_in int, "
            "nominal_transaksi decimal(28,2), biaya_admin decimal(28,2), n_trx bigint",
     REJECTS: "trx_id string, tgl_transaksi string, waktu_id bigint, reason string",
 }
