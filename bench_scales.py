@@ -37,7 +37,7 @@ def measure(spark, scale: str, sf_dir: str, scratch: str, warm: bool) -> None:
         load.load_full(spark, folder, root)                   # compiles and loads classes once
     seconds = timed(lambda: load.load_full(spark, folder, root))
     wh = Warehouse(spark, root)
-    n = wh.loads()[-1]["rows_loaded"]
+    n = wh.load_record("full")["rows_loaded"]
     etl = spark.createDataFrame([(scale, "full", n, n, round(seconds, 3))], "scale string, mode string, rows_total_in_db bigint, rows_loaded bigint, etl_time_sec double")
     metrics.append_metrics(
         etl.withColumn("throughput_rps", st.throughput(F.col("rows_loaded"), F.col("etl_time_sec"))), scratch, "etl_benchmark"

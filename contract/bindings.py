@@ -14,6 +14,7 @@ from lumbung.functions import mapping as m
 from lumbung.functions.calendar import calendar, calendar_rows
 from lumbung.functions.parsing import AMOUNT
 from lumbung.plans.load import load_batch, load_full
+from lumbung.sources import files
 from lumbung.sources.staging import new_folder
 from lumbung.sources.synthetic import GENDER_SPELLINGS, SEGMENT_SPELLINGS, write_source
 
@@ -172,7 +173,7 @@ _made: dict[tuple, str] = {}
 def _once(spark: SparkSession, sf_dir: str, name: str, make) -> str:
     """The folder ``make`` filled for this session and data, filled at the first call."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _made:
+    if key not in _made or not files.exists(spark, _made[key]):
         path = new_folder(spark, name)
         make(path)
         _made[key] = path

@@ -67,36 +67,32 @@ def load_batch(spark: SparkSession, folder: str, root: str, batch_id: str) -> di
 
 def _load(wh: Warehouse, sources: Sources, batch: str, incremental: bool) -> dict:
     record = _start(wh, batch)
-    record.update(max_ids_after=dict(record["max_ids"]), has_cells=False)
+    record["max_ids_after"] = dict(record["max_ids"])
     # What this batch may see: the Unknown members and the batches started before it.
-    earlier = [BASE_BATCH] + [r["batch_id"] for r in wh.loads() if r["sequence"] < record["sequence"]]
+    earlier = [BASE_BATCH, *wh.batches()[: record["sequence"] - 1]]
     wh.drop(CELLS, batch)
     with job(wh.spark):
         # The text is parsed once; members and facts are both made from the typed rows.
         typed = stage(f.typed_transactions(sources.transactions, "src_seq"), "typed")
         _load_dimensions(wh, sources, typed, record, earlier)
         _load_facts(wh, typed, record, wh.dimensions([*earlier, batch]), incremental)
-    record["status"] = "done"
     wh.save_load(record)
+    wh.set_open(None)
     return record
 
 
 def _start(wh: Warehouse, batch: str) -> dict:
     """The batch's load record. Its marks are fixed when it first starts, so a retry sees the same ones."""
-    loads = wh.loads()
-    known = next((r for r in loads if r["batch_id"] == batch), None)
-    open_batch = next((r["batch_id"] for r in loads if r["status"] != "done"), batch)
-    if open_batch != batch:
-        raise RuntimeError(f"batch {open_batch} did not finish; load it again before {batch}")
-    if known:
-        return {**known, "status": "started"}
-    last = loads[-1] if loads else {"mark_after": 0, "max_ids_after": {}}
+    unfinished = wh.open_batch()
+    if unfinished not in (None, batch):
+        raise RuntimeError(f"batch {unfinished} did not finish; load it again before {batch}")
+    wh.set_open(batch)
+    started = wh.batches()
+    if batch in started:
+        return wh.load_record(batch)
+    last = wh.load_record(started[-1]) if started else {"mark_after": 0, "max_ids_after": {}}
     record = {
-        "batch_id": batch,
-        "sequence": len(loads) + 1,
-        "status": "started",
-        "mark": last["mark_after"],
-        "max_ids": last["max_ids_after"],
+        "batch_id": batch, "sequence": len(started) + 1, "mark": last["mark_after"], "max_ids": last["max_ids_after"]
     }
     wh.save_load(record)
     return record
@@ -180,23 +176,21 @@ def rebuild_view(wh: Warehouse) -> DataFrame:
 # -- the cube -----------------------------------------------------------------
 def refresh_cube(wh: Warehouse) -> DataFrame:
     """The cube's cells, brought up to date: only batches that have none yet are read."""
-    missing = [r for r in wh.loads() if r["status"] == "done" and not r.get("has_cells")]
-    together(*[partial(_write_cells, wh, record) for record in missing])
+    skip = wh.done(CELLS) | {wh.open_batch()}
+    together(*[partial(_write_cells, wh, batch) for batch in wh.batches() if batch not in skip])
     return wh.cells()
 
 
 def forget_cube(wh: Warehouse) -> None:
     """Drop all cells; the next refresh makes them anew."""
-    for record in wh.loads():
-        wh.drop(CELLS, record["batch_id"])
-        wh.save_load({**record, "has_cells": False})
+    for batch in wh.done(CELLS):
+        wh.drop(CELLS, batch)
 
 
-def _write_cells(wh: Warehouse, record: dict) -> None:
+def _write_cells(wh: Warehouse, batch: str) -> None:
     dims = wh.dimensions()
     # Names are collapsed before the joins: the two large dimensions travel as ids and short codes.
     dims["dim_nasabah"] = collapse(dims["dim_nasabah"], "nama_lengkap")
     dims["dim_merchant"] = collapse(dims["dim_merchant"], "nama_merchant")
-    rows = cube_rows(wh.facts([record["batch_id"]]), dims)
-    wh.write(CELLS, record["batch_id"], cuboid(rows).select(*CELL_COLUMNS))
-    wh.save_load({**record, "has_cells": True})
+    wh.write(CELLS, batch, cuboid(cube_rows(wh.facts([batch]), dims)).select(*CELL_COLUMNS))
+    wh.mark_done(CELLS, batch)

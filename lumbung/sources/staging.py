@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lumbung.sources import files
 
 _local_roots: dict[str, str] = {}
+_parts: set[str] = set()
 
 
 def staging_root(spark: SparkSession) -> str:
@@ -35,8 +36,17 @@ def staging_root(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    app = spark.sparkContext.applicationId
-    return f"{staging_root(spark)}/{app}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh path in the application's part of the shared folder, which is removed at exit."""
+    part = f"{staging_root(spark)}/{spark.sparkContext.applicationId}"
+    if part not in _parts:
+        _parts.add(part)
+        atexit.register(_remove, spark, part)
+    return f"{part}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    with contextlib.suppress(Exception):  # the session may be gone by then
+        files.delete(spark, path)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

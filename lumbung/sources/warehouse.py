@@ -2,7 +2,9 @@
 
     <root>/CURRENT                              name of the version in use
     <root>/<version>/<table>/batch_id=<b>/...   rows a batch brought
-    <root>/<version>/_loads/<b>.json            marks before and after a batch
+    <root>/<version>/_loads/<n>-<b>.json        marks before and after a batch, the n-th started
+    <root>/<version>/_open                      the batch being loaded
+    <root>/<version>/_done/<table>/<b>          derived tables: batches that are complete
 
 A full load writes a new version and then switches CURRENT, so readers never see
 a half-built warehouse. A batch only ever overwrites its own folders, so running
@@ -51,7 +53,7 @@ BY_YEAR = {FACT, VIEW, CELLS}
 
 def together(*steps: Callable[[], None]) -> None:
     """Run independent writes as concurrent Spark jobs; the first failure is raised."""
-    with ThreadPoolExecutor(max(1, len(steps))) as pool:
+    with ThreadPoolExecutor(min(8, max(1, len(steps)))) as pool:
         for done in [pool.submit(step) for step in steps]:
             done.result()
 
@@ -129,20 +131,43 @@ class Warehouse:
             df.write.mode("overwrite").parquet(path)
 
     def drop(self, table: str, batch: str) -> None:
+        files.delete(self.spark, self._mark(table, batch))
         files.delete(self.spark, f"{self.path(table)}/batch_id={batch}")
 
+    # -- batches a derived table holds ------------------------------------------
+    def _mark(self, table: str, batch: str = "") -> str:
+        return f"{self.path('_done')}/{table}/{batch}"
+
+    def mark_done(self, table: str, batch: str) -> None:
+        files.write_text(self.spark, self._mark(table, batch), "")
+
+    def done(self, table: str) -> set[str]:
+        return set(files.child_names(self.spark, self._mark(table)))
+
     # -- loads ------------------------------------------------------------------
-    def _load_path(self, batch: str) -> str:
-        return f"{self.path('_loads')}/{batch}.json"
+    def batches(self) -> list[str]:
+        """Batch ids in the order they were first started; only the folder is listed."""
+        names = [n for n in files.child_names(self.spark, self.path("_loads")) if n.endswith(".json")]
+        return [n[:-5].split("-", 1)[1] for n in names]
 
     def load_record(self, batch: str) -> dict | None:
-        text = files.read_text(self.spark, self._load_path(batch))
-        return json.loads(text) if text else None
-
-    def loads(self) -> list[dict]:
-        """All load records in the order the batches were first started."""
-        names = [n[: -len(".json")] for n in files.child_names(self.spark, self.path("_loads")) if n.endswith(".json")]
-        return sorted((self.load_record(n) for n in names), key=lambda r: r["sequence"])
+        started = self.batches()
+        if batch not in started:
+            return None
+        return json.loads(files.read_text(self.spark, self._load_path(started.index(batch) + 1, batch)))
+
+    def open_batch(self) -> str | None:
+        """The batch whose load has started and not finished."""
+        return files.read_text(self.spark, self.path("_open"))
+
+    def set_open(self, batch: str | None) -> None:
+        if batch:
+            files.write_text(self.spark, self.path("_open"), batch)
+        else:
+            files.delete(self.spark, self.path("_open"))
 
     def save_load(self, record: dict) -> None:
-        files.write_text(self.spark, self._load_path(record["batch_id"]), json.dumps(record))
+        files.write_text(self.spark, self._load_path(record["sequence"], record["batch_id"]), json.dumps(record))
+
+    def _load_path(self, sequence: int, batch: str) -> str:
+        return f"{self.path('_loads')}/{sequence:08d}-{batch}.json"
