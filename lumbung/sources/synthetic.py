@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumbung import fixed_values as v
-from lumbung.functions.calendar import split_date_range
+from lumbung.functions.calendar import calendar, split_date_range
 
 # --- Fixed values: spellings found in the sources ------------------------------
 GENDER_SPELLINGS = ["L", "P", "M", "Laki-laki", "Female", "Pria", "Wanita", ""]
@@ -23,6 +23,7 @@ BAD_BIRTH_DATE, BAD_TRANSACTION_DATE = "31/02/1999", "31-13-2026"
 FEES = ["0", "2500", "6500"]
 # --- Fixed values: first and last transaction day of all batches ---------------
 FIRST_DAY, LAST_DAY = "2026-04-12", "2030-12-31"
+CALENDAR_DAYS = ("2001-01-01", "2030-12-31")
 
 
 @dataclass(frozen=True)
@@ -135,7 +136,10 @@ def write_batches(
     n_transactions: int = 10_000, first_customer: int = 11_001, first_merchant: int = 5101,
     first_transaction: int = 205_000, seed: int = 42, first_day: str = FIRST_DAY, last_day: str = LAST_DAY,
 ) -> list[str]:
-    """Write ``batch_01 .. batch_NN``; transactions refer to every code issued so far. Returns the folders."""
+    """Write ``batch_01 .. batch_NN``; transactions refer to every code issued so far. Returns the folders.
+
+    The first folder also gets the calendar.
+    """
     written = []
     for nth, (first, last) in enumerate(date_chunks(spark, batches, first_day, last_day)):
         path = f"{folder}/batch_{nth + 1:02d}"
@@ -148,5 +152,7 @@ def write_batches(
         write_source(merchants(spark.range(new_merchant, new_merchant + n_merchants), seed), f"{path}/{v.MERCHANT_FILE}")
         ids = spark.range(new_transaction, new_transaction + n_transactions)
         write_source(transactions(ids, customer_pool, merchant_pool, first, last, seed + nth + 1), f"{path}/{v.TRANSACTION_FILE}")
+        if nth == 0:
+            write_source(calendar(spark, *CALENDAR_DAYS), f"{path}/{v.CALENDAR_FILE}")
         written.append(path)
     return written

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from lumbung.operators.dimensions import DIMENSIONS, Dimension, unknown_member
 from lumbung.operators.facts import FACT_SCHEMA
+from lumbung.operators.star import VIEW_COLUMNS
 from lumbung.sources import files
 
 FACT, VIEW, REJECTS = "fact_transaksi", "mvw_dashboard_transaksi", "rejects"
@@ -109,7 +110,7 @@ class Warehouse:
         return self.read(FACT, batches).drop("batch_id", "tahun")
 
     def view(self) -> DataFrame:
-        return self.read(VIEW).drop("batch_id")
+        return self.read(VIEW).select(*VIEW_COLUMNS)
 
     def cells(self) -> DataFrame:
         """The pre-aggregated cells; batches may hold parts of the same cell, which queries add up."""

@@ -7,7 +7,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from lumbung.fixed_values import CALENDAR_FILE, CUSTOMER_FILE, MERCHANT_FILE, TRANSACTION_FILE
-from lumbung.functions.calendar import calendar
 from lumbung.operators import dimensions as d
 from lumbung.operators import quality
 from lumbung.operators.star import cube_rows
@@ -246,7 +245,6 @@ def test_export_is_ordered(spark, two_days, tmp_path):
 def generated(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("landing")
     paths = synthetic.write_batches(spark, str(folder), batches=3, n_customers=50, n_merchants=10, n_transactions=2000, seed=7)
-    synthetic.write_source(calendar(spark, "2001-01-01", "2030-12-31"), f"{paths[0]}/{CALENDAR_FILE}")
     return str(folder), paths
 
 
