@@ -20,7 +20,7 @@ from lumbung.operators import presentation as pr
 from lumbung.operators import quality, statistics as st
 from lumbung.operators.dedupe import keep_first
 from lumbung.operators.keys import max_or_zero, number_rows, number_source_rows
-from lumbung.operators.star import VIEW_COLUMNS, cube_rows, wide_view
+from lumbung.operators.star import VIEW_COLUMNS, cube_rows
 from lumbung.plans import load, queries as q, scalability
 from lumbung.sources import csv_source, export, metrics, synthetic
 from lumbung.sources.staging import new_folder

@@ -17,8 +17,8 @@ from lumbung.operators.dedupe import keep_first
 from lumbung.operators.keys import number_source_rows
 from lumbung.operators.star import cube_rows, wide_view
 from lumbung.sources import csv_source
-from lumbung.sources.staging import job, stage
-from lumbung.sources.warehouse import BASE_BATCH, CELL_COLUMNS, CELLS, FACT, REJECTS, VIEW, Warehouse, together
+from lumbung.sources.staging import job, stage, together
+from lumbung.sources.warehouse import BASE_BATCH, CELL_COLUMNS, CELLS, FACT, REJECTS, VIEW, Warehouse
 
 FULL_BATCH = "full"
 

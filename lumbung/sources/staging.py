@@ -12,6 +12,9 @@ import contextlib
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from contextvars import ContextVar, copy_context
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,21 +56,31 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a fresh staged table and return a scan of it."""
     spark = df.sparkSession
     path = new_folder(spark, name)
-    if _open_jobs:
-        _open_jobs[-1].append(path)
+    in_job = _in_job.get()
+    if in_job is not None:
+        in_job.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-_open_jobs: list[list[str]] = []
+_in_job: ContextVar[list[str] | None] = ContextVar("staged in the job", default=None)
 
 
 @contextlib.contextmanager
 def job(spark: SparkSession):
     """Drop the tables staged inside the block when it ends; its results must be written by then."""
-    _open_jobs.append([])
+    staged: list[str] = []
+    token = _in_job.set(staged)
     try:
         yield
     finally:
-        for path in _open_jobs.pop():
+        _in_job.reset(token)
+        for path in staged:
             files.delete(spark, path)
+
+
+def together(*steps: Callable[[], None]) -> None:
+    """Run independent writes as concurrent Spark jobs of the same ``job``; the first failure is raised."""
+    with ThreadPoolExecutor(min(8, max(1, len(steps)))) as pool:
+        for done in [pool.submit(copy_context().run, step) for step in steps]:
+            done.result()

@@ -15,8 +15,6 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +24,7 @@ from lumbung.operators.dimensions import DIMENSIONS, Dimension, unknown_member
 from lumbung.operators.facts import FACT_SCHEMA
 from lumbung.operators.star import VIEW_COLUMNS
 from lumbung.sources import files
+from lumbung.sources.staging import together
 
 FACT, VIEW, REJECTS = "fact_transaksi", "mvw_dashboard_transaksi", "rejects"
 # The facts summed up to the levels most queries use (operators.cube.cuboid).
@@ -52,13 +51,6 @@ CELL_COLUMNS = [part.split()[0] for part in SCHEMAS[CELLS].split(", ")]
 BY_YEAR = {FACT, VIEW, CELLS}
 
 
-def together(*steps: Callable[[], None]) -> None:
-    """Run independent writes as concurrent Spark jobs; the first failure is raised."""
-    with ThreadPoolExecutor(min(8, max(1, len(steps)))) as pool:
-        for done in [pool.submit(step) for step in steps]:
-            done.result()
-
-
 class Warehouse:
     """Paths, reads and batch writes of one warehouse version."""
 

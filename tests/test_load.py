@@ -291,3 +291,14 @@ def test_load_records_are_plain_json(spark, two_days):
     first, _, root = two_days
     record = load.load_full(spark, first, root)
     assert json.loads(json.dumps(record))["rows_loaded"] == 4
+
+
+def test_a_job_drops_only_what_it_staged(spark):
+    outside = staging.stage(spark.range(3), "outside")
+    inside = []
+    with staging.job(spark):
+        staging.together(*[lambda: inside.append(staging.stage(spark.range(5), "inside"))] * 2)
+        assert [df.count() for df in inside] == [5, 5]
+        paths = [df.inputFiles()[0].rsplit("/", 1)[0] for df in inside]
+    assert outside.count() == 3
+    assert not any(os.path.exists(p.removeprefix("file:").replace("//", "/")) for p in paths)
