@@ -5,7 +5,9 @@ import os
 import duckdb
 import pytest
 
-import __spark_entry__ as contract
+import __spark_entry__ as entries
+from contract.oracle import ORACLE
+from contract.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
@@ -26,11 +28,11 @@ def in_order(rows):
     return sorted(rows, key=lambda row: [(x is None, type(x).__name__, x if x is not None else 0) for x in row])
 
 
-@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, tables, name):
-    df = contract.queries()[name](spark, SF_DIR)
+    df = QUERIES[name](spark, SF_DIR)
     columns = sorted(df.columns)
-    result = tables.execute(contract.oracle_sql()[name])
+    result = tables.execute(ORACLE[name])
     described = {c[0]: TYPES[str(c[1])] for c in result.description}
     order = [c[0] for c in result.description]
     assert described == dict(df.dtypes)
@@ -40,15 +42,15 @@ def test_query_matches_oracle(spark, tables, name):
 
 
 def test_every_query_has_an_oracle_but_the_generator():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == {"s16_dirty_batch"}
+    assert set(QUERIES) - set(ORACLE) == {"s16_dirty_batch"}
 
 
 def test_generator_grows_with_the_orders(spark):
-    rows = contract.queries()["s16_dirty_batch"](spark, SF_DIR)
+    rows = QUERIES["s16_dirty_batch"](spark, SF_DIR)
     orders = spark.read.parquet(f"{SF_DIR}/orders.parquet").count()
     assert orders < rows.count() < orders * 1.05
     assert rows.select("trx_id").distinct().count() == orders
 
 
 def test_entry(spark):
-    assert contract.entry(spark).count() > 0
+    assert entries.entry(spark).count() > 0
