@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-PIECE = 1 << 20
+PIECE = 1 << 19
 NO_ID = -(1 << 63)
 KEY = ["_id", "_th"]
 
@@ -138,12 +138,12 @@ def window_runs(sums: np.ndarray, offsets: np.ndarray, width: int, k: int) -> tu
     The anchor of a window is the one of its k-unit spans with the smallest hash (the
     first of them): it depends on nothing but the window's content, so equal windows have
     equal anchors at the same place. Every window is in exactly one run. Returns row,
-    first window, number of windows and anchor hash of each run.
+    first window, number of windows, place of the anchor and its hash, for each run.
     """
     n = len(sums) - 1
     none = np.zeros(0, np.int64)
     if n < width:
-        return none, none, none, np.zeros(0, np.uint64)
+        return none, none, none, none, np.zeros(0, np.uint64)
     at = np.arange(n - k + 1)
     hashes = span_hashes(sums, at, at + k)
     bits = np.uint64(int(n).bit_length())
@@ -162,7 +162,7 @@ def window_runs(sums: np.ndarray, offsets: np.ndarray, width: int, k: int) -> tu
     rows = np.searchsorted(offsets, starts, "right") - 1
     inside = starts + width <= offsets[np.minimum(rows + 1, len(offsets) - 1)]
     starts, sizes, rows = starts[inside], sizes[inside], rows[inside]
-    return rows, starts, sizes, hashes[place[starts]]
+    return rows, starts, sizes, place[starts], hashes[place[starts]]
 
 
 def signed(x: np.ndarray) -> np.ndarray:

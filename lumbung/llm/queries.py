@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lumbung.llm import suffix_dedup
+from lumbung.llm import minhash, substring_dedup, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -25,3 +25,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @register
 def op1_suffix_array_dedup(spark, sf_dir):
     return suffix_dedup.dedup(table(spark, sf_dir, "documents")).drop("kept")
+
+
+@register
+def op7_substring_dedup(spark, sf_dir):
+    return substring_dedup.dedup(table(spark, sf_dir, "documents")).drop("kept")
+
+
+@register
+def op8_minhash_near_dedup(spark, sf_dir):
+    return minhash.near_duplicates(table(spark, sf_dir, "documents")).drop("_id", "_th")
