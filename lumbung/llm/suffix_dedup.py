@@ -7,7 +7,9 @@ before any text is shuffled. (4) Segments are dealt into blocks of about ``BLOCK
 anchor; in a block the suffixes that start a window are sorted in two stages and neighbours are
 compared. Runs of neighbours that agree on ``width`` bytes and weigh two or more are repeats.
 (5) An anchor with more than ``CLASS`` distinct segments is dealt over several blocks; its blocks
-also emit one row per distinct window, and these are summed across blocks by their 128-bit hash.
+also emit the hashes of their distinct windows, ``CHUNK`` neighbours to a row. Equal windows are
+in rows with equal cores (the bytes that all windows of such a row share), so rows whose core
+occurs once leave, and the windows of the others are summed across blocks.
 So no block grows with the data, and nothing is dropped.
 
 Edge cases: null and empty texts have 0 bytes and keep the hash of nothing; texts shorter than
@@ -31,8 +33,9 @@ from lumbung.llm.common import (
 )
 from lumbung.sources.staging import stage
 
-BLOCK = 1 << 20
-CLASS = 1000
+BLOCK = 1 << 19
+CLASS = 500
+CHUNK = 16
 
 
 # -- local suffix sorting ---------------------------------------------------------
@@ -136,15 +139,15 @@ def _anchors(width: int, k: int):
         for batch in batches:
             ids, hashes = (batch.column(c).to_numpy() for c in KEY)
             for row, data, offsets in pieces(batch.column("text")):
-                rows, starts, sizes, anchors = window_runs(prefix_sums(byte_values(data)), offsets, width, k)
+                rows, starts, sizes, places, anchors = window_runs(prefix_sums(byte_values(data)), offsets, width, k)
                 view = memoryview(data)
                 ends = (starts + sizes - 1 + width).tolist()
                 contents = [xxhash.xxh3_64_intdigest(view[a:b]) for a, b in zip(starts.tolist(), ends, strict=True)]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(ids[row + rows]), pa.array(hashes[row + rows]),
                     pa.array((starts - offsets[rows]).astype(np.int64)), pa.array(sizes.astype(np.int32)),
-                    pa.array(signed(anchors)), pa.array(signed(np.array(contents, np.uint64))),
-                ], names=[*KEY, "a", "m", "h", "seg"])
+                    pa.array((places - starts).astype(np.int32)), pa.array(signed(anchors)), pa.array(signed(np.array(contents, np.uint64))),
+                ], names=[*KEY, "a", "m", "p", "h", "seg"])
 
     return run
 
@@ -158,67 +161,84 @@ def _cut(width: int):
                 text, rows = texts[i].as_py(), parts[i].as_py()
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[c] for r in rows], kind) for c, kind in (
-                        ("block", pa.int64()), ("h", pa.int64()), ("seg", pa.int64()), ("m", pa.int32()),
+                        ("block", pa.int64()), ("h", pa.int64()), ("seg", pa.int64()), ("m", pa.int32()), ("p", pa.int32()),
                         ("n", pa.int64()), ("split", pa.bool_()))]
                     + [pa.array([text[r["a"] : r["a"] + r["m"] - 1 + width] for r in rows], pa.binary())],
-                    names=["block", "h", "seg", "m", "n", "split", "bytes"])
+                    names=["block", "h", "seg", "m", "p", "n", "split", "bytes"])
 
     return run
 
 
-MARKS = "h long, seg long, m int, lo int, hi int, wkey binary, weight long"
+MARKS = "h long, seg long, m int, lo int, hi int, core binary, los array<int>, windows array<long>, weights array<long>"
 
 
 def _sort_block(width: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         segments, counts = pdf["bytes"].tolist(), pdf["m"].to_numpy()
-        order, segment, offset, group, total = repeated_windows(segments, counts, pdf["n"].to_numpy(), width)
-        split = pdf["split"].to_numpy()[segment]
+        _, segment, offset, group, total = repeated_windows(segments, counts, pdf["n"].to_numpy(), width)
+        keys = ["h", "seg", "m"]
         # ranges of repeated windows in each segment
         hit = total >= 2
         s, o = segment[hit], offset[hit]
         by = np.lexsort((o, s))
         s, o = s[by], o[by]
-        new = np.append(True, (s[1:] != s[:-1]) | (o[1:] != o[:-1] + 1)) if len(s) else np.zeros(0, bool)
-        at = np.flatnonzero(new)
-        last = np.append(at[1:], len(s)) - 1 if len(at) else at
-        found = pdf.iloc[s[at]][["h", "seg", "m"]].assign(lo=o[at], hi=o[last] + 1, wkey=None, weight=0)
-        # one row for each distinct window of a class that is spread over blocks
-        first = np.append(True, group[1:] != group[:-1]) if len(group) else np.zeros(0, bool)
-        i = np.flatnonzero(first & split)
-        keys = [xxhash.xxh3_128_digest(segments[a][b : b + width]) for a, b in zip(segment[i].tolist(), offset[i].tolist(), strict=True)]
-        witness = pdf.iloc[segment[i]][["h", "seg", "m"]].assign(lo=offset[i], hi=offset[i] + 1, wkey=keys, weight=total[i])
-        out = pd.concat([x for x in (found, witness) if len(x)]) if len(found) or len(witness) else found
-        return out.astype({"lo": "int32", "hi": "int32", "m": "int32", "weight": "int64"})
+        at, last = _runs((s[1:] != s[:-1]) | (o[1:] != o[:-1] + 1), len(s))
+        found = pdf.iloc[s[at]][keys].assign(lo=o[at], hi=o[last] + 1, core=None, los=None, windows=None, weights=None)
+        # one window of each group of a class that is spread over blocks, in rows of neighbours
+        one = pdf["split"].to_numpy()[segment] & np.append(True, group[1:] != group[:-1])
+        s, o, w = segment[one], offset[one], total[one]
+        chunk = (pdf["p"].to_numpy()[s] - o) // CHUNK
+        by = np.lexsort((o, chunk, s))
+        s, o, w, chunk = s[by], o[by], w[by], chunk[by]
+        at, last = _runs((s[1:] != s[:-1]) | (chunk[1:] != chunk[:-1]), len(s))
+        hashes = [xxhash.xxh3_64_intdigest(segments[a][b : b + width]) for a, b in zip(s.tolist(), o.tolist(), strict=True)]
+        hashes = signed(np.array(hashes, np.uint64))
+        cores = []
+        for i in at.tolist():
+            latest = int(pdf["p"].iat[s[i]] - chunk[i] * CHUNK)  # the last place where a window of this row can start
+            cores.append(xxhash.xxh3_128_digest(segments[s[i]][latest : max(latest, latest - CHUNK + 1 + width)]))
+        cut = lambda x: [x[i : j + 1] for i, j in zip(at.tolist(), last.tolist(), strict=True)]
+        across = pdf.iloc[s[at]][keys].assign(lo=-1, hi=-1, core=cores, los=cut(o), windows=cut(hashes), weights=cut(w))
+        return pd.concat([x for x in (found, across) if len(x)] or [found])
 
     return run
 
 
+def _runs(new: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and last index of each run, where ``new`` tells if an element but the first begins one."""
+    at = np.append(0, np.flatnonzero(new) + 1) if n else np.zeros(0, np.int64)
+    return at, np.append(at[1:], n)[: len(at)] - 1
+
+
 def repeated_spans(docs: DataFrame, width: int = 400, anchor: int = 128, block: int = BLOCK, class_limit: int = CLASS) -> DataFrame:
     """_id, _th, s, e: byte spans of ``keyed`` rows, each the union of repeated windows of one run."""
-    anchors = stage(docs.mapInArrow(_anchors(width, anchor), "_id long, _th long, a long, m int, h long, seg long"), "anchors")
-    repeated = anchors.groupBy("h").agg(F.count("*").alias("c")).filter("c > 1").select("h")
+    anchors = stage(docs.mapInArrow(_anchors(width, anchor), "_id long, _th long, a long, m int, p int, h long, seg long"), "anchors")
+    # Staged, so that the join below is of two plain exchanges and Spark can split a hot anchor.
+    repeated = stage(anchors.groupBy("h").agg(F.count("*").alias("c")).filter("c > 1").select("h"), "repeated")
     cand = stage(anchors.join(repeated, "h", "left_semi"), "repeated-anchors")
-    segs = cand.groupBy("h", "seg", "m").agg(F.count("*").alias("n"), F.min(F.struct(*KEY, "a")).alias("place"))
+    segs = cand.groupBy("h", "seg", "m", "p").agg(F.count("*").alias("n"), F.min(F.struct(*KEY, "a")).alias("place"))
     segs = stage(segs, "segments")
     total = segs.agg(F.sum(F.col("m") + width - 1)).first()[0] or 0
     blocks = max(1, -(-total // block))
-    classes = segs.groupBy("h").agg(F.count("*").alias("c")).filter(F.col("c") > class_limit)
+    classes = stage(segs.groupBy("h").agg(F.count("*").alias("c")).filter(F.col("c") > class_limit), "hot-anchors")
     salts = F.ceil(F.col("c") / class_limit)
     salt = F.when(F.col("c").isNotNull(), F.pmod(F.xxhash64("seg"), salts)).otherwise(0)
     dealt = segs.join(classes, "h", "left").select(
         "place.*", F.pmod(F.xxhash64("h", salt), F.lit(blocks)).alias("block"),
-        "h", "seg", "m", "n", F.col("c").isNotNull().alias("split"),
+        "h", "seg", "m", "p", "n", F.col("c").isNotNull().alias("split"),
     )
-    parts = dealt.groupBy(*KEY).agg(F.collect_list(F.struct("block", "h", "seg", "m", "n", "split", "a")).alias("parts"))
+    parts = dealt.groupBy(*KEY).agg(F.collect_list(F.struct("block", "h", "seg", "m", "p", "n", "split", "a")).alias("parts"))
     # Of rows repeated as a whole one is enough: they share the key.
     texts = docs.select(*KEY, "text").join(parts, KEY).select("text", "parts")
-    cut = texts.mapInArrow(_cut(width), "block long, h long, seg long, m int, n long, split boolean, bytes binary")
+    cut = texts.mapInArrow(_cut(width), "block long, h long, seg long, m int, p int, n long, split boolean, bytes binary")
     marks = stage(cut.groupBy("block").applyInPandas(_sort_block(width), MARKS), "repeats")
-    across = marks.filter("wkey IS NOT NULL")
-    again = across.groupBy("wkey").agg(F.sum("weight").alias("t")).filter("t > 1").select("wkey")
-    late = across.filter("weight = 1").join(again, "wkey", "left_semi")
-    marks = marks.filter("wkey IS NULL").select("h", "seg", "m", "lo", "hi").unionByName(late.select("h", "seg", "m", "lo", "hi"))
+    across = marks.filter("core IS NOT NULL").select("h", "seg", "m", "core", "los", "windows", "weights")
+    shared = across.groupBy("core").agg(F.count("*").alias("c")).filter("c > 1").select("core")
+    windows = across.join(shared, "core", "left_semi").select("h", "seg", "m", "core", F.inline(F.arrays_zip("los", "windows", "weights")))
+    again = windows.groupBy("core", "windows").agg(F.sum("weights").alias("t")).filter("t > 1").select("core", "windows")
+    late = windows.filter("weights = 1").join(again, ["core", "windows"], "left_semi")
+    late = late.select("h", "seg", "m", F.col("los").alias("lo"), (F.col("los") + 1).alias("hi"))
+    marks = marks.filter("core IS NULL").select("h", "seg", "m", "lo", "hi").unionByName(late)
     return cand.join(marks, ["h", "seg", "m"]).select(
         *KEY, (F.col("a") + F.col("lo")).alias("s"), (F.col("a") + F.col("hi") - 1 + width).alias("e"))
 
