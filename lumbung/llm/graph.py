@@ -11,21 +11,20 @@ from lumbung.sources.staging import stage
 def components(edges: DataFrame, a: str = "u", b: str = "v") -> DataFrame:
     """(node, label) for every node of an edge: the smallest node it is connected with.
 
-    Each round gives a node the smallest label among its own, its neighbours' and its
-    label's label, so that stars close in a round or two and chains shrink fast. Every
-    round is written to a table, which cuts lineage; nothing is collected but a count.
+    Each round gives a node the smallest label among its own and its neighbours', and then
+    that label's label, so that stars close in a round and chains shrink fast. Every round
+    is written to a table, which cuts lineage; nothing is collected but whether a label moved.
     """
-    both = stage(edges.select(F.col(a).alias("node"), F.col(b).alias("other")).unionByName(
-        edges.select(F.col(b).alias("node"), F.col(a).alias("other"))), "edges")
-    labels = stage(both.groupBy("node").agg(F.min("other").alias("label")).select("node", F.least("node", "label").alias("label")), "labels")
+    u, v = F.col(a), F.col(b)
+    ways = F.array(F.struct(u.alias("node"), v.alias("other")), F.struct(v.alias("node"), u.alias("other")),
+                   F.struct(u.alias("node"), u.alias("other")), F.struct(v.alias("node"), v.alias("other")))
+    both = stage(edges.select(F.inline(ways)).distinct(), "edges")
+    labels = both.filter("node = other").select("node", F.col("node").alias("label"))
     while True:
-        seen = both.join(labels.select(F.col("node").alias("other"), "label"), "other").select("node", "label")
-        jumped = labels.select("node", F.col("label").alias("other")).join(
-            labels.select(F.col("node").alias("other"), "label"), "other").select("node", "label")
-        nearest = seen.unionByName(jumped).groupBy("node").agg(F.min("label").alias("near"))
-        after = stage(labels.join(nearest, "node").select(
-            "node", F.least("label", "near").alias("label"), (F.col("near") < F.col("label")).alias("moved")), "labels")
-        moved = after.filter("moved").limit(1).count()
-        labels = after.drop("moved")
-        if not moved:
-            return labels
+        seen = both.join(labels.select(F.col("node").alias("other"), "label"), "other")
+        own = F.max(F.when(F.col("node") == F.col("other"), F.col("label")))
+        near = stage(seen.groupBy("node").agg(F.min("label").alias("label"), (F.min("label") < own).alias("moved")), "labels")
+        if not near.filter("moved").limit(1).count():
+            return near.select("node", "label")
+        further = near.select(F.col("node").alias("label"), F.col("label").alias("next"))
+        labels = stage(near.join(further, "label").select("node", F.col("next").alias("label")), "labels")

@@ -6,14 +6,14 @@ themselves. Documents with equal sets are one node from here on. (2) Tensoring:
 keyed by sub-key i of the first collection and sub-key j of the second, so 2 * HALF * WIDTH
 minhashes serve HALF * HALF tables. Sub-keys that one node only has are dropped before pairs of
 them are formed. Two sets of similarity s meet with probability (1 - (1 - s^WIDTH)^HALF)^2;
-at 0.85 they miss with about two in a hundred thousand. (3) In a table's bucket all nodes are
-compared with the smallest one only; candidates whose estimated similarity is out of reach
-(``REACH`` of the minhashes equal, six standard deviations below the threshold) leave, the others
-are confirmed on full sets, made anew from the texts. (4) Confirmed links are contracted to
-components. Where a bucket still has nodes of several components, pairs of nodes of different
-components that were not compared yet are estimated in blocks of ``BLOCK`` nodes and confirmed,
-until no such pair is left. So a group of copies costs links in proportion to its size, and no
-link between components is lost.
+at 0.85 they miss with about two in a hundred thousand. (3) Nodes of a bucket join the group of
+the bucket's smallest node, so a group of near copies is listed once and not once a table. In
+blocks of bounded size, and pairs of such blocks, minhashes tell which nodes have a partner at
+all: ``REACH`` of them equal, four standard deviations below the threshold. (4) Blocks of what is
+left get the texts, make the full sets anew and confirm every link between nodes that are not yet
+connected, the smallest node first. They put out one link for each node at most, never a pair that
+is not linked. Two nodes that meet in a table are compared or connected in a common group, so no
+link between components is lost. (5) The links are closed to components.
 
 Edge cases: null or blank texts have the empty set, are linked with nothing and are their own
 component; fewer than five words are one shingle; repeated rows share their component; null
@@ -36,9 +36,8 @@ from lumbung.sources.staging import stage
 
 HALF, WIDTH = 12, 3
 MINHASHES = 2 * HALF * WIDTH
-REACH = 0.6
-BLOCK = 2000
-GROUP = 400
+REACH = 0.68
+NODES, SHINGLES = 1000, 400_000  # of a block
 _RNG = np.random.default_rng(85)
 _XOR = _RNG.integers(1, 1 << 63, MINHASHES, dtype=np.uint64)
 _ODD = _RNG.integers(1, 1 << 63, MINHASHES, dtype=np.uint64) | np.uint64(1)
@@ -61,7 +60,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndar
 
 
 def signatures(hashes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Minhashes (rows x MINHASHES, 32 bits each) and sub-keys (rows x 2 HALF) of non-empty sets that start at ``at``."""
+    """Minhashes (rows x MINHASHES, 16 bits each) and sub-keys (rows x 2 HALF) of non-empty sets that start at ``at``."""
     least = np.empty((MINHASHES, len(at)), np.uint64)
     for i in range(MINHASHES):
         least[i] = np.minimum.reduceat((hashes ^ _XOR[i]) * _ODD[i], at)
@@ -69,7 +68,7 @@ def signatures(hashes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarr
     keys = np.zeros((2 * HALF, len(at)), np.uint64)
     for i in range(WIDTH):
         keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + grouped[:, i])
-    return (least >> np.uint64(32)).astype(np.uint32).T.copy(), keys.T.copy()
+    return (least >> np.uint64(48)).astype(np.uint16).T.copy(), keys.T.copy()
 
 
 def _profile(k: int):
@@ -99,108 +98,126 @@ def _profile(k: int):
 PROFILE = "doc_id long, _id long, _th long, n long, s1 long, s2 long, subs array<long>, sig binary"
 
 
-def _buckets(nodes: DataFrame) -> DataFrame:
+def _buckets(profiles: DataFrame) -> DataFrame:
     """(table, key, node): the tensored tables, without keys that only one node can have."""
-    subs = nodes.select("node", F.posexplode("subs").alias("pos", "sub"))
-    shared = stage(subs.groupBy("pos", "sub").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a < b").select("pos", "sub"), "sub-keys")
-    halves = subs.join(shared, ["pos", "sub"], "left_semi").groupBy("node").agg(F.collect_list(F.struct("pos", "sub")).alias("x"))
+    subs = profiles.filter("n > 0").select("s1", "s2", F.posexplode("subs").alias("pos", "sub"))
+    # A sub-key is a hash of minhashes of its place, so it names the place too.
+    shared = subs.groupBy("sub").agg(F.min("s1").alias("a"), F.max("s1").alias("b")).filter("a < b").select("sub")
+    halves = subs.select("s1", "s2", F.col("pos").cast("byte").alias("pos"), "sub").join(
+        # Merged at every size: the shared sub-keys grow with the input.
+        stage(shared, "sub-keys").hint("merge"), "sub", "left_semi")
+    halves = halves.groupBy("s1", "s2").agg(F.collect_set(F.struct("pos", "sub")).alias("x"))
+    halves = stage(halves.select(F.struct("s1", "s2").alias("node"), "x"), "halves")
     first, second = F.filter("x", lambda e: e["pos"] < HALF), F.filter("x", lambda e: e["pos"] >= HALF)
     pairs = F.flatten(F.transform(first, lambda a: F.transform(second, lambda b: F.struct(
-        (a["pos"] * HALF + b["pos"] - HALF).alias("table"), F.xxhash64(a["pos"], a["sub"], b["pos"], b["sub"]).alias("key")))))
+        (a["pos"].cast("int") * HALF + b["pos"] - HALF).alias("table"), F.xxhash64(a["pos"], a["sub"], b["pos"], b["sub"]).alias("key")))))
     return halves.select("node", F.inline(pairs))
 
 
-def _estimate(us: pd.Series, vs: pd.Series) -> pd.Series:
-    if not len(us):
-        return pd.Series([], dtype="float64")
-    a, b = (np.frombuffer(b"".join(x), np.uint32).reshape(len(x), -1) for x in (us, vs))
-    return pd.Series((a == b).mean(axis=1))
+def _dealt(members: DataFrame) -> DataFrame:
+    """Members (u, node, n) of groups in blocks: (shard, u, x, y, part, node), with u itself as part -1 of each pair of blocks x <= y.
 
+    Small groups share a shard, which is the unit of a Python call; the parts of one block pair stay together.
+    """
+    sizes = members.groupBy("u").agg(F.count("*").alias("c"), F.sum("n").alias("t"))
+    sizes = stage(sizes.select("u", F.ceil(F.greatest(F.col("c") / NODES, F.col("t") / SHINGLES)).cast("int").alias("parts")).filter("parts > 1"), "large-groups")
+    rows = members.join(sizes, "u", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    rows = rows.select("u", "node", "n", own.alias("part"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+    rows = rows.select("u", "node", "n", "part", F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"))
+    rows = stage(rows, "blocks")
+    shards = max(1, int((rows.agg(F.sum(F.col("n") + 100)).first()[0] or 0) // SHINGLES))
+    leads = rows.select("u", F.col("u").alias("node"), F.lit(-1).alias("part"), "x", "y").distinct()
+    return rows.drop("n").unionByName(leads).withColumn("shard", F.pmod(F.xxhash64("u", "x", "y"), F.lit(shards)))
 
-def _within_reach(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs (u, v) of different nodes whose minhashes agree often enough."""
-    for side in ("u", "v"):
-        pairs = pairs.join(nodes.select(F.col("node").alias(side), F.col("sig").alias("sig_" + side)), side)
-    alike = F.pandas_udf(_estimate, "double")
-    return pairs.filter(alike("sig_u", "sig_v") >= REACH).select("u", "v")
 
+def _named(rows: DataFrame, *more: str) -> DataFrame:
+    """Flat columns, as pandas takes them."""
+    pair = [F.col(f"{c}.{s}").alias(f"{c[0]}{s[1]}") for c in ("u", "node") for s in ("s1", "s2")]
+    return rows.select("shard", *pair, "x", "y", "part", "sig", *more)
 
-def _confirm(k: int, percent: int):
+
+def _groups(pdf: pd.DataFrame):
+    """Rows of each block pair, the leader first."""
+    by = np.argsort(pdf["part"].to_numpy(), kind="stable")
+    for rows in pdf.iloc[by].groupby(["u1", "u2", "x", "y"], sort=False).indices.values():
+        yield by[rows]
+
+
+def _comparable(part: np.ndarray, i: int, two: bool) -> np.ndarray:
+    """Later rows of the group that row i is compared with: of two blocks, only those of the other one."""
+    later = np.arange(i + 1, len(part))
+    return later[(part[later] != part[i])] if two and part[i] >= 0 else later
+
+
+def _partnered(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Members with a partner within reach in their block pair."""
+    sig = np.frombuffer(b"".join(pdf["sig"]), np.uint16).reshape(len(pdf), -1)
+    part, x, y = (pdf[c].to_numpy() for c in ("part", "x", "y"))
+    found = np.zeros(len(pdf), bool)
+    for rows in _groups(pdf):
+        two, parts = x[rows[0]] != y[rows[0]], part[rows]
+        for nth, i in enumerate(rows.tolist()):
+            j = rows[_comparable(parts, nth, two)]
+            if len(j):
+                j = j[(sig[j] == sig[i]).mean(axis=1) >= REACH]
+                found[j] = True
+                found[i] |= len(j) > 0
+    return pdf.loc[found & (part >= 0), ["u1", "u2", "n1", "n2"]]
+
+
+def _linked(k: int, percent: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        column = pa.array(pdf["text"], pa.large_string())
         sets = []
-        for _, data, offsets in pieces(column):
+        for _, data, offsets in pieces(pa.array(pdf["text"], pa.large_string())):
             hashes, bounds = shingle_sets(data, offsets, k)
             sets += [hashes[bounds[i] : bounds[i + 1]] for i in range(len(offsets) - 1)]
-        lead = int(np.flatnonzero(pdf["lead"].to_numpy())[0])
-        one, linked = sets[lead], np.zeros(len(pdf), bool)
-        for i, other in enumerate(sets):
-            if i != lead and 100 * min(len(one), len(other)) >= percent * max(len(one), len(other)):
-                common = len(np.intersect1d(one, other, assume_unique=True))
-                linked[i] = 100 * common >= percent * (len(one) + len(other) - common)
-        return pdf.loc[linked, ["g1", "g2", "n1", "n2"]]
+        sig = np.frombuffer(b"".join(pdf["sig"]), np.uint16).reshape(len(pdf), -1)
+        part, x, y = (pdf[c].to_numpy() for c in ("part", "x", "y"))
+        lefts, rights = [], []
+        for rows in _groups(pdf):
+            two, parts = x[rows[0]] != y[rows[0]], part[rows]
+            own = [sets[i] for i in rows.tolist()]
+            size = np.array([len(s) for s in own])
+            # A set shares at most the shingles that another set of the group has too.
+            _, back, times = np.unique(np.concatenate(own), return_inverse=True, return_counts=True)
+            most = np.add.reduceat(times[back] > 1, np.cumsum(size) - size)
+            label = np.arange(len(rows))
+            for i in range(len(rows)):
+                j = _comparable(parts, i, two)
+                j = j[label[j] != label[i]]
+                common = np.minimum(most[j], most[i])
+                j = j[100 * common >= percent * (size[j] + size[i] - common)]
+                j = j[(sig[rows[j]] == sig[rows[i]]).mean(axis=1) >= REACH]
+                for other in j.tolist():
+                    if label[other] != label[i]:
+                        common = len(np.intersect1d(own[i], own[other], assume_unique=True))
+                        if 100 * common >= percent * (size[i] + size[other] - common):
+                            label[label == label[other]] = label[i]
+                            lefts.append(rows[i])
+                            rights.append(rows[other])
+        a, b = pdf.iloc[lefts], pdf.iloc[rights]
+        return pd.DataFrame({"u1": a["n1"].to_numpy(), "u2": a["n2"].to_numpy(), "v1": b["n1"].to_numpy(), "v2": b["n2"].to_numpy()})
 
     return run
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs whose full sets pass the threshold. Pairs of one u are dealt in groups of ``GROUP``; each gets u's text."""
-    sizes = stage(pairs.groupBy("u").agg(F.count("*").alias("c")).filter(F.col("c") > GROUP), "many-pairs")
-    salts = F.coalesce(F.ceil(F.col("c") / GROUP), F.lit(1))
-    dealt = stage(pairs.join(sizes, "u", "left").select("u", "v", F.pmod(F.xxhash64("v"), salts).alias("salt")), "dealt-pairs")
-    leads = dealt.select("u", "salt").distinct().select("u", "salt", F.col("u").alias("node"), F.lit(True).alias("lead"))
-    rows = leads.unionByName(dealt.select("u", "salt", F.col("v").alias("node"), F.lit(False).alias("lead"))).join(texts, "node")
-    flat = rows.select(
-        F.col("u.s1").alias("g1"), F.col("u.s2").alias("g2"), "salt", F.col("node.s1").alias("n1"), F.col("node.s2").alias("n2"), "lead", "text")
-    found = flat.groupBy("g1", "g2", "salt").applyInPandas(_confirm(k, percent), "g1 long, g2 long, n1 long, n2 long")
-    return found.select(F.struct(F.col("g1").alias("s1"), F.col("g2").alias("s2")).alias("u"), F.struct(F.col("n1").alias("s1"), F.col("n2").alias("s2")).alias("v"))
-
-
-def _cross_pairs(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of nodes of different components in a bucket, each in the first table where they meet."""
-    sig = np.frombuffer(b"".join(pdf["sig"]), np.uint32).reshape(len(pdf), -1)
-    keys = np.stack(pdf["subs"].to_numpy())
-    comp = pd.factorize(pd.MultiIndex.from_frame(pdf[["c1", "c2"]]))[0]
-    part, table = pdf["part"].to_numpy(), int(pdf["table"].iat[0])
-    out = []
-    for i in range(len(pdf)):
-        j = np.flatnonzero((comp != comp[i]) & ((part > part[i]) | (part == part[i]) & (np.arange(len(pdf)) > i)))
-        j = j[(sig[j] == sig[i]).mean(axis=1) >= REACH]
-        meet = keys[j] == keys[i]
-        j = j[meet[:, :HALF].argmax(axis=1) * HALF + meet[:, HALF:].argmax(axis=1) == table]
-        out += [(i, x) for x in j.tolist()]
-    a, b = [x[0] for x in out], [x[1] for x in out]
-    cols = ["n1", "n2"]
-    left, right = pdf.iloc[a][cols].reset_index(drop=True), pdf.iloc[b][cols].reset_index(drop=True)
-    return pd.DataFrame({"u1": left.n1, "u2": left.n2, "v1": right.n1, "v2": right.n2})
-
-
-def _across(buckets: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
-    """Candidate pairs of different components, in blocks of ``BLOCK`` nodes of a bucket and pairs of such blocks."""
-    label = buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    mixed = stage(label.groupBy("table", "key").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.count("*").alias("c")).filter("a < b").select("table", "key", "c"), "mixed")
-    rows = label.join(mixed, ["table", "key"])
-    parts = F.ceil(F.col("c") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("node"), parts).cast("int")
-    rows = rows.select("table", "key", "node", "label", own.alias("part"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("other"))
-    rows = rows.select("table", "key", "node", "label", "part", F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"))
-    flat = rows.join(nodes.select("node", "subs", "sig"), "node").select(
-        "table", "key", "x", "y", "part", F.col("node.s1").alias("n1"), F.col("node.s2").alias("n2"), F.col("label.s1").alias("c1"), F.col("label.s2").alias("c2"), "subs", "sig")
-    # In the group of two blocks only pairs across them count; each block has a group of its own too.
-    found = flat.groupBy("table", "key", "x", "y").applyInPandas(_block_pairs, "u1 long, u2 long, v1 long, v2 long")
-    u, v = (F.struct(F.col(n + "1").alias("s1"), F.col(n + "2").alias("s2")) for n in "uv")
-    return found.select(F.least(u, v).alias("u"), F.greatest(u, v).alias("v"))
-
-
-def _block_pairs(pdf: pd.DataFrame) -> pd.DataFrame:
-    if pdf["x"].iat[0] != pdf["y"].iat[0]:
-        first = pdf["part"] == pdf["x"]
-        pdf = pdf.assign(part=np.where(first, 0, 1))
-        pairs = _cross_pairs(pdf.sort_values("part", kind="stable"))
-        side = {t: p for t, p in zip(zip(pdf.n1, pdf.n2, strict=True), pdf.part, strict=True)}
-        across = [side[a, b] != side[c, d] for a, b, c, d in pairs.itertuples(index=False)]
-        return pairs[np.array(across, bool)]
-    return _cross_pairs(pdf)
+def confirmed_links(stars: DataFrame, nodes: DataFrame, rows: DataFrame, k: int, percent: int) -> DataFrame:
+    """(u, v): links that connect all nodes of a group that are connected by links within it."""
+    n = nodes.select("node", "n")
+    signed = nodes.select("node", "sig")
+    partnered = _named(_dealt(stars.join(n, "node")).join(signed, "node")).groupBy("shard").applyInPandas(
+        _partnered, "u1 long, u2 long, n1 long, n2 long")
+    pair = [F.struct(F.col(c + "1").alias("s1"), F.col(c + "2").alias("s2")).alias(to) for c, to in (("u", "u"), ("n", "node"))]
+    members = stage(partnered.distinct().select(*pair), "members")
+    wanted = stage(members.select("node").unionByName(members.select(F.col("u").alias("node"))).distinct(), "wanted")
+    places = nodes.join(wanted, "node", "left_semi").select("node", "sig", "place.*")
+    # Of rows repeated as a whole one text is taken; the key tells the text.
+    texts = stage(rows.select(*KEY, "text").join(places, KEY).dropDuplicates(KEY).select("node", "sig", "text"), "texts")
+    found = _named(_dealt(members.join(n, "node")).join(texts, "node"), "text").groupBy("shard").applyInPandas(
+        _linked(k, percent), "u1 long, u2 long, v1 long, v2 long")
+    u, v = (F.struct(F.col(c + "1").alias("s1"), F.col(c + "2").alias("s2")) for c in "uv")
+    return found.select(u.alias("u"), v.alias("v"))
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 85) -> DataFrame:
@@ -209,26 +226,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 85) -> DataFrame
     profiles = stage(rows.mapInArrow(_profile(k), PROFILE), "profiles")
     node = F.struct("s1", "s2").alias("node")
     nodes = stage(profiles.filter("n > 0").groupBy(node).agg(
-        F.first("subs").alias("subs"), F.first("sig").alias("sig"), F.min(F.struct(*KEY)).alias("place")), "nodes")
-    buckets = _buckets(nodes)
+        F.first("n").alias("n"), F.first("sig").alias("sig"), F.min(F.struct(*KEY)).alias("place")), "nodes")
+    buckets = _buckets(profiles)
     full = buckets.groupBy("table", "key").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a < b")
     full = stage(full.select("table", "key", F.col("a").alias("u")), "full-buckets")
-    buckets = stage(buckets.join(full, ["table", "key"]), "buckets")
-    stars = buckets.filter("u != node").select("u", F.col("node").alias("v")).distinct()
-    fresh = stage(_within_reach(stars, nodes), "pairs")
-    wanted = stage(buckets.select("node").distinct(), "wanted")
-    places = nodes.join(wanted, "node", "left_semi").select("node", "place.*")
-    texts = stage(rows.select(*KEY, "text").join(places, KEY).select("node", "text").dropDuplicates(["node"]), "texts")
-    compared, links = fresh, None
-    while True:
-        found = stage(confirmed(fresh, texts, k, percent), "links")
-        links = found if links is None else links.unionByName(found)
-        labels = components(links)
-        after = _across(buckets.select("table", "key", "node"), nodes, labels)
-        fresh = stage(after.join(compared, ["u", "v"], "left_anti"), "pairs")
-        if not fresh.limit(1).count():
-            break
-        compared = stage(compared.unionByName(fresh), "compared")
+    stars = stage(buckets.join(full, ["table", "key"]).filter("u != node").select("u", "node").distinct(), "stars")
+    labels = components(stage(confirmed_links(stars, nodes, rows, k, percent), "links"))
     named = profiles.filter("n > 0").select(node, "doc_id")
     named = named.join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "doc_id")
     names = stage(named.groupBy("label").agg(F.min("doc_id").alias("component_id")), "names")

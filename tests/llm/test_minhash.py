@@ -63,8 +63,8 @@ def test_components_equal_brute_force(spark, seed):
 
 
 def test_blocks_and_groups_of_a_hot_bucket(spark, monkeypatch):
-    monkeypatch.setattr(mh, "BLOCK", 5)
-    monkeypatch.setattr(mh, "GROUP", 3)
+    monkeypatch.setattr(mh, "NODES", 7)
+    monkeypatch.setattr(mh, "SHINGLES", 900)
     rng = random.Random(5)
     base = [f"w{i}" for i in range(60)]
     rows = []
