@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lumbung.llm import minhash, substring_dedup, suffix_dedup
+from lumbung.llm import fingerprint, language, minhash, sentencepiece_codec, substring_dedup, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -35,3 +35,18 @@ def op7_substring_dedup(spark, sf_dir):
 @register
 def op8_minhash_near_dedup(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents")).drop("_id", "_th")
+
+
+@register
+def op6_language_id(spark, sf_dir):
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+@register
+def op10_document_fingerprints(spark, sf_dir):
+    return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
+
+
+@register
+def op2_sentencepiece(spark, sf_dir):
+    return sentencepiece_codec.round_trip(table(spark, sf_dir, "documents"))
