@@ -18,6 +18,7 @@ length is one unit; an empty table gives an empty result; other columns are kept
 from __future__ import annotations
 
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,8 @@ from lumbung.llm.common import pieces
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-KNOWN = 200_000
+KNOWN = 300_000
+SCORE = ""  # the key of a piece's score in its trie node
 UNKNOWN_PENALTY = 10.0
 _NORMAL, _BYTE = 1, 6
 
@@ -58,6 +60,15 @@ class Codec:
         if any(" " in p.lstrip(" ") for p in self.ids):
             raise ValueError("a piece has a blank after another character; units would cut it")
         self.longest = max(map(len, self.ids))
+        self.trie: dict = {}
+        for text, score in self.scores.items():
+            node = self.trie
+            for char in text:
+                node = node.setdefault(char, {})
+            node[SCORE] = score
+        self.lengths = np.array([len(t) for t in self.table])
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.letters = np.frombuffer(b"".join(self.table), np.uint8)
         self.unknown = min(self.scores.values()) - UNKNOWN_PENALTY
         # A line feed that is in no piece of several characters cuts units too.
         apart = not any("\n" in p and len(p) > 1 for p in self.ids)
@@ -66,34 +77,39 @@ class Codec:
 
     def walk(self, units: list[str]):
         """(unit, ids) of sorted distinct units, with forward scores shared along common prefixes."""
-        scores, longest, unknown = self.scores, self.longest, self.unknown
+        trie, longest, unknown = self.trie, self.longest, self.unknown
         best, back, before = [0.0], [0], ""
         for unit in units:
-            same, most = 0, min(len(unit), len(before))
+            size, same, most = len(unit), 0, min(len(unit), len(before))
             while same < most and unit[same] == before[same]:
                 same += 1
-            del best[same + 1 :], back[same + 1 :]
-            for end in range(same + 1, len(unit) + 1):
-                top, start = None, end - 1
-                for begin in range(max(0, end - longest), end):
-                    score = scores.get(unit[begin:end])
-                    if score is not None:
-                        score += best[begin]
-                        if top is None or score > top:
-                            top, start = score, begin
-                if start == end - 1 and unit[end - 1] not in scores:
-                    score = best[end - 1] + unknown
-                    if top is None or score > top:
-                        top, start = score, end - 1
-                best.append(top)
-                back.append(start)
-            before, ids, end = unit, [], len(unit)
+            # Ends up to the common prefix are final; pieces that begin before it may end beyond it.
+            best[same + 1 :] = [None] * (size - same)
+            back[same + 1 :] = [0] * (size - same)
+            for begin in range(max(0, same + 1 - longest), size):
+                score, node, end = best[begin], trie, begin
+                while end < size and (node := node.get(unit[end])) is not None:
+                    end += 1
+                    piece = node.get(SCORE)
+                    if piece is not None and end > same:
+                        piece += score
+                        if best[end] is None or piece > best[end]:
+                            best[end], back[end] = piece, begin
+                if begin >= same and unit[begin] not in self.ids:
+                    piece = score + unknown
+                    if best[begin + 1] is None or piece > best[begin + 1]:
+                        best[begin + 1], back[begin + 1] = piece, begin
+            before, ids, end = unit, [], size
             while end:
                 begin = back[end]
                 piece = self.ids.get(unit[begin:end])
-                ids += [piece] if piece is not None else [self.bytes_[b] for b in reversed(unit[begin:end].encode())]
+                if piece is not None:
+                    ids.append(piece)
+                else:
+                    ids += [self.bytes_[b] for b in reversed(unit[begin:end].encode())]
                 end = begin
-            yield unit, ids[::-1]
+            ids.reverse()
+            yield unit, ids
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids of every text, as the bytes of 32-bit numbers."""
@@ -104,12 +120,15 @@ class Codec:
         new.difference_update(self.known)
         known = self.known
         for unit, ids in self.walk(sorted(new)):
-            known[unit] = np.array(ids, np.int32).tobytes()
+            known[unit] = array("i", ids).tobytes()
         return [b"".join([known[u] for u in units]) for units in cut]
 
-    def decode(self, ids: list[int]) -> str:
-        """The text of encoded ids; bytes that are not UTF-8 become U+FFFD."""
-        return b"".join(map(self.table.__getitem__, ids))[1:].decode("utf-8", "replace")
+    def decode(self, ids: np.ndarray) -> bytes:
+        """UTF-8 of the text of encoded ids."""
+        sizes = self.lengths[ids]
+        ends = np.cumsum(sizes)
+        at = np.repeat(self.starts[ids] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
+        return self.letters[at][1:].tobytes()
 
 
 def load(path: str = MODEL) -> Codec:
@@ -117,7 +136,7 @@ def load(path: str = MODEL) -> Codec:
         return Codec(file.read())
 
 
-def _encode(codec: Codec, keep: int):
+def _encode(codec: Codec, keep: int, check: bool):
     def run(batches):
         for batch in batches:
             texts = batch.column("_text")
@@ -126,33 +145,37 @@ def _encode(codec: Codec, keep: int):
                 raw = part.column("_text").to_pylist()
                 encoded = codec.encode_all([t or "" for t in raw])
                 sizes = np.cumsum([0, *(len(e) // 4 for e in encoded)]).astype(np.int32)
-                values = pa.array(np.frombuffer(b"".join(encoded), np.int32))
-                ids = pa.ListArray.from_arrays(pa.array(sizes), values, mask=pa.array([t is None for t in raw]))
-                yield pa.RecordBatch.from_arrays([*part.columns[:keep], ids], names=[*part.schema.names[:keep], "ids"])
+                values, null = np.frombuffer(b"".join(encoded), np.int32), pa.array([t is None for t in raw])
+                out = {"ids": pa.ListArray.from_arrays(pa.array(sizes), pa.array(values), mask=null)}
+                if check:
+                    out["round_trip"] = pa.array(
+                        [None if t is None else codec.decode(values[a:b]) == t.encode() for t, a, b in zip(raw, sizes, sizes[1:])], pa.bool_())
+                yield pa.RecordBatch.from_arrays([*part.columns[:keep], *out.values()], names=[*part.schema.names[:keep], *out])
 
     return run
 
 
-def encode(docs: DataFrame, codec: Codec, *keep: str) -> DataFrame:
-    """The kept columns and ``ids`` (array of int) of ``text``."""
+def encode(docs: DataFrame, codec: Codec, *keep: str, check: bool = False) -> DataFrame:
+    """The kept columns and ``ids`` (array of int) of ``text``; with ``check`` also whether decoding them gives the text again."""
     taken = docs.select(*keep, F.col("text").alias("_text"))
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in taken.schema.fields[:-1]]
-    return taken.mapInArrow(_encode(codec, len(keep)), ", ".join([*fields, "ids array<int>"]))
+    return taken.mapInArrow(_encode(codec, len(keep), check), ", ".join([*fields, "ids array<int>", *["round_trip boolean"] * check]))
 
 
 def _decode(codec: Codec, keep: int):
     def run(batches):
         for batch in batches:
-            for at in range(0, len(batch), 256):
-                part = batch.slice(at, 256)
-                texts = [None if x is None else codec.decode(x) for x in part.column("_ids").to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns[:keep], pa.array(texts, pa.string())], names=[*part.schema.names[:keep], "text"])
+            for i in range(len(batch)):
+                part = batch.slice(i, 1)
+                ids = part.column("_ids")[0]
+                text = codec.decode(ids.values.to_numpy()).decode("utf-8", "replace") if ids.is_valid else None
+                yield pa.RecordBatch.from_arrays([*part.columns[:keep], pa.array([text], pa.string())], names=[*part.schema.names[:keep], "text"])
 
     return run
 
 
 def decode(encoded: DataFrame, codec: Codec, *keep: str) -> DataFrame:
-    """The kept columns and ``text`` of ``ids``."""
+    """The kept columns and ``text`` of ``ids``; bytes that are not UTF-8 become U+FFFD."""
     taken = encoded.select(*keep, F.col("ids").alias("_ids"))
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in taken.schema.fields[:-1]]
     return taken.mapInArrow(_decode(codec, len(keep)), ", ".join([*fields, "text string"]))
@@ -160,8 +183,5 @@ def decode(encoded: DataFrame, codec: Codec, *keep: str) -> DataFrame:
 
 def round_trip(docs: DataFrame, path: str = MODEL) -> DataFrame:
     """doc_id, n_tokens, ids, and whether decoding the ids gives the text again (null for null)."""
-    codec = load(path)
-    encoded = encode(docs.select("doc_id", "text", F.xxhash64("text").alias("_hash")), codec, "doc_id", "_hash")
-    back = decode(encoded, codec, "doc_id", "_hash", "ids")
-    same = F.when(F.col("ids").isNotNull(), F.xxhash64("text") == F.col("_hash"))
-    return back.select("doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"), "ids", same.alias("round_trip"))
+    encoded = encode(docs.select("doc_id", "text"), load(path), "doc_id", check=True)
+    return encoded.select("doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"), "ids", "round_trip")

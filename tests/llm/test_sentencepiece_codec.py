@@ -1,6 +1,7 @@
 import os
 import random
 
+import numpy as np
 import pytest
 
 from lumbung.llm import sentencepiece_codec as sc
@@ -29,8 +30,6 @@ def library():
 
 
 def ids(codec, text):
-    import numpy as np
-
     return np.frombuffer(codec.encode_all([text])[0], np.int32).tolist()
 
 
@@ -42,8 +41,11 @@ def test_equals_the_librarys_viterbi(codec):
     for text in texts:
         # The lattice search; the library's quick path does not always find the largest sum.
         mine, theirs = ids(codec, text), lib.NBestEncodeAsIds(text, 2)[0]
-        # Equal sums may be cut differently; the sum is what the search maximises.
-        assert mine == theirs or sum(scores[i] for i in mine) == sum(scores[i] for i in theirs), text
+        # Equal sums may be cut differently; the sum is what the search maximises. The library adds 32-bit floats,
+        # in which a lone mark (a score of -1e9) swallows the others.
+        total = sum(scores[i] for i in mine)
+        other = sum(scores[i] for i in theirs)
+        assert mine == theirs or total == other or total < -1e8 and total >= other, text
 
 
 def brute(codec, unit):
@@ -60,7 +62,7 @@ def test_shared_prefixes_change_nothing(codec):
     units = sorted({" " + "".join(rng.choices("thenrß中\U0001f600", k=rng.randint(1, 9))) for _ in range(400)})
     for unit, found in codec.walk(units):
         assert found == next(codec.walk([unit]))[1]
-        assert codec.decode([codec.ids[" "], *found]) == unit
+        assert codec.decode(np.array([codec.ids[" "], *found])).decode() == unit
         score = brute(codec, unit)
         pieces, text = 0.0, [codec.table[i] for i in found]
         byte_run = set(codec.bytes_)
