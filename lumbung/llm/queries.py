@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lumbung.llm import fingerprint, language, minhash, sentencepiece_codec, substring_dedup, suffix_dedup
+from lumbung.llm import fingerprint, language, minhash, sentencepiece_codec, substring_dedup, suffix_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -50,3 +50,8 @@ def op10_document_fingerprints(spark, sf_dir):
 @register
 def op2_sentencepiece(spark, sf_dir):
     return sentencepiece_codec.round_trip(table(spark, sf_dir, "documents"))
+
+
+@register
+def op9_toxicity(spark, sf_dir):
+    return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
