@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lumbung.llm import fingerprint, language, minhash, sentencepiece_codec, substring_dedup, suffix_dedup, toxicity
+from lumbung.llm import fingerprint, language, minhash, pseudonyms, sentencepiece_codec, substring_dedup, suffix_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -55,3 +55,8 @@ def op2_sentencepiece(spark, sf_dir):
 @register
 def op9_toxicity(spark, sf_dir):
     return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register
+def op5_pii_pseudonyms(spark, sf_dir):
+    return pseudonyms.pseudonymise(table(spark, sf_dir, "documents"))
