@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lumbung.llm import fingerprint, language, minhash, pseudonyms, sentencepiece_codec, substring_dedup, suffix_dedup, toxicity
+from lumbung.llm import decontamination, fingerprint, language, minhash, pseudonyms, sentencepiece_codec, substring_dedup, suffix_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -60,3 +60,8 @@ def op9_toxicity(spark, sf_dir):
 @register
 def op5_pii_pseudonyms(spark, sf_dir):
     return pseudonyms.pseudonymise(table(spark, sf_dir, "documents"))
+
+
+@register
+def op4_benchmark_decontamination(spark, sf_dir):
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
