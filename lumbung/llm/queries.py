@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lumbung.llm import decontamination, fingerprint, language, minhash, pseudonyms, sentencepiece_codec, substring_dedup, suffix_dedup, toxicity
+from lumbung.llm import decontamination, fingerprint, language, minhash, pseudonyms, secrets, sentencepiece_codec, substring_dedup, suffix_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -65,3 +65,8 @@ def op5_pii_pseudonyms(spark, sf_dir):
 @register
 def op4_benchmark_decontamination(spark, sf_dir):
     return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register
+def op3_secret_scan(spark, sf_dir):
+    return secrets.scan(table(spark, sf_dir, "documents"))
