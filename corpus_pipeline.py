@@ -1,17 +1,73 @@
 """A corpus pipeline of the operators in ``lumbung.llm``.
 
-Each stage is (name, function); a function takes (spark, docs, sf_dir) and returns a
-DataFrame, which is written as Parquet and read again as the next stage's documents.
+Each stage is (name, function); a function takes (spark, docs, sf_dir) and returns a DataFrame,
+which is written as Parquet and read again as the next stage's documents. All but the last return
+the columns of ``docs``. Rows with nulls, empty texts, repeated rows and empty tables are handled
+as the operators' docstrings say. There is no oracle SQL: trained classifiers, minhashes and a
+Viterbi search have none; tests/llm/test_pipeline.py holds the stages against brute force.
 """
 
 from __future__ import annotations
 
-STAGES = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lumbung.llm import decontamination, language, minhash, secrets, sentencepiece_codec
+from lumbung.llm.common import KEY, NO_ID
+from lumbung.sources.staging import stage
+
+CONFIDENT = 0.5
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in one of the learned languages: texts without a letter or without a clear language go.
+
+    Without any labelled document nothing can be learned, and only texts without a letter go.
+    """
+    model = language.train(docs.filter(language.fold(5) != 0))
+    if model is None:
+        return docs.filter(language.has_letter(F.col("text")))
+    found = language.predict(docs, model, *docs.columns)
+    return found.filter((F.col("lang_pred") != "und") & (F.col("score") >= CONFIDENT)).select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest doc_id of each group of near copies; repeated rows count as one."""
+    keyed = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).withColumn("_th", F.xxhash64(F.coalesce("text", F.lit(""))))
+    kept = minhash.near_duplicates(docs).filter("kept").select(*KEY)
+    return keyed.join(kept, KEY, "left_semi").dropDuplicates(KEY).select(*docs.columns)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    return decontamination.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, secrets in their texts replaced by a mark."""
+    return secrets.redact(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, lang, source, ids, n_tokens, and whether the ids decode to the text."""
+    encoded = sentencepiece_codec.encode(docs, sentencepiece_codec.load(), "doc_id", "lang", "source", check=True)
+    return encoded.withColumn("n_tokens", F.coalesce(F.size("ids"), F.lit(0)).cast("long"))
+
+
+STAGES = [
+    ("language ID", language_id),
+    ("MinHash near-dedup", near_dedup),
+    ("benchmark decontamination", decontaminate),
+    ("secret scans", secret_scan),
+    ("SentencePiece encoding and decoding", encode),
+]
+
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; every intermediate result is a table in the shared folder."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, function in STAGES[:-1]:
+        docs = stage(function(spark, docs, sf_dir), name.lower().replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)
