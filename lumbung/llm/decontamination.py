@@ -12,8 +12,8 @@ are projected; their cosines with the items are estimated in the latent space, w
 the vocabulary in the passage's length. (4) Candidates are compared word by word: an item leaks if
 its longest common subsequence with the passage and its surroundings has ``SAME`` of its words, or,
 as a paraphrase, ``LIKE`` of them and ``SAME`` of its answer (its last sentence); ``LIKE`` of the words
-that are not everywhere (frequency above 0) must be among them either way, and of an answer only
-those count.
+that are not everywhere (frequency above 0) must be among them either way, by number and by weight,
+and of an answer only those count.
 
 Edge cases: null and empty texts have no passages and null or empty items match nothing; repeated
 rows give one row per doc_id and item; rows with null doc_ids are reported under null; an empty
@@ -69,7 +69,7 @@ class Items:
 class Piece:
     """Words of a run of rows, those in the vocabulary, and the half-passage each is in."""
 
-    def __init__(self, items: Items, data: np.ndarray, offsets: np.ndarray) -> None:
+    def __init__(self, items: Items, data: np.ndarray, offsets: np.ndarray, idf: np.ndarray | None = None) -> None:
         begin, end, self.counts = words(data, offsets, _APART)
         self.hashes = word_hashes(data, begin, end, lower=True)
         sizes = np.diff(self.counts)
@@ -80,7 +80,11 @@ class Piece:
         row = np.searchsorted(self.counts, self.at, "right") - 1
         self.half = self.first[row] + (self.at - self.counts[row]) // HALF
         starts = self.counts[self.row_of] + (np.arange(len(self.row_of)) - self.first[self.row_of]) * HALF
-        self.length = np.minimum(HALF, self.counts[self.row_of + 1] - starts)
+        length = np.minimum(HALF, self.counts[self.row_of + 1] - starts)
+        self.unknown = (length - np.bincount(self.half, minlength=len(length))).astype(np.float32)
+        if idf is not None:  # words that are everywhere weigh nothing
+            some = idf[self.term] > 0
+            self.at, self.term, self.half = self.at[some], self.term[some], self.half[some]
 
     def sums(self, values: np.ndarray) -> np.ndarray:
         """Sums per half-passage of a row of values for each vocabulary word."""
@@ -92,8 +96,7 @@ class Piece:
 
     def weights(self, idf: np.ndarray, outside: float) -> np.ndarray:
         """Squared length of each half-passage, words outside the vocabulary included."""
-        known = np.bincount(self.half, minlength=len(self.row_of))
-        return self.sums(idf[self.term] ** 2) + (self.length - known) * outside**2
+        return self.sums(idf[self.term] ** 2) + self.unknown * np.float32(outside**2)
 
 
 def _frequencies(items: Items):
@@ -117,7 +120,7 @@ def _sketch(items: Items, idf: np.ndarray, outside: float, start: np.ndarray):
         energy = 0.0
         for batch in batches:
             for _, data, offsets in pieces(batch.column("text")):
-                piece = Piece(items, data, offsets)
+                piece = Piece(items, data, offsets, idf)
                 value = idf[piece.term]
                 length = np.maximum(piece.weights(idf, outside), 1e-9)
                 across = piece.sums(value[:, None] * start[piece.term]) / length[:, None]
@@ -161,6 +164,12 @@ def _search(items: Items, idf: np.ndarray, outside: float, basis: np.ndarray, la
         return some if len(some) else found
 
     rare, answers = [telling(w) for w in items.words], [telling(w) for w in items.answers]
+    # Of an item's words, weighted by inverse frequency, the share LIKE must stand near a passage.
+    own = np.zeros((len(rare), len(idf)), np.float32)
+    for i, found in enumerate(items.words):
+        number = np.searchsorted(items.vocabulary, found)
+        own[i, number] = idf[number]
+    least = LIKE * own.sum(axis=1)
 
     def run(batches):
         scaled = basis * idf[:, None]
@@ -168,7 +177,7 @@ def _search(items: Items, idf: np.ndarray, outside: float, basis: np.ndarray, la
             ids = batch.column("doc_id").to_pylist()
             out = []
             for row, data, offsets in pieces(batch.column("text")):
-                piece = Piece(items, data, offsets)
+                piece = Piece(items, data, offsets, idf)
                 if not len(piece.term):
                     continue
                 vectors, length = piece.sums(scaled[piece.term]), piece.weights(idf, outside)
@@ -179,18 +188,24 @@ def _search(items: Items, idf: np.ndarray, outside: float, basis: np.ndarray, la
                 filled = np.flatnonzero((vectors != 0).any(axis=1))
                 for at in range(0, len(filled), 4096):
                     some = filled[at : at + 4096]
-                    cosines = vectors[some] @ latent.T / np.sqrt(np.maximum(length[some], 1e-9))[:, None]
-                    for p, i in zip(*np.nonzero(cosines >= COSINE), strict=True):
+                    size = np.sqrt(np.maximum(length[some], 1e-9))
+                    products = vectors[some] @ latent.T
+                    for p, i in zip(*np.nonzero(products >= COSINE * size[:, None]), strict=True):
                         r = piece.row_of[some[p]]
                         start = piece.counts[r] + (some[p] - piece.first[r]) * HALF
                         near = len(items.words[i])
                         low, high = max(piece.counts[r], start - near), min(piece.counts[r + 1], start + 2 * HALF + near)
+                        terms = piece.term[slice(*np.searchsorted(piece.at, (low, high)))]
+                        if own[i, np.unique(terms)].sum() < least[i]:
+                            continue
                         region = piece.hashes[low:high]
+                        if subsequence(rare[i], region) < LIKE * len(rare[i]):
+                            continue
                         share = subsequence(items.words[i], region) / near
-                        if share >= LIKE and subsequence(rare[i], region) >= LIKE * len(rare[i]):
+                        if share >= LIKE:
                             answer = subsequence(answers[i], region) / len(answers[i])
                             if share >= SAME or answer >= SAME:
-                                out.append((ids[row + r], items.ids[i], share, answer, float(cosines[p, i]), int(low - piece.counts[r]), int(high - piece.counts[r])))
+                                out.append((ids[row + r], items.ids[i], share, answer, float(products[p, i] / size[p]), int(low - piece.counts[r]), int(high - piece.counts[r])))
             cols = list(zip(*out, strict=True)) or [[]] * 7
             kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=NAMES)
