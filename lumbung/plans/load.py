@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from functools import partial
 
@@ -16,11 +17,13 @@ from lumbung.operators.cube import collapse, cuboid
 from lumbung.operators.dedupe import keep_first
 from lumbung.operators.keys import number_source_rows
 from lumbung.operators.star import cube_rows, wide_view
-from lumbung.sources import csv_source
+from lumbung.sources import csv_source, files
 from lumbung.sources.staging import job, stage, together
 from lumbung.sources.warehouse import BASE_BATCH, CELL_COLUMNS, CELLS, FACT, REJECTS, VIEW, Warehouse
 
 FULL_BATCH = "full"
+_BATCH_ID = re.compile(r"[A-Za-z0-9][A-Za-z0-9_.\-]*")
+_SOURCE_FILES = (v.TRANSACTION_FILE, v.CUSTOMER_FILE, v.MERCHANT_FILE, v.CALENDAR_FILE)
 
 
 @dataclass(frozen=True)
@@ -54,19 +57,29 @@ def load_full(spark: SparkSession, folder: str, root: str) -> dict:
 def load_batch(spark: SparkSession, folder: str, root: str, batch_id: str) -> dict:
     """Add a batch folder: new members, then transactions after the high-water mark, then their view rows.
 
-    Loading the same batch again, after a failure or on purpose, replaces its
-    own rows by the same rows.
+    A batch that did not finish is loaded again with its first marks. A finished one whose files are
+    the same is left alone. If its files changed, the last batch is replaced; an earlier one is
+    refused, because later batches have taken the ids after its own: load what is new as a new batch.
     """
+    if not _BATCH_ID.fullmatch(batch_id) or batch_id in (BASE_BATCH, FULL_BATCH):
+        raise ValueError(f"{batch_id!r} cannot name a batch")
     sources = read_folder(spark, folder)
     wh = Warehouse(spark, root)
     if wh.version is None:
         wh = Warehouse.fresh(spark, root)
         wh.publish()
-    return _load(wh, sources, batch_id, incremental=True)
-
-
-def _load(wh: Warehouse, sources: Sources, batch: str, incremental: bool) -> dict:
-    record = _start(wh, batch)
+    seen = {name: files.versions(spark, f"{folder}/{name}") for name in _SOURCE_FILES}
+    known = wh.load_record(batch_id)
+    if known and "rows_loaded" in known and wh.open_batch() != batch_id:
+        if known.get("files") == seen:
+            return known
+        if wh.batches()[-1] != batch_id:
+            raise ValueError(f"the files of batch {batch_id} changed after later batches were loaded; load the additions as a new batch")
+    return _load(wh, sources, batch_id, incremental=True, seen=seen)
+
+
+def _load(wh: Warehouse, sources: Sources, batch: str, incremental: bool, seen: dict | None = None) -> dict:
+    record = _start(wh, batch) | {"files": seen}
     record["max_ids_after"] = dict(record["max_ids"])
     # What this batch may see: the Unknown members and the batches started before it.
     earlier = [BASE_BATCH, *wh.batches()[: record["sequence"] - 1]]

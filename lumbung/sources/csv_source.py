@@ -15,6 +15,8 @@ from lumbung.functions.parsing import blanks_to_null
 from lumbung.operators.keys import ROW_BITS
 from lumbung.sources import files
 
+# So many rows of a name and a number are some 50 MB.
+BROADCAST_FILES = 500_000
 
 
 def sniff(spark: SparkSession, path: str) -> tuple[str, list[str]]:
@@ -68,9 +70,10 @@ def _with_source_order(raw: DataFrame, parts: list[tuple[str, str, int]]) -> Dat
     if len(parts) == 1:
         seq = F.shiftleft(block.cast("bigint"), ROW_BITS).bitwiseOR(row)
         return raw.withColumn("src_seq", seq)
-    first_blocks = F.broadcast(  # one row per source file, listed above
-        spark.createDataFrame(starts, "_file string, _first bigint")
-    )
+    # One row per source file. Spark does not know that the list is short, so the size is checked here.
+    first_blocks = spark.createDataFrame(starts, "_file string, _first bigint")
+    if len(starts) <= BROADCAST_FILES:
+        first_blocks = F.broadcast(first_blocks)
     seq = F.shiftleft(F.col("_first") + F.col("_block"), ROW_BITS).bitwiseOR(F.col("_row"))
     return (
         raw.select(

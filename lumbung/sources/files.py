@@ -25,6 +25,15 @@ def data_files(spark: SparkSession, path: str) -> list[tuple[str, str, int]]:
     return sorted(f for f in found if f[1][0] not in "_.")
 
 
+def versions(spark: SparkSession, path: str) -> list[list]:
+    """[name, bytes, time of change] of the data files behind a path; tells whether a source is the one seen before."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    found = [[s.getPath().getName(), s.getLen(), s.getModificationTime()] for s in fs.listStatus(p) if s.isFile()]
+    return sorted(f for f in found if f[0][0] not in "_.")
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     fs, p = _fs(spark, path)
     return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
@@ -60,6 +69,17 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.close()
 
 
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write beside ``path`` and rename over it, so that readers see the old text or the new one."""
+    write_text(spark, path + ".new", text)
+    jvm = spark.sparkContext._jvm
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    source, target = jvm.org.apache.hadoop.fs.Path(path + ".new"), jvm.org.apache.hadoop.fs.Path(path)
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(_fs(spark, path)[0].getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    context.rename(source, target, options)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)

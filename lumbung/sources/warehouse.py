@@ -71,7 +71,7 @@ class Warehouse:
         return wh
 
     def publish(self) -> None:
-        files.write_text(self.spark, f"{self.root}/CURRENT", self.version)
+        files.replace_text(self.spark, f"{self.root}/CURRENT", self.version)
 
     def drop_old_versions(self) -> None:
         """Remove versions CURRENT does not name; call when no reader uses them."""

@@ -194,6 +194,29 @@ def test_a_batch_can_be_loaded_again(spark, two_days):
     assert {k: x for k, x in after.items() if k != REJECTS} == {k: x for k, x in before.items() if k != REJECTS}
 
 
+def test_a_changed_earlier_batch_is_refused(spark, two_days):
+    first, second, root = two_days
+    load.load_full(spark, first, root)
+    load.load_batch(spark, second, root, "day2")
+    load.load_batch(spark, second, root, "day3")
+    before = everything(spark, root)
+    assert load.load_batch(spark, second, root, "day2")["rows_loaded"] == 2       # unchanged: left alone
+    for folder, _, names in os.walk(second):
+        for name in names:
+            os.utime(os.path.join(folder, name), (1, 1))
+    with pytest.raises(ValueError, match="changed"):
+        load.load_batch(spark, second, root, "day2")
+    assert everything(spark, root) == before
+    ids = [r.fact_id for r in Warehouse(spark, root).facts().select("fact_id").collect()]
+    assert len(ids) == len(set(ids))
+
+
+@pytest.mark.parametrize("name", ["unknown", "full", "", "a/b", "../x"])
+def test_names_that_cannot_be_batches(spark, two_days, name):
+    with pytest.raises(ValueError):
+        load.load_batch(spark, two_days[1], two_days[2], name)
+
+
 def test_an_unfinished_batch_is_finished_first(spark, two_days):
     first, second, root = two_days
     load.load_full(spark, first, root)
