@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lumbung.sources.staging import stage
+
 SHORTEST, LONGEST = 16, 200
 SAMPLE = 3000
 TREES, DEPTH = 20, 5
@@ -101,10 +103,11 @@ def train(found: DataFrame, sample: int = SAMPLE):
     from pyspark.ml.functions import array_to_vector
 
     place = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("value"), "value", F.xxhash64("features")))
-    rows = found.withColumn("place", place).filter(F.col("place") <= sample).select(F.col("label").cast("double").alias("label"), array_to_vector("features").alias("features"))
+    rows = found.withColumn("place", place).filter(F.col("place") <= sample).select(F.col("label").cast("double").alias("label"), "features")
+    rows = stage(rows, "findings")  # training reads it several times
     if rows.select("label").distinct().count() < 2:
         return None
-    return RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=3).fit(rows)
+    return RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=3).fit(rows.select("label", array_to_vector("features").alias("features")))
 
 
 def _tree(node, x: Column) -> Column:
