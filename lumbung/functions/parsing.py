@@ -28,15 +28,36 @@ def blanks_to_null(df: DataFrame, *keep: str) -> DataFrame:
     )
 
 
+def _plain(c: Column) -> Column:
+    """``1.234.567,89`` -> ``1234567.89``."""
+    return F.replace(F.replace(strip(c), F.lit("."), F.lit("")), F.lit(","), F.lit("."))
+
+
+def _too_large(number: Column) -> Column:
+    """A readable number that AMOUNT cannot hold."""
+    size = F.abs(number.try_cast("double"))
+    return number.try_cast(AMOUNT).isNull() & F.coalesce((size >= 1e15) & ~F.isnan(size), F.lit(False))
+
+
+def _amount(number: Column) -> Column:
+    return F.when(~_too_large(number), F.coalesce(number.try_cast(AMOUNT), F.lit(0).cast(AMOUNT)))
+
+
 def parse_amount(c: Column) -> Column:
-    """``1.234.567,89`` -> 1234567.89; null and unreadable text -> 0."""
-    plain = F.replace(F.replace(strip(c), F.lit("."), F.lit("")), F.lit(","), F.lit("."))
-    return F.coalesce(plain.try_cast(AMOUNT), F.lit(0).cast(AMOUNT))
+    """``1.234.567,89`` -> 1234567.89; null and unreadable text -> 0; a number out of range -> null."""
+    return _amount(_plain(c))
+
+
+def is_negative_amount(c: Column) -> Column:
+    """The sign of the amount as it is written, before it is rounded: ``-0,004`` is negative."""
+    number = _plain(c)
+    readable = number.try_cast(AMOUNT).isNotNull() | _too_large(number)
+    return readable & F.coalesce(number.try_cast("double") < 0, F.lit(False))
 
 
 def parse_fee(c: Column) -> Column:
-    """A number with a decimal point; null and unreadable text -> 0."""
-    return F.coalesce(c.try_cast(AMOUNT), F.lit(0).cast(AMOUNT))
+    """A number with a decimal point; null and unreadable text -> 0; a number out of range -> null."""
+    return _amount(c)
 
 
 def parse_transaction_date(c: Column) -> Column:

@@ -33,6 +33,7 @@ def typed_transactions(raw: DataFrame, *keep: str) -> DataFrame:
         m.city_of_fact(F.col("kota")).alias("kota"),
         m.city_member(F.col("kota")).alias("city_member"),
         p.parse_amount(F.col("nominal")).alias("nominal_transaksi"),
+        p.is_negative_amount(F.col("nominal")).alias("is_negative"),
         p.parse_fee(F.col("biaya_admin")).alias("biaya_admin"),
         *keep,
     )
@@ -40,15 +41,16 @@ def typed_transactions(raw: DataFrame, *keep: str) -> DataFrame:
 
 def fault() -> Column:
     """Why a de-duplicated row cannot be loaded, null when it can; the first fault counts."""
-    return F.when(F.col("nominal_transaksi") < 0, "negative_amount").when(
+    out_of_range = F.col("nominal_transaksi").isNull() | F.col("biaya_admin").isNull()
+    return F.when(F.col("is_negative"), "negative_amount").when(out_of_range, "amount_out_of_range").when(
         F.col("waktu_id").isNull(), "invalid_date"
     )
 
 
 def cleanse(raw: DataFrame, order_by: list, *keep: str) -> DataFrame:
-    """De-duplicate by transaction id, then drop negative amounts and unreadable dates."""
+    """De-duplicate by transaction id, then drop what has a fault."""
     first = keep_first(typed_transactions(raw, *keep), ["trx_id"], order_by)
-    return first.filter("nominal_transaksi >= 0").filter("waktu_id IS NOT NULL")
+    return first.filter(fault().isNull()).drop("is_negative")
 
 
 def _spread(code: Column, unknown_code: str) -> Column:

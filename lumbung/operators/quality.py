@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,14 +14,16 @@ def input_quality(raw: DataFrame, order_by: list) -> DataFrame:
     """One row of input counts.
 
     Faults are counted on the first copy of each transaction, each kind on its
-    own: a row with two faults counts twice. Copies are counted before the
-    shuffle, so one id with very many copies stays cheap.
+    own: a row with two faults counts twice, but a negative amount is not
+    counted as out of range too. Copies are counted before the shuffle, so one
+    id with very many copies stays cheap.
     """
     checked = raw.select(
         "trx_id",
         F.struct(
             *order_by,
-            (p.parse_amount(F.col("nominal")) < 0).alias("negative"),
+            p.is_negative_amount(F.col("nominal")).alias("negative"),
+            (p.parse_amount(F.col("nominal")).isNull() | p.parse_fee(F.col("biaya_admin")).isNull()).alias("out_of_range"),
             p.parse_transaction_date(F.col("tgl_transaksi")).isNull().alias("bad_date"),
         ).alias("first"),
     )
@@ -29,8 +33,10 @@ def input_quality(raw: DataFrame, order_by: list) -> DataFrame:
         F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicate_removed"),
         F.count_if("first.negative").alias("negative_nominal_removed"),
         F.count_if("first.bad_date").alias("invalid_date_removed"),
+        F.count_if(F.col("first.out_of_range") & ~F.col("first.negative")).alias("out_of_range_removed"),
     )
-    removed = F.col("duplicate_removed") + F.col("negative_nominal_removed") + F.col("invalid_date_removed")
+    kinds = ["duplicate_removed", "negative_nominal_removed", "invalid_date_removed", "out_of_range_removed"]
+    removed = reduce(lambda a, b: a + b, map(F.col, kinds))
     kept = F.col("total_input_rows") - F.col("total_records_removed")
     return counts.withColumn("total_records_removed", removed).withColumn(
         "data_quality_rate_pct",

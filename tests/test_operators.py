@@ -46,6 +46,12 @@ def test_one_fault_per_row(spark):
     assert [r[0] for r in rows.orderBy("src_seq").select(f.fault()).collect()] == ["negative_amount", "invalid_date", None]
 
 
+def test_amounts_out_of_range_are_faults(spark):
+    rows = f.typed_transactions(raw(spark, {"nominal": "12.345.678.901.234.567,00"}, {"biaya_admin": "1e30"}, {"nominal": "-0,004"}), "src_seq")
+    got = [r[0] for r in rows.orderBy("src_seq").select(f.fault()).collect()]
+    assert got == ["amount_out_of_range", "amount_out_of_range", "negative_amount"]
+
+
 def test_keep_first_cuts_hot_keys_before_the_shuffle(spark):
     hot = spark.range(30_000).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id"

@@ -20,6 +20,18 @@ def test_amounts(column):
     assert column(raw, p.parse_amount(F.col(X))) == [Decimal(w).quantize(Decimal("0.01")) for w in want]
 
 
+def test_amounts_out_of_range_are_null_and_never_zero(column):
+    raw = ["12.345.678.901.234.567,00", "-12.345.678.901.234.567", "9.999.999.999.999.999,99", "1e400", "nan", "-nan"]
+    want = [None, None, Decimal("9999999999999999.99"), None, Decimal(0), Decimal(0)]
+    assert column(raw, p.parse_amount(F.col(X))) == want
+    assert column(["1e20", "12345678901234567", "-1e20"], p.parse_fee(F.col(X))) == [None] * 3
+
+
+def test_the_sign_is_judged_before_rounding(column):
+    raw = ["-0,004", "0,004", "-0", "-1", "-99.999.999.999.999.999", "-x", "", None]
+    assert column(raw, p.is_negative_amount(F.col(X))) == [True, False, False, True, True, False, False, False]
+
+
 def test_fees_keep_the_point(column):
     assert column(["2500", "1.5", "", "x", None], p.parse_fee(F.col(X))) == [
         Decimal("2500.00"), Decimal("1.50"), Decimal("0.00"), Decimal("0.00"), Decimal("0.00")
