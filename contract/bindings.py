@@ -13,10 +13,11 @@ from lumbung import fixed_values as v
 from lumbung.functions import mapping as m
 from lumbung.functions.calendar import calendar, calendar_rows
 from lumbung.functions.parsing import AMOUNT
-from lumbung.plans.load import load_batch, load_full
+from lumbung.plans.load import load_batch, load_full, refresh_cube
 from lumbung.sources import files
 from lumbung.sources.staging import new_folder
 from lumbung.sources.synthetic import GENDER_SPELLINGS, SEGMENT_SPELLINGS, write_source
+from lumbung.sources.warehouse import Warehouse
 
 # The calendar ends before the last shipping day on purpose.
 CALENDAR_DAYS = ("1995-01-01", "2001-08-31")
@@ -25,6 +26,8 @@ LOADED_UNTIL = "1999-12-31"
 # Members of these kinds are new on the second day of the incremental inputs.
 NEW_SEGMENT, NEW_TYPE = "MACHINERY", "PROMO"
 UNLISTED_CITY = "Cirebon"
+# Amounts that do not fit, and whose sign is lost by rounding.
+OUT_OF_RANGE, TINY_NEGATIVE = "12.345.678.901.234.567,00", "-0,004"
 
 # Rows are distinct over all lineitem columns: together they are the source order.
 LINE_ORDER = [
@@ -68,9 +71,11 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(line % 200 != 1, channel).alias("channel"),
         F.when(line % 200 != 2, F.concat(F.lit("MCH-"), F.col("l_partkey").cast("string"))).alias("merchant_code"),
         F.when(line % 200 != 3, _cycle(F.col("c_nationkey") % 20, cities)).alias("kota"),
-        F.concat(
-            F.when(F.col("l_partkey") % 33 == 0, "-").otherwise(""),
-            F.translate(F.format_number("l_extendedprice", 2), ",.", ".,"),
+        F.when(F.col("l_partkey") % 97 == 5, OUT_OF_RANGE).when(F.col("l_partkey") % 97 == 6, TINY_NEGATIVE).otherwise(
+            F.concat(
+                F.when(F.col("l_partkey") % 33 == 0, "-").otherwise(""),
+                F.translate(F.format_number("l_extendedprice", 2), ",.", ".,"),
+            )
         ).alias("nominal"),
         F.when(line % 20 == 0, "").otherwise(((line % 3) * 2500).cast("string")).alias("biaya_admin"),
         F.struct(*LINE_ORDER).alias("src_seq"),
@@ -216,6 +221,31 @@ def incremental_warehouse(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "warehouse-2", load)
 
 
+def refreshed_warehouse(spark: SparkSession, sf_dir: str) -> str:
+    """Cells made after the first folder, and brought up to date after the batch."""
+    first, second = two_day_folders(spark, sf_dir)
+
+    def load(path: str) -> None:
+        load_full(spark, first, path)
+        refresh_cube(Warehouse(spark, path))
+        load_batch(spark, second, path, "day-two")
+        refresh_cube(Warehouse(spark, path))
+
+    return _once(spark, sf_dir, "warehouse-cells", load)
+
+
+def reloaded_warehouse(spark: SparkSession, sf_dir: str) -> str:
+    """Two batches into an empty warehouse, and then the first of them again."""
+    first, second = two_day_folders(spark, sf_dir)
+
+    def load(path: str) -> None:
+        load_batch(spark, first, path, "day-one")
+        load_batch(spark, second, path, "day-two")
+        load_batch(spark, first, path, "day-one")
+
+    return _once(spark, sf_dir, "warehouse-again", load)
+
+
 def yearly_landing(spark: SparkSession, sf_dir: str) -> str:
     """A landing folder with one batch per shipping year."""
     rows = raw_transactions(spark, sf_dir)

@@ -34,8 +34,9 @@ raw AS (
       WHEN '3-MEDIUM' THEN ' qris ' WHEN '4-NOT SPECIFIED' THEN 'ATM_LINK' ELSE 'livin' END END AS channel,
     CASE WHEN l_orderkey % 200 <> 2 THEN 'MCH-' || l_partkey END AS merchant_code,
     CASE WHEN l_orderkey % 200 <> 3 THEN ({CITY_LIST})[c_nationkey % 20 + 1] END AS kota,
-    CASE WHEN l_partkey % 33 = 0 THEN '-' ELSE '' END
-      || translate(format('{{:,.2f}}', l_extendedprice), ',.', '.,') AS nominal,
+    CASE l_partkey % 97 WHEN 5 THEN '12.345.678.901.234.567,00' WHEN 6 THEN '-0,004' ELSE
+      CASE WHEN l_partkey % 33 = 0 THEN '-' ELSE '' END
+      || translate(format('{{:,.2f}}', l_extendedprice), ',.', '.,') END AS nominal,
     CASE WHEN l_orderkey % 20 = 0 THEN NULL ELSE CAST(l_orderkey % 3 * 2500 AS VARCHAR) END AS biaya_admin,
     CAST(l_shipdate AS DATE) AS ship_day
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey)"""
@@ -44,7 +45,10 @@ MEMBER_CITY = "CASE trim(kota) WHEN 'BDG' THEN 'Bandung' WHEN 'Jkt Sel' THEN 'Ja
 MEMBER_CHANNEL = "CASE upper(trim(channel)) WHEN 'BIFAST' THEN 'BI_FAST' ELSE upper(trim(channel)) END"
 FACT_CHANNEL = """CASE WHEN upper(trim(channel)) = 'BIFAST' THEN 'BI_FAST'
       WHEN upper(trim(channel)) IN ('ATM', 'BI_FAST', 'QRIS', 'ATM_LINK', 'LIVIN') THEN upper(trim(channel)) ELSE 'UNKNOWN' END"""
-AMOUNT = "coalesce(TRY_CAST(replace(replace(trim(nominal), '.', ''), ',', '.') AS DECIMAL(18,2)), 0)"
+PLAIN = "replace(replace(trim(nominal), '.', ''), ',', '.')"
+AMOUNT = f"""CASE WHEN abs(TRY_CAST({PLAIN} AS DOUBLE)) < 1e16 OR TRY_CAST({PLAIN} AS DOUBLE) IS NULL
+      THEN coalesce(TRY_CAST({PLAIN} AS DECIMAL(18,2)), 0) END"""
+NEGATIVE = f"coalesce(TRY_CAST({PLAIN} AS DOUBLE) < 0, false)"
 DATE = "CAST(TRY_STRPTIME(tgl_transaksi, '%d-%m-%Y') AS DATE)"
 
 
@@ -56,14 +60,14 @@ def _typed(name: str, source: str, where: str = "") -> str:
     SELECT seq, trx_id, tgl_transaksi, CAST(strftime({DATE}, '%Y%m%d') AS BIGINT) AS waktu_id,
       coalesce(nasabah_code, 'UNKNOWN') AS nasabah_code, coalesce(merchant_code, 'MCH-UNKNOWN') AS merchant_code,
       {FACT_CHANNEL} AS nama_channel, coalesce({MEMBER_CITY}, 'Unknown') AS kota, {AMOUNT} AS nominal_transaksi,
-      coalesce(TRY_CAST(biaya_admin AS DECIMAL(18,2)), 0) AS biaya_admin, ship_day,
+      {NEGATIVE} AS negative, coalesce(TRY_CAST(biaya_admin AS DECIMAL(18,2)), 0) AS biaya_admin, ship_day,
       row_number() OVER (PARTITION BY trx_id ORDER BY seq) AS nth
     FROM {source} {where}) WHERE nth = 1)"""
 
 
 FIRST = RAW + "," + _typed("firsts", "raw")
 CLEAN = FIRST + """,
-clean AS (SELECT * FROM firsts WHERE nominal_transaksi >= 0 AND waktu_id IS NOT NULL)"""
+clean AS (SELECT * FROM firsts WHERE NOT negative AND nominal_transaksi IS NOT NULL AND waktu_id IS NOT NULL)"""
 
 RAW_CUSTOMER = """
 raw_customer AS (
@@ -200,8 +204,8 @@ def _per_layer(layer: str, source: str) -> str:
 TWO_DAYS = RAW + "," + _typed("first_one", "raw", "WHERE ship_day <= DATE '1999-12-31'") + "," + _typed(
     "first_two", "raw"
 ) + """,
-loaded AS (SELECT * FROM first_one WHERE nominal_transaksi >= 0 AND waktu_id IS NOT NULL),
-batch AS (SELECT * FROM first_two WHERE nominal_transaksi >= 0 AND waktu_id IS NOT NULL),
+loaded AS (SELECT * FROM first_one WHERE NOT negative AND nominal_transaksi IS NOT NULL AND waktu_id IS NOT NULL),
+batch AS (SELECT * FROM first_two WHERE NOT negative AND nominal_transaksi IS NOT NULL AND waktu_id IS NOT NULL),
 mark AS (SELECT max(waktu_id) AS waktu_id, count(*) AS n FROM loaded)"""
 TWO_DIMS = ",".join([RAW_CUSTOMER, STD_MERCHANT, CALENDAR, """
 dim_nasabah AS (
@@ -231,8 +235,10 @@ fact AS (SELECT * FROM fact_one UNION ALL SELECT * FROM fact_two)"""
 
 FACT_OUT = """SELECT fact_id, waktu_id, nasabah_id, channel_id, wilayah_id, merchant_id,
   CAST(nominal_transaksi AS DOUBLE) AS nominal_transaksi, CAST(biaya_admin AS DOUBLE) AS biaya_admin FROM fact"""
-REASON = """CASE WHEN nominal_transaksi < 0 THEN 'negative_amount' WHEN waktu_id IS NULL THEN 'invalid_date'
+REASON = """CASE WHEN negative THEN 'negative_amount' WHEN nominal_transaksi IS NULL THEN 'amount_out_of_range' WHEN waktu_id IS NULL THEN 'invalid_date'
     WHEN waktu_id NOT IN (SELECT waktu_id FROM calendar) THEN 'not_in_calendar'"""
+VIEW_TOTALS = f"""WITH {TWO_FACTS} SELECT segmen_nasabah, provinsi, CAST(sum(nominal_transaksi) AS DOUBLE) AS volume, count(*) AS n
+  FROM fact JOIN dim_nasabah USING (nasabah_id) JOIN dim_wilayah USING (wilayah_id) GROUP BY ALL"""
 LEVELS_OUT = """tahun, quarter, bulan, hari, tanggal, segmen_nasabah, jenis_kelamin, nama_lengkap, jenis_channel,
   nama_channel, region, provinsi, kota, kategori, nama_merchant, CAST(nominal_transaksi AS DOUBLE) AS nominal_transaksi,
   CAST(biaya_admin AS DOUBLE) AS biaya_admin"""
@@ -308,7 +314,7 @@ ORACLE: dict[str, str] = {
         FROM raw QUALIFY row_number() OVER (PARTITION BY trx_id ORDER BY seq) = 1""",
     "p8_p9_fact_cleanse": f"""WITH {CLEAN} SELECT trx_id, waktu_id, nasabah_code, merchant_code, nama_channel, kota,
         CAST(nominal_transaksi AS DOUBLE) AS nominal_transaksi, CAST(biaya_admin AS DOUBLE) AS biaya_admin FROM clean""",
-    "p8_p9_rejected_counts": f"""WITH {FIRST} SELECT CASE WHEN nominal_transaksi < 0 THEN 'negative_amount'
+    "p8_p9_rejected_counts": f"""WITH {FIRST} SELECT CASE WHEN negative THEN 'negative_amount' WHEN nominal_transaksi IS NULL THEN 'amount_out_of_range'
         WHEN waktu_id IS NULL THEN 'invalid_date' ELSE 'accepted' END AS reason, count(*) AS n FROM firsts GROUP BY 1""",
     "w1_surrogate_keys": "SELECT row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS order_id, o_orderkey FROM orders",
     "w2_continue_keys": """SELECT row_number() OVER (ORDER BY c_custkey) + (SELECT count(*) FROM customer WHERE c_mktsegment <> 'MACHINERY') AS nasabah_id,
@@ -329,29 +335,34 @@ ORACLE: dict[str, str] = {
         WHERE waktu_id <= (SELECT waktu_id FROM mark)""",
     "a15_high_water_mark": f"WITH {WAREHOUSE} SELECT max(waktu_id) AS max_waktu, max(fact_id) AS max_fact, count(*) AS rows FROM fact",
     "t2_dim_incremental": f"WITH {RAW}, {TWO_DIMS} SELECT * FROM dim_merchant",
+    "t2_customers_incremental": f"WITH {RAW}, {TWO_DIMS} SELECT * FROM dim_nasabah",
+    "t2_channels_incremental": f"WITH {RAW}, {TWO_DIMS} SELECT * FROM dim_channel",
+    "t2_areas_incremental": f"WITH {RAW}, {TWO_DIMS} SELECT * FROM dim_wilayah",
+    "t2_calendar_incremental": f"WITH {CALENDAR} SELECT * FROM calendar",
     "e1_full_load": f"WITH {WAREHOUSE} {FACT_OUT}",
     "e1_dim_nasabah": f"WITH {DIM_CUSTOMER} SELECT * FROM dim_nasabah",
     "e1_dim_waktu": f"WITH {CALENDAR} SELECT * FROM calendar",
     "e1_rejects": f"""WITH {FIRST}, {CALENDAR}, judged AS (SELECT trx_id, tgl_transaksi, waktu_id, {REASON} END AS reason FROM firsts)
         SELECT * FROM judged WHERE reason IS NOT NULL""",
     "e2_incremental_load": f"WITH {TWO_FACTS} {FACT_OUT}",
+    "e2_reload_batch": f"WITH {TWO_FACTS} {FACT_OUT}",
     "e2_rejects": f"""WITH {TWO_FACTS},
       judged AS (SELECT 'full' AS batch_id, {REASON} END AS reason FROM first_one
         UNION ALL SELECT 'day-two', {REASON} WHEN waktu_id <= (SELECT waktu_id FROM top) THEN 'late' END FROM first_two)
       SELECT batch_id, reason, count(*) AS n FROM judged WHERE reason IS NOT NULL GROUP BY ALL""",
     "t5_available_now_stream": f"""WITH {RAW}, {CALENDAR},
-      firsts AS (SELECT year(ship_day) AS y, seq, CAST(strftime({DATE}, '%Y%m%d') AS BIGINT) AS waktu_id, {AMOUNT} AS amount
+      firsts AS (SELECT year(ship_day) AS y, seq, CAST(strftime({DATE}, '%Y%m%d') AS BIGINT) AS waktu_id, {AMOUNT} AS amount, {NEGATIVE} AS negative
         FROM raw QUALIFY row_number() OVER (PARTITION BY year(ship_day), trx_id ORDER BY seq) = 1),
       kept AS (SELECT *, row_number() OVER (ORDER BY y, seq) AS fact_id FROM firsts
-        WHERE amount >= 0 AND waktu_id IN (SELECT waktu_id FROM calendar))
+        WHERE NOT negative AND amount IS NOT NULL AND waktu_id IN (SELECT waktu_id FROM calendar))
       SELECT 'batch_' || y AS batch_id, count(*) AS rows, min(fact_id) AS first_id, max(fact_id) AS last_id,
         CAST(sum(amount) AS DOUBLE) AS volume FROM kept GROUP BY y""",
     "e3_quality_report": f"""WITH {WAREHOUSE},
       i AS (SELECT (SELECT count(*) FROM raw) AS total_input_rows,
         (SELECT count(*) FROM raw) - count(*) AS duplicate_removed,
-        count(*) FILTER (nominal_transaksi < 0) AS negative_nominal_removed,
-        count(*) FILTER (waktu_id IS NULL) AS invalid_date_removed FROM firsts),
-      r AS (SELECT *, duplicate_removed + negative_nominal_removed + invalid_date_removed AS total_records_removed FROM i)
+        count(*) FILTER (negative) AS negative_nominal_removed, count(*) FILTER (waktu_id IS NULL) AS invalid_date_removed,
+        count(*) FILTER (nominal_transaksi IS NULL AND NOT negative) AS out_of_range_removed FROM firsts),
+      r AS (SELECT *, duplicate_removed + negative_nominal_removed + invalid_date_removed + out_of_range_removed AS total_records_removed FROM i)
       SELECT *, round_even(CAST(total_input_rows - total_records_removed AS DOUBLE) / total_input_rows * 100, 2) AS data_quality_rate_pct,
         (SELECT count(*) FROM fact WHERE nasabah_id = 0) AS unknown_nasabah, (SELECT count(*) FROM fact WHERE merchant_id = 0) AS unknown_merchant,
         (SELECT count(*) FROM fact WHERE channel_id = 0) AS unknown_channel, (SELECT count(*) FROM fact WHERE wilayah_id = 0) AS unknown_wilayah,
@@ -365,8 +376,13 @@ ORACLE: dict[str, str] = {
     "j4_star_view": f"""WITH {BANK} SELECT fact_id, tanggal, bulan, tahun, nama_lengkap, segmen_nasabah, jenis_kelamin, nama_channel, kota, provinsi,
         nama_merchant, kategori AS kategori_merchant, CAST(nominal_transaksi AS DOUBLE) AS nominal_transaksi,
         CAST(biaya_admin AS DOUBLE) AS biaya_admin FROM bank""",
-    "s11_view_rebuild": f"""WITH {TWO_FACTS} SELECT segmen_nasabah, provinsi, CAST(sum(nominal_transaksi) AS DOUBLE) AS volume, count(*) AS n
-        FROM fact JOIN dim_nasabah USING (nasabah_id) JOIN dim_wilayah USING (wilayah_id) GROUP BY ALL""",
+    "s11_view_rebuild": VIEW_TOTALS,
+    "t6_view_after_batch": VIEW_TOTALS,
+    "s11_stored_view": f"""WITH {TWO_FACTS} SELECT fact_id, tanggal, bulan, tahun, nama_lengkap, segmen_nasabah, jenis_kelamin, nama_channel,
+        kota, provinsi, nama_merchant, kategori AS kategori_merchant, CAST(nominal_transaksi AS DOUBLE) AS nominal_transaksi,
+        CAST(biaya_admin AS DOUBLE) AS biaya_admin
+        FROM fact JOIN calendar USING (waktu_id) JOIN dim_nasabah USING (nasabah_id) JOIN dim_channel USING (channel_id)
+          JOIN dim_wilayah USING (wilayah_id) JOIN dim_merchant USING (merchant_id)""",
     "j5_cube_rows": _bank(f"SELECT {LEVELS_OUT}"),
     "p17_level_defaults": f"""WITH {STAR} SELECT CASE WHEN tahun < 2001 THEN tahun ELSE 0 END AS tahun,
         CASE WHEN tahun < 2001 THEN quarter ELSE 'Unknown' END AS quarter, {VOLUME}, {COUNT} FROM star GROUP BY 1, 2""",
@@ -387,8 +403,7 @@ ORACLE: dict[str, str] = {
       UNION ALL SELECT 'min_date', 1, min(tanggal) FROM bank UNION ALL SELECT 'max_date', 1, max(tanggal) FROM bank""",
     "q1_kpi": _bank(f"SELECT {KPI}, {NO_TREND}", f"WHERE {KNOWN}"),
     "q1_kpi_mom": _trend(*[
-        f"tahun = {y} AND bulan = '{m}' AND nama_channel IN ('ATM', 'LIVIN') AND {HIDE_CUSTOMER} AND {HIDE_AREA} AND {HIDE_MERCHANT}"
-        for y, m in ((1998, "January"), (1997, "December"))
+        f"tahun = {y} AND bulan = '{m}' AND {KNOWN}" for y, m in ((1998, "January"), (1997, "December"))
     ]),
     "q1_kpi_mom_quarter": _trend(*[f"tahun = 1998 AND bulan = '{m}' AND quarter = 'Q2' AND {KNOWN}" for m in ("April", "March")]),
     "q1_kpi_empty": _bank(f"SELECT {KPI}, {NO_TREND}", f"WHERE tahun = 1900 AND {KNOWN}"),
@@ -404,12 +419,12 @@ ORACLE: dict[str, str] = {
     "q6_top_merchants": f"WITH {BANK} {TOP} 10",
     "q7_geographic": f"WITH {BANK} {GEO}",
     "q8_city_ranking": _level("kota"),
-    "q9_gender": _level("jenis_kelamin", where=f"segmen_nasabah IN ('Reguler', 'Prioritas', 'Private') AND {HIDE_CHANNEL} AND {HIDE_AREA} AND {HIDE_MERCHANT}"),
+    "q9_gender": _level("jenis_kelamin"),
     "q10_channel_by_region": _bank("SELECT kota, " + ", ".join(
         f"count(*) FILTER (nama_channel = '{x}') AS \"{x}\"" for x in ("ATM", "ATM_LINK", "BI_FAST", "LIVIN", "QRIS")
     ), f"WHERE {KNOWN} GROUP BY kota"),
     "q11_daily": _level("hari"),
-    "q12_heatmap": f"WITH {BANK} {_grid(f'tahun IN (1997, 1998) AND {KNOWN}')}",
+    "q12_heatmap": f"WITH {BANK} {_grid(KNOWN)}",
     "q13_segment_gender": _star(f"segmen_nasabah, jenis_kelamin, {VOLUME}", "1, 2"),
     "q14_city_channel": _star(f"kota, nama_channel, {COUNT}", "1, 2"),
     "q15_kpi": _star(KPI),
@@ -435,7 +450,8 @@ ORACLE: dict[str, str] = {
     "a4_average": _star(f"kategori, nama_channel, {FEE}, CAST(sum(nominal_transaksi) AS DOUBLE) / count(*) AS rata_rata_nominal", "1, 2"),
     "a9_cuboid_segment": _level("segmen_nasabah", "segmen"),
     "a14_date_bounds": _bank("SELECT min(tanggal) AS min_date, max(tanggal) AS max_date"),
-    "s17_cube_refresh": _bank(f"SELECT region, kategori, {VOLUME}, {COUNT}", "GROUP BY 1, 2"),
+    "s17_cube_refresh": f"""WITH {TWO_FACTS} SELECT region, kategori, {VOLUME}, {COUNT}
+        FROM fact JOIN dim_wilayah USING (wilayah_id) JOIN dim_merchant USING (merchant_id) GROUP BY 1, 2""",
     "w3_merchant_rank": f"WITH {BANK}, t AS ({TOP} 10) SELECT *, row_number() OVER (ORDER BY total_volume_transaksi DESC, nama_merchant) AS peringkat FROM t",
     "w4_share": f"""WITH {BANK}, t AS (SELECT kategori, {VOLUME}, {COUNT} FROM bank WHERE {KNOWN} GROUP BY kategori)
         SELECT *, round(total_volume_transaksi / sum(total_volume_transaksi) OVER (), 6) AS share,
@@ -452,7 +468,8 @@ ORACLE: dict[str, str] = {
         SELECT a.tahun, a.bulan, """ + ", ".join(
         f"CASE WHEN b.{k} <> 0 THEN round_even((CAST(a.{k} AS DOUBLE) - b.{k}) / b.{k} * 100, 2) END AS {k}_mom_pct" for k in MOM
     ) + " FROM t a LEFT JOIN t b ON b.m = a.m - 1",
-    "o7_sorted_table": f"WITH {BANK}, t AS ({TOP} 25) SELECT * FROM t ORDER BY nama_merchant DESC",
+    "o7_sorted_table": f"""WITH {BANK} SELECT row_number() OVER (ORDER BY nama_merchant DESC, kategori DESC) AS place,
+        nama_merchant, kategori, {VOLUME}, {COUNT} FROM bank WHERE {KNOWN} GROUP BY kategori, nama_merchant""",
     "a18_growth_rate": "WITH p AS (SELECT l_returnflag, l_quantity AS x, l_extendedprice AS y FROM lineitem) " + _per_layer("l_returnflag", "p"),
     "a20_run_stats": f"""SELECT tahun, count(*) AS runs, round_even(median(l_extendedprice), 3) AS median_ms, round_even(min(l_extendedprice), 3) AS min_ms,
         round_even(max(l_extendedprice), 3) AS max_ms FROM ({YEARS}) GROUP BY tahun""",

@@ -20,7 +20,7 @@ from lumbung.operators import presentation as pr
 from lumbung.operators import quality, statistics as st
 from lumbung.operators.dedupe import keep_first
 from lumbung.operators.keys import max_or_zero, number_rows, number_source_rows
-from lumbung.operators.star import VIEW_COLUMNS, cube_rows
+from lumbung.operators.star import VIEW_COLUMNS, cube_rows, level_rows
 from lumbung.plans import load, queries as q, scalability
 from lumbung.sources import csv_source, export, metrics, synthetic
 from lumbung.sources.staging import new_folder
@@ -41,10 +41,10 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     return Warehouse(spark, b.loaded_warehouse(spark, sf_dir))
 
 
-def bank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cube rows of the loaded warehouse, Unknown members included."""
+def bank(spark: SparkSession, sf_dir: str, *levels: str) -> DataFrame:
+    """Cube rows of the loaded warehouse, Unknown members included; with ``levels``, rows of those alone."""
     wh = warehouse(spark, sf_dir)
-    return cube_rows(wh.facts(), wh.dimensions())
+    return level_rows(wh.facts(), wh.dimensions(), list(levels)) if levels else cube_rows(wh.facts(), wh.dimensions())
 
 
 def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,9 +52,9 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load.refresh_cube(warehouse(spark, sf_dir))
 
 
-def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cube rows of the clean star."""
-    return cube_rows(b.clean_fact(spark, sf_dir), b.clean_dimensions(spark, sf_dir))
+def clean(spark: SparkSession, sf_dir: str, *levels: str) -> DataFrame:
+    """Rows of the clean star with the levels."""
+    return level_rows(b.clean_fact(spark, sf_dir), b.clean_dimensions(spark, sf_dir), list(levels))
 
 
 def money(*names: str) -> list:
@@ -124,7 +124,7 @@ def f10_local_number(spark, sf_dir):
 
 @register
 def f11_labels(spark, sf_dir):
-    rows = c.by_level(bank(spark, sf_dir), ["jenis_kelamin", "bulan", "hari"], [c.VOLUME])
+    rows = c.by_level(bank(spark, sf_dir, "jenis_kelamin", "bulan", "hari"), ["jenis_kelamin", "bulan", "hari"], [c.VOLUME])
     return rows.select(
         m.gender_label(F.col("jenis_kelamin")).alias("gender"),
         m.month_short(F.col("bulan")).alias("bulan"),
@@ -136,7 +136,7 @@ def f11_labels(spark, sf_dir):
 
 @register
 def f13_money_format(spark, sf_dir):
-    totals = clean(spark, sf_dir).groupBy("kategori").agg(c.total("nominal_transaksi").alias("x"))
+    totals = clean(spark, sf_dir, "kategori").groupBy("kategori").agg(c.total("nominal_transaksi").alias("x"))
     return totals.select("kategori", cal.money_label(F.col("x")).alias("volume"))
 
 
@@ -320,6 +320,28 @@ def t2_dim_incremental(spark, sf_dir):
     return wh.dimension(d.MERCHANT)
 
 
+@register
+def t2_customers_incremental(spark, sf_dir):
+    dim = Warehouse(spark, b.incremental_warehouse(spark, sf_dir)).dimension(d.CUSTOMER)
+    return dim.withColumn("tanggal_lahir", cal.day_label(F.col("tanggal_lahir")))
+
+
+@register
+def t2_channels_incremental(spark, sf_dir):
+    return Warehouse(spark, b.incremental_warehouse(spark, sf_dir)).dimension(d.CHANNEL)
+
+
+@register
+def t2_areas_incremental(spark, sf_dir):
+    return Warehouse(spark, b.incremental_warehouse(spark, sf_dir)).dimension(d.AREA)
+
+
+@register
+def t2_calendar_incremental(spark, sf_dir):
+    dim = Warehouse(spark, b.incremental_warehouse(spark, sf_dir)).dimension(d.CALENDAR)
+    return dim.withColumn("tanggal", cal.day_label(F.col("tanggal"))).withColumn("tahun", F.col("tahun").cast("bigint"))
+
+
 # -- loads --------------------------------------------------------------------
 def _facts(wh: Warehouse) -> DataFrame:
     ids = [x for x in f.FACT_COLUMNS if x not in ("nominal_transaksi", "biaya_admin")]
@@ -353,6 +375,12 @@ def e2_incremental_load(spark, sf_dir):
     return _facts(Warehouse(spark, b.incremental_warehouse(spark, sf_dir)))
 
 
+@register
+def e2_reload_batch(spark, sf_dir):
+    """Facts after an earlier batch was loaded once more behind a later one: nothing may change."""
+    return _facts(Warehouse(spark, b.reloaded_warehouse(spark, sf_dir)))
+
+
 @register
 def e2_rejects(spark, sf_dir):
     wh = Warehouse(spark, b.incremental_warehouse(spark, sf_dir))
@@ -419,7 +447,10 @@ def s16_dirty_batch(spark, sf_dir):
 # -- star joins ---------------------------------------------------------------
 @register
 def j4_star_view(spark, sf_dir):
-    view = warehouse(spark, sf_dir).view()
+    return _view_out(warehouse(spark, sf_dir).view())
+
+
+def _view_out(view: DataFrame) -> DataFrame:
     return view.select(*[
         cal.day_label(F.col(x)).alias(x) if x == "tanggal"
         else F.col(x).cast("bigint").alias(x) if x == "tahun"
@@ -432,12 +463,27 @@ def j4_star_view(spark, sf_dir):
 @register
 def s11_view_rebuild(spark, sf_dir):
     """The view rebuilt from the tables after an incremental load, totalled per segment and province."""
-    wh = Warehouse(spark, b.incremental_warehouse(spark, sf_dir))
-    return load.rebuild_view(wh).groupBy("segmen_nasabah", "provinsi").agg(
+    return _view_totals(load.rebuild_view(Warehouse(spark, b.incremental_warehouse(spark, sf_dir))))
+
+
+def _view_totals(view: DataFrame) -> DataFrame:
+    return view.groupBy("segmen_nasabah", "provinsi").agg(
         F.sum("nominal_transaksi").cast("double").alias("volume"), F.count("*").alias("n")
     )
 
 
+@register
+def s11_stored_view(spark, sf_dir):
+    """The stored view after an incremental load: every row."""
+    return _view_out(Warehouse(spark, b.incremental_warehouse(spark, sf_dir)).view())
+
+
+@register
+def t6_view_after_batch(spark, sf_dir):
+    """The stored view after an incremental load, totalled per segment and province."""
+    return _view_totals(Warehouse(spark, b.incremental_warehouse(spark, sf_dir)).view())
+
+
 @register
 def j5_cube_rows(spark, sf_dir):
     rows = bank(spark, sf_dir)
@@ -453,7 +499,7 @@ def p17_level_defaults(spark, sf_dir):
     """Clean facts against a calendar that ends early: missing levels get their defaults."""
     dims = b.clean_dimensions(spark, sf_dir)
     dims["dim_waktu"] = dims["dim_waktu"].filter("tahun < 2001")
-    rows = cube_rows(b.clean_fact(spark, sf_dir), dims)
+    rows = level_rows(b.clean_fact(spark, sf_dir), dims, ["tahun", "quarter"])
     out = c.by_level(rows, ["tahun", "quarter"], [c.VOLUME, c.COUNT])
     return out.withColumn("tahun", F.col("tahun").cast("bigint"))
 
@@ -467,7 +513,7 @@ DICED = {
 
 @register
 def p12_slice(spark, sf_dir):
-    rows = bank(spark, sf_dir).filter(flt.slice_on("nama_channel", "QRIS"))
+    rows = bank(spark, sf_dir, "nama_channel", "segmen_nasabah").filter(flt.slice_on("nama_channel", "QRIS"))
     return c.by_level(rows, ["segmen_nasabah"], [c.VOLUME, c.COUNT])
 
 
@@ -497,7 +543,7 @@ def p15_unknown_with_inclusion(spark, sf_dir):
 
 @register
 def p15_include_unknown(spark, sf_dir):
-    return _all_counts(bank(spark, sf_dir), {"include_unknown": True})
+    return _all_counts(bank(spark, sf_dir, "segmen_nasabah", "jenis_kelamin", "kategori"), {"include_unknown": True})
 
 
 # -- named queries ------------------------------------------------------------
@@ -513,7 +559,7 @@ def q1_kpi(spark, sf_dir):
 
 @register
 def q1_kpi_mom(spark, sf_dir):
-    return q.kpi(cells(spark, sf_dir), {"tahun": [1998], "bulan": ["January"], "channel": ["ATM", "LIVIN"]})
+    return q.kpi(cells(spark, sf_dir), {"tahun": [1998], "bulan": ["January"]})
 
 
 @register
@@ -568,7 +614,7 @@ def q8_city_ranking(spark, sf_dir):
 
 @register
 def q9_gender(spark, sf_dir):
-    return q.gender_distribution(cells(spark, sf_dir), {"segmen": ["Reguler", "Prioritas", "Private"]})
+    return q.gender_distribution(cells(spark, sf_dir))
 
 
 @register
@@ -583,22 +629,22 @@ def q11_daily(spark, sf_dir):
 
 @register
 def q12_heatmap(spark, sf_dir):
-    return q.heatmap(cells(spark, sf_dir), {"tahun": [1997, 1998]})
+    return q.heatmap(cells(spark, sf_dir))
 
 
 @register
 def q13_segment_gender(spark, sf_dir):
-    return q.segment_by_gender(clean(spark, sf_dir))
+    return q.segment_by_gender(clean(spark, sf_dir, "segmen_nasabah", "jenis_kelamin"))
 
 
 @register
 def q14_city_channel(spark, sf_dir):
-    return q.city_by_channel(clean(spark, sf_dir))
+    return q.city_by_channel(clean(spark, sf_dir, "kota", "nama_channel"))
 
 
 def _sample(name: str) -> Query:
     def run(spark, sf_dir):
-        out = q.sample_queries()[name](clean(spark, sf_dir))
+        out = q.sample_queries()[name](clean(spark, sf_dir, *q.SAMPLE_LEVELS[name]))
         return out.withColumn("tahun", F.col("tahun").cast("bigint")) if "tahun" in out.columns else out
 
     return run
@@ -610,7 +656,7 @@ for _name in ("kpi", "channel", "category", "city", "month", "weekday"):
 
 def _benchmark(name: str) -> Query:
     def run(spark, sf_dir):
-        out = q.benchmark_queries()[name][1](clean(spark, sf_dir))
+        out = q.benchmark_queries()[name][1](clean(spark, sf_dir, *q.BENCHMARK_LEVELS[name]))
         return out.withColumn("tahun", F.col("tahun").cast("bigint")) if "tahun" in out.columns else out
 
     return run
@@ -627,24 +673,25 @@ for _key, _name in BENCHMARKS.items():
 # -- subtotals, pre-aggregation -----------------------------------------------
 @register
 def a8_drill_down(spark, sf_dir):
-    return c.drill_down(clean(spark, sf_dir), "provinsi", [c.VOLUME, c.FEE, c.COUNT])
+    return c.drill_down(clean(spark, sf_dir, *c.HIERARCHIES["Wilayah"]), "provinsi", [c.VOLUME, c.FEE, c.COUNT])
 
 
 @register
 def a9_rollup_time(spark, sf_dir):
-    out = c.hierarchy_totals(clean(spark, sf_dir), "Waktu", [c.VOLUME, c.COUNT])
+    out = c.hierarchy_totals(clean(spark, sf_dir, *c.HIERARCHIES["Waktu"]), "Waktu", [c.VOLUME, c.COUNT])
     return out.select(F.col("tahun").cast("bigint").alias("tahun"), "quarter", "bulan", day("tanggal"),
                       F.col("depth").cast("bigint").alias("depth"), c.VOLUME, c.COUNT)
 
 
 @register
 def a9_cube_geo_channel(spark, sf_dir):
-    return c.cross_totals(clean(spark, sf_dir), ["region", "nama_channel", "segmen_nasabah"], [c.VOLUME, c.COUNT])
+    levels = ["region", "nama_channel", "segmen_nasabah"]
+    return c.cross_totals(clean(spark, sf_dir, *levels), levels, [c.VOLUME, c.COUNT])
 
 
 @register
 def a4_average(spark, sf_dir):
-    return c.by_level(clean(spark, sf_dir), ["kategori", "nama_channel"], [c.FEE, c.AVERAGE])
+    return c.by_level(clean(spark, sf_dir, "kategori", "nama_channel"), ["kategori", "nama_channel"], [c.FEE, c.AVERAGE])
 
 
 @register
@@ -655,17 +702,16 @@ def a9_cuboid_segment(spark, sf_dir):
 
 @register
 def a14_date_bounds(spark, sf_dir):
-    return bank(spark, sf_dir).agg(
+    return bank(spark, sf_dir, "tanggal").agg(
         cal.day_label(F.min("tanggal")).alias("min_date"), cal.day_label(F.max("tanggal")).alias("max_date")
     )
 
 
 @register
 def s17_cube_refresh(spark, sf_dir):
-    """Wide snapshot stored and read back: totals per region and category."""
-    path = new_folder(spark, "snapshot")
-    bank(spark, sf_dir).write.mode("overwrite").parquet(path)
-    return c.by_level(spark.read.parquet(path), ["region", "kategori"], [c.VOLUME, c.COUNT])
+    """Cells refreshed after a batch was added to a warehouse whose cells were up to date: totals per region and category."""
+    wh = Warehouse(spark, b.refreshed_warehouse(spark, sf_dir))
+    return c.by_level(wh.cells(), ["region", "kategori"], [c.VOLUME, c.COUNT])
 
 
 # -- presentation -------------------------------------------------------------
@@ -711,8 +757,10 @@ def w9_mom_series(spark, sf_dir):
 
 @register
 def o7_sorted_table(spark, sf_dir):
-    top = q.top_merchants(bank(spark, sf_dir), limit=25)
-    return pr.sorted_by(top, "nama_merchant", descending=True)
+    """All merchants by name, last first, with their place."""
+    merchants = q.top_merchants(bank(spark, sf_dir), limit=None)
+    numbered = number_rows(merchants, [F.col("nama_merchant").desc(), F.col("kategori").desc()], "place")
+    return pr.sorted_by(numbered, "nama_merchant", descending=True)
 
 
 # -- statistics ---------------------------------------------------------------

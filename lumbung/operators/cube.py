@@ -71,9 +71,17 @@ def drill_down(df: DataFrame, level: str, measures: list[str]) -> DataFrame:
     raise ValueError(f"{level} has no finer level")
 
 
+def summed(df: DataFrame, levels: list[str]) -> DataFrame:
+    """Cells of the levels: what is multiplied by grouping sets afterwards is one row per cell, not per fact."""
+    return df.groupBy(*levels).agg(
+        total("nominal_transaksi").alias("nominal_transaksi"), total("biaya_admin").alias("biaya_admin"), n_facts(df).alias("n_trx")
+    )
+
+
 def hierarchy_totals(df: DataFrame, hierarchy: str, measures: list[str]) -> DataFrame:
     """Every level's subtotals of a hierarchy; ``depth`` counts the levels that are set (0 = grand total)."""
     levels = HIERARCHIES[hierarchy]
+    df = summed(df, levels)
     rolled = df.rollup(*levels).agg(F.grouping_id().alias("_gid"), *measures_of(df, measures))
     depth = F.lit(len(levels)) - F.bit_count(F.col("_gid"))
     return rolled.select(*levels, depth.cast("int").alias("depth"), *measures)
@@ -81,6 +89,7 @@ def hierarchy_totals(df: DataFrame, hierarchy: str, measures: list[str]) -> Data
 
 def cross_totals(df: DataFrame, levels: list[str], measures: list[str]) -> DataFrame:
     """Totals for all combinations of the levels (CUBE); ``gid`` tells which are rolled up."""
+    df = summed(df, levels)
     return df.cube(*levels).agg(
         F.grouping_id().cast("bigint").alias("gid"), *measures_of(df, measures)
     )
@@ -116,8 +125,4 @@ def cuboid(df: DataFrame, finest: tuple[str, ...] = ()) -> DataFrame:
     for level in ("nama_lengkap", "nama_merchant"):
         if level not in finest:
             df = collapse(df, level)
-    return df.withColumn("unknown_in", unknown_bits()).groupBy(*LEVELS, "unknown_in").agg(
-        total("nominal_transaksi").alias("nominal_transaksi"),
-        total("biaya_admin").alias("biaya_admin"),
-        n_facts(df).alias("n_trx"),
-    )
+    return summed(df.withColumn("unknown_in", unknown_bits()), [*LEVELS, "unknown_in"])

@@ -51,13 +51,14 @@ OPTION_LEVELS = {
 def filter_options(rows: DataFrame) -> DataFrame:
     """Members present per filter, in list order, and the date bounds: (filter, urutan, nilai).
 
-    One scan: grouping sets aggregate the eight levels side by side, so only
-    distinct members are shuffled.
+    One scan: the combinations that occur are found first, and grouping sets
+    aggregate the eight levels of those side by side.
     """
     levels = list(OPTION_LEVELS.values())
     sets = [[F.col(level)] for level in levels]
-    found = rows.groupingSets([*sets, []], *levels).agg(
-        F.grouping_id().alias("_gid"), F.min("tanggal").alias("_first"), F.max("tanggal").alias("_last")
+    present = rows.groupBy(*levels).agg(F.min("tanggal").alias("_first"), F.max("tanggal").alias("_last"))
+    found = present.groupingSets([*sets, []], *levels).agg(
+        F.grouping_id().alias("_gid"), F.min("_first").alias("_first"), F.max("_last").alias("_last")
     )
     # grouping_id has a 0 bit for the one level that is set, counted from the left.
     width, everything = len(levels), (1 << len(levels)) - 1
@@ -141,11 +142,12 @@ def city_ranking(rows: DataFrame, params: Mapping | None = None) -> DataFrame:
     return _ranking(rows, params, "kota", "kota")
 
 
-def top_merchants(rows: DataFrame, params: Mapping | None = None, limit: int = 10) -> DataFrame:
-    """The ``limit`` merchants with most volume; ties go by name."""
+def top_merchants(rows: DataFrame, params: Mapping | None = None, limit: int | None = 10) -> DataFrame:
+    """The ``limit`` merchants with most volume, or all; ties go by name."""
     merchants = by_level(_filtered(rows, params), ["kategori", "nama_merchant"], [VOLUME, COUNT])
     order = [F.col(VOLUME).desc(), F.col("nama_merchant"), F.col("kategori")]
-    return merchants.orderBy(*order).limit(limit).select("nama_merchant", "kategori", VOLUME, COUNT)
+    ranked = merchants.orderBy(*order).select("nama_merchant", "kategori", VOLUME, COUNT)
+    return ranked if limit is None else ranked.limit(limit)
 
 
 # -- places, people, days -----------------------------------------------------
@@ -192,6 +194,17 @@ def city_by_channel(rows: DataFrame) -> DataFrame:
     return by_level(rows, ["kota", "nama_channel"], [COUNT])
 
 
+# The levels each of the sample and benchmark queries reads.
+SAMPLE_LEVELS = {
+    "kpi": [], "channel": ["nama_channel"], "segment_gender": ["segmen_nasabah", "jenis_kelamin"], "category": ["kategori"],
+    "city": ["kota"], "month": ["tahun", "bulan"], "weekday": ["hari"], "city_channel": ["kota", "nama_channel"],
+}
+BENCHMARK_LEVELS = {
+    "Q1_KPI": [], "Q2_MonthlyTrend": ["tahun", "bulan"], "Q3_Channel": ["nama_channel"], "Q4_Segment": ["segmen_nasabah"],
+    "Q5_City": ["kota"], "Q6_ChannelCity": ["kota", "nama_channel"], "Q7_Heatmap": ["bulan", "hari"],
+}
+
+
 def sample_queries() -> dict:
     """The cube's eight sample queries: name -> function of the rows."""
     return {
