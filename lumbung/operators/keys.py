@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from lumbung.sources.staging import stage
@@ -10,6 +10,7 @@ from lumbung.sources.staging import stage
 # Both src_seq and monotonically_increasing_id keep a row number in the low 33
 # bits and the number of the block or partition above it.
 ROW_BITS = 33
+GROUP_BITS = 12
 
 
 def number_rows(df: DataFrame, order_by: list, id_col: str, start: int | Column = 0) -> DataFrame:
@@ -48,17 +49,25 @@ def number_source_rows(
 
 def _number(placed: DataFrame, columns: list[str], id_col: str, start: int | Column, only: str | None = None) -> DataFrame:
     sizes = (placed.filter(only) if only else placed).groupBy("_part").agg(F.count("*").alias("_rows"))
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per partition of the sort, or per file block: both are known
-    # before any row is read, and there are about a million rows behind each.
-    offsets = sizes.select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    # One row per file block or partition of the sort. They are summed in groups of 4096, so the
+    # window without a key runs over one row per group, and the others over one group each.
+    sizes = sizes.withColumn("_group", F.shiftright("_part", GROUP_BITS))
+    groups = sizes.groupBy("_group").agg(F.sum("_rows").alias("_rows"))
+    groups = groups.select("_group", _sum_before(Window.orderBy("_group")).alias("_groups_before"))
+    within = sizes.select("_part", "_group", _sum_before(Window.partitionBy("_group").orderBy("_part")).alias("_parts_before"))
+    offsets = within.join(groups, "_group").select("_part", (F.col("_groups_before") + F.col("_parts_before")).alias("_before"))
     number = F.col("_before") + F.col("_row") + (start if isinstance(start, Column) else F.lit(start))
     if only:
         number = F.when(F.col(only), number)
-    numbered = placed.join(F.broadcast(offsets), "_part", "left")
+    # Staged, so that Spark knows its size and broadcasts it only below the threshold.
+    numbered = placed.join(stage(offsets, "offsets"), "_part", "left")
     return numbered.select(number.cast("bigint").alias(id_col), *columns)
 
 
+def _sum_before(window: WindowSpec) -> Column:
+    return F.coalesce(F.sum("_rows").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+
 def max_or_zero(df: DataFrame, column: str) -> DataFrame:
     """One row: the largest value, 0 when there is none."""
     return df.agg(F.coalesce(F.max(column), F.lit(0)).cast("bigint").alias(column))
