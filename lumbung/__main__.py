@@ -9,12 +9,19 @@ from pyspark.sql import SparkSession
 from lumbung.fixed_values import TRANSACTION_FILE
 from lumbung.operators.quality import quality_report
 from lumbung.plans import load
-from lumbung.sources import csv_source, export
+from lumbung.sources import csv_source, export, synthetic
 from lumbung.sources.synthetic import write_batches
 from lumbung.sources.warehouse import Warehouse
 from lumbung.streaming.batches import load_available
 
 
+GENERATOR_OPTIONS = {
+    "n_customers": synthetic.BATCH_CUSTOMERS, "n_merchants": synthetic.BATCH_MERCHANTS, "n_transactions": synthetic.BATCH_TRANSACTIONS,
+    "first_customer": synthetic.FIRST_CUSTOMER, "first_merchant": synthetic.FIRST_MERCHANT, "first_transaction": synthetic.FIRST_TRANSACTION,
+    "seed": 42, "first_day": synthetic.FIRST_DAY, "last_day": synthetic.LAST_DAY,
+}
+
+
 def _arguments() -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="lumbung")
     jobs = parser.add_subparsers(dest="job", required=True)
@@ -31,6 +38,8 @@ def _arguments() -> argparse.Namespace:
     job("quality", "data-quality report of a source folder", "folder", "warehouse")
     job("export", "ordered CSVs of all tables", "warehouse", "folder")
     job("generate", "write dirty batches", "folder", "batches")
+    for option, default in GENERATOR_OPTIONS.items():
+        jobs.choices["generate"].add_argument(f"--{option.replace('_', '-')}", type=type(default), default=default)
     return parser.parse_args()
 
 
@@ -51,7 +60,8 @@ def main() -> None:
     elif args.job == "export":
         export.export_all(Warehouse(spark, args.warehouse), args.folder)
     elif args.job == "generate":
-        print("\n".join(write_batches(spark, args.folder, int(args.batches))))
+        options = {option: getattr(args, option) for option in GENERATOR_OPTIONS}
+        print("\n".join(write_batches(spark, args.folder, int(args.batches), **options)))
 
 
 if __name__ == "__main__":

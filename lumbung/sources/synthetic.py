@@ -6,6 +6,7 @@ however it is partitioned.
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,6 +25,12 @@ FEES = ["0", "2500", "6500"]
 # --- Fixed values: first and last transaction day of all batches ---------------
 FIRST_DAY, LAST_DAY = "2026-04-12", "2030-12-31"
 CALENDAR_DAYS = ("2001-01-01", "2030-12-31")
+# --- Fixed values: numbers and sizes of the first batch -------------------------
+BATCH_CUSTOMERS, BATCH_MERCHANTS, BATCH_TRANSACTIONS = 1000, 100, 10_000
+FIRST_CUSTOMER, FIRST_MERCHANT, FIRST_TRANSACTION = 11_001, 5101, 205_000
+KNOWN_CUSTOMER, KNOWN_MERCHANT = 10_001, 5001
+
+PRIME = (1 << 31) - 1
 
 
 @dataclass(frozen=True)
@@ -38,9 +45,16 @@ class Pool:
         return F.concat(F.lit(self.prefix), (F.lit(self.first) + _draw(seed, salt, self.size)).cast("string"))
 
 
-def _draw(seed: int, salt: str, n: int) -> Column:
-    """A number in 0 .. n-1 for the row."""
-    return F.pmod(F.xxhash64(F.col("id"), F.lit(salt), F.lit(seed)), F.lit(n))
+def _draw(seed: int, salt: str, n: int | Column) -> Column:
+    """A number in 0 .. n-1 for the row, by integer arithmetic that any SQL engine repeats.
+
+    The row number is squared twice modulo a prime; salt and seed give the constant added between.
+    """
+    key = F.lit((zlib.crc32(salt.encode()) * 31 + seed) % PRIME).cast("bigint")
+    x = (F.pmod(F.col("id").cast("bigint"), F.lit(PRIME)) + key) % PRIME
+    y = x * 48271 % PRIME
+    z = (y * y + key) % PRIME * 69621 % PRIME
+    return (z * z + x) % PRIME % n
 
 
 def _choice(seed: int, salt: str, values: list[str]) -> Column:
@@ -49,8 +63,7 @@ def _choice(seed: int, salt: str, values: list[str]) -> Column:
 
 def _day_between(seed: int, salt: str, first: str, last: str) -> Column:
     start, end = F.lit(first).cast("date"), F.lit(last).cast("date")
-    offset = F.pmod(F.xxhash64(F.col("id"), F.lit(salt), F.lit(seed)), F.datediff(end, start) + 1)
-    return F.date_add(start, offset.cast("int"))
+    return F.date_add(start, _draw(seed, salt, F.datediff(end, start) + 1).cast("int"))
 
 
 def customers(ids: DataFrame, seed: int) -> DataFrame:
@@ -132,9 +145,9 @@ def date_chunks(spark: SparkSession, batches: int, first: str = FIRST_DAY, last:
 
 
 def write_batches(
-    spark: SparkSession, folder: str, batches: int = 20, n_customers: int = 1000, n_merchants: int = 100,
-    n_transactions: int = 10_000, first_customer: int = 11_001, first_merchant: int = 5101,
-    first_transaction: int = 205_000, seed: int = 42, first_day: str = FIRST_DAY, last_day: str = LAST_DAY,
+    spark: SparkSession, folder: str, batches: int = 20, n_customers: int = BATCH_CUSTOMERS, n_merchants: int = BATCH_MERCHANTS,
+    n_transactions: int = BATCH_TRANSACTIONS, first_customer: int = FIRST_CUSTOMER, first_merchant: int = FIRST_MERCHANT,
+    first_transaction: int = FIRST_TRANSACTION, seed: int = 42, first_day: str = FIRST_DAY, last_day: str = LAST_DAY,
 ) -> list[str]:
     """Write ``batch_01 .. batch_NN``; transactions refer to every code issued so far. Returns the folders.
 
@@ -146,8 +159,8 @@ def write_batches(
         new_customer = first_customer + nth * n_customers
         new_merchant = first_merchant + nth * n_merchants
         new_transaction = first_transaction + nth * n_transactions
-        customer_pool = Pool("N-", 10_001, new_customer + n_customers - 10_001)
-        merchant_pool = Pool("MCH-", 5001, new_merchant + n_merchants - 5001)
+        customer_pool = Pool("N-", KNOWN_CUSTOMER, new_customer + n_customers - KNOWN_CUSTOMER)
+        merchant_pool = Pool("MCH-", KNOWN_MERCHANT, new_merchant + n_merchants - KNOWN_MERCHANT)
         write_source(customers(spark.range(new_customer, new_customer + n_customers), seed), f"{path}/{v.CUSTOMER_FILE}")
         write_source(merchants(spark.range(new_merchant, new_merchant + n_merchants), seed), f"{path}/{v.MERCHANT_FILE}")
         ids = spark.range(new_transaction, new_transaction + n_transactions)
