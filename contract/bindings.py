@@ -13,6 +13,7 @@ from lumbung import fixed_values as v
 from lumbung.functions import mapping as m
 from lumbung.functions.calendar import calendar, calendar_rows
 from lumbung.functions.parsing import AMOUNT
+from lumbung.operators.star import LEVELS_OF
 from lumbung.plans.load import load_batch, load_full, refresh_cube
 from lumbung.sources import files
 from lumbung.sources.staging import new_folder
@@ -113,14 +114,19 @@ def calendar_days(spark: SparkSession) -> DataFrame:
 
 
 # -- clean star ---------------------------------------------------------------
-def clean_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    return lines(spark, sf_dir).join(customer, F.col("o_custkey") == F.col("c_custkey")).select(
-        F.col("l_shipdate").cast("date").alias("waktu_id"),
-        F.col("o_custkey").alias("nasabah_id"),
-        F.col("o_orderpriority").alias("channel_id"),
-        F.col("c_nationkey").alias("wilayah_id"),
-        F.col("l_partkey").alias("merchant_id"),
+def clean_fact(spark: SparkSession, sf_dir: str, *levels: str) -> DataFrame:
+    """Facts with the ids of the dimensions that have the levels; orders and customers are read only for those."""
+    ids = {key for key, own in LEVELS_OF.values() if set(own) & set(levels)}
+    source = {
+        "waktu_id": F.col("l_shipdate").cast("date"), "nasabah_id": F.col("o_custkey"), "channel_id": F.col("o_orderpriority"),
+        "wilayah_id": F.col("c_nationkey"), "merchant_id": F.col("l_partkey"),
+    }
+    rows = lines(spark, sf_dir) if ids & {"nasabah_id", "channel_id", "wilayah_id"} else table(spark, sf_dir, "lineitem")
+    if "wilayah_id" in ids:
+        customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+        rows = rows.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    return rows.select(
+        *[column.alias(key) for key, column in source.items() if key in ids],
         F.col("l_extendedprice").cast(AMOUNT).alias("nominal_transaksi"),
         (F.col("l_extendedprice").cast(AMOUNT) * F.col("l_tax").cast("decimal(4,2)")).cast(AMOUNT).alias("biaya_admin"),
     )

@@ -2,7 +2,36 @@
 
 from __future__ import annotations
 
-from lumbung.fixed_values import CITY_COORDS, CITY_INFO, DEFAULT_COORDS
+from zlib import crc32
+
+# --- Fixed values: cities, (city, province, island) in master order ------------
+CITY_INFO = [
+    ("Jakarta Selatan", "DKI Jakarta", "Jawa"),
+    ("Bandung", "Jawa Barat", "Jawa"),
+    ("Surabaya", "Jawa Timur", "Jawa"),
+    ("Semarang", "Jawa Tengah", "Jawa"),
+    ("Yogyakarta", "DI Yogyakarta", "Jawa"),
+    ("Medan", "Sumatera Utara", "Sumatera"),
+    ("Palembang", "Sumatera Selatan", "Sumatera"),
+    ("Padang", "Sumatera Barat", "Sumatera"),
+    ("Pekanbaru", "Riau", "Sumatera"),
+    ("Banjarmasin", "Kalimantan Selatan", "Kalimantan"),
+    ("Balikpapan", "Kalimantan Timur", "Kalimantan"),
+    ("Pontianak", "Kalimantan Barat", "Kalimantan"),
+    ("Makassar", "Sulawesi Selatan", "Sulawesi"),
+    ("Manado", "Sulawesi Utara", "Sulawesi"),
+    ("Denpasar", "Bali", "Bali & Nusa Tenggara"),
+    ("Jayapura", "Papua", "Papua"),
+]
+# --- Fixed values: map positions (city, latitude, longitude) and the default centre
+CITY_COORDS = [
+    ("Bandung", -6.9175, 107.6191),
+    ("Jakarta Selatan", -6.2615, 106.8106),
+    ("Surabaya", -7.2575, 112.7521),
+    ("Medan", 3.5952, 98.6722),
+    ("Yogyakarta", -7.7956, 110.3695),
+]
+DEFAULT_COORDS = (-2.5489, 118.0149)
 
 ORDER = (
     "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, "
@@ -14,12 +43,12 @@ def _text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
-CITY_LIST = "[" + ", ".join(_text(c) for c in CITY_INFO) + ", 'BDG', 'Jkt Sel', 'SBY', 'Cirebon']"
+CITY_LIST = "[" + ", ".join(_text(c) for c, _, _ in CITY_INFO) + ", 'BDG', 'Jkt Sel', 'SBY', 'Cirebon']"
 CITIES = "(VALUES " + ", ".join(
-    f"({i}, {_text(c)}, {_text(p)}, {_text(r)})" for i, (c, (p, r)) in enumerate(CITY_INFO.items(), 1)
+    f"({i}, {_text(c)}, {_text(p)}, {_text(r)})" for i, (c, p, r) in enumerate(CITY_INFO, 1)
 ) + ") AS city(pos, kota, provinsi, region)"
 COORDS = "(VALUES " + ", ".join(
-    f"({_text(c)}, CAST({lat} AS DOUBLE), CAST({lon} AS DOUBLE))" for c, (lat, lon) in CITY_COORDS.items()
+    f"({_text(c)}, CAST({lat} AS DOUBLE), CAST({lon} AS DOUBLE))" for c, lat, lon in CITY_COORDS
 ) + ") AS place(kota, lat, lon)"
 
 # -- building blocks: WITH parts, in the order they build on each other --------
@@ -259,6 +288,36 @@ def _counts(where: str) -> str:
     return _bank(f"SELECT segmen_nasabah, jenis_kelamin, kategori, {VOLUME}, {COUNT}", f"WHERE {where} GROUP BY ALL")
 
 
+def _roll(salt: str, n: int | str) -> str:
+    """A draw of the generator for an order: its key squared twice modulo a prime, with a constant of the salt."""
+    prime = 2147483647
+    key = (crc32(salt.encode()) * 31 + 42) % prime
+    x = f"((CAST(o_orderkey AS BIGINT) % {prime} + {key}) % {prime})"
+    y = f"({x} * 48271 % {prime})"
+    z = f"((({y} * {y}) + {key}) % {prime} * 69621 % {prime})"
+    return f"(({z} * {z} + {x}) % {prime} % {n})"
+
+
+def _pick(salt: str, values: list[str]) -> str:
+    return f"([{', '.join(map(_text, values))}])[{_roll(salt, len(values))} + 1]"
+
+
+GENERATED_CITIES = [c for c, _, _ in CITY_INFO] + ["BDG", "Jkt Sel", "SBY"]
+GENERATED = f"""WITH drawn AS (SELECT *, CASE WHEN {_roll('unknown', 100)} < 2 THEN {_roll('which', 4)} ELSE -1 END AS blank,
+    unnest(CASE WHEN {_roll('copy', 100)} < 2 THEN [0, 1] ELSE [0] END) AS nth FROM orders)
+  SELECT 'TRX-' || o_orderkey AS trx_id,
+    CASE WHEN {_roll('date', 100)} < 2 THEN '' WHEN {_roll('date', 100)} < 4 THEN '31-13-2026' ELSE strftime(
+      DATE '2026-04-12' + CAST({_roll('day', "(DATE '2030-12-31' - DATE '2026-04-12' + 1)")} AS INTEGER), '%d-%m-%Y') END AS tgl_transaksi,
+    CASE WHEN blank = 0 THEN '' ELSE 'N-' || {_roll('customer', '(SELECT count(*) FROM customer)')} END AS nasabah_code,
+    CASE WHEN blank = 2 THEN '' ELSE {_pick('channel', ['ATM', 'BI_FAST', 'BIFAST', 'bifast', 'QRIS', 'qris', 'ATM_LINK', 'LIVIN', 'livin'])} END AS channel,
+    CASE WHEN blank = 1 THEN '' ELSE 'MCH-' || {_roll('merchant', '(SELECT count(*) FROM part)')} END AS merchant_code,
+    CASE WHEN blank = 3 THEN '' ELSE {_pick('city', GENERATED_CITIES)} END AS kota,
+    CASE WHEN {_roll('sign', 100)} < 3 THEN '-' ELSE '' END
+      || replace(format('{{:,}}', 10000 + {_roll('amount', 9990001)}), ',', '.')
+      || CASE WHEN {_roll('has_cents', 100)} < 20 THEN ',' || lpad(CAST({_roll('cents', 100)} AS VARCHAR), 2, '0') ELSE '' END AS nominal,
+    CASE WHEN {_roll('no_fee', 100)} < 5 THEN '' ELSE {_pick('fee', ['0', '2500', '6500'])} END AS biaya_admin
+  FROM drawn"""
+
 YEARS = "SELECT CAST(year(l_shipdate) AS BIGINT) AS tahun, * FROM lineitem"
 QUARTILES = """years AS (SELECT CAST(year(l_shipdate) AS BIGINT) AS tahun, l_extendedprice AS x,
     row_number() OVER (PARTITION BY year(l_shipdate) ORDER BY l_extendedprice) AS rn,
@@ -376,6 +435,7 @@ ORACLE: dict[str, str] = {
     "j4_star_view": f"""WITH {BANK} SELECT fact_id, tanggal, bulan, tahun, nama_lengkap, segmen_nasabah, jenis_kelamin, nama_channel, kota, provinsi,
         nama_merchant, kategori AS kategori_merchant, CAST(nominal_transaksi AS DOUBLE) AS nominal_transaksi,
         CAST(biaya_admin AS DOUBLE) AS biaya_admin FROM bank""",
+    "s16_dirty_batch": GENERATED,
     "s11_view_rebuild": VIEW_TOTALS,
     "t6_view_after_batch": VIEW_TOTALS,
     "s11_stored_view": f"""WITH {TWO_FACTS} SELECT fact_id, tanggal, bulan, tahun, nama_lengkap, segmen_nasabah, jenis_kelamin, nama_channel,

@@ -54,7 +54,7 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clean(spark: SparkSession, sf_dir: str, *levels: str) -> DataFrame:
     """Rows of the clean star with the levels."""
-    return level_rows(b.clean_fact(spark, sf_dir), b.clean_dimensions(spark, sf_dir), list(levels))
+    return level_rows(b.clean_fact(spark, sf_dir, *levels), b.clean_dimensions(spark, sf_dir), list(levels))
 
 
 def money(*names: str) -> list:
@@ -499,7 +499,7 @@ def p17_level_defaults(spark, sf_dir):
     """Clean facts against a calendar that ends early: missing levels get their defaults."""
     dims = b.clean_dimensions(spark, sf_dir)
     dims["dim_waktu"] = dims["dim_waktu"].filter("tahun < 2001")
-    rows = level_rows(b.clean_fact(spark, sf_dir), dims, ["tahun", "quarter"])
+    rows = level_rows(b.clean_fact(spark, sf_dir, "tahun", "quarter"), dims, ["tahun", "quarter"])
     out = c.by_level(rows, ["tahun", "quarter"], [c.VOLUME, c.COUNT])
     return out.withColumn("tahun", F.col("tahun").cast("bigint"))
 

@@ -1,12 +1,14 @@
 """Keys, de-duplication, members, facts: small frames and hot keys."""
 
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from lumbung.operators import dimensions as d
 from lumbung.operators import facts as f
+from lumbung.operators import keys, star
 from lumbung.operators.dedupe import keep_first
 from lumbung.operators.keys import max_or_zero, number_rows, number_source_rows
 
@@ -71,6 +73,36 @@ def test_number_rows_is_dense_and_in_order(spark, hot):
     assert got == [(101 + i, a, b) for i, (a, b) in enumerate(sorted(values))]
 
 
+def test_numbers_run_on_over_groups_of_blocks(spark, monkeypatch):
+    monkeypatch.setattr(keys, "GROUP_BITS", 1)
+    rows = spark.range(50).select((F.shiftleft(F.col("id") % 9, keys.ROW_BITS) + F.col("id")).alias("src_seq"))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        numbered = number_source_rows(rows, "id")
+        assert "BroadcastHashJoin" not in plan(numbered)
+        assert [r.id for r in numbered.orderBy("src_seq").collect()] == list(range(1, 51))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_unknown_facts_are_spread_and_keep_their_member(spark):
+    fact = spark.range(4000).select(
+        F.lit(20260101).cast("bigint").alias("waktu_id"), (F.col("id") % 2).alias("nasabah_id"), F.lit(0).cast("bigint").alias("merchant_id"),
+        F.lit(Decimal("1.00")).alias("nominal_transaksi"), F.lit(Decimal("0.00")).alias("biaya_admin"), F.col("id").alias("fact_id"),
+    )
+    dims = {
+        "dim_nasabah": spark.createDataFrame([(0, "Unknown", "U", "Unknown"), (1, "Ani", "P", "Private")],
+                                             "nasabah_id bigint, nama_lengkap string, jenis_kelamin string, segmen_nasabah string"),
+        "dim_merchant": spark.createDataFrame([(0, "Unknown Merchant", "Unknown")], "merchant_id bigint, nama_merchant string, kategori string"),
+    }
+    joined = star._joined(fact, dims, ["nama_lengkap", "jenis_kelamin", "nama_merchant"])
+    got = {tuple(r) for r in joined.groupBy("nama_lengkap", "jenis_kelamin", "nama_merchant").count().collect()}
+    assert got == {("Unknown", "U", "Unknown Merchant", 2000), ("Ani", "P", "Unknown Merchant", 2000)}
+    cells = star.level_rows(fact, dims, ["jenis_kelamin"])
+    assert {(r.jenis_kelamin, r.n_trx) for r in cells.collect()} == {("U", 2000), ("P", 2000)}
+
+
 def test_number_source_rows_follows_blocks(spark):
     seqs = [(block << 33) | row for block in range(-1, 5) for row in range(0, 200, 1 + abs(block))]
     flags = [(s, i % 4 != 0) for i, s in enumerate(seqs)]
