@@ -8,8 +8,9 @@ from pyspark.sql import SparkSession
 
 from lumbung.fixed_values import TRANSACTION_FILE
 from lumbung.operators.quality import quality_report
-from lumbung.plans import load
-from lumbung.sources import csv_source, export, synthetic
+from lumbung.plans import load, scalability
+from lumbung.session import TUNING
+from lumbung.sources import csv_source, export, metrics, synthetic
 from lumbung.sources.synthetic import write_batches
 from lumbung.sources.warehouse import Warehouse
 from lumbung.streaming.batches import load_available
@@ -35,7 +36,8 @@ def _arguments() -> argparse.Namespace:
     job("incremental", "add a batch folder", "folder", "warehouse", "batch")
     job("stream", "add all new batch folders of a landing folder", "landing", "warehouse", "checkpoint")
     job("refresh", "bring the cube up to date", "warehouse")
-    job("quality", "data-quality report of a source folder", "folder", "warehouse")
+    job("quality", "append the data-quality report of a source folder to the metrics", "folder", "warehouse", "metrics")
+    job("report", "summaries of the stored metrics", "metrics")
     job("export", "ordered CSVs of all tables", "warehouse", "folder")
     job("generate", "write dirty batches", "folder", "batches")
     for option, default in GENERATOR_OPTIONS.items():
@@ -46,6 +48,10 @@ def _arguments() -> argparse.Namespace:
 def main() -> None:
     args = _arguments()
     spark = SparkSession.builder.appName(f"lumbung {args.job}").getOrCreate()
+    submitted = spark.sparkContext.getConf()
+    for key, value in TUNING.items():
+        if key.startswith("spark.sql.") and not submitted.contains(key):
+            spark.conf.set(key, value)
     if args.job == "full":
         print(load.load_full(spark, args.folder, args.warehouse))
     elif args.job == "incremental":
@@ -56,7 +62,11 @@ def main() -> None:
         load.refresh_cube(Warehouse(spark, args.warehouse))
     elif args.job == "quality":
         raw = csv_source.read_mandatory(spark, args.folder, TRANSACTION_FILE)
-        quality_report(raw, ["src_seq"], Warehouse(spark, args.warehouse).facts()).show(truncate=False)
+        report = quality_report(raw, ["src_seq"], Warehouse(spark, args.warehouse).facts())
+        metrics.append_metrics(report, args.metrics, "data_quality")
+        metrics.read_metrics(spark, args.metrics, "data_quality").show(truncate=False)
+    elif args.job == "report":
+        scalability.write_report(spark, args.metrics)
     elif args.job == "export":
         export.export_all(Warehouse(spark, args.warehouse), args.folder)
     elif args.job == "generate":

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumbung.functions.calendar import scale_index
 from lumbung.operators.statistics import class_average, growth_rate, rank_by_growth
+from lumbung.sources import metrics
 
 RATE = ["growth_rate_ms_per_1k", "r2"]
 ETL, CUBE = "ETL Pipeline", "Cube Construction"
@@ -69,6 +70,14 @@ def bottlenecks(etl: DataFrame, cube: DataFrame, query: DataFrame) -> DataFrame:
     return ranked.select("rank", "layer", *RATE, "is_bottleneck").orderBy("rank")
 
 
+def write_report(spark: SparkSession, folder: str) -> None:
+    """The four summaries of the metrics stored in the folder, written beside them."""
+    etl, cube, query = (metrics.read_metrics(spark, folder, f"{kind}_benchmark") for kind in ("etl", "cube", "query"))
+    metrics.write_summaries({
+        "etl": etl_summary(etl), "cube": cube_summary(cube), "query": query_summary(query), "bottleneck": bottlenecks(etl, cube, query),
+    }, folder)
+
+
 def memory_growth(cube: DataFrame) -> DataFrame:
     """MB per 1000 rows, over the cube builds."""
     return growth_rate(cube, [], "n_rows", "median_memory_mb").select(

@@ -13,6 +13,10 @@ SCHEMAS = {
                       "max_build_sec double, median_memory_mb double",
     "query_benchmark": "scale string, n_rows bigint, query string, complexity string, median_ms double, "
                        "p25_ms double, p75_ms double, min_ms double, max_ms double",
+    "data_quality": "total_input_rows bigint, duplicate_removed bigint, negative_nominal_removed bigint, "
+                    "invalid_date_removed bigint, out_of_range_removed bigint, total_records_removed bigint, "
+                    "data_quality_rate_pct double, unknown_nasabah bigint, unknown_merchant bigint, "
+                    "unknown_channel bigint, unknown_wilayah bigint, fact_rows_in_db bigint",
 }
 
 

@@ -126,3 +126,23 @@ def test_metrics_round_trip(spark, tmp_path):
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, frame.collect()))
     metrics.write_summaries({"cube": scalability.cube_summary(back)}, folder)
     assert spark.read.option("header", True).csv(f"{folder}/summary_cube.csv").count() == 4
+
+
+def test_report_and_quality_rows_are_stored(spark, tmp_path):
+    folder = str(tmp_path / "metrics")
+    rows = raw(spark, {"trx_id": "A"}, {"trx_id": "A"}, {"trx_id": "B", "nominal": "99.999.999.999.999.999"})
+    facts = spark.createDataFrame([(0, 1, 1, 1)], "nasabah_id bigint, merchant_id bigint, channel_id bigint, wilayah_id bigint")
+    for _ in range(2):
+        metrics.append_metrics(quality.quality_report(rows, ["src_seq"], facts), folder, "data_quality")
+    stored = metrics.read_metrics(spark, folder, "data_quality").collect()
+    assert [(r.duplicate_removed, r.out_of_range_removed, r.total_records_removed, r.unknown_nasabah) for r in stored] == [(1, 1, 2, 1)] * 2
+    scales = [("S", 1000), ("M", 2000), ("L", 4000)]
+    for kind, values in {
+        "etl_benchmark": [(s, "full", n, n, n / 100.0, 100.0) for s, n in scales],
+        "cube_benchmark": [(s, n, n / 1000.0, 1.0, 2.0, n / 10.0) for s, n in scales],
+        "query_benchmark": [(s, n, "Q1", "simple", n / 50.0, 1.0, 2.0, 0.5, 3.0) for s, n in scales],
+    }.items():
+        metrics.append_metrics(spark.createDataFrame(values, metrics.SCHEMAS[kind]), folder, kind)
+    scalability.write_report(spark, folder)
+    sizes = {name: spark.read.option("header", True).csv(f"{folder}/summary_{name}.csv").count() for name in ("etl", "cube", "query", "bottleneck")}
+    assert sizes == {"etl": 3, "cube": 3, "query": 3, "bottleneck": 3}
