@@ -1,4 +1,4 @@
-"""Benchmark decontamination by latent semantic retrieval, then subsequence and answer checks.
+"""Benchmark decontamination: a word-count bound finds candidates, subsequence and answer checks decide, a latent space ranks.
 
 Words are runs of letters and digits, lower-cased in ASCII; a passage is two neighbouring
 half-passages of ``HALF`` words. Items are taken in blocks of ``ITEMS``, each a query set that is
@@ -7,13 +7,15 @@ corpus each of the block's words occurs, for its inverse frequency (0 above one
 randomised SVD of the TF-IDF matrix: every task multiplies its rows with a random matrix of
 ``RANK + 8`` columns and back (A'A R); Spark sums the results by word; the items are rows too, with
 four times the corpus's energy, so that the leading vectors span them. The left singular vectors of
-the sum, words x ``RANK``, are what is broadcast: bounded by the block's vocabulary. (3) Passages
-are projected; their cosines with the items are estimated in the latent space, with words outside
-the vocabulary in the passage's length. (4) Candidates are compared word by word: an item leaks if
+the sum, words x ``RANK``, are what is broadcast: bounded by the block's vocabulary. (3) For every
+passage and item the item's words near the passage are counted (``Bound``); pairs that no subsequence
+could bring to ``LIKE`` go, and no others: an item that stands in much of the corpus, where its words
+weigh next to nothing, is found like a rare one. (4) Candidates are compared word by word: an item leaks if
 its longest common subsequence with the passage and its surroundings has ``SAME`` of its words, or,
 as a paraphrase, ``LIKE`` of them and ``SAME`` of its answer (its last sentence); ``LIKE`` of the words
 that are not everywhere (frequency above 0) must be among them either way, by number and by weight,
-and of an answer only those count.
+and of an answer only those count. Of a pair that leaks the cosine is estimated in the latent space,
+with words outside the vocabulary in the passage's length.
 
 Edge cases: null and empty texts have no passages and null or empty items match nothing; repeated
 rows give one row per doc_id and item; rows with null doc_ids are reported under null; an empty
@@ -34,8 +36,8 @@ from lumbung.llm.common import column_bytes, pieces, word_hashes, words
 HALF = 32
 ITEMS = 1000
 RANK = 64
-COSINE = 0.25
 SAME, LIKE = 0.8, 0.6
+CHUNK, MANY = 1024, 8
 
 _APART = np.zeros(256, bool)
 _APART[[b for b in range(128) if not chr(b).isalnum()]] = True
@@ -153,6 +155,80 @@ def subsequence(item: np.ndarray, passage: np.ndarray) -> int:
     return len(item) - state.bit_count()
 
 
+def _by_reach(found: list[np.ndarray]) -> list[tuple[int, np.ndarray]]:
+    """Items by the number of half-passages that their length reaches beyond a passage."""
+    reach = np.array([-(-len(w) // HALF) for w in found])
+    return [(int(r), np.flatnonzero(reach == r)) for r in np.unique(reach)]
+
+
+class Bound:
+    """Items of one reach, and which of them a passage and its surroundings can hold at all.
+
+    Counted are an item's words, as often as it has them, that stand anywhere in the half-passages around a
+    passage. No subsequence is longer, so nothing that passes the check is left out, whatever else stands there.
+    """
+
+    def __init__(self, reach: int, those: np.ndarray, found: list[np.ndarray], vocabulary: np.ndarray) -> None:
+        self.reach, self.those = reach, those
+        pairs = [np.unique(np.searchsorted(vocabulary, w), return_counts=True) for w in found]
+        term, times = (np.concatenate([p[k] for p in pairs]) for k in (0, 1))
+        item = np.repeat(np.arange(len(found)), [len(p[0]) for p in pairs])
+        self.least = np.array([LIKE * len(w) - 1e-6 for w in found], np.float32)
+        degree = np.bincount(term, minlength=len(vocabulary))
+        # Words of many items are multiplied as a matrix, the others are added one by one.
+        many = np.flatnonzero(degree >= MANY)
+        self.column = np.full(len(vocabulary), -1)
+        self.column[many] = np.arange(len(many))
+        self.matrix = np.zeros((len(many), len(found)), np.float32)
+        wide = self.column[term] >= 0
+        self.matrix[self.column[term[wide]], item[wide]] = times[wide]
+        by = np.argsort(term[~wide], kind="stable")
+        self.item, self.times = item[~wide][by], times[~wide][by].astype(np.float32)
+        self.degree = np.where(degree < MANY, degree, 0)
+        self.ptr = np.cumsum(self.degree) - self.degree
+        self.used = degree > 0
+
+    def _spans(self, piece: Piece) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Words and the passages (first, end) that have them near; spans of one word do not overlap."""
+        some = np.flatnonzero(self.used[piece.term])
+        key = np.unique(piece.term[some] * len(piece.row_of) + piece.half[some])
+        term, half = np.divmod(key, max(1, len(piece.row_of)))
+        row = piece.row_of[half]
+        first = np.maximum(half - 1 - self.reach, piece.first[row])
+        end = np.minimum(half + self.reach + 1, piece.first[row] + piece.halves[row])
+        again = np.append(False, term[1:] == term[:-1])[: len(term)]
+        again[1:] &= row[1:] == row[:-1]
+        first[1:] = np.where(again[1:], np.maximum(first[1:], end[:-1]), first[1:])
+        full = np.flatnonzero(first < end)
+        by = full[np.argsort(first[full], kind="stable")]
+        return term[by], first[by], end[by]
+
+    def pairs(self, piece: Piece):
+        """(passage, item), passages by their first half-passage."""
+        term, first, end = self._spans(piece)
+        longest = int((end - first).max()) if len(term) else 0
+        for low in range(0, len(piece.row_of) if len(term) else 0, CHUNK):
+            high = min(low + CHUNK, len(piece.row_of))
+            some = slice(*np.searchsorted(first, (low - longest, high)))
+            t, a, b = term[some], np.maximum(first[some], low), np.minimum(end[some], high)
+            t, a, b = t[a < b], a[a < b] - low, b[a < b] - low
+            size, items = high - low + 1, len(self.those)
+            col = self.column[t]
+            wide = col >= 0
+            width = len(self.matrix)
+            steps = np.bincount(a[wide] * width + col[wide], minlength=size * width) - np.bincount(b[wide] * width + col[wide], minlength=size * width)
+            near = steps.reshape(size, width).astype(np.float32) @ self.matrix
+            t, a, b = t[~wide], a[~wide], b[~wide]
+            degree = self.degree[t]
+            at = np.repeat(self.ptr[t] - np.cumsum(degree) + degree, degree) + np.arange(degree.sum())
+            item, times = self.item[at], self.times[at]
+            cells = np.bincount(np.repeat(a * items, degree) + item, times, minlength=size * items)
+            cells -= np.bincount(np.repeat(b * items, degree) + item, times, minlength=size * items)
+            near += cells.reshape(size, items)
+            p, i = np.nonzero(np.cumsum(near, axis=0)[:-1] >= self.least)
+            yield from zip((p + low).tolist(), self.those[i].tolist(), strict=True)
+
+
 def _search(items: Items, idf: np.ndarray, outside: float, basis: np.ndarray, latent: np.ndarray):
     """``latent``: an item's vector, scaled so that the product with a passage's vector over its length is their cosine."""
 
@@ -164,10 +240,11 @@ def _search(items: Items, idf: np.ndarray, outside: float, basis: np.ndarray, la
         return some if len(some) else found
 
     rare, answers = [telling(w) for w in items.words], [telling(w) for w in items.answers]
+    numbers = [np.searchsorted(items.vocabulary, w) for w in items.words]
+    bounds = [Bound(r, those, [rare[i] for i in those], items.vocabulary) for r, those in _by_reach(items.words)]
     # Of an item's words, weighted by inverse frequency, the share LIKE must stand near a passage.
     own = np.zeros((len(rare), len(idf)), np.float32)
-    for i, found in enumerate(items.words):
-        number = np.searchsorted(items.vocabulary, found)
+    for i, number in enumerate(numbers):
         own[i, number] = idf[number]
     least = LIKE * own.sum(axis=1)
 
@@ -177,35 +254,28 @@ def _search(items: Items, idf: np.ndarray, outside: float, basis: np.ndarray, la
             ids = batch.column("doc_id").to_pylist()
             out = []
             for row, data, offsets in pieces(batch.column("text")):
-                piece = Piece(items, data, offsets, idf)
-                if not len(piece.term):
-                    continue
-                vectors, length = piece.sums(scaled[piece.term]), piece.weights(idf, outside)
-                # the second half of a passage, if the row has one
-                more = np.append(piece.row_of[1:] == piece.row_of[:-1], False)
-                vectors[:-1] += vectors[1:] * more[:-1, None]
-                length[:-1] += length[1:] * more[:-1]
-                filled = np.flatnonzero((vectors != 0).any(axis=1))
-                for at in range(0, len(filled), 4096):
-                    some = filled[at : at + 4096]
-                    size = np.sqrt(np.maximum(length[some], 1e-9))
-                    products = vectors[some] @ latent.T
-                    for p, i in zip(*np.nonzero(products >= COSINE * size[:, None]), strict=True):
-                        r = piece.row_of[some[p]]
-                        start = piece.counts[r] + (some[p] - piece.first[r]) * HALF
-                        near = len(items.words[i])
-                        low, high = max(piece.counts[r], start - near), min(piece.counts[r + 1], start + 2 * HALF + near)
-                        terms = piece.term[slice(*np.searchsorted(piece.at, (low, high)))]
-                        if own[i, np.unique(terms)].sum() < least[i]:
-                            continue
-                        region = piece.hashes[low:high]
-                        if subsequence(rare[i], region) < LIKE * len(rare[i]):
-                            continue
-                        share = subsequence(items.words[i], region) / near
-                        if share >= LIKE:
-                            answer = subsequence(answers[i], region) / len(answers[i])
-                            if share >= SAME or answer >= SAME:
-                                out.append((ids[row + r], items.ids[i], share, answer, float(products[p, i] / size[p]), int(low - piece.counts[r]), int(high - piece.counts[r])))
+                piece = Piece(items, data, offsets)
+                length = piece.weights(idf, outside)
+                for p, i in (pair for bound in bounds for pair in bound.pairs(piece)):
+                    r = piece.row_of[p]
+                    start = piece.counts[r] + (p - piece.first[r]) * HALF
+                    near = len(items.words[i])
+                    low, high = max(piece.counts[r], start - near), min(piece.counts[r + 1], start + 2 * HALF + near)
+                    # words outside the vocabulary are in no item
+                    terms = piece.term[slice(*np.searchsorted(piece.at, (low, high)))]
+                    if own[i, np.unique(terms)].sum() < least[i]:
+                        continue
+                    region = items.vocabulary[terms]
+                    if subsequence(rare[i], region) < LIKE * len(rare[i]):
+                        continue
+                    share = subsequence(items.words[i], region) / near
+                    if share >= LIKE:
+                        answer = subsequence(answers[i], region) / len(answers[i])
+                        if share >= SAME or answer >= SAME:
+                            last = p + 2 if p + 1 < len(piece.row_of) and piece.row_of[p + 1] == r else p + 1
+                            inside = piece.term[slice(*np.searchsorted(piece.half, (p, last)))]
+                            cosine = scaled[inside].sum(axis=0) @ latent[i] / np.sqrt(max(length[p:last].sum(), 1e-9))
+                            out.append((ids[row + r], items.ids[i], share, answer, float(cosine), int(low - piece.counts[r]), int(high - piece.counts[r])))
             cols = list(zip(*out, strict=True)) or [[]] * 7
             kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=NAMES)

@@ -80,3 +80,20 @@ def test_empty_tables(spark):
     docs, bench = spark.createDataFrame([(1, "a b", 1, "")], DOCS), spark.createDataFrame([], ITEMS)
     assert dc.leaks(docs, bench).collect() == [] and dc.clean(docs, bench).count() == 1
     assert dc.leaks(docs.limit(0), spark.createDataFrame([(1, "a b", 1)], ITEMS)).collect() == []
+
+
+def test_hot_items_are_found(spark):
+    """An item in a third of the documents, and one in all of them, as copied passages among other words."""
+    for every in (3, 1):
+        rng = random.Random(every)
+        _, items, _ = tables(7)
+        rare = [f"o{i}x" for i in range(3000)]
+        docs = []
+        for d in range(300):
+            ws = rng.choices(rare, k=rng.choice([20, 40]))
+            if d % every == 0:
+                ws[7:7] = items[5][1].split()
+            docs.append((d, " ".join(ws), 1, "x"))
+        got = dc.leaks(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)).collect()
+        assert {(r.doc_id, r.item_id) for r in got} == {(d, 5) for d in range(0, 300, every)}
+        assert all(r.same_words == 1 for r in got)
