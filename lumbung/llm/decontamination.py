@@ -13,8 +13,8 @@ could bring to ``LIKE`` go, and no others: an item that stands in much of the co
 weigh next to nothing, is found like a rare one. (4) Candidates are compared word by word: an item leaks if
 its longest common subsequence with the passage and its surroundings has ``SAME`` of its words, or,
 as a paraphrase, ``LIKE`` of them and ``SAME`` of its answer (its last sentence); ``LIKE`` of the words
-that are not everywhere (frequency above 0) must be among them either way, by number and by weight,
-and of an answer only those count. Of a pair that leaks the cosine is estimated in the latent space,
+that are not everywhere (frequency above 0) must be among them either way, and of an answer
+only those count. Of a pair that leaks the cosine is estimated in the latent space,
 with words outside the vocabulary in the passage's length.
 
 Edge cases: null and empty texts have no passages and null or empty items match nothing; repeated
@@ -240,13 +240,7 @@ def _search(items: Items, idf: np.ndarray, outside: float, basis: np.ndarray, la
         return some if len(some) else found
 
     rare, answers = [telling(w) for w in items.words], [telling(w) for w in items.answers]
-    numbers = [np.searchsorted(items.vocabulary, w) for w in items.words]
     bounds = [Bound(r, those, [rare[i] for i in those], items.vocabulary) for r, those in _by_reach(items.words)]
-    # Of an item's words, weighted by inverse frequency, the share LIKE must stand near a passage.
-    own = np.zeros((len(rare), len(idf)), np.float32)
-    for i, number in enumerate(numbers):
-        own[i, number] = idf[number]
-    least = LIKE * own.sum(axis=1)
 
     def run(batches):
         scaled = basis * idf[:, None]
@@ -262,10 +256,7 @@ def _search(items: Items, idf: np.ndarray, outside: float, basis: np.ndarray, la
                     near = len(items.words[i])
                     low, high = max(piece.counts[r], start - near), min(piece.counts[r + 1], start + 2 * HALF + near)
                     # words outside the vocabulary are in no item
-                    terms = piece.term[slice(*np.searchsorted(piece.at, (low, high)))]
-                    if own[i, np.unique(terms)].sum() < least[i]:
-                        continue
-                    region = items.vocabulary[terms]
+                    region = items.vocabulary[piece.term[slice(*np.searchsorted(piece.at, (low, high)))]]
                     if subsequence(rare[i], region) < LIKE * len(rare[i]):
                         continue
                     share = subsequence(items.words[i], region) / near

@@ -97,3 +97,31 @@ def test_hot_items_are_found(spark):
         got = dc.leaks(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)).collect()
         assert {(r.doc_id, r.item_id) for r in got} == {(d, 5) for d in range(0, 300, every)}
         assert all(r.same_words == 1 for r in got)
+
+
+def test_paraphrases_equal_brute_force(spark):
+    """Items with their rarest words changed and the answer kept: all that the checks accept are found."""
+    rng = random.Random(11)
+    common, rare = [f"c{i}x" for i in range(40)], [f"r{i}x" for i in range(3000)]
+    items, docs = [], []
+    for i in range(40):
+        ws = [rng.choice(rare) if rng.random() < .35 else rng.choice(common) for _ in range(rng.randint(14, 50))]
+        items.append((i, " ".join(ws[:-5]).capitalize() + ". " + " ".join(ws[-5:]) + ".", 1))
+    for d in range(300):
+        ws = rng.choices(common + rare[:400], k=20)
+        if d % 2:
+            leak, changes = rng.choice(items)[1].split(), rng.choice([.2, .5, 1])
+            leak = [f"n{rng.randrange(3000)}x" if j < len(leak) - 5 and w.lower().startswith("r") and rng.random() < changes else w for j, w in enumerate(leak)]
+            ws[9:9] = leak
+        docs.append((d, " ".join(ws), 1, "x"))
+    truth = set()
+    for i, text, _ in items:
+        item, answer = dc.hashes_of([text])[0], dc.hashes_of([text.split(". ")[1]])[0]
+        for d, doc, *_ in docs:
+            found = dc.hashes_of([doc])[0]
+            share = dc.subsequence(item, found) / len(item)
+            if share >= dc.SAME or share >= dc.LIKE and dc.subsequence(answer, found) / len(answer) >= dc.SAME:
+                truth.add((d, i))
+    assert len(truth) > 60
+    got = dc.leaks(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == truth
