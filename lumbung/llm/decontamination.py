@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumbung.llm.common import column_bytes, pieces, word_hashes, words
+from lumbung.llm.common import KEY, NO_ID, column_bytes, keyed, pieces, word_hashes, words
 
 HALF = 32
 ITEMS = 1000
@@ -245,7 +245,7 @@ def _search(items: Items, idf: np.ndarray, outside: float, basis: np.ndarray, la
     def run(batches):
         scaled = basis * idf[:, None]
         for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
+            ids = list(zip(*(batch.column(c).to_pylist() for c in ("doc_id", *KEY)), strict=True))
             out = []
             for row, data, offsets in pieces(batch.column("text")):
                 piece = Piece(items, data, offsets)
@@ -266,16 +266,17 @@ def _search(items: Items, idf: np.ndarray, outside: float, basis: np.ndarray, la
                             last = p + 2 if p + 1 < len(piece.row_of) and piece.row_of[p + 1] == r else p + 1
                             inside = piece.term[slice(*np.searchsorted(piece.half, (p, last)))]
                             cosine = scaled[inside].sum(axis=0) @ latent[i] / np.sqrt(max(length[p:last].sum(), 1e-9))
-                            out.append((ids[row + r], items.ids[i], share, answer, float(cosine), int(low - piece.counts[r]), int(high - piece.counts[r])))
-            cols = list(zip(*out, strict=True)) or [[]] * 7
-            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64(), pa.int64()]
+                            out.append((*ids[row + r], items.ids[i], share, answer, float(cosine), int(low - piece.counts[r]), int(high - piece.counts[r])))
+            cols = list(zip(*out, strict=True)) or [[]] * len(NAMES)
+            kinds = [*[pa.int64()] * 4, pa.float64(), pa.float64(), pa.float64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=NAMES)
 
     return run
 
 
-NAMES = ["doc_id", "item_id", "same_words", "same_answer", "cosine", "first_word", "last_word"]
-FOUND = "doc_id long, item_id long, same_words double, same_answer double, cosine double, first_word long, last_word long"
+NAMES = ["doc_id", *KEY, "item_id", "same_words", "same_answer", "cosine", "first_word", "last_word"]
+LEAK = "item_id long, same_words double, same_answer double, cosine double, first_word long, last_word long"
+FOUND = "doc_id long, _id long, _th long, " + LEAK
 
 
 def _leaks_of(rows: DataFrame, items: Items) -> DataFrame:
@@ -306,9 +307,9 @@ def _leaks_of(rows: DataFrame, items: Items) -> DataFrame:
     return rows.mapInArrow(_search(items, idf, outside, basis, latent), FOUND)
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, block: int = ITEMS) -> DataFrame:
-    """doc_id, item_id, same_words, same_answer, cosine, first_word, last_word: the best passage of each document and item."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+def _found(docs: DataFrame, benchmark: DataFrame, block: int) -> DataFrame | None:
+    """Leaks of every passage with doc_id and the row's key; None without items."""
+    rows = keyed(docs)
     queries = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter(F.col("text").rlike(r"[\p{L}\p{N}]")).orderBy("item_id", "text")
     found, ids, texts = None, [], []
 
@@ -325,13 +326,23 @@ def leaks(docs: DataFrame, benchmark: DataFrame, block: int = ITEMS) -> DataFram
         if len(ids) == block:
             close()
     close()
+    return found
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, block: int = ITEMS) -> DataFrame:
+    """doc_id, item_id, same_words, same_answer, cosine, first_word, last_word: the best passage of each document and item."""
+    found = _found(docs, benchmark, block)
     if found is None:
-        return docs.sparkSession.createDataFrame([], FOUND)
+        return docs.sparkSession.createDataFrame([], "doc_id long, " + LEAK)
     best = F.max(F.struct("same_words", "same_answer", "cosine", "first_word", "last_word")).alias("best")
     return found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.*")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents without a leak, all columns; null doc_ids are kept unless one of them leaks."""
-    bad = leaks(docs, benchmark).select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col("_bad")), "left_anti")
+    """The documents without a leak, all columns; documents that share a doc_id, or have none, are judged by their own texts."""
+    found = _found(docs, benchmark, ITEMS)
+    if found is None:
+        return docs
+    bad = found.select(F.col("_id").alias("_bad_id"), F.col("_th").alias("_bad_th")).distinct()
+    row_id = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
+    return docs.join(bad, (row_id == F.col("_bad_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_bad_th")), "left_anti")

@@ -125,3 +125,12 @@ def test_paraphrases_equal_brute_force(spark):
     assert len(truth) > 60
     got = dc.leaks(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)).collect()
     assert {(r.doc_id, r.item_id) for r in got} == truth
+
+
+def test_clean_documents_stay_beside_a_leak_with_their_id(spark):
+    _, items, _ = tables(3)
+    clean = [(None, f"nothing of it {i}", 1, "x") for i in range(20)] + [(None, None, 1, "x"), (7, "another text", 1, "x"), (7, None, 1, "x")]
+    leaking = [(None, "before it " + items[2][1], 1, "x"), (7, items[3][1] + " after it", 1, "x"), (7, items[3][1] + " after it", 1, "x")]
+    docs, bench = spark.createDataFrame(clean + leaking, DOCS), spark.createDataFrame(items, ITEMS)
+    assert sorted(map(tuple, dc.clean(docs, bench).collect()), key=str) == sorted(clean, key=str)
+    assert {(r.doc_id, r.item_id) for r in dc.leaks(docs, bench).collect()} == {(None, 2), (7, 3)}
