@@ -6,10 +6,10 @@ themselves. Documents with equal sets are one node from here on. (2) Tensoring:
 keyed by sub-key i of the first collection and sub-key j of the second, so 2 * HALF * WIDTH
 minhashes serve HALF * HALF tables. Sub-keys that one node only has are dropped before pairs of
 them are formed. Two sets of similarity s meet with probability (1 - (1 - s^WIDTH)^HALF)^2;
-at 0.85 they miss with about two in a hundred thousand. (3) Nodes of a bucket join the group of
+at 0.85 they miss with about two in a hundred thousand, at 0.80 with about four in ten thousand. (3) Nodes of a bucket join the group of
 the bucket's smallest node, so a group of near copies is listed once and not once a table. In
 blocks of bounded size, and pairs of such blocks, minhashes tell which nodes have a partner at
-all: ``REACH`` of them equal, four standard deviations below the threshold. (4) Blocks of what is
+all: ``reach`` of them equal, which a pair at the threshold misses with a chance of ``MISSED`` at most. (4) Blocks of what is
 left get the texts, make the full sets anew and confirm every link between nodes that are not yet
 connected, the smallest node first. They put out one link for each node at most, never a pair that
 is not linked. Two nodes that meet in a table are compared or connected in a common group, so no
@@ -23,6 +23,8 @@ name it null and are kept); an empty table gives an empty result; other columns
 
 from __future__ import annotations
 
+from math import comb
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -36,13 +38,23 @@ from lumbung.sources.staging import stage
 
 HALF, WIDTH = 12, 3
 MINHASHES = 2 * HALF * WIDTH
-REACH = 0.68
+MISSED = 4e-5  # chance that a pair just at the threshold has fewer equal minhashes than asked for
 NODES, SHINGLES = 1000, 400_000  # of a block
 _RNG = np.random.default_rng(85)
 _XOR = _RNG.integers(1, 1 << 63, MINHASHES, dtype=np.uint64)
 _ODD = _RNG.integers(1, 1 << 63, MINHASHES, dtype=np.uint64) | np.uint64(1)
 
 
+def reach(percent: int) -> int:
+    """Equal minhashes asked of a pair: the most that one at the threshold lacks with a chance of ``MISSED`` at most."""
+    chance, below = percent / 100, 0.0
+    for n in range(MINHASHES):
+        below += comb(MINHASHES, n) * chance**n * (1 - chance) ** (MINHASHES - n)
+        if below > MISSED:
+            return n
+    return MINHASHES
+
+
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of every row, sorted within the row, and the offsets of the rows."""
     begin, end, counts = words(data, offsets)
@@ -150,23 +162,29 @@ def _comparable(part: np.ndarray, i: int, two: bool) -> np.ndarray:
     return later[(part[later] != part[i])] if two and part[i] >= 0 else later
 
 
-def _partnered(pdf: pd.DataFrame) -> pd.DataFrame:
+def _partnered(least: int):
     """Members with a partner within reach in their block pair."""
-    sig = np.frombuffer(b"".join(pdf["sig"]), np.uint16).reshape(len(pdf), -1)
-    part, x, y = (pdf[c].to_numpy() for c in ("part", "x", "y"))
-    found = np.zeros(len(pdf), bool)
-    for rows in _groups(pdf):
-        two, parts = x[rows[0]] != y[rows[0]], part[rows]
-        for nth, i in enumerate(rows.tolist()):
-            j = rows[_comparable(parts, nth, two)]
-            if len(j):
-                j = j[(sig[j] == sig[i]).mean(axis=1) >= REACH]
-                found[j] = True
-                found[i] |= len(j) > 0
-    return pdf.loc[found & (part >= 0), ["u1", "u2", "n1", "n2"]]
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        sig = np.frombuffer(b"".join(pdf["sig"]), np.uint16).reshape(len(pdf), -1)
+        part, x, y = (pdf[c].to_numpy() for c in ("part", "x", "y"))
+        found = np.zeros(len(pdf), bool)
+        for rows in _groups(pdf):
+            two, parts = x[rows[0]] != y[rows[0]], part[rows]
+            for nth, i in enumerate(rows.tolist()):
+                j = rows[_comparable(parts, nth, two)]
+                if len(j):
+                    j = j[(sig[j] == sig[i]).sum(axis=1) >= least]
+                    found[j] = True
+                    found[i] |= len(j) > 0
+        return pdf.loc[found & (part >= 0), ["u1", "u2", "n1", "n2"]]
+
+    return run
 
 
 def _linked(k: int, percent: int):
+    least = reach(percent)
+
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         sets = []
         for _, data, offsets in pieces(pa.array(pdf["text"], pa.large_string())):
@@ -188,7 +206,7 @@ def _linked(k: int, percent: int):
                 j = j[label[j] != label[i]]
                 common = np.minimum(most[j], most[i])
                 j = j[100 * common >= percent * (size[j] + size[i] - common)]
-                j = j[(sig[rows[j]] == sig[rows[i]]).mean(axis=1) >= REACH]
+                j = j[(sig[rows[j]] == sig[rows[i]]).sum(axis=1) >= least]
                 for other in j.tolist():
                     if label[other] != label[i]:
                         common = len(np.intersect1d(own[i], own[other], assume_unique=True))
@@ -207,7 +225,7 @@ def confirmed_links(stars: DataFrame, nodes: DataFrame, rows: DataFrame, k: int,
     n = nodes.select("node", "n")
     signed = nodes.select("node", "sig")
     partnered = _named(_dealt(stars.join(n, "node")).join(signed, "node")).groupBy("shard").applyInPandas(
-        _partnered, "u1 long, u2 long, n1 long, n2 long")
+        _partnered(reach(percent)), "u1 long, u2 long, n1 long, n2 long")
     pair = [F.struct(F.col(c + "1").alias("s1"), F.col(c + "2").alias("s2")).alias(to) for c, to in (("u", "u"), ("n", "node"))]
     members = stage(partnered.distinct().select(*pair), "members")
     wanted = stage(members.select("node").unionByName(members.select(F.col("u").alias("node"))).distinct(), "wanted")

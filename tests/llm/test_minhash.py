@@ -87,3 +87,16 @@ def test_minhashes_estimate_similarity():
     b = np.concatenate([a[:2700], rng.integers(1, 1 << 63, 300, dtype=np.uint64)])
     sig, _ = mh.signatures(np.concatenate([a, b]), np.array([0, 3000]))
     assert abs((sig[0] == sig[1]).mean() - 2700 / 3300) < 0.2
+
+
+def test_filter_follows_the_threshold(spark):
+    """At 80 percent the minhash filter loses no more links than at 85."""
+    rng = np.random.default_rng(6)
+    assert (mh.reach(80), mh.reach(85)) == (43, 48)
+    for percent in (80, 85):
+        equal = rng.binomial(mh.MINHASHES, percent / 100, 200_000)
+        assert (equal < mh.reach(percent)).mean() < 2 * mh.MISSED
+    base = [f"w{i}" for i in range(60)]
+    near = [*base[:30], "x", *base[31:]]  # 51 of 61 shingles in common
+    df = spark.createDataFrame([(1, " ".join(base), 1, "x"), (2, " ".join(near), 1, "x")], SCHEMA)
+    assert {p: sorted(r.component_id for r in mh.near_duplicates(df, percent=p).collect()) for p in (80, 85)} == {80: [1, 1], 85: [1, 2]}
