@@ -1,7 +1,8 @@
 """Secret scans: a random forest removes false positives among candidate strings, DataFrame functions only.
 
-Candidates are strings of ``SHORTEST`` to ``LONGEST`` characters of keys, tokens and paths, with a
-digit, an assignment or a provider format; at most two shorter words before each are its neighbours. Features: length;
+Candidates are whole runs of ``SHORTEST`` or more characters of keys, tokens and paths, with a
+digit, an assignment or a provider format, and whatever non-blank value of ``ASSIGNED`` or more characters is
+assigned to a credential's name; at most two shorter words before each are its neighbours. Features: length;
 shares of digits, capitals, small letters; share of neighbouring characters that change class or
 case; share of distinct characters; share covered by dictionary words; path separators; whether it
 is assigned, quoted, all hexadecimal, named like a credential, or passes as a plain number.
@@ -24,13 +25,13 @@ from pyspark.sql import functions as F
 
 from lumbung.sources.staging import stage
 
-SHORTEST, LONGEST = 16, 200
+SHORTEST, ASSIGNED = 16, 6
 SAMPLE = 3000
 TREES, DEPTH = 20, 5
 SECRET = "<SECRET>"
 
 # Names that credentials are assigned to, provider formats and frequent words (fixed values).
-NAMES = "password passwd pwd token secret api_key apikey access_key auth key credential private_key client_secret bearer"
+NAMES = "password passwd pass pwd token secret api_key apikey access_key auth key credential private_key client_secret bearer"
 FORMATS = r"^(?:AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[A-Za-z0-9]{36}$|^xox[abprs]-[A-Za-z0-9-]{10,}$|^AIza[0-9A-Za-z_-]{35}$|^sk_live_[0-9A-Za-z]{16,}$"
 WORDS = (
     "the and that with for was are this from have not you all were her his they will would there their what about which when one can said "
@@ -39,8 +40,10 @@ WORDS = (
 )
 _NAMES = "|".join(NAMES.split())
 _WORDS = "|".join(w for w in WORDS.split() if len(w) >= 3)
-_PLAIN = rf"[A-Za-z0-9_\-/+=.~:]{{{SHORTEST},{LONGEST}}}"
-CONTEXT = rf"(?:(?<!\S)\S{{1,{SHORTEST - 1}}}\s{{1,4}}){{0,2}}(?:[\"'(<\[{{]{{0,2}}[A-Za-z_]{{1,30}}[=:][\"']?)?[\"'(<\[{{]{{0,2}}{_PLAIN}"
+_PLAIN = rf"[A-Za-z0-9_\-/+=.~:]{{{SHORTEST},}}+"
+_GIVEN = rf"[\"'(<\[{{]{{0,2}}(?=[\w.\-]{{1,60}}[\"']?\s{{0,4}}[=:])([\w.\-]{{0,60}}?(?<![A-Za-z])(?i:{_NAMES}))[\"']?\s{{0,4}}[=:]{{1,2}}\s{{0,4}}"
+_VALUE = rf"(\"[^\"\s]{{{ASSIGNED},}}+\"?|'[^'\s]{{{ASSIGNED},}}+'?|[^\s\"']\S{{{ASSIGNED - 1},}}+)"
+CONTEXT = rf"(?<![\w.\-]){_GIVEN}{_VALUE}|(?:(?<!\S)(?!{_GIVEN}{_VALUE})\S{{1,{SHORTEST - 1}}}\s{{1,4}}){{0,2}}(?!{_GIVEN}{_VALUE})(?:[\"'(<\[{{]{{0,2}}[A-Za-z_]{{1,30}}[=:][\"']?)?[\"'(<\[{{]{{0,2}}{_PLAIN}"
 _KEY_VALUE = r"^[\"'(<\[{]{0,2}([A-Za-z_]{1,30})[=:][\"']?(.+)$"
 FEATURES = ["length", "digits", "capitals", "small", "changes", "distinct", "dictionary", "path", "assigned", "quoted", "hexadecimal", "named", "number"]
 
@@ -53,16 +56,21 @@ def _parts(context: Column) -> Column:
     joined = (F.regexp_extract(token, _KEY_VALUE, 1) != "") & (F.length(inner) >= SHORTEST)
     before = F.regexp_extract(context, r"(\S+)\s+[=:]{1,2}\s+\S+$", 1)
     near = F.regexp_extract(context, r"(\S+)\s+\S+$", 1)
-    name = F.when(joined, F.regexp_extract(token, _KEY_VALUE, 1)).when(before != "", before).otherwise(near)
-    raw = F.when(joined, inner).otherwise(token)
+    given = F.regexp_extract(context, rf"^{_GIVEN}{_VALUE}$", 2)
+    name = F.when(given != "", F.regexp_extract(context, rf"^{_GIVEN}{_VALUE}$", 1)).when(joined, F.regexp_extract(token, _KEY_VALUE, 1)).when(before != "", before).otherwise(near)
+    raw = F.when(given != "", given).when(joined, inner).otherwise(token)
     value = F.regexp_replace(raw, r"^[\"'(<\[{]+|[\"')>\]}.,;:]+$", "")
-    return F.struct(value.alias("value"), F.lower(name).alias("name"), raw.rlike(r"^[\"']").alias("quoted"), (joined | (before != "")).alias("assigned"))
+    return F.struct(value.alias("value"), F.lower(name).alias("name"), raw.rlike(r"^[\"']").alias("quoted"), (joined | (before != "") | (given != "")).alias("assigned"))
+
+
+def _named(c: Column) -> Column:
+    return c["name"].rlike(rf"(?:^|[^a-z])(?:{_NAMES})$")
 
 
 def with_candidates(docs: DataFrame, text: str = "text", to: str = "_c") -> DataFrame:
     """Column ``to``: the text's candidates in order, each struct(value, name, quoted, assigned)."""
     found = F.transform(F.regexp_extract_all(text, F.lit(CONTEXT), F.lit(0)), _parts)
-    return docs.withColumn(to, F.coalesce(F.filter(found, lambda c: (F.length(c["value"]) >= SHORTEST) & (c["value"].rlike("[0-9]") | c["assigned"] | c["value"].rlike(FORMATS))), F.array()))
+    return docs.withColumn(to, F.coalesce(F.filter(found, lambda c: ((F.length(c["value"]) >= SHORTEST) | (c["assigned"] & _named(c) & (F.length(c["value"]) >= ASSIGNED))) & (c["value"].rlike("[0-9]") | c["assigned"] | c["value"].rlike(FORMATS))), F.array()))
 
 
 def features(c: Column) -> Column:
@@ -78,15 +86,14 @@ def features(c: Column) -> Column:
         n, kept("[^0-9]"), kept("[^A-Z]"), kept("[^a-z]"), changes / n, F.size(F.array_distinct(F.split(value, ""))) / n,
         1 - F.length(F.regexp_replace(F.lower(value), _WORDS, "")) / n, F.length(F.regexp_replace(value, r"[^/.\\:]", "")).cast("double"),
         c["assigned"].cast("double"), c["quoted"].cast("double"), value.rlike(r"^(?:[0-9a-f]+|[0-9A-F]+)$").cast("double"),
-        c["name"].rlike(rf"(?:^|[^a-z])(?:{_NAMES})$").cast("double"), value.rlike(r"^[0-9.:\-/+]+$").cast("double"))
+        _named(c).cast("double"), value.rlike(r"^[0-9.:\-/+]+$").cast("double"))
 
 
 def labelled(c: Column) -> Column:
     """1 for known formats and assigned credentials, 0 for numbers, addresses and words, null where neither is plain."""
     value = c["value"]
-    named = c["name"].rlike(rf"(?:^|[^a-z])(?:{_NAMES})$")
     mixed = (F.size(F.regexp_extract_all(value, F.lit("[0-9]"), F.lit(0))) >= 3) & value.rlike("[A-Za-z]") & ~value.rlike(r"[./\\]")
-    return F.when(value.rlike(FORMATS), 1).when(c["assigned"] & named & mixed, 1).when(
+    return F.when(value.rlike(FORMATS), 1).when(c["assigned"] & _named(c) & mixed, 1).when(
         value.rlike(r"^[0-9.:\-/+]+$") | value.rlike(r"^[A-Za-z.:/\-]+[0-9]{0,4}$") | value.rlike(r"^https?:"), 0)
 
 

@@ -72,3 +72,17 @@ def test_empty_and_one_sided_tables(spark):
     assert sx.scan(spark.createDataFrame([], SCHEMA)).collect() == []
     one = spark.createDataFrame([(1, "password=0123456789abcdef01 here", "", 1)], SCHEMA)
     assert sx.scan(one).first().n_secrets == 1 and sx.SECRET in sx.redact(one).first().text
+
+
+def test_long_short_and_unusual_secrets_are_whole(spark):
+    long = "".join(random.Random(5).choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=410))
+    texts = [(f"use token={long} now", long), ("set db_pass: s3cr3tPa55w0rd here", "s3cr3tPa55w0rd"),
+             ('the password = "Tr0ub4dor!9$kLm#22pq" end', "Tr0ub4dor!9$kLm#22pq"), ("with password=Tr0ub4dorLongLong16!x9$ end", "Tr0ub4dorLongLong16!x9$"),
+             ('{"api_key": "a1!b2#c3$"}', "a1!b2#c3$")]
+    rows = sx.with_candidates(spark.createDataFrame([(i, t, "", 1) for i, (t, _) in enumerate(texts)], SCHEMA)).orderBy("doc_id").collect()
+    assert [[c.value for c in r["_c"]] for r in rows] == [[v] for _, v in texts]
+    assert all(c.assigned for r in rows for c in r["_c"])
+    docs = corpus()[0] + [(1000 + i, t, "", 1) for i, (t, _) in enumerate(texts)]
+    out = {r.doc_id: r.text for r in sx.redact(spark.createDataFrame(docs, SCHEMA)).collect()}
+    for i, (t, v) in enumerate(texts):
+        assert out[1000 + i] == t.replace(v, sx.SECRET)
