@@ -1,7 +1,8 @@
 """PII: format-preserving Feistel pseudonyms, with DataFrame functions only.
 
 Found and validated: e-mail addresses, telephone numbers (a leading + and 8 to 15 digits, or groups
-of 3, 3 and 4 digits), card numbers (13 to 19 digits that pass the Luhn check), IPv4 addresses
+of 3, 3 and 4 digits), card numbers (13 to 19 digits that pass the Luhn check; of a run of groups that
+fails, the longest groups in a row that pass, the first of them), IPv4 addresses
 (four numbers up to 255) and dates (ISO, or day.month.year with a four-digit year) that exist and
 fall in 1900 to 2099. Each value is permuted with a key within its format:
 
@@ -101,6 +102,15 @@ def _date(value: Column) -> Column:
     return F.coalesce(iso, F.try_to_date(F.when(value.rlike(r"^\d\d\."), value), "dd.MM.yyyy"))
 
 
+def _card_span(value: Column) -> Column:
+    """struct(n, back) of the longest whole groups of a run of digits that are a card number: n digits after the first -back; else null."""
+    digits = _digits(value)
+    sizes = F.transform(F.split(value, r"[ \-]"), lambda g: F.length(g))
+    ends = F.transform(sizes, lambda g, i: F.aggregate(F.slice(sizes, 1, i + 1), F.lit(0), lambda a, x: a + x))
+    spans = F.flatten(F.transform(sizes, lambda g, i: F.transform(ends, lambda e: F.struct((e - F.get(ends, i) + g).alias("n"), (g - F.get(ends, i)).alias("back")))))
+    return F.array_max(F.filter(spans, lambda x: x["n"].between(13, 19) & (_luhn_sum(F.substring(digits, 1 - x["back"], x["n"]), 0) % 10 == 0)))
+
+
 def kind(value: Column) -> Column:
     """Which of ``KINDS`` a match of ``ANY`` is after validation, else null."""
     digits = _digits(value)
@@ -109,10 +119,16 @@ def kind(value: Column) -> Column:
         .when(value.rlike(rf"^{IP}$"), "ip")
         .when(value.rlike(rf"^{DATE}$"), F.when(_date(value).isNotNull(), "date"))
         .when(value.rlike(rf"^(?:{PHONE})$"), F.when(F.length(digits).between(8, 15), "phone"))
-        .when(value.rlike(rf"^{CARD}$"), F.when(_luhn_sum(digits, 0) % 10 == 0, "card"))
+        .when(value.rlike(rf"^{CARD}$"), F.when(_card_span(value)["n"].isNotNull(), "card"))
     )
 
 
+def _card(value: Column, digits: Column, span: Column, key: str) -> Column:
+    body = _text_feistel(F.substring(digits, 1 - span["back"], span["n"] - 1), key + "|card")
+    check = ((10 - _luhn_sum(body, 1) % 10) % 10).cast("string")
+    return _put_digits(value, F.concat(F.substring(digits, F.lit(1), -span["back"]), body, check, F.substring(digits, 1 - span["back"] + span["n"], F.length(digits))))
+
+
 def pseudonym(value: Column, key: str) -> Column:
     """The pseudonym of a match; matches that fail their validation stay."""
     at = F.instr(value, "@")
@@ -128,8 +144,8 @@ def pseudonym(value: Column, key: str) -> Column:
     lead = F.length(F.regexp_extract(value, r"^\+\d{1,3}(?=[ \-(])", 0)) - 1  # a country code that stands apart stays
     code = F.when(lead > 0, F.substring(digits, F.lit(1), lead)).otherwise(F.lit(""))
     phone = _put_digits(value, F.concat(code, _text_feistel(F.substring(digits, F.length(code) + 1, F.length(digits)), key + "|phone")))
-    body = _text_feistel(F.substring(digits, F.lit(1), F.length(digits) - 1), key + "|card")
-    card = _put_digits(value, F.concat(body, ((10 - _luhn_sum(body, 1) % 10) % 10).cast("string")))
+    # Digits before and after the card stay.
+    card = F.get(F.transform(F.array(_card_span(value)), lambda x: _card(value, digits, x, key)), 0)
     kinds = kind(value)
     return F.when(kinds == "email", email).when(kinds == "ip", ip).when(kinds == "date", date).when(kinds == "phone", phone).when(kinds == "card", card).otherwise(value)
 

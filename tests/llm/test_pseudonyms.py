@@ -117,3 +117,16 @@ def test_formats_hold_and_values_differ(spark):
 
 def test_empty_table(spark):
     assert ps.pseudonymise(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_cards_beside_other_numbers(spark):
+    card, grouped = "4111111111111111", "4111 1111 1111 1111"
+    body = text_feistel(card[:-1], KEY + "|card")
+    new = body + next(c for c in "0123456789" if luhn(body + c))
+    apart = " ".join(new[i : i + 4] for i in range(0, 16, 4))
+    texts = [(f"{card} 123", f"{new} 123"), (f"{grouped} 12/27", f"{apart} 12/27"), (f"{grouped.replace(' ', '-')}-99 euros", f"{apart.replace(' ', '-')}-99 euros"),
+             (f"no 123 {card} end", f"no 123 {new} end"), (f"7 {grouped} 12", f"7 {apart} 12"), ("4111111111111112 123", "4111111111111112 123")]
+    df = spark.createDataFrame([(i, t, "", 1) for i, (t, _) in enumerate(texts)], SCHEMA)
+    got = ps.pseudonymise(df, KEY).orderBy("doc_id").collect()
+    assert [r.text for r in got] == [t for _, t in texts]
+    assert [r.n_card for r in got] == [1] * 5 + [0]
