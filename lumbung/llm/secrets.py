@@ -41,9 +41,9 @@ WORDS = (
 _NAMES = "|".join(NAMES.split())
 _WORDS = "|".join(w for w in WORDS.split() if len(w) >= 3)
 _PLAIN = rf"[A-Za-z0-9_\-/+=.~:]{{{SHORTEST},}}+"
-_GIVEN = rf"[\"'(<\[{{]{{0,2}}(?=[\w.\-]{{1,60}}[\"']?\s{{0,4}}[=:])([\w.\-]{{0,60}}?(?<![A-Za-z])(?i:{_NAMES}))[\"']?\s{{0,4}}[=:]{{1,2}}\s{{0,4}}"
+_GIVEN = rf"[\"'(<\[{{]{{0,2}}(?=[\w.\-]{{1,60}}+[\"']?+\s{{0,4}}+[=:])([\w.\-]{{0,60}}?(?<![A-Za-z])(?i:{_NAMES}))[\"']?\s{{0,4}}[=:]{{1,2}}\s{{0,4}}"
 _VALUE = rf"(\"[^\"\s]{{{ASSIGNED},}}+\"?|'[^'\s]{{{ASSIGNED},}}+'?|[^\s\"']\S{{{ASSIGNED - 1},}}+)"
-CONTEXT = rf"(?<![\w.\-]){_GIVEN}{_VALUE}|(?:(?<!\S)(?!{_GIVEN}{_VALUE})\S{{1,{SHORTEST - 1}}}\s{{1,4}}){{0,2}}(?!{_GIVEN}{_VALUE})(?:[\"'(<\[{{]{{0,2}}[A-Za-z_]{{1,30}}[=:][\"']?)?[\"'(<\[{{]{{0,2}}{_PLAIN}"
+CONTEXT = rf"(?<![\w.\-]){_GIVEN}{_VALUE}|(?:(?<!\S)(?!(?<![\w.\-]){_GIVEN}{_VALUE})\S{{1,{SHORTEST - 1}}}\s{{1,4}}){{0,2}}(?!(?<![\w.\-]){_GIVEN}{_VALUE})(?:[\"'(<\[{{]{{0,2}}[A-Za-z_]{{1,30}}[=:][\"']?)?[\"'(<\[{{]{{0,2}}{_PLAIN}"
 _KEY_VALUE = r"^[\"'(<\[{]{0,2}([A-Za-z_]{1,30})[=:][\"']?(.+)$"
 FEATURES = ["length", "digits", "capitals", "small", "changes", "distinct", "dictionary", "path", "assigned", "quoted", "hexadecimal", "named", "number"]
 
