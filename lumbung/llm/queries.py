@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lumbung.llm import decontamination, fingerprint, language, minhash, pseudonyms, secrets, sentencepiece_codec, substring_dedup, suffix_dedup, toxicity
+from lumbung.llm import (
+    alignment,
+    decontamination,
+    fingerprint,
+    language,
+    minhash,
+    pseudonyms,
+    secrets,
+    sentencepiece_codec,
+    simhash,
+    spelling,
+    substring_dedup,
+    suffix_dedup,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -70,3 +84,18 @@ def op4_benchmark_decontamination(spark, sf_dir):
 @register
 def op3_secret_scan(spark, sf_dir):
     return secrets.scan(table(spark, sf_dir, "documents"))
+
+
+@register
+def op11_spelling_variants(spark, sf_dir):
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+@register
+def op12_cross_tokenizer_alignment(spark, sf_dir):
+    return alignment.align(table(spark, sf_dir, "documents"))
+
+
+@register
+def op13_simhash_near_dedup(spark, sf_dir):
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
