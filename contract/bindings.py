@@ -14,6 +14,7 @@ from lumbung.functions import mapping as m
 from lumbung.functions.calendar import calendar, calendar_rows
 from lumbung.functions.parsing import AMOUNT
 from lumbung.operators.star import LEVELS_OF
+from lumbung.plans import cuboids, upkeep
 from lumbung.plans.load import load_batch, load_full, refresh_cube
 from lumbung.sources import files
 from lumbung.sources.staging import new_folder
@@ -252,6 +253,73 @@ def reloaded_warehouse(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "warehouse-again", load)
 
 
+def with_cuboids(spark: SparkSession, sf_dir: str) -> str:
+    """``loaded_warehouse`` with its cells and finer roll-ups."""
+    root = loaded_warehouse(spark, sf_dir)
+    refresh_cube(Warehouse(spark, root))
+    cuboids.refresh(Warehouse(spark, root))
+    return root
+
+
+def late_warehouse(spark: SparkSession, sf_dir: str) -> str:
+    """Roll-ups made after the first folder; the batch came later and has no cells yet."""
+    first, second = two_day_folders(spark, sf_dir)
+
+    def load(path: str) -> None:
+        load_full(spark, first, path)
+        cuboids.refresh(Warehouse(spark, path))
+        load_batch(spark, second, path, "day-two")
+
+    return _once(spark, sf_dir, "warehouse-late", load)
+
+
+def changed_warehouse(spark: SparkSession, sf_dir: str) -> str:
+    """Two batches, and then the first of them again with rows it did not have and copies that changed."""
+    rows, (full, second) = raw_transactions(spark, sf_dir), two_day_folders(spark, sf_dir)
+    early = rows.filter(F.col("ship_day") <= F.lit(LOADED_UNTIL).cast("date"))
+    known = (raw_customers(spark, sf_dir).filter("NOT is_new"), raw_merchants(spark, sf_dir).filter("NOT is_new"), calendar_days(spark))
+    line = F.substring_index(F.substring_index("trx_id", "-", 2), "-", -1).cast("bigint")
+
+    def load(path: str) -> None:
+        write_folder(spark, f"{path}-short", early.filter(line % 7 != 3), *known)
+        changed = F.when(line % 11 == 4, F.concat(F.lit("9"), "nominal")).otherwise(F.col("nominal"))
+        write_folder(spark, f"{path}-changed", early.withColumn("nominal", changed), *known)
+        load_batch(spark, f"{path}-short", path, "day-one")
+        load_batch(spark, second, path, "day-two")
+        load_batch(spark, f"{path}-changed", path, "day-one")
+
+    return _once(spark, sf_dir, "warehouse-changed", load)
+
+
+def packed_warehouse(spark: SparkSession, sf_dir: str) -> str:
+    """Yearly batches with their cells, all but the last packed and the old version removed."""
+    landing = yearly_landing(spark, sf_dir)
+
+    def load(path: str) -> None:
+        for name in files.child_names(spark, landing):
+            load_batch(spark, f"{landing}/{name}", path, name)
+        refresh_cube(Warehouse(spark, path))
+        cuboids.refresh(Warehouse(spark, path))
+        upkeep.compact(spark, path)
+        upkeep.vacuum(spark, path)
+
+    return _once(spark, sf_dir, "warehouse-packed", load)
+
+
+def mixed_folder(spark: SparkSession, sf_dir: str) -> str:
+    """Transactions in parts with two headers: as usual, and in reverse order by comma and without fees."""
+    rows = raw_transactions(spark, sf_dir).drop("ship_day")
+    odd = F.substring_index(F.substring_index("trx_id", "-", 2), "-", -1).cast("bigint") % 2 == 1
+
+    def write(path: str) -> None:
+        usual = ["trx_id", "tgl_transaksi", "nasabah_code", "channel", "merchant_code", "kota", "nominal", "biaya_admin"]
+        write_source(rows.filter(~odd).select(*usual), f"{path}/{v.TRANSACTION_FILE}")
+        rest = rows.filter(odd).select(*[c for c in reversed(usual) if c != "biaya_admin"])
+        rest.write.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).mode("append").csv(f"{path}/{v.TRANSACTION_FILE}")
+
+    return _once(spark, sf_dir, "mixed", write)
+
+
 def yearly_landing(spark: SparkSession, sf_dir: str) -> str:
     """A landing folder with one batch per shipping year."""
     rows = raw_transactions(spark, sf_dir)

@@ -229,6 +229,13 @@ def _per_layer(layer: str, source: str) -> str:
       round_even(regr_intercept(y, x / 1000), 4) AS intercept_ms, round_even(regr_r2(y, x / 1000), 4) AS r2 FROM {source} GROUP BY {layer}"""
 
 
+def _copies(name: str, source: str, where: str = "") -> str:
+    """All but the first copy of each transaction."""
+    return f"""
+{name} AS (SELECT trx_id, tgl_transaksi, CAST(strftime({DATE}, '%Y%m%d') AS BIGINT) AS waktu_id FROM {source} {where}
+  QUALIFY row_number() OVER (PARTITION BY trx_id ORDER BY seq) > 1)"""
+
+
 # -- the incremental pair of folders ------------------------------------------
 TWO_DAYS = RAW + "," + _typed("first_one", "raw", "WHERE ship_day <= DATE '1999-12-31'") + "," + _typed(
     "first_two", "raw"
@@ -262,6 +269,33 @@ fact_two AS (
   WHERE waktu_id IN (SELECT waktu_id FROM calendar) AND waktu_id > (SELECT waktu_id FROM top)),
 fact AS (SELECT * FROM fact_one UNION ALL SELECT * FROM fact_two)"""
 
+# -- a batch that came again behind a later one: orders of a seventh new, of an eleventh with another amount
+LINE_NO = "CAST(split_part(trx_id, '-', 2) AS BIGINT)"
+EARLY = "ship_day <= DATE '1999-12-31'"
+ACCEPTED = "NOT negative AND nominal_transaksi IS NOT NULL AND waktu_id IN (SELECT waktu_id FROM calendar)"
+CHANGED = RAW + f""",
+raw_again AS (SELECT * REPLACE (CASE WHEN {LINE_NO} % 11 = 4 THEN '9' || nominal ELSE nominal END AS nominal) FROM raw WHERE {EARLY})""" + "," + ",".join([
+    _typed("first_short", "raw", f"WHERE {EARLY} AND {LINE_NO} % 7 <> 3"), _typed("first_all", "raw"),
+    _typed("first_new", "raw_again", f"WHERE {LINE_NO} % 7 = 3"),
+    _copies("copies_short", "raw", f"WHERE {EARLY} AND {LINE_NO} % 7 <> 3"), _copies("copies_all", "raw"),
+    _copies("copies_new", "raw_again", f"WHERE {LINE_NO} % 7 = 3"),
+    TWO_DIMS.replace("raw_one AS (SELECT * FROM raw WHERE ship_day <= DATE '1999-12-31')", f"raw_one AS (SELECT * FROM raw WHERE {EARLY} AND {LINE_NO} % 7 <> 3)"),
+]) + f""",
+fact_one AS (
+  SELECT row_number() OVER (ORDER BY seq) AS fact_id, waktu_id,
+    CASE WHEN nasabah_id <= (SELECT count(*) FROM std_customer WHERE NOT is_new) THEN nasabah_id ELSE 0 END AS nasabah_id,
+    CASE WHEN merchant_id <= (SELECT count(*) FROM std_merchant WHERE NOT is_new) THEN merchant_id ELSE 0 END AS merchant_id,
+    channel_id, wilayah_id, nominal_transaksi, biaya_admin
+  FROM (SELECT seq, waktu_id, {KEYS}, nominal_transaksi, biaya_admin FROM first_short {LOOKUPS} WHERE {ACCEPTED})),
+top AS (SELECT max(waktu_id) AS waktu_id, max(fact_id) AS fact_id FROM fact_one),
+fact_two AS (
+  SELECT row_number() OVER (ORDER BY seq) + (SELECT fact_id FROM top) AS fact_id, waktu_id, {KEYS}, nominal_transaksi, biaya_admin
+  FROM first_all {LOOKUPS} WHERE {ACCEPTED} AND waktu_id > (SELECT waktu_id FROM top)),
+fact_new AS (
+  SELECT row_number() OVER (ORDER BY seq) + (SELECT max(fact_id) FROM fact_two) AS fact_id, waktu_id, {KEYS}, nominal_transaksi, biaya_admin
+  FROM first_new {LOOKUPS} WHERE {ACCEPTED}),
+fact AS (SELECT * FROM fact_one UNION ALL SELECT * FROM fact_two UNION ALL SELECT * FROM fact_new)"""
+
 FACT_OUT = """SELECT fact_id, waktu_id, nasabah_id, channel_id, wilayah_id, merchant_id,
   CAST(nominal_transaksi AS DOUBLE) AS nominal_transaksi, CAST(biaya_admin AS DOUBLE) AS biaya_admin FROM fact"""
 REASON = """CASE WHEN negative THEN 'negative_amount' WHEN nominal_transaksi IS NULL THEN 'amount_out_of_range' WHEN waktu_id IS NULL THEN 'invalid_date'
@@ -401,13 +435,24 @@ ORACLE: dict[str, str] = {
     "e1_full_load": f"WITH {WAREHOUSE} {FACT_OUT}",
     "e1_dim_nasabah": f"WITH {DIM_CUSTOMER} SELECT * FROM dim_nasabah",
     "e1_dim_waktu": f"WITH {CALENDAR} SELECT * FROM calendar",
-    "e1_rejects": f"""WITH {FIRST}, {CALENDAR}, judged AS (SELECT trx_id, tgl_transaksi, waktu_id, {REASON} END AS reason FROM firsts)
-        SELECT * FROM judged WHERE reason IS NOT NULL""",
+    "e1_rejects": f"""WITH {FIRST}, {CALENDAR}, {_copies("copies", "raw")},
+        judged AS (SELECT trx_id, tgl_transaksi, waktu_id, {REASON} END AS reason FROM firsts)
+        SELECT * FROM judged WHERE reason IS NOT NULL UNION ALL SELECT *, 'duplicate' FROM copies""",
+    "e2_changed_batch": f"WITH {CHANGED} {FACT_OUT}",
+    "e2_changed_rejects": f"""WITH {CHANGED},
+      judged AS (SELECT 'day-one' AS batch_id, {REASON} END AS reason FROM first_short
+        UNION ALL SELECT 'day-two', {REASON} WHEN waktu_id <= (SELECT waktu_id FROM top) THEN 'late' END FROM first_all
+        UNION ALL SELECT 'day-one.add1', {REASON} END FROM first_new
+        UNION ALL SELECT 'day-one', 'duplicate' FROM copies_short UNION ALL SELECT 'day-two', 'duplicate' FROM copies_all
+        UNION ALL SELECT 'day-one.add1', 'duplicate' FROM copies_new
+        UNION ALL SELECT 'day-one.add1', 'changed_copy' FROM raw_again WHERE {LINE_NO} % 7 <> 3 AND {LINE_NO} % 11 = 4)
+      SELECT batch_id, reason, count(*) AS n FROM judged WHERE reason IS NOT NULL GROUP BY ALL""",
     "e2_incremental_load": f"WITH {TWO_FACTS} {FACT_OUT}",
     "e2_reload_batch": f"WITH {TWO_FACTS} {FACT_OUT}",
-    "e2_rejects": f"""WITH {TWO_FACTS},
+    "e2_rejects": f"""WITH {TWO_FACTS}, {_copies("copies_one", "raw", "WHERE " + EARLY)}, {_copies("copies_two", "raw")},
       judged AS (SELECT 'full' AS batch_id, {REASON} END AS reason FROM first_one
-        UNION ALL SELECT 'day-two', {REASON} WHEN waktu_id <= (SELECT waktu_id FROM top) THEN 'late' END FROM first_two)
+        UNION ALL SELECT 'day-two', {REASON} WHEN waktu_id <= (SELECT waktu_id FROM top) THEN 'late' END FROM first_two
+        UNION ALL SELECT 'full', 'duplicate' FROM copies_one UNION ALL SELECT 'day-two', 'duplicate' FROM copies_two)
       SELECT batch_id, reason, count(*) AS n FROM judged WHERE reason IS NOT NULL GROUP BY ALL""",
     "t5_available_now_stream": f"""WITH {RAW}, {CALENDAR},
       firsts AS (SELECT year(ship_day) AS y, seq, CAST(strftime({DATE}, '%Y%m%d') AS BIGINT) AS waktu_id, {AMOUNT} AS amount, {NEGATIVE} AS negative
@@ -430,6 +475,8 @@ ORACLE: dict[str, str] = {
         count(*) FILTER (merchant_id = 0) AS unknown_merchant, count(*) FILTER (channel_id = 0) AS unknown_channel,
         count(*) FILTER (wilayah_id = 0) AS unknown_wilayah, count(*) AS fact_rows_in_db FROM fact""",
     "s1_read_source_csv": f"WITH {RAW} SELECT trx_id, tgl_transaksi, nasabah_code, channel, merchant_code, kota, nominal, biaya_admin FROM raw",
+    "s1_mixed_headers": f"""WITH {RAW} SELECT trx_id, tgl_transaksi, nasabah_code, channel, merchant_code, kota, nominal,
+        CASE WHEN {LINE_NO} % 2 = 0 THEN biaya_admin END AS biaya_admin FROM raw""",
     "s1_source_order": f"WITH {RAW} SELECT seq AS line, trx_id, nominal FROM raw",
     "s12_ordered_export": f"WITH {DIM_MERCHANT} SELECT row_number() OVER (ORDER BY merchant_id) AS line, * FROM dim_merchant",
     "j4_star_view": f"""WITH {BANK} SELECT fact_id, tanggal, bulan, tahun, nama_lengkap, segmen_nasabah, jenis_kelamin, nama_channel, kota, provinsi,
@@ -512,6 +559,12 @@ ORACLE: dict[str, str] = {
     "a14_date_bounds": _bank("SELECT min(tanggal) AS min_date, max(tanggal) AS max_date"),
     "s17_cube_refresh": f"""WITH {TWO_FACTS} SELECT region, kategori, {VOLUME}, {COUNT}
         FROM fact JOIN dim_wilayah USING (wilayah_id) JOIN dim_merchant USING (merchant_id) GROUP BY 1, 2""",
+    "s17_merchant_months": f"""WITH {TWO_FACTS} SELECT kategori, nama_merchant, tahun, bulan, {VOLUME}, {COUNT}
+        FROM fact JOIN calendar USING (waktu_id) JOIN dim_nasabah USING (nasabah_id) JOIN dim_channel USING (channel_id)
+          JOIN dim_wilayah USING (wilayah_id) JOIN dim_merchant USING (merchant_id) WHERE {KNOWN} GROUP BY ALL""",
+    "s17_customers": f"""WITH {BANK}, t AS (SELECT segmen_nasabah, nama_lengkap, {VOLUME}, {FEE}, {COUNT} FROM bank WHERE {KNOWN} GROUP BY ALL)
+        SELECT *, round(total_volume_transaksi / sum(total_volume_transaksi) OVER (PARTITION BY segmen_nasabah) * 100, 1) AS share_pct FROM t""",
+    "s17_chosen_rollups": f"WITH {BANK} SELECT CAST(sum(nominal_transaksi) AS DOUBLE) AS volume, count(*) AS n, true AS several FROM bank",
     "w3_merchant_rank": f"WITH {BANK}, t AS ({TOP} 10) SELECT *, row_number() OVER (ORDER BY total_volume_transaksi DESC, nama_merchant) AS peringkat FROM t",
     "w4_share": f"""WITH {BANK}, t AS (SELECT kategori, {VOLUME}, {COUNT} FROM bank WHERE {KNOWN} GROUP BY kategori)
         SELECT *, round(total_volume_transaksi / sum(total_volume_transaksi) OVER (), 6) AS share,
@@ -552,3 +605,12 @@ ORACLE: dict[str, str] = {
     "s14_metrics_append": f"""WITH {METRICS} SELECT scale, n AS rows_total, sec AS etl_time_sec, round_even(n / sec, 1) AS throughput_rps, layer,
         growth_rate_ms_per_1k, r2 FROM etl JOIN rates ON layer = 'ETL Pipeline'""",
 }
+
+ORACLE["s10_packed_batches"] = ORACLE["t5_available_now_stream"]
+ORACLE["s10_packed_cells"] = f"""WITH {RAW}, {CALENDAR}, {STD_MERCHANT},
+  firsts AS (SELECT CAST(strftime({DATE}, '%Y%m%d') AS BIGINT) AS waktu_id, {AMOUNT} AS nominal_transaksi, {NEGATIVE} AS negative,
+      coalesce(merchant_code, 'MCH-UNKNOWN') AS merchant_code, {FACT_CHANNEL} AS nama_channel
+    FROM raw QUALIFY row_number() OVER (PARTITION BY year(ship_day), trx_id ORDER BY seq) = 1)
+  SELECT tahun, nama_channel, coalesce(kategori, 'Unknown') AS kategori, {VOLUME}, {COUNT}
+  FROM firsts JOIN calendar USING (waktu_id) LEFT JOIN std_merchant USING (merchant_code)
+  WHERE NOT negative AND nominal_transaksi IS NOT NULL GROUP BY ALL"""

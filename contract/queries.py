@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ from lumbung.operators import quality, statistics as st
 from lumbung.operators.dedupe import keep_first
 from lumbung.operators.keys import max_or_zero, number_rows, number_source_rows
 from lumbung.operators.star import VIEW_COLUMNS, cube_rows, level_rows
-from lumbung.plans import load, queries as q, scalability
+from lumbung.plans import cuboids, load, queries as q, scalability
 from lumbung.sources import csv_source, export, metrics, synthetic
 from lumbung.sources.staging import new_folder
 from lumbung.sources.warehouse import FACT, REJECTS, Warehouse
@@ -52,6 +53,11 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load.refresh_cube(warehouse(spark, sf_dir))
 
 
+def routed(spark: SparkSession, sf_dir: str, *levels: str, params: dict | None = None) -> DataFrame:
+    """Cells of the smallest stored roll-up that has the levels of a query and of its filters."""
+    return cuboids.route(Warehouse(spark, b.with_cuboids(spark, sf_dir)), levels, params)
+
+
 def clean(spark: SparkSession, sf_dir: str, *levels: str) -> DataFrame:
     """Rows of the clean star with the levels."""
     return level_rows(b.clean_fact(spark, sf_dir, *levels), b.clean_dimensions(spark, sf_dir), list(levels))
@@ -381,6 +387,32 @@ def e2_reload_batch(spark, sf_dir):
     return _facts(Warehouse(spark, b.reloaded_warehouse(spark, sf_dir)))
 
 
+@register
+def e2_changed_batch(spark, sf_dir):
+    """Facts after an earlier batch came again with more rows: only those are added, with ids after all others."""
+    return _facts(Warehouse(spark, b.changed_warehouse(spark, sf_dir)))
+
+
+@register
+def e2_changed_rejects(spark, sf_dir):
+    """What the batch that came again did not bring in: faulty, repeated and changed rows."""
+    rejects = Warehouse(spark, b.changed_warehouse(spark, sf_dir)).read(REJECTS)
+    return rejects.groupBy("batch_id", "reason").agg(F.count("*").alias("n"))
+
+
+@register
+def s10_packed_batches(spark, sf_dir):
+    """What each batch brought, read after the batches were packed and the old version was removed."""
+    return _per_batch(Warehouse(spark, b.packed_warehouse(spark, sf_dir)))
+
+
+@register
+def s10_packed_cells(spark, sf_dir):
+    """Packed cells: each day's cell of a channel and category is one row again but for the batch that was not packed."""
+    wh = Warehouse(spark, b.packed_warehouse(spark, sf_dir))
+    return c.by_level(wh.cells(), ["tahun", "nama_channel", "kategori"], [c.VOLUME, c.COUNT]).withColumn("tahun", F.col("tahun").cast("bigint"))
+
+
 @register
 def e2_rejects(spark, sf_dir):
     wh = Warehouse(spark, b.incremental_warehouse(spark, sf_dir))
@@ -392,7 +424,11 @@ def t5_available_now_stream(spark, sf_dir):
     """Yearly batch folders loaded by the file stream: what each batch brought."""
     root = new_folder(spark, "stream")
     load_available(spark, b.yearly_landing(spark, sf_dir), f"{root}/wh", f"{root}/checkpoint").awaitTermination()
-    return Warehouse(spark, f"{root}/wh").read(FACT).groupBy("batch_id").agg(
+    return _per_batch(Warehouse(spark, f"{root}/wh"))
+
+
+def _per_batch(wh: Warehouse) -> DataFrame:
+    return wh.read(FACT).groupBy("batch_id").agg(
         F.count("*").alias("rows"),
         F.min("fact_id").alias("first_id"),
         F.max("fact_id").alias("last_id"),
@@ -418,6 +454,12 @@ def s1_read_source_csv(spark, sf_dir):
     return raw.drop("src_seq")
 
 
+@register
+def s1_mixed_headers(spark, sf_dir):
+    """Part files with two headers and separators read as one source; what a part lacks is null."""
+    return csv_source.read_mandatory(spark, b.mixed_folder(spark, sf_dir), v.TRANSACTION_FILE).drop("src_seq")
+
+
 @register
 def s1_source_order(spark, sf_dir):
     """Source rows numbered by the order the reader recovers from the files."""
@@ -519,26 +561,31 @@ def p12_slice(spark, sf_dir):
 
 @register
 def p13_dice(spark, sf_dir):
-    return q.customer_segment(bank(spark, sf_dir), DICED)
+    return q.customer_segment(routed(spark, sf_dir, "segmen_nasabah", params=DICED), DICED)
 
 
 @register
 def p14_date_range(spark, sf_dir):
-    return q.channel_distribution(bank(spark, sf_dir), {"start_date": "1997-03-15", "end_date": "1998-02-10"})
+    days = {"start_date": "1997-03-15", "end_date": "1998-02-10"}
+    return q.channel_distribution(routed(spark, sf_dir, "nama_channel", params=days), days)
+
+
+COUNTED = ["segmen_nasabah", "jenis_kelamin", "kategori"]
 
 
 def _all_counts(rows: DataFrame, params: dict) -> DataFrame:
-    return c.by_level(rows.filter(flt.build_filter(params)), ["segmen_nasabah", "jenis_kelamin", "kategori"], [c.VOLUME, c.COUNT])
+    return c.by_level(rows.filter(flt.build_filter(params, rows.columns)), COUNTED, [c.VOLUME, c.COUNT])
 
 
 @register
 def p15_unknown_default(spark, sf_dir):
-    return _all_counts(bank(spark, sf_dir), {})
+    return _all_counts(routed(spark, sf_dir, *COUNTED), {})
 
 
 @register
 def p15_unknown_with_inclusion(spark, sf_dir):
-    return _all_counts(bank(spark, sf_dir), {"segmen": ["Reguler", "Prioritas", "Private", "Unknown"]})
+    chosen = {"segmen": ["Reguler", "Prioritas", "Private", "Unknown"]}
+    return _all_counts(routed(spark, sf_dir, *COUNTED, params=chosen), chosen)
 
 
 @register
@@ -599,7 +646,7 @@ def q5_category(spark, sf_dir):
 
 @register
 def q6_top_merchants(spark, sf_dir):
-    return q.top_merchants(bank(spark, sf_dir), limit=10)
+    return q.top_merchants(routed(spark, sf_dir, "kategori", "nama_merchant"), limit=10)
 
 
 @register
@@ -714,10 +761,39 @@ def s17_cube_refresh(spark, sf_dir):
     return c.by_level(wh.cells(), ["region", "kategori"], [c.VOLUME, c.COUNT])
 
 
+@register
+def s17_merchant_months(spark, sf_dir):
+    """Every merchant's months in cells that were made before a batch was added, and brought up to date by the router."""
+    wh = Warehouse(spark, b.late_warehouse(spark, sf_dir))
+    levels = ["kategori", "nama_merchant", "tahun", "bulan"]
+    rows = cuboids.route(wh, levels)
+    out = c.by_level(rows.filter(flt.build_filter({}, rows.columns)), levels, [c.VOLUME, c.COUNT])
+    return out.withColumn("tahun", F.col("tahun").cast("bigint"))
+
+
+@register
+def s17_customers(spark, sf_dir):
+    """Volume, fee and count of every customer with its share of the segment, from the customers' roll-up."""
+    rows = routed(spark, sf_dir, "segmen_nasabah", "nama_lengkap")
+    known = c.by_level(rows.filter(flt.build_filter({}, rows.columns)), ["segmen_nasabah", "nama_lengkap"], [c.VOLUME, c.FEE, c.COUNT])
+    return pr.share_within(known, "segmen_nasabah", c.VOLUME)
+
+
+@register
+def s17_chosen_rollups(spark, sf_dir):
+    """Cells of every stored roll-up: all must add up to the facts."""
+    wh = Warehouse(spark, b.with_cuboids(spark, sf_dir))
+    totals = [
+        wh.read(stored["table"]).agg(F.sum("nominal_transaksi").cast("double").alias("volume"), F.sum("n_trx").alias("n"), F.lit(stored["table"]).alias("rollup"))
+        for stored in wh.cuboids()
+    ]
+    return reduce(DataFrame.union, totals).groupBy("volume", "n").agg((F.count("*") > 2).alias("several"))
+
+
 # -- presentation -------------------------------------------------------------
 @register
 def w3_merchant_rank(spark, sf_dir):
-    top = q.top_merchants(bank(spark, sf_dir), limit=10)
+    top = q.top_merchants(routed(spark, sf_dir, "kategori", "nama_merchant"), limit=10)
     return pr.rank_rows(top, [F.col(c.VOLUME).desc(), F.col("nama_merchant")])
 
 
@@ -758,7 +834,7 @@ def w9_mom_series(spark, sf_dir):
 @register
 def o7_sorted_table(spark, sf_dir):
     """All merchants by name, last first, with their place."""
-    merchants = q.top_merchants(bank(spark, sf_dir), limit=None)
+    merchants = q.top_merchants(routed(spark, sf_dir, "kategori", "nama_merchant"), limit=None)
     numbered = number_rows(merchants, [F.col("nama_merchant").desc(), F.col("kategori").desc()], "place")
     return pr.sorted_by(numbered, "nama_merchant", descending=True)
 

@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 from lumbung.fixed_values import TRANSACTION_FILE
 from lumbung.operators.quality import quality_report
-from lumbung.plans import load, scalability
+from lumbung.plans import cuboids, load, scalability, upkeep
 from lumbung.session import TUNING
 from lumbung.sources import csv_source, export, metrics, synthetic
 from lumbung.sources.synthetic import write_batches
@@ -35,7 +35,10 @@ def _arguments() -> argparse.Namespace:
     job("full", "replace the warehouse by a source folder", "folder", "warehouse")
     job("incremental", "add a batch folder", "folder", "warehouse", "batch")
     job("stream", "add all new batch folders of a landing folder", "landing", "warehouse", "checkpoint")
-    job("refresh", "bring the cube up to date", "warehouse")
+    job("refresh", "bring the cube and its finer roll-ups up to date", "warehouse")
+    job("plan", "choose the finer roll-ups anew from the facts there are", "warehouse")
+    job("compact", "pack batches into few files, in a new version", "warehouse")
+    job("vacuum", "remove old versions that no reader uses any more", "warehouse")
     job("quality", "append the data-quality report of a source folder to the metrics", "folder", "warehouse", "metrics")
     job("report", "summaries of the stored metrics", "metrics")
     job("export", "ordered CSVs of all tables", "warehouse", "folder")
@@ -60,6 +63,14 @@ def main() -> None:
         load_available(spark, args.landing, args.warehouse, args.checkpoint).awaitTermination()
     elif args.job == "refresh":
         load.refresh_cube(Warehouse(spark, args.warehouse))
+        cuboids.refresh(Warehouse(spark, args.warehouse))
+    elif args.job == "plan":
+        for chosen in cuboids.plan(Warehouse(spark, args.warehouse)):
+            print(chosen["table"], chosen["rows"], ", ".join(chosen["levels"]))
+    elif args.job == "compact":
+        print(upkeep.compact(spark, args.warehouse))
+    elif args.job == "vacuum":
+        upkeep.vacuum(spark, args.warehouse)
     elif args.job == "quality":
         raw = csv_source.read_mandatory(spark, args.folder, TRANSACTION_FILE)
         report = quality_report(raw, ["src_seq"], Warehouse(spark, args.warehouse).facts())

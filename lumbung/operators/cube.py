@@ -78,6 +78,12 @@ def summed(df: DataFrame, levels: list[str]) -> DataFrame:
     )
 
 
+def stored_cells(df: DataFrame, levels: list[str]) -> DataFrame:
+    """``summed``, in the types cells are stored in, however often they were added up."""
+    amounts = {c: F.col(c).cast("decimal(28,2)") for c in ("nominal_transaksi", "biaya_admin")}
+    return summed(df, levels).withColumns({**amounts, "n_trx": F.col("n_trx").cast("bigint")})
+
+
 def hierarchy_totals(df: DataFrame, hierarchy: str, measures: list[str]) -> DataFrame:
     """Every level's subtotals of a hierarchy; ``depth`` counts the levels that are set (0 = grand total)."""
     levels = HIERARCHIES[hierarchy]

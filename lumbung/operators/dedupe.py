@@ -20,3 +20,14 @@ def keep_first(df: DataFrame, keys: list[str], order_by: list) -> DataFrame:
 def first_seen(df: DataFrame, members: list[str], seq: str = "src_seq") -> DataFrame:
     """Distinct members with the sequence of their first appearance, pre-aggregated before the shuffle."""
     return df.groupBy(*members).agg(F.min(seq).alias(seq))
+
+
+def later_copies(df: DataFrame, key: str, seq: str = "src_seq") -> DataFrame:
+    """The rows ``keep_first`` drops: all but the first of each key; null keys count as equal.
+
+    Keys that occur more than once are found by a combined count. Their rows are joined, not gathered
+    by a window, so Spark can split a key that holds a third of them.
+    """
+    repeated = df.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_n"), F.min(seq).alias("_first")).filter("_n > 1")
+    joined = df.join(repeated, F.col(key).eqNullSafe(F.col("_key")) & (F.col(seq) > F.col("_first")))
+    return joined.select(*df.columns)

@@ -39,6 +39,12 @@ def typed_transactions(raw: DataFrame, *keep: str) -> DataFrame:
     )
 
 
+def content(columns: list[str]) -> Column:
+    """A hash of what a raw row says, wherever it stands in whichever file; null and empty differ."""
+    told = [F.coalesce(F.col(c), F.lit("\x00")) for c in sorted(columns) if c != "src_seq"]
+    return F.md5(F.concat_ws("\x1f", *told))
+
+
 def fault() -> Column:
     """Why a de-duplicated row cannot be loaded, null when it can; the first fault counts."""
     out_of_range = F.col("nominal_transaksi").isNull() | F.col("biaya_admin").isNull()

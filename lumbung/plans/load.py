@@ -14,12 +14,12 @@ from lumbung.functions.parsing import key_year
 from lumbung.operators import dimensions as d
 from lumbung.operators import facts as f
 from lumbung.operators.cube import collapse, cuboid
-from lumbung.operators.dedupe import keep_first
+from lumbung.operators.dedupe import keep_first, later_copies
 from lumbung.operators.keys import number_source_rows
 from lumbung.operators.star import cube_rows, wide_view
 from lumbung.sources import csv_source, files
 from lumbung.sources.staging import job, stage, together
-from lumbung.sources.warehouse import BASE_BATCH, CELL_COLUMNS, CELLS, FACT, REJECTS, VIEW, Warehouse
+from lumbung.sources.warehouse import BASE_BATCH, CELL_COLUMNS, CELLS, FACT, PACKED, REJECTS, ROWS, VIEW, Warehouse
 
 FULL_BATCH = "full"
 _BATCH_ID = re.compile(r"[A-Za-z0-9][A-Za-z0-9_.\-]*")
@@ -58,8 +58,11 @@ def load_batch(spark: SparkSession, folder: str, root: str, batch_id: str) -> di
     """Add a batch folder: new members, then transactions after the high-water mark, then their view rows.
 
     A batch that did not finish is loaded again with its first marks. A finished one whose files are
-    the same is left alone. If its files changed, the last batch is replaced; an earlier one is
-    refused, because later batches have taken the ids after its own: load what is new as a new batch.
+    the same is left alone. If its files changed, the last batch is replaced. Behind an earlier one
+    later batches have taken the ids, so only what is new in it is added, as a batch of its own
+    (``<batch>.add<n>``): transactions whose content the batch did not hold, with ids after all others
+    and judged by the mark the batch had. What it held before stays as it was loaded, also where a
+    file no longer has it; a changed copy of a transaction is rejected (``changed_copy``).
     """
     if not _BATCH_ID.fullmatch(batch_id) or batch_id in (BASE_BATCH, FULL_BATCH):
         raise ValueError(f"{batch_id!r} cannot name a batch")
@@ -74,26 +77,53 @@ def load_batch(spark: SparkSession, folder: str, root: str, batch_id: str) -> di
         if known.get("files") == seen:
             return known
         if wh.batches()[-1] != batch_id:
-            raise ValueError(f"the files of batch {batch_id} changed after later batches were loaded; load the additions as a new batch")
+            added = _load(wh, sources, _addition(wh, batch_id), incremental=True, seen=seen, parent=known)
+            wh.save_load(known | {"files": seen})
+            return added
     return _load(wh, sources, batch_id, incremental=True, seen=seen)
 
 
-def _load(wh: Warehouse, sources: Sources, batch: str, incremental: bool, seen: dict | None = None) -> dict:
+def _addition(wh: Warehouse, batch: str) -> str:
+    """Id of the next addition to a batch; of the last one if that did not finish."""
+    started = [b for b in wh.batches() if re.fullmatch(re.escape(batch) + r"\.add\d+", b)]
+    return started[-1] if started and started[-1] == wh.open_batch() else f"{batch}.add{len(started) + 1}"
+
+
+def _load(
+    wh: Warehouse, sources: Sources, batch: str, incremental: bool, seen: dict | None = None, parent: dict | None = None
+) -> dict:
     record = _start(wh, batch) | {"files": seen}
     record["max_ids_after"] = dict(record["max_ids"])
     # What this batch may see: the Unknown members and the batches started before it.
     earlier = [BASE_BATCH, *wh.batches()[: record["sequence"] - 1]]
-    wh.drop(CELLS, batch)
+    for derived in {CELLS, *(c["table"] for c in wh.cuboids())}:
+        wh.drop(derived, batch)
     with job(wh.spark):
         # The text is parsed once; members and facts are both made from the typed rows.
-        typed = stage(f.typed_transactions(sources.transactions, "src_seq"), "typed")
+        raw = sources.transactions.withColumn("content", f.content(sources.transactions.columns))
+        typed = stage(f.typed_transactions(raw, "src_seq", "content"), "typed")
+        changed, mark, owner = None, record["mark"] if incremental else None, batch
+        if parent is not None:
+            owner, mark = parent["batch_id"], parent["mark"]
+            typed, changed = _news(typed, wh.read(ROWS, earlier).filter(F.col("parent") == owner))
         _load_dimensions(wh, sources, typed, record, earlier)
-        _load_facts(wh, typed, record, wh.dimensions([*earlier, batch]), incremental)
+        _load_facts(wh, typed, record, wh.dimensions([*earlier, batch]), mark, changed)
+        if incremental:
+            held = typed if changed is None else typed.unionByName(changed)
+            wh.write(ROWS, batch, held.select("trx_id", "content", F.lit(owner).alias("parent")))
     wh.save_load(record)
     wh.set_open(None)
     return record
 
 
+def _news(typed: DataFrame, stored: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Transactions a batch did not hold yet, and changed copies of ones it held; both in few rows, by their content's hash."""
+    unseen = stage(typed.join(stored.select("content").distinct(), "content", "left_anti").select(*typed.columns), "unseen")
+    ids = stored.select(F.col("trx_id").alias("_held")).distinct()
+    same = F.col("trx_id").eqNullSafe(F.col("_held"))
+    return stage(unseen.join(ids, same, "left_anti"), "news"), stage(unseen.join(ids, same, "left_semi"), "changed")
+
+
 def _start(wh: Warehouse, batch: str) -> dict:
     """The batch's load record. Its marks are fixed when it first starts, so a retry sees the same ones."""
     unfinished = wh.open_batch()
@@ -141,7 +171,7 @@ def judged_transactions(typed: DataFrame, dims: dict[str, DataFrame], mark: int
     The reason is the first of: negative amount, unreadable date, day not in the
     calendar, day not after the mark.
     """
-    first = keep_first(typed.drop("channel_member", "city_member"), ["trx_id"], ["src_seq"])
+    first = keep_first(typed.drop("channel_member", "city_member", "content"), ["trx_id"], ["src_seq"])
     days = dims["dim_waktu"].select("waktu_id", F.lit(True).alias("_known_day"))
     keyed = f.look_up_keys(
         first.join(days, "waktu_id", "left"),
@@ -161,13 +191,19 @@ def judged_transactions(typed: DataFrame, dims: dict[str, DataFrame], mark: int
     )
 
 
-def _load_facts(wh: Warehouse, typed: DataFrame, record: dict, dims: dict[str, DataFrame], incremental: bool) -> None:
+def _load_facts(
+    wh: Warehouse, typed: DataFrame, record: dict, dims: dict[str, DataFrame], mark: int | None, changed: DataFrame | None = None
+) -> None:
     batch = record["batch_id"]
     start = record["max_ids"].get(FACT, 0)
-    judged = judged_transactions(typed, dims, record["mark"] if incremental else None)
+    judged = judged_transactions(typed, dims, mark)
     numbered = number_source_rows(judged, "fact_id", start, only="_accepted")
     facts = numbered.filter("_accepted").select(*f.FACT_COLUMNS)
-    rejects = numbered.filter("NOT _accepted").select("trx_id", "tgl_transaksi", "waktu_id", "reason")
+    told = ["trx_id", "tgl_transaksi", "waktu_id", "reason"]
+    copies = later_copies(typed.select("trx_id", "tgl_transaksi", "waktu_id", "src_seq"), "trx_id").withColumn("reason", F.lit("duplicate"))
+    rejects = numbered.filter("NOT _accepted").select(*told).unionByName(copies.select(*told))
+    if changed is not None:
+        rejects = rejects.unionByName(changed.withColumn("reason", F.lit("changed_copy")).select(*told))
     # Members never change and facts keep their ids, so the view rows of earlier
     # batches stay valid: only this batch's are added.
     together(
@@ -196,7 +232,7 @@ def refresh_cube(wh: Warehouse) -> DataFrame:
 
 def forget_cube(wh: Warehouse) -> None:
     """Drop all cells; the next refresh makes them anew."""
-    for batch in wh.done(CELLS):
+    for batch in {*wh.done(CELLS), PACKED}:
         wh.drop(CELLS, batch)
 
 

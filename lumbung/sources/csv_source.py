@@ -2,11 +2,15 @@
 
 Every column is read as text and typed later by explicit expressions, so no
 value depends on what a type sniffer makes of its neighbours. Each row carries
-``src_seq``, a long that grows in source order (file name, then line).
+``src_seq``, a long that grows in source order (file name, then line). Part files
+of one source may have different headers and separators.
 """
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,20 +36,40 @@ def read_source(spark: SparkSession, folder: str, name: str, trim_header: bool =
     parts = files.data_files(spark, path)
     if not parts:
         return None
-    # An empty part file has no header line; the first part with rows names the columns.
-    first = next((file for file, _, size in parts if size), parts[0][0])
-    separator, names = sniff(spark, first)
-    names = [n.strip('"').strip() if trim_header else n.strip('"') for n in names]
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    raw = (
-        spark.read.schema(schema)
-        .option("sep", separator)
-        .option("header", True)
-        .option("enforceSchema", True)
-        .option("escape", '"')
-        .csv(path)
-    )
-    return blanks_to_null(_with_source_order(raw, parts), "src_seq")
+    groups = _by_header(spark, parts, trim_header)
+    every = list(dict.fromkeys(n for _, names in groups for n in names))
+    read = []
+    for (separator, names), members in groups.items():
+        raw = (
+            spark.read.schema(T.StructType([T.StructField(n, T.StringType()) for n in names]))
+            .option("sep", separator)
+            .option("header", True)
+            .option("enforceSchema", True)
+            .option("escape", '"')
+            .csv(path if len(groups) == 1 else members)
+        )
+        ordered = _with_source_order(raw, parts)
+        read.append(ordered.select(*[F.col(n) if n in names else F.lit(None).cast("string").alias(n) for n in every], "src_seq"))
+    return blanks_to_null(reduce(DataFrame.union, read), "src_seq")
+
+
+def _by_header(spark: SparkSession, parts: list[tuple[str, str, int]], trim: bool) -> dict[tuple[str, tuple[str, ...]], list[str]]:
+    """(separator, column names) -> part files that begin with them, in source order.
+
+    Parts may have their columns in another order or lack some: each group is read by its own header,
+    and what it lacks is null. An empty part has no header line and no rows. First lines are read by
+    some threads of the driver; a header is kept once, however many parts have it.
+    """
+    full = [file for file, _, size in parts if size] or [parts[0][0]]
+    with ThreadPoolExecutor(min(16, len(full))) as pool:
+        headers = pool.map(lambda file: sniff(spark, file), full)
+        groups: dict[tuple[str, tuple[str, ...]], list[str]] = {}
+        for file, (separator, names) in zip(full, headers, strict=True):
+            names = tuple(n.strip('"').strip() if trim else n.strip('"') for n in names)
+            if len(set(names)) < len(names):
+                raise ValueError(f"{file} names a column twice: {', '.join(names)}")
+            groups.setdefault((separator, names), []).append(file)
+    return groups
 
 
 def read_mandatory(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -83,3 +83,12 @@ def replace_text(spark: SparkSession, path: str, text: str) -> None:
 def delete(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)
+
+
+def size(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Number of files under a path, and their bytes."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return 0, 0
+    summary = fs.getContentSummary(p)
+    return summary.getFileCount(), summary.getLength()

@@ -5,6 +5,9 @@
     <root>/<version>/_loads/<n>-<b>.json        marks before and after a batch, the n-th started
     <root>/<version>/_open                      the batch being loaded
     <root>/<version>/_done/<table>/<b>          derived tables: batches that are complete
+    <root>/<version>/_cuboids.json              roll-ups that are stored beside the cells
+    <root>/<version>/<table>/batch_id=_packed   rows of batches packed together, with their batch
+    <root>/<version>/_packed.json               which batches those are
 
 A full load writes a new version and then switches CURRENT, so readers never see
 a half-built warehouse. A batch only ever overwrites its own folders, so running
@@ -29,6 +32,10 @@ from lumbung.sources.staging import together
 FACT, VIEW, REJECTS = "fact_transaksi", "mvw_dashboard_transaksi", "rejects"
 # The facts summed up to the levels most queries use (operators.cube.cuboid).
 CELLS = "cube_cells"
+# The content of the transactions a batch brought, by which a later change of its files is judged.
+ROWS = "source_rows"
+# Where packed batches lie.
+PACKED = "_packed"
 # What was there before any batch: the Unknown members.
 BASE_BATCH = "unknown"
 
@@ -46,8 +53,10 @@ SCHEMAS = {
            "kota string, kategori string, nama_lengkap string, nama_merchant string, unknown_in int, "
            "nominal_transaksi decimal(28,2), biaya_admin decimal(28,2), n_trx bigint",
     REJECTS: "trx_id string, tgl_transaksi string, waktu_id bigint, reason string",
+    ROWS: "trx_id string, content string, parent string",
 }
 CELL_COLUMNS = [part.split()[0] for part in SCHEMAS[CELLS].split(", ")]
+_CELL_TYPES = dict(part.split(" ", 1) for part in SCHEMAS[CELLS].split(", "))
 BY_YEAR = {FACT, VIEW, CELLS}
 
 
@@ -86,11 +95,28 @@ class Warehouse:
 
     def read(self, table: str, batches: list[str] | None = None) -> DataFrame:
         """A table, of all batches or of those named. The schema is given, so no footer is read to plan."""
-        schema = SCHEMAS[table] + ", batch_id string" + (", tahun int" if table == FACT else "")
+        schema = self.schema(table) + ", batch_id string" + (", tahun int" if table == FACT else "")
         if not files.exists(self.spark, self.path(table)):
             return self.spark.createDataFrame([], schema)
-        df = self.spark.read.schema(schema).parquet(self.path(table))
-        return df if batches is None else df.filter(F.col("batch_id").isin(batches))
+        packed = self.packed()
+        if not packed:
+            df = self.spark.read.schema(schema).parquet(self.path(table))
+            return df if batches is None else df.filter(F.col("batch_id").isin(batches))
+        df = self.spark.read.schema(schema + ", source_batch string").parquet(self.path(table))
+        if batches is not None:
+            own = F.col("batch_id").isin(batches)
+            if set(batches) & {BASE_BATCH, *packed}:
+                own |= (F.col("batch_id") == PACKED) & F.col("source_batch").isin(batches)
+            df = df.filter(own)
+        # Packed cells are sums over batches and name none.
+        return df.withColumn("batch_id", F.coalesce("source_batch", "batch_id")).drop("source_batch")
+
+    def schema(self, table: str) -> str:
+        """Columns of a table; those of a roll-up follow from its levels."""
+        if table in SCHEMAS:
+            return SCHEMAS[table]
+        levels = next(c["levels"] for c in self.cuboids() if c["table"] == table)
+        return ", ".join(f"{c} {_CELL_TYPES[c]}" for c in (*levels, "unknown_in", "nominal_transaksi", "biaya_admin", "n_trx"))
 
     def dimension(self, dim: Dimension, batches: list[str] | None = None) -> DataFrame:
         return self.read(dim.table, batches).select(*dim.columns)
@@ -108,8 +134,8 @@ class Warehouse:
         """The pre-aggregated cells; batches may hold parts of the same cell, which queries add up."""
         return self.read(CELLS).drop("batch_id")
 
-    def write(self, table: str, batch: str, df: DataFrame) -> None:
-        """Replace what ``batch`` holds in ``table``.
+    def write(self, table: str, batch: str, df: DataFrame, pack: bool = False) -> None:
+        """Replace what ``batch`` holds in ``table``; with ``pack``, in as few files as Spark's advisory size allows.
 
         Large tables are kept by year and sorted by day: a filter on years skips
         folders, one on days skips row groups. Rebalancing beforehand makes
@@ -121,7 +147,11 @@ class Warehouse:
             spread = df.hint("rebalance", "tahun").sortWithinPartitions("tahun", day)
             spread.write.partitionBy("tahun").mode("overwrite").parquet(path)
         else:
-            df.write.mode("overwrite").parquet(path)
+            (df.hint("rebalance") if pack else df).write.mode("overwrite").parquet(path)
+
+    def drop_table(self, table: str) -> None:
+        files.delete(self.spark, self._mark(table))
+        files.delete(self.spark, self.path(table))
 
     def drop(self, table: str, batch: str) -> None:
         files.delete(self.spark, self._mark(table, batch))
@@ -137,6 +167,23 @@ class Warehouse:
     def done(self, table: str) -> set[str]:
         return set(files.child_names(self.spark, self._mark(table)))
 
+    # -- roll-ups and packed batches ----------------------------------------------
+    def _noted(self, name: str) -> list:
+        return json.loads(files.read_text(self.spark, self.path(name)) or "[]")
+
+    def cuboids(self) -> list[dict]:
+        """Stored roll-ups: table, levels and about how many rows."""
+        return self._noted("_cuboids.json")
+
+    def save_cuboids(self, chosen: list[dict]) -> None:
+        files.write_text(self.spark, self.path("_cuboids.json"), json.dumps(chosen))
+
+    def packed(self) -> list[str]:
+        return self._noted("_packed.json")
+
+    def save_packed(self, batches: list[str]) -> None:
+        files.write_text(self.spark, self.path("_packed.json"), json.dumps(batches))
+
     # -- loads ------------------------------------------------------------------
     def batches(self) -> list[str]:
         """Batch ids in the order they were first started; only the folder is listed."""
