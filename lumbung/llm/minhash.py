@@ -7,13 +7,15 @@ keyed by sub-key i of the first collection and sub-key j of the second, so 2 * H
 minhashes serve HALF * HALF tables. Sub-keys that one node only has are dropped before pairs of
 them are formed. Two sets of similarity s meet with probability (1 - (1 - s^WIDTH)^HALF)^2;
 at 0.85 they miss with about two in a hundred thousand, at 0.80 with about four in ten thousand. (3) Nodes of a bucket join the group of
-the bucket's smallest node, so a group of near copies is listed once and not once a table. In
-blocks of bounded size, and pairs of such blocks, minhashes tell which nodes have a partner at
-all: ``reach`` of them equal, which a pair at the threshold misses with a chance of ``MISSED`` at most. (4) Blocks of what is
-left get the texts, make the full sets anew and confirm every link between nodes that are not yet
-connected, the smallest node first. They put out one link for each node at most, never a pair that
-is not linked. Two nodes that meet in a table are compared or connected in a common group, so no
-link between components is lost. (5) The links are closed to components.
+the bucket's smallest node, so a group of near copies is listed once and not once a table.
+Minhashes tell which nodes have a partner at all: ``reach`` of them equal, which a pair at the
+threshold misses with a chance of ``MISSED`` at most. (4) What is left gets the texts, makes the full
+sets anew and confirms every link between nodes that are not yet connected. Groups put out one link
+for each node at most, never a pair that is not linked. In both steps a large group is not cut into
+pairs of blocks: in each round a bounded number of its members lead and are compared with all others,
+which deals two rows a member. A group of near copies is settled by the first leaders, and only what
+they do not reach leads in later rounds; no pair of different components is left out. Rounds grow in
+number only with the members that stay unconnected. (5) The links are closed to components.
 
 Edge cases: null or blank texts have the empty set, are linked with nothing and are their own
 component; fewer than five words are one shingle; repeated rows share their component; null
@@ -39,7 +41,8 @@ from lumbung.sources.staging import stage
 HALF, WIDTH = 12, 3
 MINHASHES = 2 * HALF * WIDTH
 MISSED = 4e-5  # chance that a pair just at the threshold has fewer equal minhashes than asked for
-NODES, SHINGLES = 1000, 400_000  # of a block
+NODES, SHINGLES = 1000, 400_000  # of a group that is compared in one piece, and of the leaders of a round
+SIGNATURES = 4000  # nodes of such a group when only minhashes are compared
 _RNG = np.random.default_rng(85)
 _XOR = _RNG.integers(1, 1 << 63, MINHASHES, dtype=np.uint64)
 _ODD = _RNG.integers(1, 1 << 63, MINHASHES, dtype=np.uint64) | np.uint64(1)
@@ -126,58 +129,95 @@ def _buckets(profiles: DataFrame) -> DataFrame:
     return halves.select("node", F.inline(pairs))
 
 
-def _dealt(members: DataFrame) -> DataFrame:
-    """Members (u, node, n) of groups in blocks: (shard, u, x, y, part, node), with u itself as part -1 of each pair of blocks x <= y.
+def _parts(rows: DataFrame, nodes: int, shingles: int | None) -> DataFrame:
+    """(u, parts): so many parts of bounded size each group (u, node, n) makes."""
+    by = F.count("*") / nodes
+    by = by if shingles is None else F.greatest(by, F.sum("n") / shingles)
+    return rows.groupBy("u").agg(F.ceil(by).cast("int").alias("parts"))
 
-    Small groups share a shard, which is the unit of a Python call; the parts of one block pair stay together.
-    """
-    sizes = members.groupBy("u").agg(F.count("*").alias("c"), F.sum("n").alias("t"))
-    sizes = stage(sizes.select("u", F.ceil(F.greatest(F.col("c") / NODES, F.col("t") / SHINGLES)).cast("int").alias("parts")).filter("parts > 1"), "large-groups")
-    rows = members.join(sizes, "u", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-    rows = rows.select("u", "node", "n", own.alias("part"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
-    rows = rows.select("u", "node", "n", "part", F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"))
+
+def _sharded(rows: DataFrame) -> DataFrame:
+    """Rows (u, node, n, x, part) with the shard they are dealt to, which is the unit of a Python call."""
     rows = stage(rows, "blocks")
     shards = max(1, int((rows.agg(F.sum(F.col("n") + 100)).first()[0] or 0) // SHINGLES))
-    leads = rows.select("u", F.col("u").alias("node"), F.lit(-1).alias("part"), "x", "y").distinct()
-    return rows.drop("n").unionByName(leads).withColumn("shard", F.pmod(F.xxhash64("u", "x", "y"), F.lit(shards)))
+    return rows.withColumn("shard", F.pmod(F.xxhash64("u", "x"), F.lit(shards)))
+
+
+def _whole(members: DataFrame) -> DataFrame:
+    """Groups that are compared in one piece: their members as part 0, and u itself as part -1."""
+    rows = members.select("u", "node", "n", F.lit(0).alias("x"), F.lit(0).alias("part"))
+    leads = members.groupBy("u").agg(F.first("n").alias("n"))
+    return rows.unionByName(leads.select("u", F.col("u").alias("node"), "n", F.lit(0).alias("x"), F.lit(-1).alias("part")))
+
+
+def _round(large: DataFrame, todo: DataFrame, parts: DataFrame, nodes: int, shingles: int | None, nth: int) -> tuple[DataFrame, DataFrame]:
+    """Some of the members still to do as leaders, and the rows of one round: every member once, every leader with each part."""
+    share = _parts(todo, nodes, shingles).withColumnRenamed("parts", "_of")
+    leaders = stage(todo.join(share, "u").filter(F.pmod(F.xxhash64("node", F.lit(nth)), F.col("_of")) == 0).select("u", "node", "n"), "leaders")
+    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    others = large.join(leaders, ["u", "node"], "left_anti").join(parts, "u").select("u", "node", "n", part.alias("x"), part.alias("part"))
+    copied = leaders.join(parts, "u").select("u", "node", "n", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("x"), F.lit(-2).alias("part"))
+    return leaders, others.unionByName(copied)
+
+
+def _rounds(members: DataFrame, nodes: int, shingles: int | None, compare, settled) -> DataFrame:
+    """What ``compare`` finds in all groups, large ones by rounds of leaders.
+
+    A large group is never compared block with block. In each round a bounded number of its members
+    lead: they are compared with all members, and have all their links then. ``settled(large, found)``
+    names members that need not lead, because each of their links that matters shows when the other
+    end leads. A round deals every member once and has leaders with each part, in all twice the group.
+    """
+    sizes = stage(_parts(members, nodes, shingles).filter("parts > 1"), "large-groups")
+    found = stage(compare(_sharded(_whole(members.join(sizes.select("u"), "u", "left_anti")))), "found")
+    if not sizes.limit(1).count():
+        return found
+    own = members.join(sizes.select("u"), "u", "left_semi")
+    large = stage(own.unionByName(own.groupBy("u").agg(F.first("n").alias("n")).select("u", F.col("u").alias("node"), "n")), "large")
+    todo, nth, rest = large, 0, None
+    while True:
+        leaders, rows = _round(large, todo, sizes, nodes, shingles, nth)
+        some = stage(compare(_sharded(rows)), "found")
+        rest = some if rest is None else rest.unionByName(some)
+        todo = todo.join(leaders, ["u", "node"], "left_anti").join(settled(large, rest), ["u", "node"], "left_anti")
+        todo, nth = stage(todo, "to-do"), nth + 1
+        if not todo.limit(1).count():
+            return found.unionByName(rest)
 
 
 def _named(rows: DataFrame, *more: str) -> DataFrame:
     """Flat columns, as pandas takes them."""
     pair = [F.col(f"{c}.{s}").alias(f"{c[0]}{s[1]}") for c in ("u", "node") for s in ("s1", "s2")]
-    return rows.select("shard", *pair, "x", "y", "part", "sig", *more)
+    return rows.select("shard", *pair, "x", "part", "sig", *more)
 
 
 def _groups(pdf: pd.DataFrame):
-    """Rows of each block pair, the leader first."""
+    """Rows of each group or part of one, the leaders first."""
     by = np.argsort(pdf["part"].to_numpy(), kind="stable")
-    for rows in pdf.iloc[by].groupby(["u1", "u2", "x", "y"], sort=False).indices.values():
+    for rows in pdf.iloc[by].groupby(["u1", "u2", "x"], sort=False).indices.values():
         yield by[rows]
 
 
-def _comparable(part: np.ndarray, i: int, two: bool) -> np.ndarray:
-    """Later rows of the group that row i is compared with: of two blocks, only those of the other one."""
-    later = np.arange(i + 1, len(part))
-    return later[(part[later] != part[i])] if two and part[i] >= 0 else later
+def _comparable(part: np.ndarray, i: int) -> np.ndarray:
+    """Later rows of the group that row i is compared with: beside leaders of a round, none if it is no leader."""
+    return np.arange(i + 1, len(part)) if part[i] < 0 or part[0] > -2 else np.zeros(0, np.int64)
 
 
 def _partnered(least: int):
-    """Members with a partner within reach in their block pair."""
+    """Members with a partner within reach."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         sig = np.frombuffer(b"".join(pdf["sig"]), np.uint16).reshape(len(pdf), -1)
-        part, x, y = (pdf[c].to_numpy() for c in ("part", "x", "y"))
+        part = pdf["part"].to_numpy()
         found = np.zeros(len(pdf), bool)
         for rows in _groups(pdf):
-            two, parts = x[rows[0]] != y[rows[0]], part[rows]
             for nth, i in enumerate(rows.tolist()):
-                j = rows[_comparable(parts, nth, two)]
+                j = rows[_comparable(part[rows], nth)]
                 if len(j):
                     j = j[(sig[j] == sig[i]).sum(axis=1) >= least]
                     found[j] = True
                     found[i] |= len(j) > 0
-        return pdf.loc[found & (part >= 0), ["u1", "u2", "n1", "n2"]]
+        return pdf.loc[found & (part != -1), ["u1", "u2", "n1", "n2"]]
 
     return run
 
@@ -191,10 +231,10 @@ def _linked(k: int, percent: int):
             hashes, bounds = shingle_sets(data, offsets, k)
             sets += [hashes[bounds[i] : bounds[i + 1]] for i in range(len(offsets) - 1)]
         sig = np.frombuffer(b"".join(pdf["sig"]), np.uint16).reshape(len(pdf), -1)
-        part, x, y = (pdf[c].to_numpy() for c in ("part", "x", "y"))
+        part = pdf["part"].to_numpy()
         lefts, rights = [], []
         for rows in _groups(pdf):
-            two, parts = x[rows[0]] != y[rows[0]], part[rows]
+            parts = part[rows]
             own = [sets[i] for i in rows.tolist()]
             size = np.array([len(s) for s in own])
             # A set shares at most the shingles that another set of the group has too.
@@ -202,7 +242,7 @@ def _linked(k: int, percent: int):
             most = np.add.reduceat(times[back] > 1, np.cumsum(size) - size)
             label = np.arange(len(rows))
             for i in range(len(rows)):
-                j = _comparable(parts, i, two)
+                j = _comparable(parts, i)
                 j = j[label[j] != label[i]]
                 common = np.minimum(most[j], most[i])
                 j = j[100 * common >= percent * (size[j] + size[i] - common)]
@@ -222,20 +262,36 @@ def _linked(k: int, percent: int):
 
 def confirmed_links(stars: DataFrame, nodes: DataFrame, rows: DataFrame, k: int, percent: int) -> DataFrame:
     """(u, v): links that connect all nodes of a group that are connected by links within it."""
-    n = nodes.select("node", "n")
-    signed = nodes.select("node", "sig")
-    partnered = _named(_dealt(stars.join(n, "node")).join(signed, "node")).groupBy("shard").applyInPandas(
-        _partnered(reach(percent)), "u1 long, u2 long, n1 long, n2 long")
     pair = [F.struct(F.col(c + "1").alias("s1"), F.col(c + "2").alias("s2")).alias(to) for c, to in (("u", "u"), ("n", "node"))]
-    members = stage(partnered.distinct().select(*pair), "members")
+    ends = [F.struct(F.col(c + "1").alias("s1"), F.col(c + "2").alias("s2")).alias(c) for c in "uv"]
+    n, signed = nodes.select("node", "n"), nodes.select("node", "sig")
+
+    def partnered(dealt: DataFrame) -> DataFrame:
+        some = _named(dealt.join(signed, "node")).groupBy("shard").applyInPandas(_partnered(reach(percent)), "u1 long, u2 long, n1 long, n2 long")
+        return some.distinct().select(*pair)
+
+    # A member known to have a partner need not lead; one that is near it finds it when it leads itself.
+    members = _rounds(stage(stars.join(n, "node"), "candidates"), SIGNATURES, None, partnered, lambda large, found: found)
+    members = stage(members.distinct(), "members")
     wanted = stage(members.select("node").unionByName(members.select(F.col("u").alias("node"))).distinct(), "wanted")
     places = nodes.join(wanted, "node", "left_semi").select("node", "sig", "place.*")
     # Of rows repeated as a whole one text is taken; the key tells the text.
     texts = stage(rows.select(*KEY, "text").join(places, KEY).dropDuplicates(KEY).select("node", "sig", "text"), "texts")
-    found = _named(_dealt(members.join(n, "node")).join(texts, "node"), "text").groupBy("shard").applyInPandas(
-        _linked(k, percent), "u1 long, u2 long, v1 long, v2 long")
-    u, v = (F.struct(F.col(c + "1").alias("s1"), F.col(c + "2").alias("s2")) for c in "uv")
-    return found.select(u.alias("u"), v.alias("v"))
+
+    def linked(dealt: DataFrame) -> DataFrame:
+        some = _named(dealt.join(texts, "node"), "text").groupBy("shard").applyInPandas(_linked(k, percent), "u1 long, u2 long, v1 long, v2 long")
+        return some.select(*ends)
+
+    # Members of a group's largest component need not lead: what they are linked with outside of it leads.
+    return _rounds(stage(members.filter("u != node").join(n, "node"), "members"), NODES, SHINGLES, linked, _in_largest)
+
+
+def _in_largest(large: DataFrame, links: DataFrame) -> DataFrame:
+    """(u, node) of each group's members in the component that most of its members are in so far."""
+    labels = components(stage(links, "links-so-far"))
+    labelled = stage(large.select("u", "node").join(labels, "node").select("u", "node", "label"), "labelled")
+    most = labelled.groupBy("u", "label").agg(F.count("*").alias("c")).groupBy("u").agg(F.max(F.struct("c", "label")).alias("most"))
+    return labelled.join(most.select("u", F.col("most.label").alias("label")), ["u", "label"]).select("u", "node")
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 85) -> DataFrame:

@@ -64,6 +64,7 @@ def test_components_equal_brute_force(spark, seed):
 
 def test_blocks_and_groups_of_a_hot_bucket(spark, monkeypatch):
     monkeypatch.setattr(mh, "NODES", 7)
+    monkeypatch.setattr(mh, "SIGNATURES", 9)
     monkeypatch.setattr(mh, "SHINGLES", 900)
     rng = random.Random(5)
     base = [f"w{i}" for i in range(60)]
@@ -100,3 +101,27 @@ def test_filter_follows_the_threshold(spark):
     near = [*base[:30], "x", *base[31:]]  # 51 of 61 shingles in common
     df = spark.createDataFrame([(1, " ".join(base), 1, "x"), (2, " ".join(near), 1, "x")], SCHEMA)
     assert {p: sorted(r.component_id for r in mh.near_duplicates(df, percent=p).collect()) for p in (80, 85)} == {80: [1, 1], 85: [1, 2]}
+
+
+def test_rows_dealt_grow_in_proportion_to_a_group(spark, monkeypatch):
+    """Twice as many near copies of one text: about twice as many rows, and no more; links whole."""
+    monkeypatch.setattr(mh, "NODES", 25)
+    monkeypatch.setattr(mh, "SIGNATURES", 25)
+    dealt, real = [], mh._sharded
+
+    def counted(rows):
+        out = real(rows)
+        dealt.append(out.count())
+        return out
+
+    monkeypatch.setattr(mh, "_sharded", counted)
+    totals, base = [], [f"w{i}" for i in range(90)]
+    for n in (150, 300):
+        rows = []
+        for i in range(n):
+            rows.append((i, " ".join([*base, f"x{i}"]), 1, "x"))
+        dealt.clear()
+        got = mh.near_duplicates(spark.createDataFrame(rows, SCHEMA)).drop("_id", "_th")
+        assert sorted((tuple(r) for r in got.collect()), key=str) == brute(rows)
+        totals.append(sum(dealt))
+    assert totals[1] < 2.6 * totals[0], totals
