@@ -160,13 +160,14 @@ def _round(large: DataFrame, todo: DataFrame, parts: DataFrame, nodes: int, shin
     return leaders, others.unionByName(copied)
 
 
-def _rounds(members: DataFrame, nodes: int, shingles: int | None, compare, settled) -> DataFrame:
+def _rounds(members: DataFrame, nodes: int, shingles: int | None, compare, settled, always: bool) -> DataFrame:
     """What ``compare`` finds in all groups, large ones by rounds of leaders.
 
     A large group is never compared block with block. In each round a bounded number of its members
-    lead: they are compared with all members, and have all their links then. ``settled(large, found)``
-    names members that need not lead, because each of their links that matters shows when the other
-    end leads. A round deals every member once and has leaders with each part, in all twice the group.
+    lead: they are compared with all members, and have all their links then. ``settled(found)`` names
+    members that need not lead, because each of their links that matters shows when the other
+    end leads; it is asked after the first round, and with ``always`` after the others too. A round
+    deals every member once and has leaders with each part, in all twice the group.
     """
     sizes = stage(_parts(members, nodes, shingles).filter("parts > 1"), "large-groups")
     found = stage(compare(_sharded(_whole(members.join(sizes.select("u"), "u", "left_anti")))), "found")
@@ -179,7 +180,9 @@ def _rounds(members: DataFrame, nodes: int, shingles: int | None, compare, settl
         leaders, rows = _round(large, todo, sizes, nodes, shingles, nth)
         some = stage(compare(_sharded(rows)), "found")
         rest = some if rest is None else rest.unionByName(some)
-        todo = todo.join(leaders, ["u", "node"], "left_anti").join(settled(large, rest), ["u", "node"], "left_anti")
+        todo = todo.join(leaders, ["u", "node"], "left_anti")
+        if nth == 0 or always:
+            todo = todo.join(settled(some).distinct(), ["u", "node"], "left_anti")
         todo, nth = stage(todo, "to-do"), nth + 1
         if not todo.limit(1).count():
             return found.unionByName(rest)
@@ -193,7 +196,7 @@ def _named(rows: DataFrame, *more: str) -> DataFrame:
 
 def _groups(pdf: pd.DataFrame):
     """Rows of each group or part of one, the leaders first."""
-    by = np.argsort(pdf["part"].to_numpy(), kind="stable")
+    by = np.lexsort([pdf[c].to_numpy() for c in ("n2", "n1", "part")])
     for rows in pdf.iloc[by].groupby(["u1", "u2", "x"], sort=False).indices.values():
         yield by[rows]
 
@@ -232,7 +235,7 @@ def _linked(k: int, percent: int):
             sets += [hashes[bounds[i] : bounds[i + 1]] for i in range(len(offsets) - 1)]
         sig = np.frombuffer(b"".join(pdf["sig"]), np.uint16).reshape(len(pdf), -1)
         part = pdf["part"].to_numpy()
-        lefts, rights = [], []
+        lefts, rights, settled = [], [], []
         for rows in _groups(pdf):
             parts = part[rows]
             own = [sets[i] for i in rows.tolist()]
@@ -240,9 +243,9 @@ def _linked(k: int, percent: int):
             # A set shares at most the shingles that another set of the group has too.
             _, back, times = np.unique(np.concatenate(own), return_inverse=True, return_counts=True)
             most = np.add.reduceat(times[back] > 1, np.cumsum(size) - size)
-            label = np.arange(len(rows))
-            for i in range(len(rows)):
-                j = _comparable(parts, i)
+            label, leads = np.arange(len(rows)), int((parts == -2).sum())
+
+            def confirm(i: int, j: np.ndarray) -> None:
                 j = j[label[j] != label[i]]
                 common = np.minimum(most[j], most[i])
                 j = j[100 * common >= percent * (size[j] + size[i] - common)]
@@ -254,8 +257,20 @@ def _linked(k: int, percent: int):
                             label[label == label[other]] = label[i]
                             lefts.append(rows[i])
                             rights.append(rows[other])
+
+            # Leaders among themselves first: every part of a group then agrees on their largest component.
+            for i in range(leads):
+                confirm(i, np.arange(i + 1, leads))
+            largest = int(np.argmax(np.bincount(label[:leads]))) if leads else -1
+            at = np.flatnonzero(label[:leads] == largest)[:1]
+            for i in range(leads or len(rows)):
+                confirm(i, np.arange(max(i + 1, leads), len(rows)))
+            if len(at):
+                settled.append(rows[label == label[at[0]]])
         a, b = pdf.iloc[lefts], pdf.iloc[rights]
-        return pd.DataFrame({"u1": a["n1"].to_numpy(), "u2": a["n2"].to_numpy(), "v1": b["n1"].to_numpy(), "v2": b["n2"].to_numpy()})
+        done = pdf.iloc[np.concatenate(settled)] if settled else pdf.iloc[:0]
+        ends = [np.concatenate([x.to_numpy(), y.to_numpy()]) for x, y in zip((a["n1"], a["n2"], b["n1"], b["n2"]), (done["u1"], done["u2"], done["n1"], done["n2"]), strict=True)]
+        return pd.DataFrame({"settled": np.repeat([False, True], [len(a), len(done)]), **dict(zip(("u1", "u2", "v1", "v2"), ends, strict=True))})
 
     return run
 
@@ -271,7 +286,7 @@ def confirmed_links(stars: DataFrame, nodes: DataFrame, rows: DataFrame, k: int,
         return some.distinct().select(*pair)
 
     # A member known to have a partner need not lead; one that is near it finds it when it leads itself.
-    members = _rounds(stage(stars.join(n, "node"), "candidates"), SIGNATURES, None, partnered, lambda large, found: found)
+    members = _rounds(stage(stars.join(n, "node"), "candidates"), SIGNATURES, None, partnered, lambda some: some, always=True)
     members = stage(members.distinct(), "members")
     wanted = stage(members.select("node").unionByName(members.select(F.col("u").alias("node"))).distinct(), "wanted")
     places = nodes.join(wanted, "node", "left_semi").select("node", "sig", "place.*")
@@ -279,19 +294,13 @@ def confirmed_links(stars: DataFrame, nodes: DataFrame, rows: DataFrame, k: int,
     texts = stage(rows.select(*KEY, "text").join(places, KEY).dropDuplicates(KEY).select("node", "sig", "text"), "texts")
 
     def linked(dealt: DataFrame) -> DataFrame:
-        some = _named(dealt.join(texts, "node"), "text").groupBy("shard").applyInPandas(_linked(k, percent), "u1 long, u2 long, v1 long, v2 long")
-        return some.select(*ends)
-
-    # Members of a group's largest component need not lead: what they are linked with outside of it leads.
-    return _rounds(stage(members.filter("u != node").join(n, "node"), "members"), NODES, SHINGLES, linked, _in_largest)
-
+        some = _named(dealt.join(texts, "node"), "text").groupBy("shard").applyInPandas(_linked(k, percent), "settled boolean, u1 long, u2 long, v1 long, v2 long")
+        return some.select("settled", *ends)
 
-def _in_largest(large: DataFrame, links: DataFrame) -> DataFrame:
-    """(u, node) of each group's members in the component that most of its members are in so far."""
-    labels = components(stage(links, "links-so-far"))
-    labelled = stage(large.select("u", "node").join(labels, "node").select("u", "node", "label"), "labelled")
-    most = labelled.groupBy("u", "label").agg(F.count("*").alias("c")).groupBy("u").agg(F.max(F.struct("c", "label")).alias("most"))
-    return labelled.join(most.select("u", F.col("most.label").alias("label")), ["u", "label"]).select("u", "node")
+    # Members of the component that most of the first leaders are in need not lead: what they are linked
+    # with outside of it leads. That holds for one component of a group only, so for no later leaders'.
+    members = stage(members.filter("u != node").join(n, "node"), "members")
+    return _rounds(members, NODES, SHINGLES, linked, lambda some: some.filter("settled").select("u", F.col("v").alias("node")), always=False).filter("NOT settled").select("u", "v")
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 85) -> DataFrame:
