@@ -182,7 +182,7 @@ def _encoded(vocabulary: bytes, model: bytes):
     def run(batches):
         import zstandard
 
-        both, packer = loaded(vocabulary, model), zstandard.ZstdCompressor(level=1)
+        both, packer = loaded(vocabulary, model), zstandard.ZstdCompressor(level=3)
         # A partition is a task; rows it is given are the same when it is run again, and so are its pieces.
         piece = TaskContext.get().partitionId() << 32
         for batch in batches:
