@@ -43,6 +43,18 @@ def keyed(docs: DataFrame) -> DataFrame:
     )
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """The row's key, and the input's row as one column ``row``: no name of the input meets another one."""
+    every = F.struct(*[docs[f"`{name}`"] for name in docs.columns])
+    row_id, text = docs["doc_id"].cast("long"), docs["text"]
+    return docs.select(F.coalesce(row_id, F.lit(NO_ID)).alias("_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("_th"), every.alias("row"))
+
+
+def unpacked(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` again."""
+    return rows.select(*[F.col(f"row.`{name}`").alias(name) for name in docs.columns])
+
+
 def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string or binary column without nulls, and the offsets of its rows."""
     column = column.cast(pa.large_binary())

@@ -1,21 +1,24 @@
-"""Benchmark decontamination: a word-count bound finds candidates, subsequence and answer checks decide, a latent space ranks.
+"""Benchmark decontamination by latent semantic retrieval, then subsequence and answer checks.
 
-Words are runs of letters and digits, lower-cased in ASCII; a passage is two neighbouring
-half-passages of ``HALF`` words. Items are taken in blocks of ``ITEMS``, each a query set that is
-held against all passages. For a block: (1) one pass counts in how many half-passages of the whole
-corpus each of the block's words occurs, for its inverse frequency (0 above one half). (2) A
+Words are runs of letters and digits, lower-cased in ASCII; rows of the TF-IDF matrix are half-passages
+of ``HALF`` words. Items are taken in blocks of ``ITEMS``, each a query set that is held against all
+passages. For a block: (1) one pass counts in how many half-passages of the whole corpus each of the
+block's words occurs. A word's weight is the root of its inverse frequency, which is at least ``FLOOR``
+of the median one: an item that stands in much of the corpus keeps a length of its own. (2) A
 randomised SVD of the TF-IDF matrix: every task multiplies its rows with a random matrix of
 ``RANK + 8`` columns and back (A'A R); Spark sums the results by word; the items are rows too, with
 four times the corpus's energy, so that the leading vectors span them. The left singular vectors of
-the sum, words x ``RANK``, are what is broadcast: bounded by the block's vocabulary. (3) For every
-passage and item the item's words near the passage are counted (``Bound``); pairs that no subsequence
-could bring to ``LIKE`` go, and no others: an item that stands in much of the corpus, where its words
-weigh next to nothing, is found like a rare one. (4) Candidates are compared word by word: an item leaks if
-its longest common subsequence with the passage and its surroundings has ``SAME`` of its words, or,
-as a paraphrase, ``LIKE`` of them and ``SAME`` of its answer (its last sentence); ``LIKE`` of the words
-that are not everywhere (frequency above 0) must be among them either way, and of an answer
-only those count. Of a pair that leaks the cosine is estimated in the latent space,
-with words outside the vocabulary in the passage's length.
+the sum, words x ``RANK``, are what is broadcast: bounded by the block's vocabulary. (3) Passages, as many
+neighbouring half-passages as hold the item wherever it starts, are projected. Candidates are the pairs
+whose latent cosine, times the ratio of the passage's length to the item's, is ``COVER`` or more: the share of the item
+that the passage covers, which other words of the passage do not lower. (4) Candidates near which too few of the
+item's words stand for any subsequence go (``Bound``); the others are compared word
+by word: an item leaks if its longest common subsequence with the passage and its surroundings has
+``SAME`` of its words, or, as a paraphrase, ``LIKE`` of them and ``SAME`` of its answer (its last
+sentence); ``LIKE`` of the words that are not everywhere (in less than half of the half-passages) must be among them
+either way, and of an answer only those count. The cosine reported is that of the latent vectors.
+
+A very long text is projected as a whole: 16 bytes of vectors a word and rank over ``HALF`` words, some 10 bytes a byte.
 
 Edge cases: null and empty texts have no passages and null or empty items match nothing; repeated
 rows give one row per doc_id and item; rows with null doc_ids are reported under null; an empty
@@ -31,12 +34,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumbung.llm.common import KEY, NO_ID, column_bytes, keyed, pieces, word_hashes, words
+from lumbung.llm.common import KEY, column_bytes, keyed, packed, pieces, unpacked, word_hashes, words
 
 HALF = 32
-ITEMS = 1000
+ITEMS = 256
 RANK = 64
 SAME, LIKE = 0.8, 0.6
+FLOOR, COVER = 0.25, 0.25
 CHUNK, MANY = 1024, 8
 
 _APART = np.zeros(256, bool)
@@ -71,7 +75,7 @@ class Items:
 class Piece:
     """Words of a run of rows, those in the vocabulary, and the half-passage each is in."""
 
-    def __init__(self, items: Items, data: np.ndarray, offsets: np.ndarray, idf: np.ndarray | None = None) -> None:
+    def __init__(self, items: Items, data: np.ndarray, offsets: np.ndarray) -> None:
         begin, end, self.counts = words(data, offsets, _APART)
         self.hashes = word_hashes(data, begin, end, lower=True)
         sizes = np.diff(self.counts)
@@ -84,9 +88,6 @@ class Piece:
         starts = self.counts[self.row_of] + (np.arange(len(self.row_of)) - self.first[self.row_of]) * HALF
         length = np.minimum(HALF, self.counts[self.row_of + 1] - starts)
         self.unknown = (length - np.bincount(self.half, minlength=len(length))).astype(np.float32)
-        if idf is not None:  # words that are everywhere weigh nothing
-            some = idf[self.term] > 0
-            self.at, self.term, self.half = self.at[some], self.term[some], self.half[some]
 
     def sums(self, values: np.ndarray) -> np.ndarray:
         """Sums per half-passage of a row of values for each vocabulary word."""
@@ -96,9 +97,9 @@ class Piece:
             out[self.half[at]] = np.add.reduceat(values, at, axis=0)
         return out
 
-    def weights(self, idf: np.ndarray, outside: float) -> np.ndarray:
+    def weights(self, weight: np.ndarray, outside: float) -> np.ndarray:
         """Squared length of each half-passage, words outside the vocabulary included."""
-        return self.sums(idf[self.term] ** 2) + self.unknown * np.float32(outside**2)
+        return self.sums(weight[self.term] ** 2) + self.unknown * np.float32(outside**2)
 
 
 def _frequencies(items: Items):
@@ -116,15 +117,15 @@ def _frequencies(items: Items):
     return run
 
 
-def _sketch(items: Items, idf: np.ndarray, outside: float, start: np.ndarray):
+def _sketch(items: Items, weight: np.ndarray, outside: float, start: np.ndarray):
     def run(batches):
-        total = np.zeros((len(idf), start.shape[1]), np.float32)
+        total = np.zeros((len(weight), start.shape[1]), np.float32)
         energy = 0.0
         for batch in batches:
             for _, data, offsets in pieces(batch.column("text")):
-                piece = Piece(items, data, offsets, idf)
-                value = idf[piece.term]
-                length = np.maximum(piece.weights(idf, outside), 1e-9)
+                piece = Piece(items, data, offsets)
+                value = weight[piece.term]
+                length = np.maximum(piece.weights(weight, outside), 1e-9)
                 across = piece.sums(value[:, None] * start[piece.term]) / length[:, None]
                 energy += float((value**2 / length[piece.half]).sum())
                 by = np.argsort(piece.term, kind="stable")
@@ -162,10 +163,10 @@ def _by_reach(found: list[np.ndarray]) -> list[tuple[int, np.ndarray]]:
 
 
 class Bound:
-    """Items of one reach, and which of them a passage and its surroundings can hold at all.
+    """Items of one reach, and a cheap test of candidates: can the passage and its surroundings hold the item at all?
 
     Counted are an item's words, as often as it has them, that stand anywhere in the half-passages around a
-    passage. No subsequence is longer, so nothing that passes the check is left out, whatever else stands there.
+    passage. No subsequence is longer, so no candidate that passes the checks is left out.
     """
 
     def __init__(self, reach: int, those: np.ndarray, found: list[np.ndarray], vocabulary: np.ndarray) -> None:
@@ -188,7 +189,7 @@ class Bound:
         self.ptr = np.cumsum(self.degree) - self.degree
         self.used = degree > 0
 
-    def _spans(self, piece: Piece) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def spans(self, piece: Piece) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Words and the passages (first, end) that have them near; spans of one word do not overlap."""
         some = np.flatnonzero(self.used[piece.term])
         key = np.unique(piece.term[some] * len(piece.row_of) + piece.half[some])
@@ -203,70 +204,93 @@ class Bound:
         by = full[np.argsort(first[full], kind="stable")]
         return term[by], first[by], end[by]
 
-    def pairs(self, piece: Piece):
-        """(passage, item), passages by their first half-passage."""
-        term, first, end = self._spans(piece)
+    def possible(self, spans: tuple[np.ndarray, ...], low: int, high: int) -> np.ndarray:
+        """Passages low to high x items: whether enough of the item's words are near."""
+        term, first, end = spans
         longest = int((end - first).max()) if len(term) else 0
-        for low in range(0, len(piece.row_of) if len(term) else 0, CHUNK):
-            high = min(low + CHUNK, len(piece.row_of))
-            some = slice(*np.searchsorted(first, (low - longest, high)))
-            t, a, b = term[some], np.maximum(first[some], low), np.minimum(end[some], high)
-            t, a, b = t[a < b], a[a < b] - low, b[a < b] - low
-            size, items = high - low + 1, len(self.those)
-            col = self.column[t]
-            wide = col >= 0
-            width = len(self.matrix)
-            steps = np.bincount(a[wide] * width + col[wide], minlength=size * width) - np.bincount(b[wide] * width + col[wide], minlength=size * width)
-            near = steps.reshape(size, width).astype(np.float32) @ self.matrix
-            t, a, b = t[~wide], a[~wide], b[~wide]
-            degree = self.degree[t]
-            at = np.repeat(self.ptr[t] - np.cumsum(degree) + degree, degree) + np.arange(degree.sum())
-            item, times = self.item[at], self.times[at]
-            cells = np.bincount(np.repeat(a * items, degree) + item, times, minlength=size * items)
-            cells -= np.bincount(np.repeat(b * items, degree) + item, times, minlength=size * items)
-            near += cells.reshape(size, items)
-            p, i = np.nonzero(np.cumsum(near, axis=0)[:-1] >= self.least)
-            yield from zip((p + low).tolist(), self.those[i].tolist(), strict=True)
-
-
-def _search(items: Items, idf: np.ndarray, outside: float, basis: np.ndarray, latent: np.ndarray):
-    """``latent``: an item's vector, scaled so that the product with a passage's vector over its length is their cosine."""
-
-    weight = dict(zip(items.vocabulary.tolist(), idf.tolist(), strict=True))
+        some = slice(*np.searchsorted(first, (low - longest, high)))
+        t, a, b = term[some], np.maximum(first[some], low), np.minimum(end[some], high)
+        t, a, b = t[a < b], a[a < b] - low, b[a < b] - low
+        size, items = high - low + 1, len(self.those)
+        col = self.column[t]
+        wide = col >= 0
+        width = len(self.matrix)
+        steps = np.bincount(a[wide] * width + col[wide], minlength=size * width) - np.bincount(b[wide] * width + col[wide], minlength=size * width)
+        near = steps.reshape(size, width).astype(np.float32) @ self.matrix
+        t, a, b = t[~wide], a[~wide], b[~wide]
+        degree = self.degree[t]
+        at = np.repeat(self.ptr[t] - np.cumsum(degree) + degree, degree) + np.arange(degree.sum())
+        item, times = self.item[at], self.times[at]
+        cells = np.bincount(np.repeat(a * items, degree) + item, times, minlength=size * items)
+        cells -= np.bincount(np.repeat(b * items, degree) + item, times, minlength=size * items)
+        near += cells.reshape(size, items)
+        return np.cumsum(near, axis=0)[:-1] >= self.least
+
+
+class Latent:
+    """The block's items in the latent space: ``vectors`` scaled so that the product with a passage's vector is the share covered."""
+
+    def __init__(self, items: Items, weight: np.ndarray, basis: np.ndarray) -> None:
+        self.basis = basis * weight[:, None]
+        numbers = [np.searchsorted(items.vocabulary, w) for w in items.words]
+        self.vectors = np.array([self.basis[n].sum(axis=0) for n in numbers])
+        self.lengths = np.sqrt(np.maximum((self.vectors**2).sum(axis=1), 1e-12))
+        self.vectors /= self.lengths[:, None] ** 2
+        self.groups = _by_reach(items.words)
+
+    def candidates(self, piece: Piece, bounds: list[Bound]):
+        """(first half-passage, item, cosine) of the pairs that reach ``COVER`` and that the word bound lets through."""
+        sums = np.zeros((len(piece.row_of) + 1, self.basis.shape[1]))
+        np.cumsum(piece.sums(self.basis[piece.term]), axis=0, dtype=np.float64, out=sums[1:])
+        ends = (piece.first + piece.halves)[piece.row_of]
+        for (reach, those), bound in zip(self.groups, bounds, strict=True):
+            last = np.minimum(np.arange(len(ends)) + reach + 1, ends)
+            spans = bound.spans(piece)
+            for low in range(0, len(ends), CHUNK):
+                some = slice(low, low + CHUNK)
+                vectors = (sums[last[some]] - sums[:-1][some]).astype(np.float32)
+                shares = vectors @ self.vectors[those].T
+                found = shares >= COVER
+                if found.any():
+                    found &= bound.possible(spans, low, low + len(vectors))
+                p, i = np.nonzero(found)
+                lengths = np.sqrt(np.maximum((vectors[p] ** 2).sum(axis=1), 1e-12))
+                cosines = np.clip(shares[p, i] * self.lengths[those[i]] / lengths, -1, 1)
+                yield from zip((p + low).tolist(), those[i].tolist(), cosines.tolist(), strict=True)
+
+
+def _search(items: Items, rare: np.ndarray, latent: Latent):
+    """``rare``: which words of the vocabulary are not everywhere."""
+    known = set(items.vocabulary[rare].tolist())
 
     def telling(found: np.ndarray) -> np.ndarray:
         """The words that are not everywhere; all of them if all are."""
-        some = np.array([w for w in found.tolist() if weight[w] > 0], np.uint64)
+        some = np.array([w for w in found.tolist() if w in known], np.uint64)
         return some if len(some) else found
 
-    rare, answers = [telling(w) for w in items.words], [telling(w) for w in items.answers]
-    bounds = [Bound(r, those, [rare[i] for i in those], items.vocabulary) for r, those in _by_reach(items.words)]
+    tellings, answers = [telling(w) for w in items.words], [telling(w) for w in items.answers]
+    bounds = [Bound(r, those, [tellings[i] for i in those], items.vocabulary) for r, those in latent.groups]
 
     def run(batches):
-        scaled = basis * idf[:, None]
         for batch in batches:
             ids = list(zip(*(batch.column(c).to_pylist() for c in ("doc_id", *KEY)), strict=True))
             out = []
             for row, data, offsets in pieces(batch.column("text")):
                 piece = Piece(items, data, offsets)
-                length = piece.weights(idf, outside)
-                for p, i in (pair for bound in bounds for pair in bound.pairs(piece)):
+                for p, i, cosine in latent.candidates(piece, bounds):
                     r = piece.row_of[p]
                     start = piece.counts[r] + (p - piece.first[r]) * HALF
                     near = len(items.words[i])
                     low, high = max(piece.counts[r], start - near), min(piece.counts[r + 1], start + 2 * HALF + near)
                     # words outside the vocabulary are in no item
                     region = items.vocabulary[piece.term[slice(*np.searchsorted(piece.at, (low, high)))]]
-                    if subsequence(rare[i], region) < LIKE * len(rare[i]):
+                    if subsequence(tellings[i], region) < LIKE * len(tellings[i]):
                         continue
                     share = subsequence(items.words[i], region) / near
                     if share >= LIKE:
                         answer = subsequence(answers[i], region) / len(answers[i])
                         if share >= SAME or answer >= SAME:
-                            last = p + 2 if p + 1 < len(piece.row_of) and piece.row_of[p + 1] == r else p + 1
-                            inside = piece.term[slice(*np.searchsorted(piece.half, (p, last)))]
-                            cosine = scaled[inside].sum(axis=0) @ latent[i] / np.sqrt(max(length[p:last].sum(), 1e-9))
-                            out.append((*ids[row + r], items.ids[i], share, answer, float(cosine), int(low - piece.counts[r]), int(high - piece.counts[r])))
+                            out.append((*ids[row + r], items.ids[i], share, answer, cosine, int(low - piece.counts[r]), int(high - piece.counts[r])))
             cols = list(zip(*out, strict=True)) or [[]] * len(NAMES)
             kinds = [*[pa.int64()] * 4, pa.float64(), pa.float64(), pa.float64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=NAMES)
@@ -284,27 +308,30 @@ def _leaks_of(rows: DataFrame, items: Items) -> DataFrame:
     counts = dict(zip(counts["term"], counts["n"], strict=True))
     total = counts.get(-1, 0)
     df = np.array([counts.get(i, 0) for i in range(len(items.vocabulary))], float)
-    idf = np.maximum(0, np.log((total - df + 0.5) / (df + 0.5))).astype(np.float32)
+    idf = np.log((total + 1) / (df + 0.5))
     outside = float(np.median(idf))
-    numbers = [np.searchsorted(items.vocabulary, w) for w in items.words]
-    own = np.zeros((len(items.ids), len(idf)), np.float32)
-    for i, n in enumerate(numbers):
-        np.add.at(own[i], n, idf[n])
-    lengths = np.sqrt([max(1e-9, float((idf[n] ** 2).sum())) for n in numbers])
-    own /= lengths[:, None]
-    start = np.random.default_rng(4).standard_normal((len(idf), RANK + 8)).astype(np.float32)
+    weight = np.sqrt(np.maximum(idf, FLOOR * outside)).astype(np.float32)
+    own = np.zeros((len(items.ids), len(weight)), np.float32)
+    for row, found in zip(own, items.words, strict=True):
+        number = np.searchsorted(items.vocabulary, found)
+        np.add.at(row, number, weight[number])
+    own /= np.maximum(np.sqrt((own**2).sum(axis=1, keepdims=True)), 1e-9)
+    basis = _basis(rows, items, own, weight, float(np.sqrt(outside)))
+    return rows.mapInArrow(_search(items, 2 * df < total, Latent(items, weight, basis)), FOUND)
+
+
+def _basis(rows: DataFrame, items: Items, own: np.ndarray, weight: np.ndarray, outside: float) -> np.ndarray:
+    """Leading left singular vectors of the corpus and the items (``own``, a row each), words x ``RANK``."""
+    start = np.random.default_rng(4).standard_normal((len(weight), RANK + 8)).astype(np.float32)
     sums = [F.sum(f"y{i}").alias(f"y{i}") for i in range(start.shape[1])]
-    table = rows.mapInArrow(_sketch(items, idf, outside, start), "term long, " + ", ".join(f"y{i} double" for i in range(start.shape[1])))
+    table = rows.mapInArrow(_sketch(items, weight, outside, start), "term long, " + ", ".join(f"y{i} double" for i in range(start.shape[1])))
     table = table.groupBy("term").agg(*sums).toPandas().to_numpy()
     product = np.zeros(start.shape)
     terms = table[:, 0].astype(int)
     product[terms[terms >= 0]] = table[terms >= 0, 1:]
     energy = float(table[terms < 0, 1].sum())
     product += 4 * max(1.0, energy) / len(own) * (own.T @ (own @ start))
-    basis = np.linalg.svd(product, full_matrices=False)[0][:, :RANK].astype(np.float32)
-    latent = own @ basis
-    latent /= np.maximum(1e-6, (latent**2).sum(axis=1, keepdims=True))
-    return rows.mapInArrow(_search(items, idf, outside, basis, latent), FOUND)
+    return np.linalg.svd(product, full_matrices=False)[0][:, :RANK].astype(np.float32)
 
 
 def _found(docs: DataFrame, benchmark: DataFrame, block: int) -> DataFrame | None:
@@ -343,6 +370,4 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = _found(docs, benchmark, ITEMS)
     if found is None:
         return docs
-    bad = found.select(F.col("_id").alias("_bad_id"), F.col("_th").alias("_bad_th")).distinct()
-    row_id = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
-    return docs.join(bad, (row_id == F.col("_bad_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_bad_th")), "left_anti")
+    return unpacked(packed(docs).join(found.select(*KEY).distinct(), KEY, "left_anti"), docs)

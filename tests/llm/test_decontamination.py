@@ -134,3 +134,43 @@ def test_clean_documents_stay_beside_a_leak_with_their_id(spark):
     docs, bench = spark.createDataFrame(clean + leaking, DOCS), spark.createDataFrame(items, ITEMS)
     assert sorted(map(tuple, dc.clean(docs, bench).collect()), key=str) == sorted(clean, key=str)
     assert {(r.doc_id, r.item_id) for r in dc.leaks(docs, bench).collect()} == {(None, 2), (7, 3)}
+
+
+def test_candidates_come_from_the_latent_space(spark, monkeypatch):
+    """All leaks are found through the basis; with two noisy directions in its place some are lost, with a blind one all."""
+    docs, items, truth = tables(5)
+    df, bench = spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)
+    got = dc.leaks(df, bench).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == truth and all(0 < r.cosine <= 1 for r in got)
+
+    def noise(rows, items, own, weight, outside):
+        return np.random.default_rng(1).standard_normal((len(weight), 2)).astype(np.float32)
+
+    monkeypatch.setattr(dc, "_basis", noise)
+    assert {(r.doc_id, r.item_id) for r in dc.leaks(df, bench).collect()} < truth
+    monkeypatch.setattr(dc, "_basis", lambda rows, items, own, weight, outside: np.zeros((len(weight), 2), np.float32))
+    assert dc.leaks(df, bench).collect() == []
+
+
+def test_recall_with_more_items_than_dimensions(spark):
+    """Four items to a dimension of the latent space: at least nine tenths of the verbatim and changed leaks."""
+    rng = random.Random(3)
+    voc = [f"v{i}x" for i in range(6000)]
+    items = [(i, " ".join(rng.choices(voc, k=rng.randint(14, 60))) + ".", 1) for i in range(256)]
+    docs, truth = [], set()
+    for d in range(256):
+        leak = items[d][1].split()
+        for _ in range(len(leak) // 8 if d % 2 else 0):
+            leak[rng.randrange(len(leak) - 1)] = rng.choice(voc)
+        docs.append((d, " ".join(rng.choices(voc, k=60) + leak + rng.choices(voc, k=60)), 1, "x"))
+        truth.add((d, d))
+    got = {(r.doc_id, r.item_id) for r in dc.leaks(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)).collect()}
+    assert len(got & truth) >= 0.9 * len(truth)
+
+
+def test_clashing_names(spark):
+    docs, items, _ = tables(2)
+    names = "doc_id long, text string, _id long, _th string, _bad_id long, _bad_th long, row string, item_id long"
+    df = spark.createDataFrame([(d, t, 5, "a", 6, 7, "b", 8) for d, t, *_ in docs], names)
+    got = dc.clean(df, spark.createDataFrame(items, ITEMS))
+    assert got.columns == df.columns and {tuple(r)[2:] for r in got.collect()} == {(5, "a", 6, 7, "b", 8)}
