@@ -4,13 +4,15 @@ Units are words (runs of non-blank characters; longer ones in pieces of ``LONGES
 substrings of a k-mer of five words are its four pairs of neighbours; the k-mer is a closed syncmer
 if the smallest pair hash is the first or the last of them. Whether a k-mer is chosen depends on
 nothing but its words, so edits elsewhere move no anchor. ``anchors`` lists them with their word
-positions for positional matching; the fingerprint is the ``SKETCH`` smallest anchor hashes, and
-the likeness of two fingerprints estimates the share of anchors in common.
+positions for positional matching. The fingerprint is the whole set of anchor hashes (32 bits of each), in the
+order of the text, and the likeness of two fingerprints is the share of anchors in common (Jaccard); ``n_in_place``
+counts the anchors that also stand at the same word of the edited text.
 
 Edge cases: null is empty text; a text without anchors is its own single anchor; without words the
 fingerprint is empty, like only to another empty one (1.0). Repeated rows are one place in the order
 and each get the same result; null doc_ids come first; a table of one document has itself as the
-next one; an empty table gives an empty result; other columns of the input are ignored.
+next one; an empty table gives an empty result; other columns of the input are ignored. A very long text
+is one row: its arrays take some 10 bytes a byte of text, and its fingerprint grows with it.
 """
 
 from __future__ import annotations
@@ -22,8 +24,8 @@ from lumbung.llm.common import KEY, keyed
 from lumbung.sources.staging import stage
 
 LONGEST = 24
-SKETCH = 64
 K = 5
+_LOW = (1 << 32) - 1
 
 
 def _units(text: Column) -> Column:
@@ -49,22 +51,27 @@ def with_syncmers(df: DataFrame, text: str, to: str) -> DataFrame:
     return df.withColumn(to, F.when(F.size(to) > 0, F.col(to)).when(F.size("_w") > 0, alone).otherwise(F.col(to))).drop("_w", "_p", "_n")
 
 
-def with_sketch(df: DataFrame, text: str, to: str) -> DataFrame:
-    """Column ``to``: the smallest distinct anchor hashes of ``text``, in order."""
+def with_places(df: DataFrame, text: str, to: str) -> DataFrame:
+    """Column ``to``: the anchors of ``text`` in order, each a long of its word's number and 32 bits of its hash."""
     df = with_syncmers(df, text, "_s")
-    return df.withColumn(to, F.slice(F.array_sort(F.array_distinct(F.transform("_s", lambda x: x["hash"]))), 1, SKETCH)).drop("_s")
+    place = F.transform("_s", lambda x: F.shiftleft(x["pos"].cast("long"), 32).bitwiseOR(x["hash"].bitwiseAND(F.lit(_LOW))))
+    return df.withColumn(to, place).drop("_s")
 
 
-def as_text(sketch: Column) -> Column:
-    """The fingerprint: the hashes as 16 hexadecimal digits each."""
-    return F.lower(F.array_join(F.transform(sketch, lambda h: F.lpad(F.hex(h), 16, "0")), ""))
+def hashes(places: str) -> Column:
+    """The distinct hashes of ``with_places``, in order, as integers."""
+    return F.array_distinct(F.transform(places, lambda x: F.shiftright(F.shiftleft(x, 32), 32).cast("int")))
+
+
+def as_text(found: str) -> Column:
+    """The fingerprint: the hashes as 8 hexadecimal digits each."""
+    return F.lower(F.array_join(F.transform(found, lambda h: F.lpad(F.hex(h.cast("long").bitwiseAND(F.lit(_LOW))), 8, "0")), ""))
 
 
 def likeness(a: str, b: str) -> Column:
-    """Share of the smallest hashes of both sketches together that are in each of them."""
-    both = F.slice(F.array_sort(F.array_union(a, b)), 1, SKETCH)
-    common = F.size(F.array_intersect(both, F.array_intersect(a, b)))
-    return F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).otherwise(common.cast("double") / F.size(both))
+    """Share of the hashes of both fingerprints together that are in each of them."""
+    common = F.size(F.array_intersect(a, b))
+    return F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).otherwise(common.cast("double") / (F.size(a) + F.size(b) - common))
 
 
 def anchors(docs: DataFrame) -> DataFrame:
@@ -90,21 +97,23 @@ def following(rows: DataFrame) -> DataFrame:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, next_doc_id.
+    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, n_anchors, n_in_place, next_doc_id.
 
     The texts are shuffled once: as the next document (giving its first characters) and as the
     document itself they are read from the same exchange.
     """
     rows = keyed(docs)
-    base = with_sketch(rows.withColumn("n", F.length("text")), "text", "sketch")
+    base = with_places(rows.withColumn("n", F.length("text")), "text", "places")
     given = base.join(following(rows), KEY).select(
-        F.col("t_id").alias("_id"), F.col("t_th").alias("_th"), F.col("doc_id").alias("next_doc_id"), F.col("sketch").alias("next_sketch"),
+        F.col("t_id").alias("_id"), F.col("t_th").alias("_th"), F.col("doc_id").alias("next_doc_id"), hashes("places").alias("next"),
         F.substring("text", F.lit(1), F.least("q", "n")).alias("head"))
-    given = given.groupBy(*KEY).agg(F.first("next_doc_id").alias("next_doc_id"), F.first("next_sketch").alias("next_sketch"), F.first("head").alias("head"))
+    given = given.groupBy(*KEY).agg(F.first("next_doc_id").alias("next_doc_id"), F.first("next").alias("next"), F.first("head").alias("head"))
     joined = base.join(given, KEY)
     kept = F.substring("text", F.lit(1), F.col("n") - F.floor(F.col("n") / 4).cast("int"))
-    edited = with_sketch(joined.withColumn("edited", F.concat(kept, "head")), "edited", "edited_sketch")
+    edited = with_places(joined.withColumn("edited", F.concat(kept, "head")), "edited", "edited_places")
+    edited = edited.withColumn("own", hashes("places")).withColumn("changed", hashes("edited_places"))
     return edited.select(
         "doc_id", F.col("n").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
-        as_text(F.col("sketch")).alias("fingerprint"), as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
-        likeness("sketch", "edited_sketch").alias("near_edited"), likeness("sketch", "next_sketch").alias("near_next"), "next_doc_id")
+        as_text("own").alias("fingerprint"), as_text("changed").alias("edited_fingerprint"),
+        likeness("own", "changed").alias("near_edited"), likeness("own", "next").alias("near_next"),
+        F.size("places").cast("long").alias("n_anchors"), F.size(F.array_intersect("places", "edited_places")).cast("long").alias("n_in_place"), "next_doc_id")

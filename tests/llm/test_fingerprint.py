@@ -75,3 +75,21 @@ def test_repeated_null_and_empty(spark):
     one = fp.fingerprints(spark.createDataFrame([(1, "abcd efgh", "", 1)], SCHEMA)).first()
     assert one.next_doc_id == 1 and one.near_next == 1.0
     assert fp.fingerprints(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_long_texts_that_share_a_passage(spark):
+    """The whole set counts: a passage of 400 words in two texts of 4,000 words, and likeness by brute force."""
+    rng = random.Random(8)
+    voc = [f"w{i}" for i in range(50000)]
+    passage = rng.choices(voc, k=400)
+    rows = [(d, " ".join(rng.choices(voc, k=1800) + passage + rng.choices(voc, k=1800)), "x", 1) for d in (1, 2)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = {r.doc_id: r for r in fp.fingerprints(df).collect()}
+    sets = {1: set(), 2: set()}
+    for r in fp.anchors(df).collect():
+        sets[r.doc_id].add(r.hash & 0xFFFFFFFF)
+    for d in (1, 2):
+        f = got[d].fingerprint
+        assert {int(f[i : i + 8], 16) for i in range(0, len(f), 8)} == sets[d]
+        assert abs(got[d].near_next - len(sets[1] & sets[2]) / len(sets[1] | sets[2])) < 1e-12 and got[d].near_next > 0.03
+        assert 0.7 * got[d].n_anchors < got[d].n_in_place < 0.8 * got[d].n_anchors
