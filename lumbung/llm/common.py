@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PIECE = 1 << 19
@@ -55,6 +55,17 @@ def unpacked(rows: DataFrame, docs: DataFrame) -> DataFrame:
     return rows.select(*[F.col(f"row.`{name}`").alias(name) for name in docs.columns])
 
 
+def beside(docs: DataFrame, column: str) -> Column:
+    """All columns but ``column`` (or null without others) as one column ``row``, out of the way of names an operator needs."""
+    others = [docs[f"`{name}`"] for name in docs.columns if name.lower() != column]
+    return (F.struct(*others) if others else F.lit(None)).alias("row")
+
+
+def put_back(docs: DataFrame, column: str) -> list[Column]:
+    """The columns of ``docs`` in their order, from ``row`` and the changed ``column``."""
+    return [F.col(column).alias(name) if name.lower() == column else F.col(f"row.`{name}`").alias(name) for name in docs.columns]
+
+
 def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string or binary column without nulls, and the offsets of its rows."""
     column = column.cast(pa.large_binary())

@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lumbung.llm.common import pieces
 
@@ -151,11 +152,19 @@ def _predict(model: Model | None):
     return run
 
 
+def with_language(docs: DataFrame, model: Model | None) -> DataFrame:
+    """Each row as one column ``row``, with lang_pred, score (0 to 1) and ambiguous, predicted from ``text`` alone."""
+    every = F.struct(*[docs[f"`{name}`"] for name in docs.columns]).alias("row")
+    taken = docs.select(every, F.coalesce(docs["text"], F.lit("")).alias("_text"), has_letter(docs["text"]).alias("_letter"))
+    result = T.StructType([taken.schema["row"]]).add("lang_pred", "string").add("score", "double").add("ambiguous", "boolean")
+    return taken.mapInArrow(_predict(model), result)
+
+
 def predict(docs: DataFrame, model: Model | None, *keep: str) -> DataFrame:
-    """The kept columns with lang_pred, score (0 to 1) and ambiguous, predicted from ``text`` alone."""
-    taken = docs.select(*keep, F.coalesce("text", F.lit("")).alias("_text"), has_letter(F.col("text")).alias("_letter"))
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in taken.schema.fields[:-2]]
-    return taken.mapInArrow(_predict(model), ", ".join([*fields, "lang_pred string", "score double", "ambiguous boolean"]))
+    """The kept columns, as they are, with lang_pred, score and ambiguous; a kept column of one of these names gives way to the prediction."""
+    new = ["lang_pred", "score", "ambiguous"]
+    kept = [F.col(f"row.`{name}`").alias(name) for name in keep if name.lower() not in new]
+    return with_language(docs, model).select(*kept, *new)
 
 
 def fold(folds: int) -> Column:

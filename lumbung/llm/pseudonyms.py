@@ -16,14 +16,25 @@ Every round can be undone, so equal values get equal pseudonyms in all documents
 values of a format different ones. Only punctuation and the domain of an address are kept.
 
 Edge cases: null text stays null with zero counts, empty text empty; repeated rows change alike; an
-empty table gives an empty result; ``pseudonymise`` replaces ``text`` and keeps all other columns.
+empty table gives an empty result; ``pseudonymise`` replaces ``text`` and keeps all other columns, whatever their
+names, but for columns named like a count, which the count replaces. A very long text is one row of
+arrays of its matches; its plain parts are not cut further. Matches do not overlap: at one place the
+first kind of ``ANY`` that fits is taken.
+
+The key is a secret: it comes as an argument or from the session setting ``KEY_SETTING``. Without one a fresh
+random key is drawn for the call, so values are linked within its result and nobody can undo it.
 """
 
 from __future__ import annotations
 
+import secrets
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lumbung.llm.common import beside, put_back
+
+KEY_SETTING = "spark.lumbung.pseudonyms.key"
 ROUNDS = 6
 # Formats (fixed values).
 EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+\-]{0,63}@[A-Za-z0-9\-]{1,63}(?:\.[A-Za-z0-9\-]{1,63}){0,8}\.[A-Za-z]{2,24}"
@@ -154,14 +165,16 @@ def _is(name: str):
     return lambda x: x == name
 
 
-def pseudonymise(docs: DataFrame, key: str = "lumbung") -> DataFrame:
+def pseudonymise(docs: DataFrame, key: str | None = None) -> DataFrame:
     """All columns with ``text`` pseudonymised, and one count column ``n_<kind>`` for each kind."""
-    counts = [f"n_{k}" for k in KINDS]
-    found = docs.drop(*counts).withColumn("_found", F.regexp_extract_all("text", F.lit(ANY), F.lit(0)))
+    key = key or docs.sparkSession.conf.get(KEY_SETTING, None) or secrets.token_hex(32)
+    found = docs.select(beside(docs, "text"), "text", F.regexp_extract_all("text", F.lit(ANY), F.lit(0)).alias("found"))
     # Texts without a match, most of them, skip all that follows.
     parts = F.split("text", ANY, -1)
-    mended = F.array_join(F.zip_with(parts, F.transform("_found", lambda v: pseudonym(v, key)), lambda p, v: F.concat(p, F.coalesce(v, F.lit("")))), "")
-    hit = F.size("_found") > 0
-    kinds = F.when(hit, F.transform("_found", kind)).otherwise(F.array().cast("array<string>"))
-    out = found.withColumn("_kinds", kinds).withColumn("text", F.when(hit, mended).otherwise(F.col("text")))
-    return out.withColumns({f"n_{k}": F.size(F.filter("_kinds", _is(k))) for k in KINDS}).drop("_found", "_kinds")
+    mended = F.array_join(F.zip_with(parts, F.transform("found", lambda v: pseudonym(v, key)), lambda p, v: F.concat(p, F.coalesce(v, F.lit("")))), "")
+    hit = F.size("found") > 0
+    kinds = F.when(hit, F.transform("found", kind)).otherwise(F.array().cast("array<string>"))
+    out = found.withColumn("kinds", kinds).withColumn("text", F.when(hit, mended).otherwise(F.col("text")))
+    counts = [F.size(F.filter("kinds", _is(k))).alias(f"n_{k}") for k in KINDS]
+    kept = docs.drop(*[f"n_{k}" for k in KINDS])
+    return out.select(*put_back(kept, "text"), *counts)

@@ -15,7 +15,8 @@ the array of a text's candidates, so scoring needs no shuffle and no function ou
 
 Edge cases: null text has no findings and stays null; without findings of both labels the labels
 themselves decide (no label: not a secret); repeated rows are scanned alike; an empty table gives
-an empty result; ``redact`` keeps all columns.
+an empty result; ``redact`` keeps all columns, whatever their names. A very long text is one row with an array of
+its candidates. At one place of the text the longest context is taken; equal values are one secret to ``redact``.
 """
 
 from __future__ import annotations
@@ -23,10 +24,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lumbung.llm.common import beside, put_back
 from lumbung.sources.staging import stage
 
 SHORTEST, ASSIGNED = 16, 6
-SAMPLE = 3000
+SAMPLE, PARTS = 3000, 64
 TREES, DEPTH = 20, 5
 SECRET = "<SECRET>"
 
@@ -109,8 +111,11 @@ def train(found: DataFrame, sample: int = SAMPLE):
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.functions import array_to_vector
 
-    place = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("value"), "value", F.xxhash64("features")))
-    rows = found.withColumn("place", place).filter(F.col("place") <= sample).select(F.col("label").cast("double").alias("label"), "features")
+    # First the smallest of each of ``parts`` hash ranges, so that no task orders all findings of a label.
+    by = [F.xxhash64("value"), F.col("value"), F.xxhash64("features")]
+    part = F.pmod(F.xxhash64("value", "features"), F.lit(PARTS))
+    few = found.withColumn("part", part).withColumn("place", F.row_number().over(Window.partitionBy("label", "part").orderBy(*by))).filter(F.col("place") <= sample)
+    rows = few.withColumn("place", F.row_number().over(Window.partitionBy("label").orderBy(*by))).filter(F.col("place") <= sample).select(F.col("label").cast("double").alias("label"), "features")
     rows = stage(rows, "findings")  # training reads it several times
     if rows.select("label").distinct().count() < 2:
         return None
@@ -160,7 +165,8 @@ def scan(docs: DataFrame, model=None) -> DataFrame:
 def redact(docs: DataFrame, model=None) -> DataFrame:
     """All columns, with every secret in ``text`` replaced by ``SECRET``; longer secrets first, so none is cut."""
     model = model or train(findings(docs))
-    rows = with_secrets(docs, model, "text", "_found")
+    rows = with_secrets(docs.select(beside(docs, "text"), "text"), model, "text", "_found")
     values = F.array_sort(F.array_distinct(F.transform(_secret("_found"), lambda x: x["value"])), lambda a, b: F.length(b) - F.length(a))
     text = F.aggregate("_v", F.col("text"), lambda t, v: F.replace(t, v, F.lit(SECRET)))
-    return rows.withColumn("_v", values).withColumn("text", F.when(F.size("_v") > 0, text).otherwise(F.col("text"))).drop("_found", "_v")
+    done = rows.withColumn("_v", values).withColumn("text", F.when(F.size("_v") > 0, text).otherwise(F.col("text")))
+    return done.select(*put_back(docs, "text"))
