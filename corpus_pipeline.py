@@ -2,7 +2,7 @@
 
 Each stage is (name, function); a function takes (spark, docs, sf_dir) and returns a DataFrame,
 which is written as Parquet and read again as the next stage's documents. All but the last return
-the columns of ``docs``. Rows with nulls, empty texts, repeated rows and empty tables are handled
+the columns of ``docs``, whatever other names it has. Rows with nulls, empty texts, repeated rows and empty tables are handled
 as the operators' docstrings say. There is no oracle SQL: trained classifiers, minhashes and a
 Viterbi search have none; tests/llm/test_pipeline.py holds the stages against brute force.
 """
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumbung.llm import decontamination, language, minhash, secrets, sentencepiece_codec
-from lumbung.llm.common import KEY, NO_ID
+from lumbung.llm.common import KEY, packed, unpacked
 from lumbung.sources.staging import stage
 
 CONFIDENT = 0.5
@@ -27,29 +27,39 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = language.train(docs.filter(language.fold(5) != 0))
     if model is None:
         return docs.filter(language.has_letter(F.col("text")))
-    found = language.predict(docs, model, *docs.columns)
-    return found.filter((F.col("lang_pred") != "und") & (F.col("score") >= CONFIDENT)).select(*docs.columns)
+    found = language.with_language(docs, model)
+    return unpacked(found.filter((F.col("lang_pred") != "und") & (F.col("score") >= CONFIDENT)), docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest doc_id of each group of near copies; repeated rows count as one."""
-    keyed = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).withColumn("_th", F.xxhash64(F.coalesce("text", F.lit(""))))
     kept = minhash.near_duplicates(docs).filter("kept").select(*KEY)
-    return keyed.join(kept, KEY, "left_semi").dropDuplicates(KEY).select(*docs.columns)
+    return unpacked(packed(docs).join(kept, KEY, "left_semi").dropDuplicates(KEY), docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
+    """Documents without a passage of the benchmark.
+
+    Null and empty texts stay; of rows that share a doc_id, or have none, each is judged by its own text;
+    repeated rows go or stay alike; without a benchmark all stay. Long texts are searched whole.
+    """
     return decontamination.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, secrets in their texts replaced by a mark."""
+    """All documents, secrets in their texts replaced by a mark.
+
+    Null and empty texts stay as they are, repeated rows change alike, an empty table stays empty; a very
+    long text is scanned whole.
+    """
     return secrets.redact(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, lang, source, ids, n_tokens, and whether the ids decode to the text."""
+    """doc_id, lang, source, ids, n_tokens, and whether the ids decode to the text; a row for each row of ``docs``.
+
+    A null text has no ids and n_tokens 0, as in the operator; an empty table gives none; other columns are left out.
+    """
     encoded = sentencepiece_codec.encode(docs, sentencepiece_codec.load(), "doc_id", "lang", "source", check=True)
     return encoded.withColumn("n_tokens", F.coalesce(F.size("ids"), F.lit(0)).cast("long"))
 
