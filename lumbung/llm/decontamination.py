@@ -61,6 +61,7 @@ class Items:
         self.ids, self.words = ids, hashes_of(texts)
         self.answers = hashes_of([[s for s in re.split(r"(?<=[.!?])\s+|\n", t) if re.search(r"\w", s)][-1] for t in texts])
         self.vocabulary = np.unique(np.concatenate(self.words))
+        self.number = np.min_scalar_type(len(self.vocabulary))  # numbers of two bytes are sorted by counting
         self.seen = np.zeros(1 << 20, bool)
         self.seen[self.vocabulary >> np.uint64(44)] = True
 
@@ -83,12 +84,24 @@ class Piece:
         self.first = np.cumsum(self.halves) - self.halves
         self.row_of = np.repeat(np.arange(len(sizes)), self.halves)
         self.at, self.term = items.look_up(self.hashes)
+        self.number = items.number
         row = np.searchsorted(self.counts, self.at, "right") - 1
         self.half = self.first[row] + (self.at - self.counts[row]) // HALF
         starts = self.counts[self.row_of] + (np.arange(len(self.row_of)) - self.first[self.row_of]) * HALF
         length = np.minimum(HALF, self.counts[self.row_of + 1] - starts)
         self.unknown = (length - np.bincount(self.half, minlength=len(length))).astype(np.float32)
 
+    def by_term(self) -> tuple[np.ndarray, np.ndarray]:
+        """Terms in ascending order and their half-passages, ascending for each term."""
+        order = np.argsort(self.term.astype(self.number), kind="stable")
+        return self.term[order], self.half[order]
+
+    def occurrences(self) -> tuple[np.ndarray, np.ndarray]:
+        """``by_term`` with each half-passage once for a term."""
+        term, half = self.by_term()
+        new = np.append(True, (term[1:] != term[:-1]) | (half[1:] != half[:-1]))[: len(term)]
+        return term[new], half[new]
+
     def sums(self, values: np.ndarray) -> np.ndarray:
         """Sums per half-passage of a row of values for each vocabulary word."""
         out = np.zeros((len(self.row_of), *values.shape[1:]), values.dtype)
@@ -109,8 +122,7 @@ def _frequencies(items: Items):
             for _, data, offsets in pieces(batch.column("text")):
                 piece = Piece(items, data, offsets)
                 halves += len(piece.row_of)
-                pairs = np.unique(piece.half * len(total) + piece.term)
-                total += np.bincount(pairs % len(total), minlength=len(total))
+                total += np.bincount(piece.occurrences()[0], minlength=len(total))
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(total[at], halves))], names=["term", "n"])
 
@@ -120,19 +132,19 @@ def _frequencies(items: Items):
 def _sketch(items: Items, weight: np.ndarray, outside: float, start: np.ndarray):
     def run(batches):
         total = np.zeros((len(weight), start.shape[1]), np.float32)
+        weighed = start * weight[:, None]
         energy = 0.0
         for batch in batches:
             for _, data, offsets in pieces(batch.column("text")):
                 piece = Piece(items, data, offsets)
-                value = weight[piece.term]
                 length = np.maximum(piece.weights(weight, outside), 1e-9)
-                across = piece.sums(value[:, None] * start[piece.term]) / length[:, None]
-                energy += float((value**2 / length[piece.half]).sum())
-                by = np.argsort(piece.term, kind="stable")
-                if len(by):
-                    term = piece.term[by]
+                across = piece.sums(weighed[piece.term]) / length[:, None]
+                energy += float((weight[piece.term] ** 2 / length[piece.half]).sum())
+                term, half = piece.by_term()
+                if len(term):
                     at = np.flatnonzero(np.append(True, term[1:] != term[:-1]))
-                    total[term[at]] += np.add.reduceat((value[:, None] * across[piece.half])[by], at, axis=0)
+                    total[term[at]] += np.add.reduceat(across[half], at, axis=0)
+        total *= weight[:, None]
         rows = np.flatnonzero(total.any(axis=1))
         first = np.full(start.shape[1], energy, np.float64)
         table = np.vstack([first, total[rows]])
@@ -191,9 +203,9 @@ class Bound:
 
     def spans(self, piece: Piece) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Words and the passages (first, end) that have them near; spans of one word do not overlap."""
-        some = np.flatnonzero(self.used[piece.term])
-        key = np.unique(piece.term[some] * len(piece.row_of) + piece.half[some])
-        term, half = np.divmod(key, max(1, len(piece.row_of)))
+        term, half = piece.occurrences()
+        some = self.used[term]
+        term, half = term[some], half[some]
         row = piece.row_of[half]
         first = np.maximum(half - 1 - self.reach, piece.first[row])
         end = np.minimum(half + self.reach + 1, piece.first[row] + piece.halves[row])
