@@ -99,16 +99,17 @@ def following(rows: DataFrame) -> DataFrame:
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, n_anchors, n_in_place, next_doc_id.
 
-    The texts are shuffled once: as the next document (giving its first characters) and as the
-    document itself they are read from the same exchange.
+    The texts are shuffled once: as the next document (giving its first characters and its fingerprint) and as the
+    document itself they are read from the same exchange. The anchors are found after it, on both
+    sides, as they would be half as much again to shuffle.
     """
     rows = keyed(docs)
-    base = with_places(rows.withColumn("n", F.length("text")), "text", "places")
-    given = base.join(following(rows), KEY).select(
+    base = rows.withColumn("n", F.length("text"))
+    given = with_places(base.join(following(rows), KEY), "text", "places").select(
         F.col("t_id").alias("_id"), F.col("t_th").alias("_th"), F.col("doc_id").alias("next_doc_id"), hashes("places").alias("next"),
         F.substring("text", F.lit(1), F.least("q", "n")).alias("head"))
     given = given.groupBy(*KEY).agg(F.first("next_doc_id").alias("next_doc_id"), F.first("next").alias("next"), F.first("head").alias("head"))
-    joined = base.join(given, KEY)
+    joined = with_places(base.join(given, KEY), "text", "places")
     kept = F.substring("text", F.lit(1), F.col("n") - F.floor(F.col("n") / 4).cast("int"))
     edited = with_places(joined.withColumn("edited", F.concat(kept, "head")), "edited", "edited_places")
     edited = edited.withColumn("own", hashes("places")).withColumn("changed", hashes("edited_places"))
