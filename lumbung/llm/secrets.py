@@ -45,8 +45,13 @@ _WORDS = "|".join(w for w in WORDS.split() if len(w) >= 3)
 _PLAIN = rf"[A-Za-z0-9_\-/+=.~:]{{{SHORTEST},}}+"
 _GIVEN = rf"[\"'(<\[{{]{{0,2}}(?=[\w.\-]{{1,60}}+[\"']?+\s{{0,4}}+[=:])([\w.\-]{{0,60}}?(?<![A-Za-z])(?i:{_NAMES}))[\"']?\s{{0,4}}[=:]{{1,2}}\s{{0,4}}"
 _VALUE = rf"(\"[^\"\s]{{{ASSIGNED},}}+\"?|'[^'\s]{{{ASSIGNED},}}+'?|[^\s\"']\S{{{ASSIGNED - 1},}}+)"
-CONTEXT = rf"(?<![\w.\-]){_GIVEN}{_VALUE}|(?:(?<!\S)(?!(?<![\w.\-]){_GIVEN}{_VALUE})\S{{1,{SHORTEST - 1}}}\s{{1,4}}){{0,2}}(?!(?<![\w.\-]){_GIVEN}{_VALUE})(?:[\"'(<\[{{]{{0,2}}[A-Za-z_]{{1,30}}[=:][\"']?)?[\"'(<\[{{]{{0,2}}{_PLAIN}"
-_KEY_VALUE = r"^[\"'(<\[{]{0,2}([A-Za-z_]{1,30})[=:][\"']?(.+)$"
+# A match starts where a name or a run can: not behind a letter, or at a quote or bracket. Before the context of a run is
+# taken, one look over at most two short words must meet 16 characters without a blank.
+_START = r"(?:(?<![A-Za-z_])|(?=[\"'(<\[{]))"
+_AHEAD = rf"(?=(?:\S{{1,{SHORTEST - 1}}}+\s{{1,4}}+){{0,2}}+\S{{{SHORTEST}}})"
+_RUN = rf"(?:[\"'(<\[{{]{{0,2}}[A-Za-z_]++[=:][\"']?)?[\"'(<\[{{]{{0,2}}{_PLAIN}"
+CONTEXT = rf"{_START}(?:(?<![\w.\-]){_GIVEN}{_VALUE}|{_AHEAD}(?:(?<!\S)(?!(?<![\w.\-]){_GIVEN}{_VALUE})\S{{1,{SHORTEST - 1}}}+\s{{1,4}}+){{0,2}}(?!(?<![\w.\-]){_GIVEN}{_VALUE}){_RUN})"
+_KEY_VALUE = r"^[\"'(<\[{]{0,2}([A-Za-z_]+)[=:][\"']?(.+)$"
 FEATURES = ["length", "digits", "capitals", "small", "changes", "distinct", "dictionary", "path", "assigned", "quoted", "hexadecimal", "named", "number"]
 
 
@@ -100,8 +105,12 @@ def labelled(c: Column) -> Column:
 
 
 def findings(docs: DataFrame) -> DataFrame:
-    """label, features of the candidates of all documents that ``labelled`` tells apart."""
-    rows = with_candidates(docs.select("text")).filter(F.size("_c") > 0).select(F.explode("_c").alias("c"))
+    """label, value, features of the candidates of all documents that ``labelled`` tells apart."""
+    return _told_apart(with_candidates(docs.select("text")))
+
+
+def _told_apart(rows: DataFrame) -> DataFrame:
+    rows = rows.filter(F.size("_c") > 0).select(F.explode("_c").alias("c"))
     rows = rows.select(labelled(F.col("c")).alias("label"), F.col("c.value").alias("value"), features(F.col("c")).alias("features"))
     return rows.filter("label IS NOT NULL")
 
@@ -140,11 +149,14 @@ def probability(model, x: Column) -> Column:
 
 def with_secrets(docs: DataFrame, model, text: str = "text", to: str = "_found") -> DataFrame:
     """Column ``to``: candidates with their probability, struct(value, name, p)."""
+    return _scored(with_candidates(docs, text, "_c"), model, to)
+
+
+def _scored(rows: DataFrame, model, to: str = "_found") -> DataFrame:
     if model is None:
         scored = F.transform("_c", lambda c: F.coalesce(labelled(c), F.lit(0)).cast("double"))
     else:
         scored = F.transform(F.transform("_c", features), lambda x: probability(model, x))
-    rows = with_candidates(docs, text, "_c")
     return rows.withColumn(to, F.zip_with("_c", scored, lambda c, p: F.struct(c["value"].alias("value"), c["name"].alias("name"), p.alias("p")))).drop("_c")
 
 
@@ -153,9 +165,15 @@ def _secret(found: str) -> Column:
 
 
 def scan(docs: DataFrame, model=None) -> DataFrame:
-    """doc_id, n_candidates, n_secrets, n_rejected, secrets (value, name, p); the model is trained on ``docs`` if none is given."""
-    model = model or train(findings(docs))
-    rows = with_secrets(docs.select("doc_id", "text"), model)
+    """doc_id, n_candidates, n_secrets, n_rejected, secrets (value, name, p); the model is trained on ``docs`` if none is given.
+
+    Candidates are staged without the texts, so training and scoring read the corpus once.
+    """
+    found = with_candidates(docs.select("doc_id", "text")).select("doc_id", "_c")
+    if model is None:
+        found = stage(found, "candidates")
+        model = train(_told_apart(found))
+    rows = _scored(found, model)
     secrets = _secret("_found")
     return rows.select(
         "doc_id", F.size("_found").cast("long").alias("n_candidates"), F.size(secrets).cast("long").alias("n_secrets"),

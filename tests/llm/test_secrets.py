@@ -86,3 +86,13 @@ def test_long_short_and_unusual_secrets_are_whole(spark):
     out = {r.doc_id: r.text for r in sx.redact(spark.createDataFrame(docs, SCHEMA)).collect()}
     for i, (t, v) in enumerate(texts):
         assert out[1000 + i] == t.replace(v, sx.SECRET)
+
+
+def test_starts_of_matches(spark):
+    """A candidate is found behind any character; a name of any length is the assigned name."""
+    run, name = "A1b2C3d4E5f6G7h8I9j0", "a_very_long_name_of_a_setting_that_goes_on"
+    texts = {f"see,{run}": ("", False), f'9abc="{run}"': ("abc", True), f"{name}={run}": (name, True), f"x({run}) y": ("", False),
+             f"two words {run}": ("words", False), f"a bc  {run}": ("bc", False), f"é{run}": ("", False), f"thelongestwordofall {run}": ("", False)}
+    rows = sx.with_candidates(spark.createDataFrame([(i, t, "", 1) for i, t in enumerate(texts)], SCHEMA)).orderBy("doc_id").collect()
+    for r, (name, assigned) in zip(rows, texts.values(), strict=True):
+        assert [(c.value[-20:], c.name, c.assigned) for c in r["_c"]] == [(run, name, assigned)], r.text
