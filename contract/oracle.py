@@ -614,3 +614,7 @@ ORACLE["s10_packed_cells"] = f"""WITH {RAW}, {CALENDAR}, {STD_MERCHANT},
   SELECT tahun, nama_channel, coalesce(kategori, 'Unknown') AS kategori, {VOLUME}, {COUNT}
   FROM firsts JOIN calendar USING (waktu_id) LEFT JOIN std_merchant USING (merchant_code)
   WHERE NOT negative AND nominal_transaksi IS NOT NULL GROUP BY ALL"""
+
+ORACLE["e4_kept_up_report"] = ORACLE["e4_scalability_report"]
+ORACLE["f7_round_half_even"] = """SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, CAST(format('{:.2f}', l_extendedprice / 1000) AS DOUBLE) AS price,
+  CAST(format('{:.2f}', l_quantity / 8) AS DOUBLE) AS eighths FROM lineitem"""

@@ -8,6 +8,47 @@ from pyspark.sql import functions as F
 from lumbung.sources.staging import stage
 
 
+def moments(df: DataFrame, by: list[str], x: str, y: str) -> DataFrame:
+    """What a regression of ``y`` on ``x`` / 1000 needs of each group: count, means, centred sums, bounds of ``y``.
+
+    Pairs with a null are left out. Rows of several batches are put together by ``merged_growth_rate``.
+    """
+    xk = F.col(x).cast("double") / 1000
+    yd = F.col(y).cast("double")
+    paired = F.when(xk.isNotNull(), yd)
+    return df.groupBy(*by).agg(
+        F.regr_count(yd, xk).alias("points"),
+        F.regr_avgx(yd, xk).alias("mean_x"), F.regr_avgy(yd, xk).alias("mean_y"),
+        F.regr_sxx(yd, xk).alias("sxx"), F.regr_sxy(yd, xk).alias("sxy"), F.regr_syy(yd, xk).alias("syy"),
+        F.min(paired).alias("low"), F.max(paired).alias("high"),
+    )
+
+
+def merged_growth_rate(parts: DataFrame, by: list[str]) -> DataFrame:
+    """``growth_rate`` of the rows whose ``moments`` are given, one row per group and batch.
+
+    Sums stay centred: each part's are moved to the common mean, so large values do not cancel out.
+    """
+    n = F.col("points")
+    whole = parts.groupBy(*by).agg(
+        F.sum(n).alias("_n"), F.sum(n * F.col("mean_x")).alias("_x"), F.sum(n * F.col("mean_y")).alias("_y")
+    ).select(*[F.col(c).alias(f"_by_{c}") for c in by], (F.try_divide("_x", "_n")).alias("_mx"), F.try_divide("_y", "_n").alias("_my"))
+    same = F.lit(True)
+    for c in by:
+        same = same & parts[c].eqNullSafe(whole[f"_by_{c}"])
+    away_x, away_y = F.col("mean_x") - F.col("_mx"), F.col("mean_y") - F.col("_my")
+    sums = parts.join(whole, same).groupBy(*by).agg(
+        F.sum(n).alias("points"), F.first("_mx").alias("_mx"), F.first("_my").alias("_my"),
+        F.sum(F.col("sxx") + n * away_x * away_x).alias("_sxx"),
+        F.sum(F.col("sxy") + n * away_x * away_y).alias("_sxy"),
+        F.sum(F.col("syy") + n * away_y * away_y).alias("_syy"),
+        F.min("low").alias("_low"), F.max("high").alias("_high"),
+    )
+    slope = F.when(F.col("_sxx") > 0, F.col("_sxy") / F.col("_sxx"))
+    r2 = F.when((F.col("_sxx") > 0) & (F.col("_syy") > 0), F.col("_sxy") * F.col("_sxy") / (F.col("_sxx") * F.col("_syy")))
+    return _rates(sums.withColumns({"_slope": slope, "_r2": r2}).withColumn("_intercept", F.col("_my") - F.col("_slope") * F.col("_mx")), by)
+
+
 def growth_rate(df: DataFrame, by: list[str], x: str, y: str) -> DataFrame:
     """Least-squares slope of ``y`` per 1000 units of ``x``, with intercept and R2, rounded to 4 places.
 
@@ -23,6 +64,10 @@ def growth_rate(df: DataFrame, by: list[str], x: str, y: str) -> DataFrame:
         F.min(yd).alias("_low"),
         F.max(yd).alias("_high"),
     )
+    return _rates(fit, by)
+
+
+def _rates(fit: DataFrame, by: list[str]) -> DataFrame:
     enough = F.col("points") >= 2
     flat = F.col("_low") == F.col("_high")
     return fit.select(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lumbung.sources import files
 
@@ -34,6 +35,28 @@ def read_metrics(spark: SparkSession, folder: str, kind: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[kind]).option("header", True).csv(path)
 
 
+def kept_path(folder: str, kind: str) -> str:
+    """Where the summaries of a kind's files are kept."""
+    return f"{folder}/kept_{kind}.parquet"
+
+
+def read_kept(spark: SparkSession, folder: str, kind: str) -> DataFrame | None:
+    """The summaries kept so far; None before the first. A kind has few files and rows for each."""
+    path = kept_path(folder, kind)
+    return spark.read.parquet(path) if files.exists(spark, path) else None
+
+
+def read_new(spark: SparkSession, folder: str, kind: str) -> tuple[DataFrame | None, int]:
+    """Metric rows of the files without a kept summary, with their ``file``, and how many files; None if there are none."""
+    kept = read_kept(spark, folder, kind)
+    seen = set() if kept is None else {r.file for r in kept.select("file").distinct().collect()}
+    paths = [path for path, name, _ in files.data_files(spark, f"{folder}/{kind}.csv") if name not in seen]
+    if not paths:
+        return None, 0
+    rows = spark.read.schema(SCHEMAS[kind]).option("header", True).csv(paths)
+    return rows.withColumn("file", F.col("_metadata.file_name")), len(paths)
+
+
 def write_summaries(summaries: dict[str, DataFrame], folder: str) -> None:
     """One CSV folder per summary table."""
     for name, df in summaries.items():

@@ -6,6 +6,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
+from lumbung.functions.rounding import round_binary
 from lumbung.operators import quality
 from lumbung.operators import statistics as st
 from lumbung.plans import scalability
@@ -146,3 +147,47 @@ def test_report_and_quality_rows_are_stored(spark, tmp_path):
     scalability.write_report(spark, folder)
     sizes = {name: spark.read.option("header", True).csv(f"{folder}/summary_{name}.csv").count() for name in ("etl", "cube", "query", "bottleneck")}
     assert sizes == {"etl": 3, "cube": 3, "query": 3, "bottleneck": 3}
+
+
+def test_merged_moments_equal_one_pass(spark):
+    rng = random.Random(7)
+    rows = [(g, i % 5, 1e7 + rng.random() * 100, rng.random() * 50 + g) for g in range(3) for i in range(200)]
+    rows += [(7, 0, 1.0, 2.0), (8, 0, 5.0, 1.0), (8, 1, 5.0, 3.0), (9, 0, 1.0, 4.0), (9, 1, 2.0, 4.0), (None, 0, 1.0, 1.0), (None, 3, 3.0, 2.0), (10, 0, None, 1.0), (1, 2, None, 3.0)]
+    df = spark.createDataFrame(rows, "g int, batch int, x double, y double")
+    parts = st.moments(df, ["g", "batch"], "x", "y")
+    merged = {r.g: r for r in st.merged_growth_rate(parts, ["g"]).collect()}
+    at_once = {r.g: r for r in st.growth_rate(df, ["g"], "x", "y").collect()}
+    merged[""], at_once[""] = st.merged_growth_rate(st.moments(df, ["batch"], "x", "y"), []).first(), st.growth_rate(df, [], "x", "y").first()
+    assert merged.keys() == at_once.keys()
+    for g, r in at_once.items():
+        # The intercept lies ten million units away from the points, so its last places are not the same.
+        assert [merged[g].points, merged[g].growth_rate_ms_per_1k, merged[g].r2] == [r.points, r.growth_rate_ms_per_1k, r.r2], g
+        assert merged[g].intercept_ms == (r.intercept_ms if r.intercept_ms is None else pytest.approx(r.intercept_ms, rel=1e-8)), g
+
+
+def test_kept_report_reads_only_new_files(spark, tmp_path):
+    folder = str(tmp_path)
+    cube, query = cube_frame(spark).coalesce(1), query_frame(spark).coalesce(1)
+    metrics.append_metrics(cube.filter("scale IN ('S', 'M')").coalesce(1), folder, "cube_benchmark")
+    assert scalability.keep_up(spark, folder) == {"etl_benchmark": 0, "cube_benchmark": 1, "query_benchmark": 0}
+    metrics.append_metrics(cube.filter("scale IN ('L', 'XL')").coalesce(1), folder, "cube_benchmark")
+    metrics.append_metrics(query.filter("query < 'Q4'").coalesce(1), folder, "query_benchmark")
+    metrics.append_metrics(query.filter("query >= 'Q4'").coalesce(1), folder, "query_benchmark")
+    assert scalability.keep_up(spark, folder) == {"etl_benchmark": 0, "cube_benchmark": 1, "query_benchmark": 2}
+    assert set(scalability.keep_up(spark, folder).values()) == {0}
+    etl = spark.createDataFrame([], metrics.SCHEMAS["etl_benchmark"])
+    told = [r for r in scalability.bottlenecks(etl, cube, query).collect() if r.layer != scalability.ETL]
+    assert [(r.layer, r.growth_rate_ms_per_1k, r.r2) for r in scalability.kept_bottlenecks(spark, folder).collect()] == [
+        (r.layer, r.growth_rate_ms_per_1k, r.r2) for r in told]
+
+
+def test_rounding_by_the_bits(spark):
+    rng = random.Random(1)
+    values = [2.675, 0.125, 1.005, -2.675, 0.0, 0.005, 0.015, 0.0049999, 5e-324, 1e15, 1e300, 562949953421311.9]
+    values += [rng.randrange(10**9) / 1000 for _ in range(300)] + [rng.randrange(2**50) / 64 for _ in range(200)] + [rng.uniform(-1, 1) for _ in range(300)]
+    df = spark.createDataFrame([(x,) for x in values], "x double")
+    for places in (0, 2, 4):
+        rows = df.select("x", round_binary(F.col("x"), places).alias("r")).collect()
+        assert [r.r for r in rows] == [round(r.x, places) for r in rows]
+    odd = spark.createDataFrame([(None,), (float("nan"),), (float("-inf"),)], "x double").select(round_binary(F.col("x"), 2).alias("r")).collect()
+    assert odd[0].r is None and odd[1].r != odd[1].r and odd[2].r == float("-inf")
