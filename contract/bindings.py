@@ -200,6 +200,21 @@ def source_folder(spark: SparkSession, sf_dir: str) -> str:
     ))
 
 
+def repeated_members_warehouse(spark: SparkSession, sf_dir: str) -> str:
+    """A warehouse after a full load whose sources name every seventh customer and every fifth merchant twice."""
+    customers, merchants = raw_customers(spark, sf_dir), raw_merchants(spark, sf_dir)
+    late = (F.col("src_seq") + 10**12).alias("src_seq")
+
+    def again(rows: DataFrame, every: int, name: str) -> DataFrame:
+        copies = rows.filter(F.col("src_seq") % every == 0).withColumn(name, F.lit("again")).select(*[late if c == "src_seq" else c for c in rows.columns])
+        return rows.unionByName(copies)
+
+    folder = _once(spark, sf_dir, "repeated-members", lambda path: write_folder(
+        spark, path, raw_transactions(spark, sf_dir), again(customers, 7, "nama_lengkap"), again(merchants, 5, "nama_merchant"), calendar_days(spark),
+    ))
+    return _once(spark, sf_dir, "repeated-members-warehouse", lambda path: load_full(spark, folder, path))
+
+
 def loaded_warehouse(spark: SparkSession, sf_dir: str) -> str:
     """A warehouse after a full load of ``source_folder``."""
     folder = source_folder(spark, sf_dir)

@@ -618,3 +618,7 @@ ORACLE["s10_packed_cells"] = f"""WITH {RAW}, {CALENDAR}, {STD_MERCHANT},
 ORACLE["e4_kept_up_report"] = ORACLE["e4_scalability_report"]
 ORACLE["f7_round_half_even"] = """SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, CAST(format('{:.2f}', l_extendedprice / 1000) AS DOUBLE) AS price,
   CAST(format('{:.2f}', l_quantity / 8) AS DOUBLE) AS eighths FROM lineitem"""
+
+ORACLE["e1_member_rejects"] = """SELECT 'dim_nasabah' AS dimension, 'N-' || c_custkey AS code, 'duplicate' AS reason FROM customer WHERE c_custkey % 7 = 0
+  UNION ALL SELECT 'dim_merchant', 'MCH-' || p_partkey, 'duplicate' FROM part WHERE p_partkey % 5 = 0"""
+ORACLE["e1_first_members"] = f"WITH {DIM_MERCHANT} SELECT * FROM dim_merchant"

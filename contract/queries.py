@@ -26,7 +26,7 @@ from lumbung.operators.star import VIEW_COLUMNS, cube_rows, level_rows
 from lumbung.plans import cuboids, load, queries as q, scalability
 from lumbung.sources import csv_source, export, metrics, synthetic
 from lumbung.sources.staging import new_folder
-from lumbung.sources.warehouse import FACT, REJECTS, Warehouse
+from lumbung.sources.warehouse import FACT, MEMBER_REJECTS, REJECTS, Warehouse
 from lumbung.streaming.batches import load_available
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -377,6 +377,19 @@ def e1_rejects(spark, sf_dir):
     return warehouse(spark, sf_dir).read(REJECTS).select("trx_id", "tgl_transaksi", "waktu_id", "reason")
 
 
+@register
+def e1_member_rejects(spark, sf_dir):
+    """Customers and merchants whose code stood earlier in the same source."""
+    wh = Warehouse(spark, b.repeated_members_warehouse(spark, sf_dir))
+    return wh.read(MEMBER_REJECTS).select("dimension", "code", "reason")
+
+
+@register
+def e1_first_members(spark, sf_dir):
+    """Merchants of the same load: the first row of a code is the member."""
+    return Warehouse(spark, b.repeated_members_warehouse(spark, sf_dir)).dimension(d.MERCHANT)
+
+
 @register
 def e2_incremental_load(spark, sf_dir):
     return _facts(Warehouse(spark, b.incremental_warehouse(spark, sf_dir)))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +19,7 @@ from lumbung.operators.keys import number_source_rows
 from lumbung.operators.star import cube_rows, wide_view
 from lumbung.sources import csv_source, files
 from lumbung.sources.staging import job, stage, together
-from lumbung.sources.warehouse import BASE_BATCH, CELL_COLUMNS, CELLS, FACT, PACKED, REJECTS, ROWS, VIEW, Warehouse
+from lumbung.sources.warehouse import BASE_BATCH, CELL_COLUMNS, CELLS, FACT, MEMBER_REJECTS, PACKED, REJECTS, ROWS, VIEW, Warehouse
 
 FULL_BATCH = "full"
 _BATCH_ID = re.compile(r"[A-Za-z0-9][A-Za-z0-9_.\-]*")
@@ -161,7 +161,18 @@ def _load_dimensions(wh: Warehouse, sources: Sources, typed: DataFrame, record:
         fresh = d.new_members(days, wh.read(d.CALENDAR.table, earlier), d.CALENDAR.key)
         wh.write(d.CALENDAR.table, batch, fresh.select(*d.CALENDAR.columns))
 
-    steps = [partial(load_members, *m) for m in members]
+    def list_copies() -> None:
+        # Rows behind the first of their code in this batch; a code of an earlier batch is no fault.
+        named = [(d.CUSTOMER, sources.customers), (d.MERCHANT, sources.merchants)]
+        copies = [
+            later_copies(rows.select(F.col(dim.key).alias("code"), "src_seq"), "code").select(
+                F.lit(dim.table).alias("dimension"), "code", F.lit("duplicate").alias("reason"))
+            for dim, rows in named if rows is not None
+        ]
+        if copies:
+            wh.write(MEMBER_REJECTS, batch, reduce(DataFrame.unionByName, copies))
+
+    steps = [*[partial(load_members, *m) for m in members], list_copies]
     together(*steps, *([load_calendar] if sources.calendar is not None else []))
 
 

@@ -34,6 +34,7 @@ FACT, VIEW, REJECTS = "fact_transaksi", "mvw_dashboard_transaksi", "rejects"
 CELLS = "cube_cells"
 # The content of the transactions a batch brought, by which a later change of its files is judged.
 ROWS = "source_rows"
+MEMBER_REJECTS = "member_rejects"
 # Where packed batches lie.
 PACKED = "_packed"
 # What was there before any batch: the Unknown members.
@@ -54,6 +55,7 @@ SCHEMAS = {
            "nominal_transaksi decimal(28,2), biaya_admin decimal(28,2), n_trx bigint",
     REJECTS: "trx_id string, tgl_transaksi string, waktu_id bigint, reason string",
     ROWS: "trx_id string, content string, parent string",
+    MEMBER_REJECTS: "dimension string, code string, reason string",
 }
 CELL_COLUMNS = [part.split()[0] for part in SCHEMAS[CELLS].split(", ")]
 _CELL_TYPES = dict(part.split(" ", 1) for part in SCHEMAS[CELLS].split(", "))
