@@ -10,9 +10,9 @@ from lumbung.fixed_values import CALENDAR_FILE, CUSTOMER_FILE, MERCHANT_FILE, TR
 from lumbung.operators import dimensions as d
 from lumbung.operators import quality
 from lumbung.operators.star import cube_rows
-from lumbung.plans import load, queries
+from lumbung.plans import load, queries, upkeep
 from lumbung.sources import csv_source, export, staging, synthetic
-from lumbung.sources.warehouse import CELLS, FACT, REJECTS, VIEW, Warehouse
+from lumbung.sources.warehouse import CELLS, COPIES, FACT, REJECTS, VIEW, Warehouse
 from lumbung.streaming.batches import load_available
 
 TRANSACTIONS = "trx_id;tgl_transaksi;nasabah_code;channel;merchant_code;kota;nominal;biaya_admin"
@@ -148,6 +148,23 @@ def test_full_load(spark, two_days):
     assert sorted(map(str, load.rebuild_view(wh).collect())) == sorted(map(str, wh.view().select(*load.rebuild_view(wh).columns).collect()))
 
 
+def test_copies_are_listed_beside_the_rejects(spark, two_days):
+    """Rows in = facts + rejects + copies, and copies are no rejects; also after the batches were packed."""
+    first, second, root = two_days
+    load.load_full(spark, first, root)
+    load.load_batch(spark, second, root, "day2")
+    for packed in (False, True):
+        if packed:
+            upkeep.compact(spark, root)
+        wh = Warehouse(spark, root)
+        assert wh.read(REJECTS).filter("reason = 'duplicate'").count() == 0
+        assert [tuple(r) for r in wh.read(COPIES).collect()] == [("T2", "14-04-2026", 20260414, "duplicate", "full")]
+        told = sorted((r.batch_id, r.trx_id, r.reason) for r in wh.not_loaded().collect())
+        assert told == [("day2", "T8", "late"), ("full", "T2", "duplicate"), ("full", "T4", "negative_amount"),
+                        ("full", "T5", "invalid_date"), ("full", "T6", "not_in_calendar")]
+        assert wh.facts().count() + len(told) == len(FIRST_DAY) + len(SECOND_DAY)
+
+
 def test_full_load_replaces_and_renumbers(spark, two_days):
     first, _, root = two_days
     load.load_full(spark, first, root)
