@@ -3,17 +3,22 @@
 import contextlib
 import gzip
 import re
+import threading
 import time
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from contract import bindings
+from contract.oracle import ORACLE
+from contract.queries import QUERIES
 from lumbung.fixed_values import MERCHANT_FILE, TRANSACTION_FILE
 from lumbung.plans import load
 from lumbung.sources import csv_source, staging
 from lumbung.sources.warehouse import COPIES, REJECTS, ROWS, VIEW, Warehouse
 from tests.test_load import FIRST_DAY, SECOND_DAY, everything, sources
+from tests.test_registered import in_order
 
 
 @contextlib.contextmanager
@@ -31,6 +36,24 @@ def shuffles(spark):
     return set(re.findall(r"shuffle_(\d+)_", files.mkString(" ")))
 
 
+@contextlib.contextmanager
+def most_shuffles(spark):
+    """[the largest number of new shuffles whose files were on disk at once]"""
+    before, most, over = shuffles(spark), [0], threading.Event()
+
+    def watch():
+        while not over.wait(0.05):
+            most[0] = max(most[0], len(shuffles(spark) - before))
+
+    thread = threading.Thread(target=watch)
+    thread.start()
+    try:
+        yield most
+    finally:
+        over.set()
+        thread.join()
+
+
 def left_behind(spark, before):
     for _ in range(50):  # they are removed in the background
         if not shuffles(spark) - before:
@@ -39,11 +62,8 @@ def left_behind(spark, before):
     return shuffles(spark) - before
 
 
-def star(folder, n=60):
-    """The driver's tables that sources are made of, with keys and lines that repeat."""
-    from pyspark.sql import SparkSession
-
-    spark = SparkSession.getActiveSession()
+def star(spark, folder, n=60):
+    """The driver's tables that sources are made of; transaction ids repeat."""
     at = F.col("id")
     spark.range(8).select(at.alias("c_custkey"), F.concat(F.lit("C"), at.cast("string")).alias("c_name"), (at % 5).cast("int").alias("c_nationkey"),
                           F.when(at % 4 == 0, "MACHINERY").otherwise("BUILDING").alias("c_mktsegment")).write.parquet(f"{folder}/customer.parquet")
@@ -103,9 +123,55 @@ def test_compressed_parts_are_read_by_their_header(spark, tmp_path):
 
 
 def test_sources_in_slices_keep_their_order(spark, tmp_path):
-    sf_dir = star(tmp_path / "sf")
+    sf_dir = star(spark, tmp_path / "sf")
     want = [r.trx_id for r in bindings.raw_transactions(spark, sf_dir).orderBy("src_seq").collect()]
     with slices_of(spark, 9):
         bindings.write_folder(spark, sf_dir, str(tmp_path / "src"), bindings.customers_lines(spark, sf_dir), None, None, None)
     rows = csv_source.read_mandatory(spark, str(tmp_path / "src"), TRANSACTION_FILE).orderBy("src_seq").collect()
     assert len({r.src_seq >> 33 for r in rows}) > 5 and [r.trx_id for r in rows] == want
+
+
+# -- cells, roll-ups and queries ---------------------------------------------------
+def cell_rows(spark, root):
+    wh = Warehouse(spark, root)
+    tables = {"cells": wh.cells(), **{s["table"]: wh.read(s["table"]).drop("batch_id") for s in wh.cuboids()}}
+    return {name: sorted(map(str, rows.collect())) for name, rows in tables.items()}
+
+
+def test_cells_in_slices_are_the_same(spark, tmp_path, days):
+    roots = [str(tmp_path / name) for name in ("whole", "sliced")]
+    for root, rows in zip(roots, (10**6, 2)):
+        load.load_full(spark, days[0], root)
+        with slices_of(spark, rows):
+            before = shuffles(spark)
+            load.refresh_cube(Warehouse(spark, root))
+            kept = left_behind(spark, before)
+            parts = Warehouse(spark, root).day_slices()
+    assert len(parts) > 1 and sum(rows.count() for rows in parts) == Warehouse(spark, roots[1]).facts().count()
+    assert len(kept) <= 4
+    assert cell_rows(spark, roots[1]) == cell_rows(spark, roots[0])
+
+
+@pytest.fixture(scope="module")
+def small(spark, tmp_path_factory):
+    return star(spark, tmp_path_factory.mktemp("driver"))
+
+
+@pytest.mark.parametrize("name", [
+    "e2_changed_rejects", "p14_date_range", "p13_dice", "t2_channels_incremental", "w5_city_channel_share", "a9_cuboid_segment",
+    "e1_member_rejects", "q6_top_merchants", "p15_include_unknown", "s17_chosen_rollups", "o7_sorted_table", "s17_customers",
+])
+def test_queries_in_slices(spark, small, name, monkeypatch):
+    """By the oracle's rows, with the shuffles of one write on disk at once however many passes there were."""
+    monkeypatch.setattr(load, "together", lambda *steps: [step() for step in steps])
+    with slices_of(spark, 25), most_shuffles(spark) as most:
+        df = QUERIES[name](spark, small)
+    con = duckdb.connect()
+    for table in ("customer", "part", "orders", "lineitem"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{small}/{table}.parquet/*.parquet'")
+    result = con.execute(ORACLE[name])
+    # Of a table this small fewer roll-ups are worth storing, with slices or without.
+    order, columns = [c[0] for c in result.description], sorted(c for c in df.columns if c != "several")
+    want = [tuple(row[order.index(c)] for c in columns) for row in result.fetchall()]
+    assert in_order([tuple(row) for row in df.select(*columns).collect()]) == in_order(want)
+    assert most[0] <= 12
