@@ -174,4 +174,4 @@ def test_queries_in_slices(spark, small, name, monkeypatch):
     order, columns = [c[0] for c in result.description], sorted(c for c in df.columns if c != "several")
     want = [tuple(row[order.index(c)] for c in columns) for row in result.fetchall()]
     assert in_order([tuple(row) for row in df.select(*columns).collect()]) == in_order(want)
-    assert most[0] <= 12
+    assert most[0] <= 8
